@@ -6,12 +6,22 @@ from them) in full. Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskmart.operators import marts
-from riskmart.plans.shaping import ECONOMICS_LIKE_SQL, WAR_LIKE_SQL, economics_like, war_like
+from riskmart.functions import columns
+from riskmart.operators import harmonise, marts, metrics, paging, ranking, text, views
+from riskmart.plans import layout, stages
+from riskmart.plans.shaping import (ECONOMICS_LIKE_SQL, WAR_LIKE_SQL, economics_like,
+                                    economics_source, load, war_like, war_source)
+from riskmart.session import scratch_path
+from riskmart.sources import dump, feeds
+from riskmart.sources.delimited import read_delimited, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +102,509 @@ def mart_humanitarian(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("mart_finance", FINANCE_SQL)
 def mart_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.finance(war_like(spark, sf_dir), economics_like(spark, sf_dir))
+
+
+# ----------------------------------------------------------- ranking
+
+@register("rank_distributed", """
+SELECT o_orderkey, o_totalprice, rank() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS rank
+FROM orders""")
+def rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return ranking.global_rank(orders, ranking.desc("o_totalprice"), strategy="distributed")
+
+
+_NULL_KEY_SQL = """CASE WHEN o_orderstatus = 'F' THEN NULL
+            WHEN o_orderpriority = '1-URGENT' THEN CAST('NaN' AS DOUBLE)
+            WHEN o_orderpriority = '2-HIGH' THEN CAST('Infinity' AS DOUBLE)
+            WHEN o_orderpriority = '5-LOW' THEN CAST('-Infinity' AS DOUBLE)
+            ELSE round(o_totalprice, -5) END"""
+
+
+def _null_key() -> Column:
+    return (F.when(F.col("o_orderstatus") == "F", F.lit(None).cast("double"))
+            .when(F.col("o_orderpriority") == "1-URGENT", F.lit(float("nan")))
+            .when(F.col("o_orderpriority") == "2-HIGH", F.lit(float("inf")))
+            .when(F.col("o_orderpriority") == "5-LOW", F.lit(float("-inf")))
+            .otherwise(F.round("o_totalprice", -5)))
+
+
+@register("rank_nulls", f"""
+SELECT o_orderkey,
+       rank() OVER (ORDER BY {_NULL_KEY_SQL} DESC NULLS LAST, o_custkey ASC NULLS FIRST) AS rank
+FROM orders""")
+def rank_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null, NaN, ±inf and heavy ties in the first key; a second ascending key."""
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", _null_key().alias("key"))
+    order = [("key", True), ("o_custkey", False)]
+    return ranking.global_rank(orders, order, strategy="distributed").select("o_orderkey", "rank")
+
+
+# ------------------------------------------------------------ paging
+
+@register("page_finance", f"SELECT * FROM ({FINANCE_SQL}) ORDER BY rank, id LIMIT 5 OFFSET 10")
+def page_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paging.page(mart_finance(spark, sf_dir), 3).rows
+
+
+@register("page_humanitarian_ties",
+          f"SELECT * FROM ({HUMANITARIAN_SQL}) ORDER BY rank, id LIMIT 5 OFFSET 1495")
+def page_humanitarian_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page deep inside a tie group (the humanitarian rank has few distinct values)."""
+    return paging.page(mart_humanitarian(spark, sf_dir), 300).rows
+
+
+@register("sanitize_floats", """
+SELECT event_id, event_type,
+       CASE WHEN event_type IN ('error', 'signup', 'purchase') THEN NULL ELSE value END AS value
+FROM events""")
+def sanitize_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    value = (F.when(F.col("event_type") == "error", F.lit(float("nan")))
+             .when(F.col("event_type") == "signup", F.lit(float("inf")))
+             .when(F.col("event_type") == "purchase", F.lit(float("-inf")))
+             .otherwise(F.col("value")))
+    return columns.sanitize_floats(events.select("event_id", "event_type", value.alias("value")))
+
+
+# ------------------------------------------------------------ sources
+
+PART_SCHEMA = T.StructType([
+    T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
+    T.StructField("p_brand", T.StringType()), T.StructField("p_type", T.StringType()),
+    T.StructField("p_size", T.IntegerType()), T.StructField("p_retailprice", T.DoubleType())])
+PART_DUMP_SCHEMA = T.StructType([
+    T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
+    T.StructField("p_size", T.IntegerType()), T.StructField("p_retailprice", T.DoubleType())])
+
+
+@register("ingest_delimited_roundtrip",
+          "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+def ingest_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part → ``;`` file with a decimal-comma price → read back."""
+    path = scratch_path(spark, "part_semicolon")
+    write_delimited(load(spark, sf_dir, "part"), path, sep=";", decimal_comma=("p_retailprice",))
+    return read_delimited(spark, path, schema=PART_SCHEMA, sep=";",
+                          decimal_comma=("p_retailprice",))
+
+
+@register("ingest_csv_comma", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def ingest_csv_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer → comma CSV → read back with schema inference."""
+    path = scratch_path(spark, "customer_csv")
+    write_delimited(load(spark, sf_dir, "customer"), path, sep=",")
+    df = read_delimited(spark, path, sep=",", infer=True)
+    return df.select(F.col("c_custkey").cast("long"), "c_name", F.col("c_nationkey").cast("int"),
+                     F.col("c_acctbal").cast("double"), "c_mktsegment")
+
+
+def _write_part_dump(spark: SparkSession, sf_dir: str, bad_size: bool) -> str:
+    part = load(spark, sf_dir, "part")
+    size = F.col("p_size")
+    if bad_size:
+        size = F.when(size > 45, F.lit("n/a")).otherwise(size.cast("string"))
+    # A bad size is written as the quoted text 'n/a'; good sizes stay numbers.
+    lines = dump.insert_lines(
+        part.select("p_partkey", "p_name", size.alias("p_size"), "p_retailprice"), "part")
+    header = spark.createDataFrame(
+        [("CREATE TABLE part (p_partkey BIGINT, p_name TEXT, p_size INT, p_retailprice REAL);",)],
+        "value string")
+    path = scratch_path(spark, "part_dump")
+    header.unionByName(lines).write.mode("overwrite").text(path)
+    return path
+
+
+@register("ingest_dump_roundtrip", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
+def ingest_dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_part_dump(spark, sf_dir, bad_size=False)
+    return dump.read_insert_dump(spark, path, PART_DUMP_SCHEMA, mode="locale").rows
+
+
+@register("ingest_dump_strict", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
+def ingest_dump_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_part_dump(spark, sf_dir, bad_size=False)
+    return dump.read_insert_dump(spark, path, PART_DUMP_SCHEMA, mode="strict").rows
+
+
+@register("ingest_dump_rejects", """
+SELECT 'accepted' AS outcome, CAST(NULL AS VARCHAR) AS reason, count(*) AS n
+FROM part WHERE p_size <= 45
+UNION ALL
+SELECT 'rejected' AS outcome, 'bad p_size' AS reason, count(*) AS n FROM part WHERE p_size > 45""")
+def ingest_dump_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conservation: every INSERT row is either accepted or rejected with a reason."""
+    path = _write_part_dump(spark, sf_dir, bad_size=True)
+    parsed = dump.parse_insert_dump(spark.read.text(path), PART_DUMP_SCHEMA, mode="locale")
+    return (parsed.groupBy(
+        F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected").alias("outcome"),
+        F.col("reject_reason").alias("reason"))
+        .agg(F.count(F.lit(1)).alias("n")))
+
+
+EVENT_FEED_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("props", T.StructType([T.StructField("k", T.LongType())]))])
+
+
+@register("json_field", """
+SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events → JSON lines with a nested ``props`` object → nested read → struct field."""
+    events = load(spark, sf_dir, "events")
+    path = scratch_path(spark, "events_json")
+    (events.select(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"),
+                            F.lit(', "event_type": "'), F.col("event_type"),
+                            F.lit('", "props": '), F.col("props"), F.lit("}")).alias("value"))
+     .write.mode("overwrite").text(path))
+    feed = feeds.read_json_feed(spark, path, EVENT_FEED_SCHEMA)
+    return feed.select("event_id", "event_type", F.col("props.k").alias("k"))
+
+
+# ------------------------------------------------------ layout
+
+AS_OF = date(2026, 3, 25)
+EARLIER = date(2026, 3, 24)
+
+
+@register("raw_partition_roundtrip", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       {AS_OF.year} AS year, {AS_OF.month} AS month, {AS_OF.day} AS day
+FROM orders""")
+def raw_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders loaded on two dates → read one load date back (partition pruning)."""
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(spark, "orders_raw")
+    layout.write_partitioned(orders, path, EARLIER, mode="dynamic")
+    layout.write_partitioned(orders, path, AS_OF, mode="dynamic")
+    raw = layout.read_partitioned(spark, path)
+    return raw.filter((F.col("year") == AS_OF.year) & (F.col("month") == AS_OF.month)
+                      & (F.col("day") == AS_OF.day))
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path = scratch_path(spark, f"overwrite_{mode}")
+    layout.write_partitioned(orders, path, EARLIER, mode)
+    layout.write_partitioned(orders, path, AS_OF, mode)
+    return (layout.read_partitioned(spark, path).groupBy("year", "month", "day")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum")))
+
+
+_LOAD_SQL = ("SELECT CAST({y} AS INTEGER) AS year, CAST({m} AS INTEGER) AS month, "
+             "CAST({d} AS INTEGER) AS day, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum "
+             "FROM orders")
+
+
+@register("overwrite_static", _LOAD_SQL.format(y=AS_OF.year, m=AS_OF.month, d=AS_OF.day))
+def overwrite_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, static overwrite: only the last load date survives."""
+    return _two_loads(spark, sf_dir, "static")
+
+
+@register("overwrite_dynamic", _LOAD_SQL.format(y=AS_OF.year, m=AS_OF.month, d=AS_OF.day)
+          + " UNION ALL " + _LOAD_SQL.format(y=EARLIER.year, m=EARLIER.month, d=EARLIER.day))
+def overwrite_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, dynamic overwrite: both load dates survive."""
+    return _two_loads(spark, sf_dir, "dynamic")
+
+
+_STATUS_SUMS_SQL = """
+SELECT o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkey_sum
+FROM orders GROUP BY o_orderstatus"""
+
+
+def _status_sums(df: DataFrame) -> DataFrame:
+    return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"),
+                                           F.sum("o_custkey").alias("custkey_sum"))
+
+
+def _scratch_database(spark: SparkSession, name: str) -> str:
+    db = f"rm_{name}_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    return db
+
+
+@register("table_managed", _STATUS_SUMS_SQL)
+def table_managed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _scratch_database(spark, "managed")
+    layout.save_table(load(spark, sf_dir, "orders"), f"{db}.orders_managed",
+                      partition_by=("o_orderstatus",))
+    return _status_sums(layout.read_table(spark, f"{db}.orders_managed"))
+
+
+@register("table_external", _STATUS_SUMS_SQL)
+def table_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _scratch_database(spark, "external")
+    orders = load(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders_external")
+    layout.save_table(orders, f"{db}.orders_external", path=path)
+    # Read the files the way a reader without the catalog would.
+    return _status_sums(layout.read_gold_dir(spark, path, orders.schema))
+
+
+# ------------------------------------------------ raw → curated → gold (M4, K5)
+
+def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "int"):
+    war = war_like(spark, sf_dir)
+    econ = economics_like(spark, sf_dir)
+    war_path = scratch_path(spark, "source_war")
+    econ_path = scratch_path(spark, "source_economics")
+    write_delimited(war_source(war), war_path, sep=";", decimal_comma=("Cost_of_War_USD",))
+    header = spark.createDataFrame([("CREATE TABLE economics (Conflict_Id INT, ...);",)],
+                                   "value string")
+    lines = dump.insert_lines(economics_source(econ), "economics",
+                              decimal_comma=("Estimated_Reconstruction_Cost_USD",),
+                              barewords=("War_Profiteering_Documented",))
+    header.unionByName(lines).write.mode("overwrite").text(econ_path)
+    db = _scratch_database(spark, "pipeline")
+    return stages.run_all(spark, war_path, econ_path, scratch_path(spark, "zones"), AS_OF,
+                          database=db, id_type=id_type)
+
+
+@register("end_to_end_government", GOVERNMENT_SQL)
+def end_to_end_government(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source files → raw → curated → gold; the government mart as stored."""
+    return _run_pipeline(spark, sf_dir, id_type="bigint").tables["gold_output_government"]
+
+
+_DATE_SQL = f"{AS_OF.year} AS year, {AS_OF.month} AS month, {AS_OF.day} AS day"
+
+
+@register("curate_war", f"""
+SELECT name, type, region, start_year, end_year, primary_country, most_affected_sector,
+       cost_of_war_usd, black_market_activity_level, currency_black_market_rate_gap_pct,
+       primary_black_market_goods, CAST(id AS INTEGER) AS id, {_DATE_SQL}
+FROM ({WAR_LIKE_SQL})""")
+def curate_war(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_pipeline(spark, sf_dir).tables["war_curated"]
+
+
+@register("curate_economics", f"""
+SELECT prewar_unemployment_pct, during_war_unemployment_pct, status,
+       youth_unemployment_change_pct, prewar_poverty_rate_pct, during_war_poverty_rate_pct,
+       extreme_poverty_rate_pct, food_insecurity_rate_pct,
+       households_fallen_into_poverty_estimate, gdp_change_pct, inflation_rate_change_pct,
+       currency_devaluation_pct, prewar_poverty_rate_pct AS informal_economy_size_pre_war_pct,
+       during_war_poverty_rate_pct AS informal_economy_size_during_war_pct,
+       CASE WHEN households_fallen_into_poverty_estimate > 4 THEN 'Yes' ELSE 'No' END
+         AS war_profiteering_documented,
+       CAST(id AS INTEGER) AS id, {_DATE_SQL}
+FROM ({ECONOMICS_LIKE_SQL})""")
+def curate_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_pipeline(spark, sf_dir).tables["economics_curated"]
+
+
+_ONGOING_COUNT = f"(SELECT count(*) FROM ({_BASE_SQL} SELECT * FROM base))"
+
+
+@register("stage_counts", f"""
+SELECT 'raw' AS stage, 'war' AS table_name, 'rows' AS metric, (SELECT count(*) FROM ({WAR_LIKE_SQL})) AS value
+UNION ALL SELECT 'raw', 'economics', 'rows', (SELECT count(*) FROM ({ECONOMICS_LIKE_SQL}))
+UNION ALL SELECT 'raw', 'economics', 'rejected', CAST(0 AS BIGINT)
+UNION ALL SELECT 'curated', 'war_curated', 'rows', (SELECT count(*) FROM ({WAR_LIKE_SQL}))
+UNION ALL SELECT 'curated', 'economics_curated', 'rows', (SELECT count(*) FROM ({ECONOMICS_LIKE_SQL}))
+UNION ALL SELECT 'gold', 'gold_output_humanitarian', 'rows', {_ONGOING_COUNT}
+UNION ALL SELECT 'gold', 'gold_output_government', 'rows', {_ONGOING_COUNT}
+UNION ALL SELECT 'gold', 'gold_output_finance', 'rows', {_ONGOING_COUNT}""")
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written by each stage, counted by the writes themselves (observe)."""
+    return _run_pipeline(spark, sf_dir).metrics.to_frame(spark)
+
+
+@register("duplicate_keys", """
+SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.duplicate_keys(load(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+# ------------------------------------------- feeds, unions, scalar functions
+
+FLAT_FEED_SCHEMA = T.StructType([
+    T.StructField("HSISID", T.LongType()), T.StructField("NAME", T.StringType()),
+    T.StructField("ADDRESS1", T.StringType()), T.StructField("ADDRESS2", T.StringType()),
+    T.StructField("CITY", T.StringType()), T.StructField("STATE", T.StringType()),
+    T.StructField("POSTALCODE", T.IntegerType()), T.StructField("PHONENUMBER", T.StringType()),
+    T.StructField("RESTAURANTOPENDATE", T.StringType()),
+    T.StructField("FACILITYTYPE", T.StringType()),
+    T.StructField("X", T.DoubleType()), T.StructField("Y", T.DoubleType()),
+    T.StructField("OBJECTID", T.LongType()), T.StructField("PERMITID", T.LongType()),
+    T.StructField("GEOCODESTATUS", T.StringType())])
+NESTED_FEED_SCHEMA = T.StructType([
+    T.StructField("fields", T.StructType([
+        T.StructField(n, T.StringType()) for n in (
+            "id", "premise_name", "premise_address1", "premise_address2", "premise_city",
+            "premise_state", "premise_zip", "premise_phone", "opening_date", "closing_date",
+            "type_description")] + [
+        T.StructField("geolocation", T.ArrayType(T.DoubleType()))])),
+    T.StructField("geometry", T.StringType()), T.StructField("record_timestamp", T.StringType()),
+    T.StructField("recordid", T.StringType())])
+
+
+def _flat_feed_file(spark: SparkSession, sf_dir: str) -> str:
+    """customer rendered as a flat CSV feed (null state where the balance is negative)."""
+    c = load(spark, sf_dir, "customer")
+    flat = c.select(
+        F.col("c_custkey").alias("HSISID"), F.col("c_name").alias("NAME"),
+        F.col("c_mktsegment").alias("ADDRESS1"), F.lit(None).cast("string").alias("ADDRESS2"),
+        F.lower("c_mktsegment").alias("CITY"),
+        F.when(F.col("c_acctbal") >= 0, "NC").alias("STATE"),
+        F.col("c_nationkey").alias("POSTALCODE"),
+        F.concat(F.lit("555-"), F.col("c_custkey").cast("string")).alias("PHONENUMBER"),
+        F.col("c_nationkey").cast("string").alias("RESTAURANTOPENDATE"),
+        F.col("c_mktsegment").alias("FACILITYTYPE"), F.col("c_acctbal").alias("X"),
+        F.col("c_nationkey").cast("double").alias("Y"), F.col("c_custkey").alias("OBJECTID"),
+        F.col("c_custkey").alias("PERMITID"), F.lit("M").alias("GEOCODESTATUS"))
+    path = scratch_path(spark, "flat_feed")
+    write_delimited(flat, path, sep=",")
+    return path
+
+
+def _nested_feed_file(spark: SparkSession, sf_dir: str) -> str:
+    """supplier rendered as a nested JSON feed (no " - " and no coordinates when in debt)."""
+    s = load(spark, sf_dir, "supplier")
+    debt = F.col("s_acctbal") < 0
+    fields = F.struct(
+        F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("premise_name"),
+        F.lit("depot").alias("premise_address1"),
+        F.when(F.col("s_acctbal") > 5000, "suite").alias("premise_address2"),
+        F.lit("durham").alias("premise_city"), F.lit("NC").alias("premise_state"),
+        F.col("s_nationkey").cast("string").alias("premise_zip"),
+        F.concat(F.lit("555-"), F.col("s_suppkey").cast("string")).alias("premise_phone"),
+        F.col("s_nationkey").cast("string").alias("opening_date"),
+        F.lit(None).cast("string").alias("closing_date"),
+        F.when(debt, "Restaurant").otherwise("1 - Restaurant").alias("type_description"),
+        F.when(debt, F.array().cast("array<double>"))
+        .otherwise(F.array(F.col("s_acctbal"), F.col("s_nationkey").cast("double")))
+        .alias("geolocation"))
+    nested = s.select(fields.alias("fields"), F.lit(None).cast("string").alias("geometry"),
+                      F.lit("2026-03-25").alias("record_timestamp"),
+                      F.col("s_suppkey").cast("string").alias("recordid"))
+    path = scratch_path(spark, "nested_feed")
+    nested.write.mode("overwrite").json(path)
+    return path
+
+
+@register("harmonise_feeds", """
+SELECT CAST(c_custkey AS VARCHAR) AS datasetId, c_name AS name, c_mktsegment AS address1,
+       CAST(NULL AS VARCHAR) AS address2, lower(c_mktsegment) AS city,
+       CASE WHEN c_acctbal >= 0 THEN 'NC' END AS state, CAST(c_nationkey AS VARCHAR) AS zip,
+       '555-' || CAST(c_custkey AS VARCHAR) AS tel, CAST(c_nationkey AS VARCHAR) AS dateStart,
+       CAST(NULL AS VARCHAR) AS dateEnd, c_mktsegment AS type, c_acctbal AS geoX,
+       CAST(c_nationkey AS DOUBLE) AS geoY, 'Wake' AS county,
+       (CASE WHEN c_acctbal >= 0 THEN 'NC' END) || '_Wake_' || CAST(c_custkey AS VARCHAR) AS id
+FROM customer
+UNION ALL
+SELECT CAST(s_suppkey AS VARCHAR), s_name, 'depot', CASE WHEN s_acctbal > 5000 THEN 'suite' END,
+       'durham', 'NC', CAST(s_nationkey AS VARCHAR), '555-' || CAST(s_suppkey AS VARCHAR),
+       CAST(s_nationkey AS VARCHAR), CAST(NULL AS VARCHAR),
+       string_split(CASE WHEN s_acctbal < 0 THEN 'Restaurant' ELSE '1 - Restaurant' END, ' - ')[2],
+       CASE WHEN s_acctbal < 0 THEN NULL ELSE s_acctbal END,
+       CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS DOUBLE) END,
+       'Durham', 'NC_Durham_' || CAST(s_suppkey AS VARCHAR)
+FROM supplier""")
+def harmonise_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat CSV feed and a nested JSON feed → one schema, composite id, union by name."""
+    flat = read_delimited(spark, _flat_feed_file(spark, sf_dir), schema=FLAT_FEED_SCHEMA, sep=",")
+    nested = feeds.read_json_feed(spark, _nested_feed_file(spark, sf_dir), NESTED_FEED_SCHEMA)
+    return harmonise.union_feeds([harmonise.flat_feed(flat, "Wake"),
+                                  harmonise.nested_feed(nested, "Durham")])
+
+
+@register("union_positional", """
+SELECT c_custkey AS party_key, c_name AS party_name, c_acctbal AS balance FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier""")
+def union_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party_key"), F.col("c_name").alias("party_name"),
+        F.col("c_acctbal").alias("balance"))
+    s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    return harmonise.union_positional([c, s])
+
+
+@register("replicate", """
+SELECT o_orderstatus, count(*) * 61 AS n, CAST(sum(o_orderkey) * 61 AS BIGINT) AS key_sum
+FROM orders GROUP BY o_orderstatus""")
+def replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders × 61 (the tutorial's "bigger dataset"), then counted per status."""
+    big = harmonise.replicate(load(spark, sf_dir, "orders"), 61)
+    return big.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"),
+                                            F.sum("o_orderkey").alias("key_sum"))
+
+
+@register("split_part", """
+SELECT p_partkey, string_split(p_name, ' ')[1] AS word1, string_split(p_name, ' ')[2] AS word2,
+       string_split(p_name, ' ')[3] AS word3
+FROM part""")
+def split_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split text and take parts by position; a missing part is null, not an error."""
+    words = F.split(F.col("p_name"), " ")
+    return load(spark, sf_dir, "part").select(
+        "p_partkey", F.get(words, 0).alias("word1"), F.get(words, 1).alias("word2"),
+        F.get(words, 2).alias("word3"))
+
+
+@register("array_element", """
+SELECT vec_id, embedding[1] AS e0, embedding[2] AS e1, embedding[64] AS e63,
+       embedding[65] AS e64
+FROM embeddings""")
+def array_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("embedding")
+    return load(spark, sf_dir, "embeddings").select(
+        "vec_id", F.get(e, 0).alias("e0"), F.get(e, 1).alias("e1"), F.get(e, 63).alias("e63"),
+        F.get(e, 64).alias("e64"))
+
+
+@register("mean_expr", """
+SELECT l_orderkey, l_linenumber, l_discount AS lcl, l_tax AS ucl, (l_discount + l_tax) / 2 AS avg,
+       l_discount AS lcl2, l_tax AS ucl2
+FROM lineitem""")
+def mean_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rename columns with blanks, mean by expression text, copy columns."""
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_discount").alias("Lower Confidence Limit"),
+        F.col("l_tax").alias("Upper Confidence Limit"))
+    df = li.withColumnsRenamed({"Lower Confidence Limit": "lcl", "Upper Confidence Limit": "ucl"})
+    return df.withColumns({"avg": harmonise.mean_of("lcl", "ucl"), "lcl2": F.col("lcl"),
+                           "ucl2": F.col("ucl")})
+
+
+# ----------------------------------------------------------------- text (A2)
+
+@register("word_count", r"""
+SELECT word, count(*) AS n
+FROM (SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM documents)
+WHERE word <> '' GROUP BY word""")
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.word_count(load(spark, sf_dir, "documents"), "text")
+
+
+# ------------------------------------------------------------ views (A3-A5)
+
+@register("view_country", f"""
+SELECT primary_country, count(*) AS n_conflicts, min(rank) AS best_rank,
+       max(crisis_score) AS max_crisis_score, round(avg(crisis_score), 4) AS avg_crisis_score
+FROM ({GOVERNMENT_SQL}) GROUP BY primary_country""")
+def view_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.country_crisis(mart_government(spark, sf_dir))
+
+
+@register("view_sector", f"""
+SELECT most_affected_sector, black_market_activity_level, count(*) AS n_conflicts,
+       round(avg(risk_score), 4) AS avg_risk_score,
+       max(currency_black_market_rate_gap_pct) AS max_rate_gap_pct
+FROM ({FINANCE_SCORED_SQL} SELECT * FROM scored)
+GROUP BY most_affected_sector, black_market_activity_level""")
+def view_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.sector_exposure(mart_finance(spark, sf_dir))
+
+
+@register("view_region", f"""
+SELECT region, count(*) AS n_conflicts, round(avg(poverty_change_pct), 4) AS avg_poverty_change_pct,
+       round(avg(food_insecurity_rate_pct), 4) AS avg_food_insecurity_rate_pct,
+       max(extreme_poverty_rate_pct) AS max_extreme_poverty_rate_pct
+FROM ({_BASE_SQL} SELECT * FROM base) GROUP BY region""")
+def view_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.regional_need(mart_humanitarian(spark, sf_dir))
