@@ -77,21 +77,27 @@ def ongoing_base(war: DataFrame, economics: DataFrame, status: str = "Ongoing")
     return w.join(econ, on="id", how="inner")
 
 
-def humanitarian_from_base(base: DataFrame, rank_strategy: str = "auto") -> DataFrame:
+def humanitarian_from_base(base: DataFrame, rank_strategy: str = "auto",
+                           materialize: bool = True) -> DataFrame:
+    """``materialize=False`` when ``base`` is a stored table (it is read twice)."""
     return global_rank(base.select(*HUMANITARIAN_COLUMNS), HUMANITARIAN_ORDER,
-                       strategy=rank_strategy)
+                       strategy=rank_strategy, materialize=materialize)
 
 
-def government_from_base(base: DataFrame, rank_strategy: str = "auto") -> DataFrame:
+def government_from_base(base: DataFrame, rank_strategy: str = "auto",
+                         materialize: bool = True) -> DataFrame:
     scored = base.select(*GOVERNMENT_COLUMNS).withColumn(
         "crisis_score", weighted_score(_terms(CRISIS_WEIGHTS)))
-    return global_rank(scored, desc("crisis_score"), strategy=rank_strategy)
+    return global_rank(scored, desc("crisis_score"), strategy=rank_strategy,
+                       materialize=materialize)
 
 
-def finance_from_base(base: DataFrame, rank_strategy: str = "auto") -> DataFrame:
+def finance_from_base(base: DataFrame, rank_strategy: str = "auto",
+                      materialize: bool = True) -> DataFrame:
     scored = base.select(*FINANCE_COLUMNS).withColumn(
         "risk_score", weighted_score(_terms(RISK_WEIGHTS)))
-    return global_rank(scored, desc("risk_score"), strategy=rank_strategy)
+    return global_rank(scored, desc("risk_score"), strategy=rank_strategy,
+                       materialize=materialize)
 
 
 def humanitarian(war: DataFrame, economics: DataFrame, status: str = "Ongoing",

@@ -21,6 +21,12 @@ so only the *distinct* sort keys need ordering, each carrying its row count:
    is under a checked bound, otherwise a shuffle join where AQE splits skewed
    keys.
 
+The input is read twice (keys, then the join back), so by default it is first
+written once to shared storage; the row count and an HLL estimate of the key
+count are observed during that write, at no extra pass. Intermediate tables go
+to files under ``spark.checkpoint.dir``, so an executor loss costs a re-read,
+not a recomputation that could differ.
+
 Null and NaN follow Spark's ordering: NaN is the largest value, ``desc`` puts
 nulls last, ``asc`` puts nulls first. Ranks are BIGINT (Spark's own ``rank()`` is
 INT and would overflow past 2^31 rows).
@@ -31,10 +37,10 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from riskmart.session import shared_root
+from riskmart.session import scratch_path
 
 OrderSpec = Sequence[tuple[str, bool]]   # (column, descending)
 
@@ -141,33 +147,68 @@ def rank_keys(keyed: DataFrame, order: OrderSpec, key_names: Sequence[str], n_ke
             .drop("_b", "_off"))
 
 
+def _materialize(df: DataFrame, key_cols: Sequence[str]) -> tuple[DataFrame, int, int]:
+    """Write ``df`` once to shared storage; row count and an HLL key count come with it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "rank_input")
+    obs = Observation(f"rank_input_{path.rsplit('-', 1)[-1]}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          F.approx_count_distinct(F.struct(*key_cols)).alias("keys"))
+    observed.write.mode("overwrite").parquet(path)
+    stats = obs.get
+    return spark.read.parquet(path), int(stats["rows"]), int(stats["keys"])
+
+
+def _store(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write a table once (lineage cut on shared storage); its row count comes with it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"{name}_{path.rsplit('-', 1)[-1]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
+
+
 def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
-                window_limit: int = 1_000_000, broadcast_keys: int = 2_000_000,
-                max_buckets: int = 1024, rows_per_bucket: int = 500_000) -> DataFrame:
+                materialize: bool = True, window_limit: int = 1_000_000,
+                broadcast_keys: int = 2_000_000, max_buckets: int = 1024,
+                rows_per_bucket: int = 500_000) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
 
-    strategy ``plain`` is Spark's single-task window; ``distributed`` always cuts
-    the keys into buckets (``window_limit`` ignored); ``auto`` ranks the distinct
-    keys with one window while there are at most ``window_limit`` of them.
+    strategy ``plain`` is Spark's single-task window. ``auto`` ranks the distinct
+    keys with one window while (by an HLL estimate, with margin) there are at
+    most ``window_limit`` of them, and with range buckets beyond; ``distributed``
+    always uses the buckets.
+
+    ``materialize`` writes the input once first, so an expensive input (a join)
+    is computed once although the rank reads it twice; pass ``False`` when the
+    input is already a stored table.
     """
     if strategy == "plain":
         return plain_rank(df, order, name)
     if strategy not in ("auto", "distributed"):
         raise ValueError(f"unknown rank strategy {strategy!r}")
 
+    columns = df.columns
+    if materialize:
+        df, _, est_keys = _materialize(df, [c for c, _ in order])
+    else:
+        est_keys = df.select(F.approx_count_distinct(F.struct(*[c for c, _ in order]))).first()[0]
+    bound = int(est_keys * 1.1) + 100      # HLL relative error is ~5%: keep a margin
+
     key_names = [f"_k{i}" for i in range(len(order))]
     keyed = (df.groupBy(*[F.col(c).alias(k) for (c, _), k in zip(order, key_names)])
              .agg(F.count(F.lit(1)).alias("_n")))
-    # Reliable checkpoint (shared storage): the key table is read several times
-    # below and must not be recomputed differently after an executor loss.
-    shared_root(df.sparkSession)
-    keyed = keyed.checkpoint(eager=True)
-    n_keys = keyed.count()
-    limit = window_limit if strategy == "auto" else 0
-    ranked = rank_keys(keyed, order, key_names, n_keys, name, limit, max_buckets,
-                       rows_per_bucket if strategy == "auto" else max(1, n_keys // 8))
+    if strategy == "auto" and bound <= window_limit:
+        ranked = rank_keys(keyed, order, key_names, bound, name, window_limit, max_buckets,
+                           rows_per_bucket)
+    else:
+        # Many keys: store the key table once; cut points sample it, buckets rank it.
+        keyed, n_keys = _store(keyed, "rank_keys")
+        bound = n_keys
+        per_bucket = rows_per_bucket if strategy == "auto" else max(1, n_keys // 8)
+        ranked = rank_keys(keyed, order, key_names, n_keys, name, 0, max_buckets, per_bucket)
     ranked = ranked.select(*key_names, name)
-    if n_keys <= broadcast_keys:
-        ranked = F.broadcast(ranked)
+    if bound <= broadcast_keys:
+        ranked = F.broadcast(ranked)       # size bound checked above
     cond = [df[c].eqNullSafe(ranked[k]) for (c, _), k in zip(order, key_names)]
-    return df.join(ranked, cond, "inner").select(*[df[c] for c in df.columns], ranked[name])
+    return df.join(ranked, cond, "inner").select(*[df[c] for c in columns], ranked[name])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
 from typing import Sequence
 
@@ -35,9 +34,15 @@ def write_partitioned(df: DataFrame, path: str, as_of: date | None = None,
     """
     if mode not in ("static", "dynamic"):
         raise ValueError(f"unknown overwrite mode {mode!r}")
-    if as_of is not None:
+    if as_of is not None and set(partition_by) <= set(DATE_PARTS):
+        # One load date: every task writes its own file into the one directory,
+        # no shuffle needed (file size follows the input split size).
         df = with_load_date(df, as_of)
-    (_rebalanced(df, partition_by).write.mode("overwrite")
+    else:
+        # Partition values come from the data: cluster rows by them first, so a
+        # task writes to few directories instead of one small file in each.
+        df = _rebalanced(with_load_date(df, as_of) if as_of else df, partition_by)
+    (df.write.mode("overwrite")
      .option("partitionOverwriteMode", mode)
      .partitionBy(*partition_by).parquet(path))
 
@@ -54,9 +59,10 @@ def save_table(df: DataFrame, name: str, path: str | None = None,
     """Write a catalog table: managed, or external when ``path`` is given.
 
     ``bucket_by=(n, "id")`` stores the table hash-bucketed on ``id``, so a later
-    join of two such tables on ``id`` needs no shuffle.
+    join of two such tables on ``id`` needs no shuffle. No repartition is added:
+    each task of the producing plan writes its own files.
     """
-    writer = _rebalanced(df, ()).write.mode(mode).format("parquet")
+    writer = df.write.mode(mode).format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:
@@ -80,7 +86,3 @@ def read_gold_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
-@dataclass(frozen=True)
-class Loaded:
-    path: str
-    as_of: date

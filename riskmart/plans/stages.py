@@ -118,7 +118,7 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
     out = {}
     for mart, build in marts.MARTS.items():
         name = f"{database}.gold_output_{mart}"
-        df = build(base, rank_strategy)
+        df = build(base, rank_strategy, materialize=False)
         save_table(metrics.observe(df, "gold", f"gold_output_{mart}"), name, path=paths.gold(mart))
         out[f"gold_output_{mart}"] = spark.table(name)
     return out
