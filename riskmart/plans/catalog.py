@@ -21,6 +21,7 @@ from riskmart.plans.shaping import (ECONOMICS_LIKE_SQL, WAR_LIKE_SQL, economics_
                                     economics_source, load, war_like, war_source)
 from riskmart.session import scratch_path
 from riskmart.sources import dump, feeds
+from riskmart.streaming import ingest as streaming_ingest
 from riskmart.sources.delimited import read_delimited, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -615,3 +616,18 @@ SELECT region, count(*) AS n_conflicts, round(avg(poverty_change_pct), 4) AS avg
 FROM ({_BASE_SQL} SELECT * FROM base) GROUP BY region""")
 def view_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.regional_need(mart_humanitarian(spark, sf_dir))
+
+
+# ------------------------------------------------ incremental ingest (stream)
+
+@register("stream_ingest_roundtrip", f"""
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, {_DATE_SQL} FROM part""")
+def stream_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part → ``;`` files → file stream (availableNow) → load-date partitions → read."""
+    source = scratch_path(spark, "stream_source")
+    write_delimited(load(spark, sf_dir, "part"), source, sep=";", decimal_comma=("p_retailprice",))
+    out = scratch_path(spark, "stream_raw")
+    stream = streaming_ingest.delimited_stream(spark, source, PART_SCHEMA, sep=";",
+                                               decimal_comma=("p_retailprice",))
+    streaming_ingest.ingest_available(stream, out, scratch_path(spark, "stream_checkpoint"), AS_OF)
+    return layout.read_partitioned(spark, out)
