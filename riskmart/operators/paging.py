@@ -7,6 +7,9 @@ the page has a rank in ``[r_a, p·n]``. Two small steps therefore replace a sort
 of the whole table: one aggregate finds ``r_a`` (a pushed-down ``rank <= a``
 filter on a stored mart), then only the rows with a rank in that window are
 sorted, skipping the ``a - r_a`` rows of the same tie group before the page.
+When that skip is large (a tie group can hold a third of the table), it is
+narrowed with quantile cuts first, so no task ever holds more than a bounded
+number of rows.
 """
 
 from __future__ import annotations
@@ -17,10 +20,12 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.functions.columns import sanitize_floats
 
 PAGE_SIZE = 5   # fixed value: rows per page, as the reference's API serves them
+OFFSET_LIMIT = 10_000   # largest offset taken with a plain ordered offset
 
 
 @dataclass
@@ -41,9 +46,33 @@ def page_number(raw) -> int:
     return max(number, 1)
 
 
+def skip_sorted(df: DataFrame, key: str, k: int, size: int,
+                offset_limit: int = OFFSET_LIMIT) -> DataFrame:
+    """Rows ``k … k+size-1`` (0-based) of ``df`` ordered by the numeric ``key``.
+
+    A plain ``offset(k)`` keeps ``k + size`` rows per task and merges them in one
+    task. Here, while ``k`` is large, an approximate quantile of ``key`` (rank
+    error ≤ offset_limit/4) cuts off the rows before the target, the exact count
+    below the cut is subtracted from ``k``, and only a short offset is left.
+    """
+    while k > offset_limit:
+        n = df.count()
+        if k >= n:
+            return df.limit(0)
+        eps = offset_limit / (4.0 * n)
+        cut = df.approxQuantile(key, [max(0.0, (k - offset_limit / 2) / n)], eps)[0]
+        below = df.filter(F.col(key) < cut).count()
+        if below == 0 or below > k:          # no progress: fall back to the plain offset
+            break
+        df = df.filter(F.col(key) >= cut)
+        k -= below
+    return df.orderBy(key).offset(k).limit(size)
+
+
 def page_rows(df: DataFrame, number: int, size: int = PAGE_SIZE,
-              order: Sequence[str] = ("rank", "id"), rank_col: str | None = "rank") -> DataFrame:
-    """The rows of one page (lazy, except one small aggregate when ranked)."""
+              order: Sequence[str] = ("rank", "id"), rank_col: str | None = "rank",
+              offset_limit: int = OFFSET_LIMIT) -> DataFrame:
+    """The rows of one page (lazy, except small aggregates when ranked)."""
     number = page_number(number)
     first = (number - 1) * size + 1
     last = number * size
@@ -52,8 +81,16 @@ def page_rows(df: DataFrame, number: int, size: int = PAGE_SIZE,
     r_first = df.filter(F.col(rank_col) <= first).agg(F.max(rank_col)).first()[0]
     if r_first is None:
         return df.limit(0)
-    window = df.filter((F.col(rank_col) >= r_first) & (F.col(rank_col) <= last))
-    return window.orderBy(*order).offset(first - r_first).limit(size)
+    skip = first - r_first                   # rows of the tie group before the page
+    numeric_tiebreak = (len(order) == 2 and order[0] == rank_col
+                        and isinstance(df.schema[order[1]].dataType, T.NumericType))
+    if skip <= offset_limit or not numeric_tiebreak:
+        window = df.filter((F.col(rank_col) >= r_first) & (F.col(rank_col) <= last))
+        return window.orderBy(*order).offset(skip).limit(size)
+    head = skip_sorted(df.filter(F.col(rank_col) == r_first), order[1], skip, size, offset_limit)
+    tail = (df.filter((F.col(rank_col) > r_first) & (F.col(rank_col) <= last))
+            .orderBy(*order).limit(size))
+    return head.unionByName(tail).orderBy(*order).limit(size)
 
 
 def page(df: DataFrame, number, size: int = PAGE_SIZE, order: Sequence[str] = ("rank", "id"),

@@ -59,3 +59,17 @@ def test_page_sanitizes_infinities(spark):
     df = spark.createDataFrame([(1, float("inf"), 1), (2, float("nan"), 1)],
                                "id long, v double, rank long")
     assert [r.v for r in page(df, 1).rows.collect()] == [None, None]
+
+
+def test_deep_page_inside_huge_tie_group(spark):
+    from riskmart.operators.paging import page_rows
+    from riskmart.operators.ranking import desc, global_rank
+    # 30,000 rows, a third share one key; ids are not in rank order.
+    base = spark.range(30000).select(
+        ((F.col("id") * 7919) % 30000).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    ranked = global_rank(base, desc("v"))
+    ordered = [(r.rank, r.id) for r in ranked.orderBy("rank", "id").collect()]
+    for number in (1, 2000, 3333, 3334, 5990, 6000):
+        got = [(r.rank, r.id) for r in page_rows(ranked, number, 5, offset_limit=100).collect()]
+        assert got == ordered[(number - 1) * 5: number * 5], number
