@@ -79,20 +79,18 @@ def _typed(value: Column, data_type: T.DataType) -> Column:
     return value.try_cast(data_type)
 
 
-def _strict_values(line: Column) -> tuple[Column, Column, Column]:
-    body = F.regexp_extract(line, STRICT_VALUES, 1)
-    toks = F.regexp_extract_all(body, F.lit(STRICT_TOKEN), 0)
-    vals = F.transform(toks, lambda t: F.when(t.startswith("'"), t.substr(F.lit(2), F.length(t) - 2))
-                       .otherwise(t))
-    return body, toks, vals
+def _strip_quotes(t: Column) -> Column:
+    return F.when(t.startswith("'"), t.substr(F.lit(2), F.length(t) - 2)).otherwise(t)
 
 
 def _locale_token(t: Column) -> Column:
+    # The tokenizer only yields quoted strings, numbers ([0-9.,eE+-]) and
+    # barewords ([A-Za-z_]), so a comma can only be a decimal comma and no
+    # regex is needed here.
     return (F.when(t.startswith("'"), F.replace(t.substr(F.lit(2), F.length(t) - 2),
                                                 F.lit("''"), F.lit("'")))
             .when(F.upper(t) == "NULL", F.lit(None).cast("string"))
-            .when(t.rlike(r"^[A-Za-z_]+$"), t)
-            .otherwise(F.regexp_replace(t, ",", ".")))
+            .otherwise(F.translate(t, ",", ".")))
 
 
 def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA,
@@ -100,45 +98,54 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
     """Parse INSERT lines into typed columns plus ``line``, ``tuple_no``, ``reject_reason``.
 
     ``reject_reason`` is null for a good row. Lines that are not INSERT
-    statements are skipped (they are DDL, comments, blank lines).
+    statements are skipped (they are DDL, comments, blank lines). Each regex runs
+    once per line (staged projections); per-value clean-up and casts are plain
+    column expressions, so they compile into the stage's generated code.
     """
     n = len(schema.fields)
     ins = lines.select(F.col(line_col).alias("line")).filter(F.col("line").rlike(INSERT_LINE))
     if mode == "strict":
-        body, toks, vals = _strict_values(F.col("line"))
-        staged = ins.select("line", F.lit(0).alias("tuple_no"), toks.alias("_raw"),
-                            vals.alias("_vals"),
-                            F.when(body == "", F.lit("no VALUES (...); clause"))
-                            .alias("_shape"))
+        body = ins.select("line", F.regexp_extract("line", STRICT_VALUES, 1).alias("_body"))
+        staged = body.select(
+            "line", F.lit(0).alias("tuple_no"),
+            F.regexp_extract_all("_body", F.lit(STRICT_TOKEN), 0).alias("_raw"),
+            F.when(F.col("_body") == "", F.lit("no VALUES (...); clause")).alias("_shape"))
+        norm = _strip_quotes
     elif mode == "locale":
-        after = F.regexp_extract(F.col("line"), LOCALE_VALUES, 1)
-        tuples = F.regexp_extract_all(after, F.lit(LOCALE_TUPLE), 0)
-        shape = (F.when(after == "", F.lit("no VALUES clause"))
-                 .when(~F.col("line").rlike(LOCALE_END), F.lit("statement does not end with ');'"))
-                 .when(F.size(tuples) == 0, F.lit("no value tuple")))
-        exploded = ins.select("line", shape.alias("_shape"),
-                              F.posexplode_outer(F.when(F.size(tuples) > 0, tuples))
-                              .alias("tuple_no", "_tuple"))
-        raw = F.regexp_extract_all(F.col("_tuple"), F.lit(LOCALE_TOKEN), 0)
-        staged = exploded.select("line", "tuple_no", raw.alias("_raw"),
-                                 F.transform(raw, _locale_token).alias("_vals"), "_shape")
+        after = ins.select("line", F.regexp_extract("line", LOCALE_VALUES, 1).alias("_after"),
+                           F.col("line").rlike(LOCALE_END).alias("_ends"))
+        tuples = after.select("line", "_after", "_ends",
+                              F.regexp_extract_all("_after", F.lit(LOCALE_TUPLE), 0).alias("_tuples"))
+        shape = (F.when(F.col("_after") == "", F.lit("no VALUES clause"))
+                 .when(~F.col("_ends"), F.lit("statement does not end with ');'"))
+                 .when(F.size("_tuples") == 0, F.lit("no value tuple")))
+        exploded = tuples.select(
+            "line", shape.alias("_shape"),
+            F.posexplode_outer(F.when(F.size("_tuples") > 0, F.col("_tuples")))
+            .alias("tuple_no", "_tuple"))
+        staged = exploded.select(
+            "line", "tuple_no", "_shape",
+            F.regexp_extract_all("_tuple", F.lit(LOCALE_TOKEN), 0).alias("_raw"))
+        norm = _locale_token
     else:
         raise ValueError(f"unknown dump mode {mode!r}")
 
+    values = staged.select("line", "tuple_no", "_shape", F.size("_raw").alias("_count"),
+                           *[norm(F.get(F.col("_raw"), i)).alias(f"_v{i}") for i in range(n)])
     typed = []
     failures = []
     for i, f in enumerate(schema.fields):
-        value = F.get(F.col("_vals"), i)
+        value = F.col(f"_v{i}")
         col = _typed(value, f.dataType)
         typed.append(col.alias(f.name))
         if not isinstance(f.dataType, T.StringType):
             failures.append(F.when(value.isNotNull() & col.isNull(), F.lit(f"bad {f.name}")))
-    count = F.size(F.col("_raw"))
+    count = F.col("_count")
     reason = F.coalesce(
         F.col("_shape"),
         F.when(count != n, F.format_string(f"expected {n} values, got %d", count)),
         *failures)
-    return staged.select("line", "tuple_no", *typed, reason.alias("reject_reason"))
+    return values.select("line", "tuple_no", *typed, reason.alias("reject_reason"))
 
 
 def split_parsed(parsed: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA) -> DumpRead:
