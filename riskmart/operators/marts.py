@@ -78,26 +78,26 @@ def ongoing_base(war: DataFrame, economics: DataFrame, status: str = "Ongoing")
 
 
 def humanitarian_from_base(base: DataFrame, rank_strategy: str = "auto",
-                           materialize: bool = True) -> DataFrame:
+                           materialize: bool = True, row_bound: int | None = None) -> DataFrame:
     """``materialize=False`` when ``base`` is a stored table (it is read twice)."""
     return global_rank(base.select(*HUMANITARIAN_COLUMNS), HUMANITARIAN_ORDER,
-                       strategy=rank_strategy, materialize=materialize)
+                       strategy=rank_strategy, materialize=materialize, row_bound=row_bound)
 
 
 def government_from_base(base: DataFrame, rank_strategy: str = "auto",
-                         materialize: bool = True) -> DataFrame:
+                         materialize: bool = True, row_bound: int | None = None) -> DataFrame:
     scored = base.select(*GOVERNMENT_COLUMNS).withColumn(
         "crisis_score", weighted_score(_terms(CRISIS_WEIGHTS)))
     return global_rank(scored, desc("crisis_score"), strategy=rank_strategy,
-                       materialize=materialize)
+                       materialize=materialize, row_bound=row_bound)
 
 
 def finance_from_base(base: DataFrame, rank_strategy: str = "auto",
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True, row_bound: int | None = None) -> DataFrame:
     scored = base.select(*FINANCE_COLUMNS).withColumn(
         "risk_score", weighted_score(_terms(RISK_WEIGHTS)))
     return global_rank(scored, desc("risk_score"), strategy=rank_strategy,
-                       materialize=materialize)
+                       materialize=materialize, row_bound=row_bound)
 
 
 def humanitarian(war: DataFrame, economics: DataFrame, status: str = "Ongoing",

@@ -34,6 +34,13 @@ class StageMetrics:
         self._pending.clear()
         return self.records
 
+    def value(self, stage: str, table: str, metric: str = "rows") -> int:
+        """One observed value (collects pending observations first)."""
+        for s, t, m, v in reversed(self.collect()):
+            if (s, t, m) == (stage, table, metric):
+                return v
+        raise KeyError((stage, table, metric))
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
         """One row per counted metric (a handful of rows: metadata, not data)."""
         return spark.createDataFrame(self.collect(),

@@ -18,13 +18,19 @@ import math
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.functions.columns import sanitize_floats
 
 PAGE_SIZE = 5   # fixed value: rows per page, as the reference's API serves them
+# The pageable marts by public name → gold table name.
+MART_TABLES = {
+    "humanitarian": "gold_output_humanitarian",
+    "government": "gold_output_government",
+    "finance": "gold_output_finance",
+}
 OFFSET_LIMIT = 10_000   # largest offset taken with a plain ordered offset
 
 
@@ -103,3 +109,17 @@ def page(df: DataFrame, number, size: int = PAGE_SIZE, order: Sequence[str] = ("
     if sanitize:
         rows = sanitize_floats(rows)
     return Page(number, size, total, total_pages, rows)
+
+
+def mart_names(spark: SparkSession, database: str = "default") -> list[str]:
+    """The marts that exist in ``database`` (the catalog is the endpoint index)."""
+    present = {t.name for t in spark.catalog.listTables(database)}
+    return [m for m, table in MART_TABLES.items() if table in present]
+
+
+def page_mart(spark: SparkSession, mart: str, number, database: str = "default",
+              size: int = PAGE_SIZE) -> Page:
+    """A page of a stored mart by its public name (L2)."""
+    if mart not in MART_TABLES:
+        raise KeyError(f"unknown mart {mart!r}; expected one of {sorted(MART_TABLES)}")
+    return page(spark.table(f"{database}.{MART_TABLES[mart]}"), number, size)

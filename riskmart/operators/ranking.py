@@ -169,7 +169,8 @@ def _store(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 
 def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
-                materialize: bool = True, window_limit: int = 1_000_000,
+                materialize: bool = True, row_bound: int | None = None,
+                window_limit: int = 1_000_000,
                 broadcast_keys: int = 2_000_000, max_buckets: int = 1024,
                 rows_per_bucket: int = 500_000) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
@@ -181,7 +182,9 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
 
     ``materialize`` writes the input once first, so an expensive input (a join)
     is computed once although the rank reads it twice; pass ``False`` when the
-    input is already a stored table.
+    input is already a stored table. ``row_bound`` (a known upper bound on the
+    row count, e.g. observed when the input was written) spares the key-count
+    estimate when it is already small enough.
     """
     if strategy == "plain":
         return plain_rank(df, order, name)
@@ -190,10 +193,13 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
 
     columns = df.columns
     if materialize:
-        df, _, est_keys = _materialize(df, [c for c, _ in order])
+        df, n_rows, est_keys = _materialize(df, [c for c, _ in order])
+        bound = min(n_rows, int(est_keys * 1.1) + 100)   # HLL error is ~5%: keep a margin
+    elif row_bound is not None and row_bound <= window_limit:
+        bound = row_bound
     else:
         est_keys = df.select(F.approx_count_distinct(F.struct(*[c for c, _ in order]))).first()[0]
-    bound = int(est_keys * 1.1) + 100      # HLL relative error is ~5%: keep a margin
+        bound = int(est_keys * 1.1) + 100
 
     key_names = [f"_k{i}" for i in range(len(order))]
     keyed = (df.groupBy(*[F.col(c).alias(k) for (c, _), k in zip(order, key_names)])

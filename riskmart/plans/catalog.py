@@ -414,6 +414,7 @@ UNION ALL SELECT 'raw', 'economics', 'rows', (SELECT count(*) FROM ({ECONOMICS_L
 UNION ALL SELECT 'raw', 'economics', 'rejected', CAST(0 AS BIGINT)
 UNION ALL SELECT 'curated', 'war_curated', 'rows', (SELECT count(*) FROM ({WAR_LIKE_SQL}))
 UNION ALL SELECT 'curated', 'economics_curated', 'rows', (SELECT count(*) FROM ({ECONOMICS_LIKE_SQL}))
+UNION ALL SELECT 'gold', 'ongoing_base', 'rows', {_ONGOING_COUNT}
 UNION ALL SELECT 'gold', 'gold_output_humanitarian', 'rows', {_ONGOING_COUNT}
 UNION ALL SELECT 'gold', 'gold_output_government', 'rows', {_ONGOING_COUNT}
 UNION ALL SELECT 'gold', 'gold_output_finance', 'rows', {_ONGOING_COUNT}""")

@@ -112,13 +112,14 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
     war = spark.table(f"{database}.war_curated")
     economics = spark.table(f"{database}.economics_curated")
     # One join for all three marts, written once (lineage cut, shared input).
-    base = marts.ongoing_base(war, economics, status)
+    base = metrics.observe(marts.ongoing_base(war, economics, status), "gold", "ongoing_base")
     base.write.mode("overwrite").parquet(paths.ongoing_base)
+    n_base = metrics.value("gold", "ongoing_base")
     base = spark.read.parquet(paths.ongoing_base)
     out = {}
     for mart, build in marts.MARTS.items():
         name = f"{database}.gold_output_{mart}"
-        df = build(base, rank_strategy, materialize=False)
+        df = build(base, rank_strategy, materialize=False, row_bound=n_base)
         save_table(metrics.observe(df, "gold", f"gold_output_{mart}"), name, path=paths.gold(mart))
         out[f"gold_output_{mart}"] = spark.table(name)
     return out

@@ -73,3 +73,43 @@ def test_deep_page_inside_huge_tie_group(spark):
     for number in (1, 2000, 3333, 3334, 5990, 6000):
         got = [(r.rank, r.id) for r in page_rows(ranked, number, 5, offset_limit=100).collect()]
         assert got == ordered[(number - 1) * 5: number * 5], number
+
+
+def test_page_mart_by_name(spark, tmp_dir):
+    from riskmart.operators.paging import mart_names, page_mart
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pg LOCATION '{tmp_dir}/pg'")
+    df = spark.createDataFrame([(i, i + 1) for i in range(12)], "id long, rank long")
+    df.write.mode("overwrite").saveAsTable("pg.gold_output_finance")
+    assert mart_names(spark, "pg") == ["finance"]
+    p = page_mart(spark, "finance", "3", "pg")
+    assert (p.total, p.total_pages, [r.id for r in p.rows.collect()]) == (12, 3, [10, 11])
+    with pytest.raises(KeyError):
+        page_mart(spark, "nope", 1, "pg")
+
+
+def test_bucketed_curated_tables_join_without_shuffle(spark, tmp_dir):
+    from riskmart.operators.marts import ongoing_base
+    from riskmart.plans.layout import save_table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bk LOCATION '{tmp_dir}/bk'")
+    war = spark.range(2000).selectExpr(
+        "id", "concat('w', id) AS name", "'t' AS type", "'r' AS region", "2000 AS start_year",
+        "'c' AS primary_country", "'s' AS most_affected_sector", "'High' AS black_market_activity_level",
+        "1.5D AS currency_black_market_rate_gap_pct", "'g' AS primary_black_market_goods")
+    econ = spark.range(2000).selectExpr(
+        "id", "IF(id % 2 = 0, 'Ongoing', 'Resolved') AS status", "1.0D AS prewar_unemployment_pct",
+        "2.0D AS during_war_unemployment_pct", "3.0D AS youth_unemployment_change_pct",
+        "4.0D AS prewar_poverty_rate_pct", "5.0D AS during_war_poverty_rate_pct",
+        "6.0D AS extreme_poverty_rate_pct", "7.0D AS food_insecurity_rate_pct",
+        "8 AS households_fallen_into_poverty_estimate", "-9.0D AS gdp_change_pct",
+        "10.0D AS inflation_rate_change_pct", "11.0D AS currency_devaluation_pct")
+    save_table(war, "bk.war_curated", bucket_by=(8, "id"))
+    save_table(econ, "bk.economics_curated", bucket_by=(8, "id"))
+    with_autobroadcast_off = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = ongoing_base(spark.table("bk.war_curated"), spark.table("bk.economics_curated"))
+        plan = base._jdf.queryExecution().executedPlan().toString()
+        assert base.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_autobroadcast_off)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
