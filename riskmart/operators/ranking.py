@@ -17,9 +17,9 @@ so only the *distinct* sort keys need ordering, each carrying its row count:
    totals (≤ ``max_buckets`` rows) give each bucket's offset, and a window
    per bucket finishes the running sum. Keys are unique in that table, so the
    buckets are balanced whatever the skew of the rows.
-3. The rows are joined back to their key's rank: broadcast when the key count
-   is under a checked bound, otherwise a shuffle join where AQE splits skewed
-   keys.
+3. The rows are joined back to their key's rank: broadcast when the key table
+   is under a checked size (key count bound × row size ≤ 32 MB), otherwise a
+   shuffle join where AQE splits skewed keys.
 
 The input is read twice (keys, then the join back), so by default it is first
 written once to shared storage; the row count and an HLL estimate of the key
@@ -39,6 +39,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.session import scratch_path
 
@@ -168,11 +169,24 @@ def _store(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
+def _key_row_bytes(df: DataFrame, order: OrderSpec) -> int:
+    """Rough in-memory size of one ranked-key row: key values, rank, hash-table overhead."""
+    size = 8 + 32
+    for c, _ in order:
+        t = df.schema[c].dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size += 32
+        elif isinstance(t, T.DecimalType):
+            size += 16
+        else:
+            size += 8
+    return size
+
+
 def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
                 materialize: bool = True, row_bound: int | None = None,
-                window_limit: int = 1_000_000,
-                broadcast_keys: int = 2_000_000, max_buckets: int = 1024,
-                rows_per_bucket: int = 500_000) -> DataFrame:
+                window_limit: int = 1_000_000, broadcast_bytes: int = 32 << 20,
+                max_buckets: int = 1024, rows_per_bucket: int = 500_000) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
 
     strategy ``plain`` is Spark's single-task window. ``auto`` ranks the distinct
@@ -214,7 +228,7 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
         per_bucket = rows_per_bucket if strategy == "auto" else max(1, n_keys // 8)
         ranked = rank_keys(keyed, order, key_names, n_keys, name, 0, max_buckets, per_bucket)
     ranked = ranked.select(*key_names, name)
-    if bound <= broadcast_keys:
-        ranked = F.broadcast(ranked)       # size bound checked above
+    if bound * _key_row_bytes(df, order) <= broadcast_bytes:
+        ranked = F.broadcast(ranked)       # size bound checked: ≤ broadcast_bytes per executor
     cond = [df[c].eqNullSafe(ranked[k]) for (c, _), k in zip(order, key_names)]
     return df.join(ranked, cond, "inner").select(*[df[c] for c in columns], ranked[name])
