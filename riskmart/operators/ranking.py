@@ -102,8 +102,7 @@ def _bucket_expr(order: OrderSpec, cuts: list[tuple], key_names: Sequence[str],
 def _cut_points(keyed: DataFrame, order: OrderSpec, key_names: Sequence[str],
                 n_keys: int, buckets: int) -> list[tuple]:
     """Up to ``buckets - 1`` cut tuples from a bounded sample of the distinct keys."""
-    per_bucket = 64
-    target = buckets * per_bucket
+    target = min(buckets * 64, 1 << 17)     # ≤ 131k sampled keys reach the driver
     fraction = min(1.0, 1.5 * target / max(n_keys, 1))
     sort_cols = [F.col(k).desc_nulls_last() if d else F.col(k).asc_nulls_first()
                  for k, (_, d) in zip(key_names, order)]
@@ -186,7 +185,7 @@ def _key_row_bytes(df: DataFrame, order: OrderSpec) -> int:
 def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
                 materialize: bool = True, row_bound: int | None = None,
                 window_limit: int = 1_000_000, broadcast_bytes: int = 32 << 20,
-                max_buckets: int = 1024, rows_per_bucket: int = 500_000) -> DataFrame:
+                max_buckets: int = 4096, rows_per_bucket: int = 500_000) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
 
     strategy ``plain`` is Spark's single-task window. ``auto`` ranks the distinct
