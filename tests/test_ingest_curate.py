@@ -90,3 +90,16 @@ def test_run_all_end_to_end(spark, tmp_dir):
     g1 = gov.filter("id = 1").first()
     expected = -(-36.86) * 0.3 + (21.78 - 7.49) * 0.2 + 97.41 * 0.2 + 170.33 * 0.2 + 10.5 * 0.1
     assert g1.crisis_score == expected
+
+
+def test_status_filter_reaches_parquet_scan(spark, tmp_dir):
+    from riskmart.operators.marts import government
+    _write(f"{tmp_dir}/war.csv", WAR_CSV)
+    _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pushdb LOCATION '{tmp_dir}/db'")
+    stages.run_all(spark, f"{tmp_dir}/war.csv", f"{tmp_dir}/economics.sql", f"{tmp_dir}/zones",
+                   date(2026, 3, 25), database="pushdb")
+    base = government(spark.table("pushdb.war_curated"), spark.table("pushdb.economics_curated"),
+                      rank_strategy="plain")
+    plan = base._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,Ongoing)" in plan
