@@ -360,13 +360,15 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "int"):
     econ = economics_like(spark, sf_dir)
     war_path = scratch_path(spark, "source_war")
     econ_path = scratch_path(spark, "source_economics")
-    write_delimited(war_source(war), war_path, sep=";", decimal_comma=("Cost_of_War_USD",))
     header = spark.createDataFrame([("CREATE TABLE economics (Conflict_Id INT, ...);",)],
                                    "value string")
     lines = dump.insert_lines(economics_source(econ), "economics",
                               decimal_comma=("Estimated_Reconstruction_Cost_USD",),
                               barewords=("War_Profiteering_Documented",))
-    header.unionByName(lines).write.mode("overwrite").text(econ_path)
+    stages.in_parallel(
+        lambda: write_delimited(war_source(war), war_path, sep=";",
+                                decimal_comma=("Cost_of_War_USD",)),
+        lambda: header.unionByName(lines).write.mode("overwrite").text(econ_path))
     db = _scratch_database(spark, "pipeline")
     return stages.run_all(spark, war_path, econ_path, scratch_path(spark, "zones"), AS_OF,
                           database=db, id_type=id_type)

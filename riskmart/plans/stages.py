@@ -8,11 +8,15 @@
   are projected from it, ranked, and written as external tables.
 
 Every write is observed (row counts come with the write, not a second scan).
+Independent jobs (the two ingests, the two curations, the three marts) are
+submitted from threads so the scheduler can run them side by side.
 The load date is an argument, never the wall clock of a later stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -73,37 +77,51 @@ def _on_date(df: DataFrame, as_of: date) -> DataFrame:
                      & (F.col("day") == as_of.day))
 
 
+def in_parallel(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs from threads so the scheduler can overlap them."""
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def ingest(spark: SparkSession, war_path: str, economics_path: str, paths: Paths, as_of: date,
            metrics: StageMetrics, dump_mode: str = "locale", overwrite: str = "static") -> None:
-    war = read_delimited(spark, war_path, schema=WAR_SOURCE_SCHEMA, sep=";")
-    write_partitioned(metrics.observe(war, "raw", "war"), paths.raw_war, as_of, overwrite)
-
-    parsed = parse_insert_dump(spark.read.text(economics_path), ECONOMICS_DUMP_SCHEMA, dump_mode)
-    ok = F.col("reject_reason").isNull()
-    parsed = parsed.select(
-        *[f"`{f.name}`" for f in ECONOMICS_DUMP_SCHEMA.fields],
-        F.when(~ok, F.col("line")).alias("line"), F.when(~ok, F.col("tuple_no")).alias("tuple_no"),
-        "reject_reason",
-        F.when(ok, "accepted").otherwise("rejected").alias("outcome"))
-    parsed = metrics.observe(parsed, "raw", "economics",
-                             rows=F.count_if(ok), rejected=F.count_if(~ok))
-    write_partitioned(parsed, paths.raw_economics_ingest, as_of, overwrite,
-                      partition_by=("outcome", *DATE_PARTS))
+    def war_job():
+        war = read_delimited(spark, war_path, schema=WAR_SOURCE_SCHEMA, sep=";")
+        write_partitioned(metrics.observe(war, "raw", "war"), paths.raw_war, as_of, overwrite)
+
+    def economics_job():
+        parsed = parse_insert_dump(spark.read.text(economics_path), ECONOMICS_DUMP_SCHEMA,
+                                   dump_mode)
+        ok = F.col("reject_reason").isNull()
+        parsed = parsed.select(
+            *[f"`{f.name}`" for f in ECONOMICS_DUMP_SCHEMA.fields],
+            F.when(~ok, F.col("line")).alias("line"),
+            F.when(~ok, F.col("tuple_no")).alias("tuple_no"), "reject_reason",
+            F.when(ok, "accepted").otherwise("rejected").alias("outcome"))
+        parsed = metrics.observe(parsed, "raw", "economics",
+                                 rows=F.count_if(ok), rejected=F.count_if(~ok))
+        write_partitioned(parsed, paths.raw_economics_ingest, as_of, overwrite,
+                          partition_by=("outcome", *DATE_PARTS))
+
+    in_parallel(war_job, economics_job)
 
 
 def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics,
            database: str = "default", id_type: str = "int",
            bucket_by: tuple[int, str] | None = None) -> dict[str, DataFrame]:
-    out = {}
-    for table, raw_path, fn in (("war_curated", paths.raw_war, curate_war),
-                                ("economics_curated", paths.raw_economics, curate_economics)):
+    def job(table, raw_path, fn):
         raw = _on_date(read_partitioned(spark, raw_path), as_of)
         curated = with_load_date(fn(raw, id_type), as_of)
         name = f"{database}.{table}"
         save_table(metrics.observe(curated, "curated", table), name,
                    path=f"{paths.curated}/{table}", partition_by=DATE_PARTS, bucket_by=bucket_by)
-        out[table] = spark.table(name)
-    return out
+        return table, spark.table(name)
+
+    specs = (("war_curated", paths.raw_war, curate_war),
+             ("economics_curated", paths.raw_economics, curate_economics))
+    return dict(in_parallel(*[lambda spec=spec: job(*spec) for spec in specs]))
 
 
 def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
@@ -116,13 +134,15 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
     base.write.mode("overwrite").parquet(paths.ongoing_base)
     n_base = metrics.value("gold", "ongoing_base")
     base = spark.read.parquet(paths.ongoing_base)
-    out = {}
-    for mart, build in marts.MARTS.items():
+
+    def job(mart, build):
         name = f"{database}.gold_output_{mart}"
         df = build(base, rank_strategy, materialize=False, row_bound=n_base)
         save_table(metrics.observe(df, "gold", f"gold_output_{mart}"), name, path=paths.gold(mart))
-        out[f"gold_output_{mart}"] = spark.table(name)
-    return out
+        return f"gold_output_{mart}", spark.table(name)
+
+    # The three marts only share the stored base: build them side by side.
+    return dict(in_parallel(*[lambda m=m, b=b: job(m, b) for m, b in marts.MARTS.items()]))
 
 
 def run_all(spark: SparkSession, war_path: str, economics_path: str, root: str, as_of: date,
