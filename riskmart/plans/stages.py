@@ -28,6 +28,7 @@ from riskmart.operators.metrics import StageMetrics
 from riskmart.plans.curate import WAR_SOURCE_SCHEMA, curate_economics, curate_war
 from riskmart.plans.layout import (DATE_PARTS, read_partitioned, save_table, with_load_date,
                                    write_partitioned)
+from riskmart.session import release_scratch, scratch_mark
 from riskmart.sources.delimited import read_delimited
 from riskmart.sources.dump import ECONOMICS_DUMP_SCHEMA, parse_insert_dump
 
@@ -151,8 +152,11 @@ def run_all(spark: SparkSession, war_path: str, economics_path: str, root: str,
     """All three stages; returns the catalog tables and the observed counts."""
     paths = Paths(root)
     metrics = StageMetrics()
+    mark = scratch_mark()
     ingest(spark, war_path, economics_path, paths, as_of, metrics, dump_mode)
     tables = curate(spark, paths, as_of, metrics, database, id_type, bucket_by)
     tables.update(build_marts(spark, paths, metrics, database, rank_strategy=rank_strategy))
     metrics.collect()
+    # The marts are written: the rank's intermediate files are no longer read.
+    release_scratch(spark, mark)
     return RunResult(tables, metrics)

@@ -103,3 +103,18 @@ def test_status_filter_reaches_parquet_scan(spark, tmp_dir):
                       rank_strategy="plain")
     plan = base._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(status,Ongoing)" in plan
+
+
+def test_run_all_removes_its_scratch_files(spark, tmp_dir):
+    import os
+    from riskmart.session import scratch_mark
+    _write(f"{tmp_dir}/war.csv", WAR_CSV)
+    _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS scr LOCATION '{tmp_dir}/db'")
+    mark = scratch_mark()
+    result = stages.run_all(spark, f"{tmp_dir}/war.csv", f"{tmp_dir}/economics.sql",
+                            f"{tmp_dir}/zones", date(2026, 3, 25), database="scr",
+                            rank_strategy="distributed")
+    assert scratch_mark() == mark
+    assert result.tables["gold_output_finance"].count() == 4
+    assert os.path.isdir(f"{tmp_dir}/zones/gold/gold_output_finance")
