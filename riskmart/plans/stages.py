@@ -3,9 +3,9 @@
 * ``ingest``: the ``;`` war file and the INSERT dump → Parquet partitioned by
   load date. The dump is parsed once and written once: accepted rows and
   rejects land in the same job under ``outcome=accepted|rejected``.
-* ``curate``: the load date's raw partition → typed, renamed catalog tables.
+* ``curate``: the load date's raw partition → typed, renamed managed tables.
 * ``build_marts``: the ``Ongoing`` join is written once, then the three marts
-  are projected from it, ranked, and written as external tables.
+  are projected from it, ranked, and written as external tables (own paths).
 
 Every write is observed (row counts come with the write, not a second scan).
 Independent jobs (the two ingests, the two curations, the three marts) are
@@ -55,10 +55,6 @@ class Paths:
     def rejected_economics(self) -> str:
         return f"{self.raw_economics_ingest}/outcome=rejected"
 
-    @property
-    def curated(self) -> str:
-        return f"{self.root}/curated"
-
     @property
     def ongoing_base(self) -> str:
         return f"{self.root}/gold/ongoing_base"
@@ -116,8 +112,9 @@ def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics
         raw = _on_date(read_partitioned(spark, raw_path), as_of)
         curated = with_load_date(fn(raw, id_type), as_of)
         name = f"{database}.{table}"
+        # Managed table (lives under the database location), as the reference has it.
         save_table(metrics.observe(curated, "curated", table), name,
-                   path=f"{paths.curated}/{table}", partition_by=DATE_PARTS, bucket_by=bucket_by)
+                   partition_by=DATE_PARTS, bucket_by=bucket_by)
         return table, spark.table(name)
 
     specs = (("war_curated", paths.raw_war, curate_war),
