@@ -105,6 +105,26 @@ def mart_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.finance(war_like(spark, sf_dir), economics_like(spark, sf_dir))
 
 
+@register("mart_government_distributed", GOVERNMENT_SQL)
+def mart_government_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The government mart with the range-bucket rank forced (the large-table path)."""
+    return marts.government(war_like(spark, sf_dir), economics_like(spark, sf_dir),
+                            rank_strategy="distributed")
+
+
+@register("mart_humanitarian_distributed", HUMANITARIAN_SQL)
+def mart_humanitarian_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two descending keys with heavy ties, bucketed rank forced."""
+    return marts.humanitarian(war_like(spark, sf_dir), economics_like(spark, sf_dir),
+                              rank_strategy="distributed")
+
+
+@register("mart_finance_distributed", FINANCE_SQL)
+def mart_finance_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.finance(war_like(spark, sf_dir), economics_like(spark, sf_dir),
+                         rank_strategy="distributed")
+
+
 # ----------------------------------------------------------- ranking
 
 @register("rank_distributed", """
