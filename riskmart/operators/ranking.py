@@ -69,16 +69,25 @@ def _same(a, b) -> bool:
     return a == b
 
 
-def _before(order: OrderSpec, cut: tuple, key_names: Sequence[str]) -> Column:
+def _literal(value, data_type: T.DataType) -> Column:
+    """A literal of exactly the key's type (no time-zone round trip for local timestamps)."""
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
+def _before(order: OrderSpec, cut: tuple, key_names: Sequence[str],
+            types: Sequence[T.DataType]) -> Column:
     """True when the row's key tuple sorts strictly before the literal ``cut``."""
     expr = None
-    for (_, descending), name, value in reversed(list(zip(order, key_names, cut))):
+    for (_, descending), name, value, data_type in reversed(list(zip(order, key_names, cut,
+                                                                     types))):
         col = F.col(name)
         if value is None:
             lt = col.isNotNull() if descending else F.lit(False)
             eq = col.isNull()
         else:
-            lit = F.lit(value)
+            lit = _literal(value, data_type)
             if descending:
                 lt = F.coalesce(col > lit, F.lit(False))
             else:
@@ -89,14 +98,14 @@ def _before(order: OrderSpec, cut: tuple, key_names: Sequence[str]) -> Column:
 
 
 def _bucket_expr(order: OrderSpec, cuts: list[tuple], key_names: Sequence[str],
-                 lo: int, hi: int) -> Column:
+                 types: Sequence[T.DataType], lo: int, hi: int) -> Column:
     """Binary search over the cuts as nested CASE: bucket = #cuts ≤ row."""
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return (F.when(_before(order, cuts[mid], key_names),
-                   _bucket_expr(order, cuts, key_names, lo, mid))
-            .otherwise(_bucket_expr(order, cuts, key_names, mid + 1, hi)))
+    return (F.when(_before(order, cuts[mid], key_names, types),
+                   _bucket_expr(order, cuts, key_names, types, lo, mid))
+            .otherwise(_bucket_expr(order, cuts, key_names, types, mid + 1, hi)))
 
 
 def _cut_points(keyed: DataFrame, order: OrderSpec, key_names: Sequence[str],
@@ -132,7 +141,8 @@ def rank_keys(keyed: DataFrame, order: OrderSpec, key_names: Sequence[str], n_ke
 
     buckets = max(2, min(max_buckets, math.ceil(n_keys / rows_per_bucket)))
     cuts = _cut_points(keyed, order, key_names, n_keys, buckets)
-    bucketed = keyed.withColumn("_b", _bucket_expr(order, cuts, key_names, 0, len(cuts)))
+    types = [keyed.schema[k].dataType for k in key_names]
+    bucketed = keyed.withColumn("_b", _bucket_expr(order, cuts, key_names, types, 0, len(cuts)))
     # One row per bucket: the offset is the total of all earlier buckets.
     totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
     offsets = totals.select(
@@ -224,7 +234,9 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
         # Many keys: store the key table once; cut points sample it, buckets rank it.
         keyed, n_keys = _store(keyed, "rank_keys")
         bound = n_keys
-        per_bucket = rows_per_bucket if strategy == "auto" else max(1, n_keys // 8)
+        # Forced bucketing splits even a small key table (at least 8 buckets).
+        per_bucket = rows_per_bucket if strategy == "auto" else \
+            min(rows_per_bucket, max(1, n_keys // 8))
         ranked = rank_keys(keyed, order, key_names, n_keys, name, 0, max_buckets, per_bucket)
     ranked = ranked.select(*key_names, name)
     if bound * _key_row_bytes(df, order) <= broadcast_bytes:

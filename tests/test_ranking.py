@@ -73,3 +73,15 @@ def test_distributed_plan_has_no_single_partition_over_rows(spark):
     # The only single-partition window is over the bucket totals (≤ max_buckets rows).
     assert "hashpartitioning(_b" in plan
     assert plan.count("SinglePartition") <= 1
+
+
+def test_timestamp_date_and_string_keys(spark):
+    df = spark.range(3000).select(
+        "id",
+        F.expr("make_timestamp_ntz(2020, 1 + CAST(id % 12 AS INT), 1 + CAST(id % 27 AS INT), "
+               "CAST(id % 24 AS INT), 0, 0)").alias("ts"),
+        F.expr("date_add(DATE'2020-01-01', CAST(id % 97 AS INT))").alias("d"),
+        F.expr("concat('k', CAST(id % 211 AS STRING))").alias("s"))
+    for order in (desc("ts"), asc("d", "s"), [("s", True), ("ts", False)]):
+        got = _ranks(global_rank(df, order, strategy="distributed", rows_per_bucket=50))
+        assert got == _ranks(plain_rank(df, order)), order
