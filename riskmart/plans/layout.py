@@ -25,23 +25,29 @@ def _rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, as_of: date | None = None,
-                      mode: str = "static", partition_by: Sequence[str] = DATE_PARTS) -> None:
+                      mode: str = "static", partition_by: Sequence[str] = DATE_PARTS,
+                      cluster: bool | None = None) -> None:
     """Overwrite a date-partitioned Parquet dataset.
 
     ``mode="static"`` replaces the whole dataset (the reference's behaviour:
     only the last load survives); ``"dynamic"`` replaces only the dates being
     written and keeps the others.
+
+    ``cluster`` groups rows by partition value before writing (a ``REBALANCE``
+    shuffle whose skewed partitions AQE splits to file size). It pays off when
+    the partition values come from the data and are many (a backfill over
+    thousands of days), so it is the default only without ``as_of``. With one
+    load date (plus, say, an accepted/rejected flag) every task writes its own
+    few files and nothing is shuffled.
     """
     if mode not in ("static", "dynamic"):
         raise ValueError(f"unknown overwrite mode {mode!r}")
-    if as_of is not None and set(partition_by) <= set(DATE_PARTS):
-        # One load date: every task writes its own file into the one directory,
-        # no shuffle needed (file size follows the input split size).
+    if as_of is not None:
         df = with_load_date(df, as_of)
-    else:
-        # Partition values come from the data: cluster rows by them first, so a
-        # task writes to few directories instead of one small file in each.
-        df = _rebalanced(with_load_date(df, as_of) if as_of else df, partition_by)
+    if cluster is None:
+        cluster = as_of is None
+    if cluster:
+        df = _rebalanced(df, partition_by)
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", mode)
      .partitionBy(*partition_by).parquet(path))
