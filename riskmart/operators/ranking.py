@@ -45,6 +45,12 @@ from riskmart.session import scratch_path
 
 OrderSpec = Sequence[tuple[str, bool]]   # (column, descending)
 
+# Key-count estimate: HyperLogLog with 1% relative standard error; the bound
+# used for the one-window and broadcast decisions adds 10% (about ten standard
+# errors), or is the exact row / key count when one is known.
+HLL_RSD = 0.01
+KEY_MARGIN = 1.1
+
 
 def desc(*names: str) -> list[tuple[str, bool]]:
     return [(n, True) for n in names]
@@ -163,7 +169,7 @@ def _materialize(df: DataFrame, key_cols: Sequence[str]) -> tuple[DataFrame, int
     path = scratch_path(spark, "rank_input")
     obs = Observation(f"rank_input_{path.rsplit('-', 1)[-1]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.approx_count_distinct(F.struct(*key_cols)).alias("keys"))
+                          F.approx_count_distinct(F.struct(*key_cols), HLL_RSD).alias("keys"))
     observed.write.mode("overwrite").parquet(path)
     stats = obs.get
     return spark.read.parquet(path), int(stats["rows"]), int(stats["keys"])
@@ -217,12 +223,13 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     columns = df.columns
     if materialize:
         df, n_rows, est_keys = _materialize(df, [c for c, _ in order])
-        bound = min(n_rows, int(est_keys * 1.1) + 100)   # HLL error is ~5%: keep a margin
+        bound = min(n_rows, int(est_keys * KEY_MARGIN) + 100)
     elif row_bound is not None and row_bound <= window_limit:
         bound = row_bound
     else:
-        est_keys = df.select(F.approx_count_distinct(F.struct(*[c for c, _ in order]))).first()[0]
-        bound = int(est_keys * 1.1) + 100
+        est_keys = df.select(F.approx_count_distinct(F.struct(*[c for c, _ in order]),
+                                                     HLL_RSD)).first()[0]
+        bound = int(est_keys * KEY_MARGIN) + 100
 
     key_names = [f"_k{i}" for i in range(len(order))]
     keyed = (df.groupBy(*[F.col(c).alias(k) for (c, _), k in zip(order, key_names)])
