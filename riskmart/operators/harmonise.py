@@ -112,3 +112,17 @@ def replicate(df: DataFrame, copies: int) -> DataFrame:
 def mean_of(lo: str, hi: str):
     """Mean of two columns written as expression text, as the tutorial does."""
     return F.expr(f"(`{lo}` + `{hi}`) / 2")
+
+
+def interval_columns(df: DataFrame, lo: str = "lcl", hi: str = "ucl", mode: str = "") -> DataFrame:
+    """The tutorial's transformation step with its intended switch.
+
+    ``mode="noop"``: no change. Otherwise add ``avg`` = (lo+hi)/2 and copies
+    ``lcl2``/``ucl2``; ``mode="full"`` then drops them again (the plan keeps the
+    work only if something reads it — Catalyst prunes it).
+    """
+    mode = mode.lower()
+    if mode == "noop":
+        return df
+    out = df.withColumns({"avg": mean_of(lo, hi), "lcl2": F.col(lo), "ucl2": F.col(hi)})
+    return out.drop("avg", "lcl2", "ucl2") if mode == "full" else out

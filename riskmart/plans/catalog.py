@@ -598,8 +598,7 @@ def mean_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", F.col("l_discount").alias("Lower Confidence Limit"),
         F.col("l_tax").alias("Upper Confidence Limit"))
     df = li.withColumnsRenamed({"Lower Confidence Limit": "lcl", "Upper Confidence Limit": "ucl"})
-    return df.withColumns({"avg": harmonise.mean_of("lcl", "ucl"), "lcl2": F.col("lcl"),
-                           "ucl2": F.col("ucl")})
+    return harmonise.interval_columns(df, "lcl", "ucl")
 
 
 # ----------------------------------------------------------------- text (A2)
