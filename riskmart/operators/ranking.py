@@ -200,14 +200,16 @@ def _key_row_bytes(df: DataFrame, order: OrderSpec) -> int:
 
 def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
                 materialize: bool = True, row_bound: int | None = None,
-                window_limit: int = 1_000_000, broadcast_bytes: int = 32 << 20,
+                plain_rows: int = 1_000_000, window_limit: int = 1_000_000,
+                broadcast_bytes: int = 32 << 20,
                 max_buckets: int = 4096, rows_per_bucket: int = 500_000) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
 
-    strategy ``plain`` is Spark's single-task window. ``auto`` ranks the distinct
-    keys with one window while (by an HLL estimate, with margin) there are at
-    most ``window_limit`` of them, and with range buckets beyond; ``distributed``
-    always uses the buckets.
+    strategy ``plain`` is Spark's single-task window. ``auto`` uses that window
+    only when the input has at most ``plain_rows`` rows (an exact count, so the
+    one task is bounded); else it ranks the distinct keys with one window while
+    (by an HLL estimate, with margin) there are at most ``window_limit`` of them,
+    and with range buckets beyond. ``distributed`` always uses the buckets.
 
     ``materialize`` writes the input once first, so an expensive input (a join)
     is computed once although the rank reads it twice; pass ``False`` when the
@@ -223,7 +225,12 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     columns = df.columns
     if materialize:
         df, n_rows, est_keys = _materialize(df, [c for c, _ in order])
+        if strategy == "auto" and n_rows <= plain_rows:
+            # Few rows (exact count): one bounded task sorts them; no key table.
+            return plain_rank(df, order, name)
         bound = min(n_rows, int(est_keys * KEY_MARGIN) + 100)
+    elif row_bound is not None and strategy == "auto" and row_bound <= plain_rows:
+        return plain_rank(df, order, name)
     elif row_bound is not None and row_bound <= window_limit:
         bound = row_bound
     else:

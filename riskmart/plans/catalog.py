@@ -135,6 +135,17 @@ def rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.global_rank(orders, ranking.desc("o_totalprice"), strategy="distributed")
 
 
+@register("rank_key_window", """
+SELECT o_orderkey,
+       rank() OVER (ORDER BY o_orderpriority DESC NULLS LAST, o_orderstatus ASC NULLS FIRST) AS rank
+FROM orders""")
+def rank_key_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few distinct keys, heavy ties: rank the key table in one window, join back."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    order = [("o_orderpriority", True), ("o_orderstatus", False)]
+    return ranking.global_rank(orders, order, plain_rows=0).select("o_orderkey", "rank")
+
+
 _NULL_KEY_SQL = """CASE WHEN o_orderstatus = 'F' THEN NULL
             WHEN o_orderpriority = '1-URGENT' THEN CAST('NaN' AS DOUBLE)
             WHEN o_orderpriority = '2-HIGH' THEN CAST('Infinity' AS DOUBLE)

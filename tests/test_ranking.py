@@ -31,7 +31,7 @@ def _random_rows(n, seed, distinct=50):
 def test_matches_plain_window_with_ties_nulls_nan(spark, strategy, seed):
     df = spark.createDataFrame(_random_rows(3000, seed), "id long, v double, w int")
     for order in (desc("v"), [("v", True), ("w", False)], asc("v", "w"), [("w", True), ("v", False)]):
-        got = _ranks(global_rank(df, order, strategy=strategy, rows_per_bucket=200))
+        got = _ranks(global_rank(df, order, strategy=strategy, rows_per_bucket=200, plain_rows=0))
         want = _ranks(plain_rank(df, order))
         assert got == want, order
 
@@ -85,3 +85,13 @@ def test_timestamp_date_and_string_keys(spark):
     for order in (desc("ts"), asc("d", "s"), [("s", True), ("ts", False)]):
         got = _ranks(global_rank(df, order, strategy="distributed", rows_per_bucket=50))
         assert got == _ranks(plain_rank(df, order)), order
+
+
+def test_auto_small_input_uses_bounded_plain_window(spark):
+    df = spark.range(100).select("id", (F.col("id") % 7).cast("double").alias("v"))
+    out = global_rank(df, desc("v"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" in plan and _ranks(out) == _ranks(plain_rank(df, desc("v")))
+    keyed = global_rank(df, desc("v"), plain_rows=0)
+    assert "BroadcastHashJoin" in keyed._jdf.queryExecution().executedPlan().toString()
+    assert _ranks(keyed) == _ranks(out)
