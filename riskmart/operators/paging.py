@@ -42,6 +42,12 @@ class Page:
     total_pages: int
     rows: DataFrame
 
+    def to_dict(self) -> dict:
+        """The page as the reference's API body; only the page's rows reach the driver."""
+        return {"page": self.number, "page_size": self.size, "total": self.total,
+                "total_pages": self.total_pages,
+                "data": [r.asDict(recursive=True) for r in self.rows.limit(self.size).collect()]}
+
 
 def page_number(raw) -> int:
     """Any input → a page number ≥ 1 (not a number, or below 1 → 1)."""

@@ -118,3 +118,21 @@ def test_run_all_removes_its_scratch_files(spark, tmp_dir):
     assert scratch_mark() == mark
     assert result.tables["gold_output_finance"].count() == 4
     assert os.path.isdir(f"{tmp_dir}/zones/gold/gold_output_finance")
+
+
+def test_cli_stages_and_page(spark, tmp_dir):
+    from riskmart.__main__ import main
+    _write(f"{tmp_dir}/war.csv", WAR_CSV)
+    _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS cli LOCATION '{tmp_dir}/db'")
+    common = ["--root", f"{tmp_dir}/zones", "--database", "cli"]
+    main(["ingest", *common, "--war", f"{tmp_dir}/war.csv", "--economics",
+          f"{tmp_dir}/economics.sql", "--as-of", "2026-03-25"], spark)
+    main(["curate", *common, "--as-of", "2026-03-25"], spark)
+    marts = main(["marts", *common], spark)
+    assert ("gold", "gold_output_government", "rows", 4) in [tuple(m) for m in marts["metrics"]]
+    assert main(["marts-list", "--database", "cli"], spark)["endpoints"] == [
+        "humanitarian?page=1", "government?page=1", "finance?page=1"]
+    body = main(["page", "finance", "x", "--database", "cli"], spark)
+    assert (body["page"], body["page_size"], body["total"], body["total_pages"]) == (1, 5, 4, 1)
+    assert [r["rank"] for r in body["data"]] == sorted(r["rank"] for r in body["data"])
