@@ -6,6 +6,7 @@ action that runs it (the write), so counting costs no second scan.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,7 +23,7 @@ class StageMetrics:
     def observe(self, df: DataFrame, stage: str, table: str, **metrics: Column) -> DataFrame:
         """Return ``df`` with metrics attached (default: ``rows`` = row count)."""
         metrics = metrics or {"rows": F.count(F.lit(1))}
-        obs = Observation(f"{stage}:{table}:{len(self._pending)}")
+        obs = Observation(f"{stage}:{table}:{uuid.uuid4().hex[:12]}")   # unique across threads
         self._pending.append((stage, table, obs))
         return df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
 
