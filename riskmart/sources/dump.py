@@ -11,7 +11,9 @@ Two tokenizer modes:
   numbers; anything else (barewords such as ``NULL`` or ``Yes``) is skipped, so a
   decimal-comma number splits in two and later values shift.
 * ``locale`` reads every ``(…)`` tuple of the line, keeps decimal-comma numbers
-  whole, unescapes ``''``, reads ``NULL`` as null and keeps other barewords.
+  whole, unescapes ``''``, reads ``NULL`` as null and keeps other barewords. A
+  decimal comma is recognised in exponent form only (``5,85916E+11``): a bare
+  ``19,9`` stays two values, as ``(1,2)`` is two values in ordinary dumps.
 
 A line or tuple that fails (wrong value count, a value that does not fit its
 type, no ``VALUES``/``;``) is not dropped silently: it goes to the rejects with
@@ -179,7 +181,9 @@ def insert_lines(df: DataFrame, table: str, decimal_comma: tuple[str, ...] = (),
         else:
             text = c.cast("string")
             if f.name in decimal_comma:
-                text = F.regexp_replace(text, r"\.", ",")
+                # Exponent form ("19,9E0"): a bare "19,9" would read as two values.
+                text = F.when(text.rlike(r"^-?[0-9.]+$"), F.concat(text, F.lit("E0"))).otherwise(text)
+                text = F.translate(text, ".", ",")
         parts.append(F.coalesce(text, F.lit("NULL")))
     return df.select(F.concat(F.lit(f"INSERT INTO {table} VALUES ("), F.concat_ws(", ", *parts),
                               F.lit(");")).alias("value"))

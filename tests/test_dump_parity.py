@@ -89,3 +89,14 @@ def test_insert_lines_roundtrip(spark, rows):
     parsed = parse_insert_dump(lines, SCHEMA, "locale")
     got = Counter(((r.k, r.s, r.x, r.n), r.reject_reason) for r in parsed.collect())
     assert got == Counter(((k, s, x, n), None) for k, s, x, n in rows)
+
+
+@settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.generate])
+@given(values=st.lists(st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False)),
+                       min_size=1, max_size=30))
+def test_decimal_comma_roundtrip(spark, values):
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("x", T.DoubleType())])
+    df = spark.createDataFrame(list(enumerate(values)), schema)
+    parsed = parse_insert_dump(insert_lines(df, "t", decimal_comma=("x",)), schema, "locale")
+    got = {r.i: (r.x, r.reject_reason) for r in parsed.collect()}
+    assert got == {i: (v, None) for i, v in enumerate(values)}
