@@ -16,30 +16,37 @@ from pyspark.sql import types as T
 from riskmart.functions.columns import parse_locale_double
 
 
+def text_schema(schema: T.StructType, decimal_comma: Sequence[str]) -> T.StructType:
+    """``schema`` with the decimal-comma columns read as text (parsed afterwards)."""
+    return T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in decimal_comma
+                         else f for f in schema.fields])
+
+
+def parse_decimal_commas(df: DataFrame, decimal_comma: Sequence[str]) -> DataFrame:
+    """Turn the listed text columns into doubles (decimal comma or point)."""
+    if not decimal_comma:
+        return df
+    return df.select(*[
+        parse_locale_double(F.col(f"`{c}`")).alias(c) if c in decimal_comma else F.col(f"`{c}`")
+        for c in df.columns])
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    schema: T.StructType | None = None, sep: str = ";", header: bool = True,
                    decimal_comma: Sequence[str] = (), infer: bool = True) -> DataFrame:
     """Read a delimited file set; decimal-comma columns come out as double."""
     reader = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
-        # Decimal-comma columns must be read as text first.
-        read_schema = T.StructType([
-            T.StructField(f.name, T.StringType(), True) if f.name in decimal_comma else f
-            for f in schema.fields])
-        df = reader.schema(read_schema).csv(path)
+        df = reader.schema(text_schema(schema, decimal_comma)).csv(path)
     else:
         df = reader.option("inferSchema", infer).csv(path)
-    if not decimal_comma:
-        return df
-    return df.select(*[
-        parse_locale_double(F.col(f"`{c}`")).alias(c) if c in decimal_comma else F.col(f"`{c}`")
-        for c in df.columns])
+    return parse_decimal_commas(df, decimal_comma)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";",
                     decimal_comma: Sequence[str] = ()) -> None:
     """Write a header + delimited file set; listed double columns use a decimal comma."""
     out = df.select(*[
-        F.regexp_replace(F.col(f"`{c}`").cast("string"), r"\.", ",").alias(c)
+        F.translate(F.col(f"`{c}`").cast("string"), ".", ",").alias(c)
         if c in decimal_comma else F.col(f"`{c}`") for c in df.columns])
     out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
