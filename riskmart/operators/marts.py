@@ -8,7 +8,7 @@ marts read it (one join instead of three).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.columns import delta, weighted_score
@@ -77,6 +77,30 @@ def ongoing_base(war: DataFrame, economics: DataFrame, status: str = "Ongoing")
     return w.join(econ, on="id", how="inner")
 
 
+def ongoing_base_sql(spark: SparkSession, war_table: str, economics_table: str,
+                     status: str = "Ongoing") -> DataFrame:
+    """``ongoing_base`` written as SQL text over catalog tables or views (SQL surface).
+
+    The status is a bound parameter, not spliced into the text; table names are
+    identifiers the caller controls. Catalyst plans it exactly like the DataFrame
+    version (filter pushed to the scan, columns pruned).
+    """
+    return spark.sql(f"""
+        SELECT w.id, w.name AS name_of_war, w.type AS type_of_war, w.region, w.start_year,
+               w.primary_country, w.most_affected_sector, w.black_market_activity_level,
+               w.currency_black_market_rate_gap_pct, w.primary_black_market_goods,
+               e.status,
+               e.during_war_poverty_rate_pct - e.prewar_poverty_rate_pct AS poverty_change_pct,
+               e.extreme_poverty_rate_pct, e.food_insecurity_rate_pct,
+               e.households_fallen_into_poverty_estimate,
+               e.during_war_unemployment_pct - e.prewar_unemployment_pct
+                 AS unemployment_change_pct,
+               e.youth_unemployment_change_pct, e.gdp_change_pct, e.inflation_rate_change_pct,
+               e.currency_devaluation_pct
+        FROM {war_table} w JOIN {economics_table} e ON w.id = e.id
+        WHERE e.status = :status""", args={"status": status})
+
+
 def humanitarian_from_base(base: DataFrame, rank_strategy: str = "auto",
                            materialize: bool = True, row_bound: int | None = None) -> DataFrame:
     """``materialize=False`` when ``base`` is a stored table (it is read twice)."""

@@ -125,6 +125,16 @@ def mart_finance_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
                          rank_strategy="distributed")
 
 
+@register("mart_government_sql", GOVERNMENT_SQL)
+def mart_government_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The government mart from SQL text over (temporary) catalog views."""
+    suffix = uuid.uuid4().hex[:8]
+    war_like(spark, sf_dir).createOrReplaceTempView(f"war_curated_{suffix}")
+    economics_like(spark, sf_dir).createOrReplaceTempView(f"economics_curated_{suffix}")
+    base = marts.ongoing_base_sql(spark, f"war_curated_{suffix}", f"economics_curated_{suffix}")
+    return marts.government_from_base(base)
+
+
 # ----------------------------------------------------------- ranking
 
 @register("rank_distributed", """
