@@ -35,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--overwrite", choices=("static", "dynamic"), default="static")
         if name in ("all", "ingest", "curate"):
             c.add_argument("--as-of", type=date.fromisoformat, default=date.today())
-            c.add_argument("--id-type", default="int")
+            c.add_argument("--id-type", default="bigint", help="int reproduces the reference's curated type")
         if name in ("all", "marts"):
             c.add_argument("--rank", choices=("auto", "distributed", "plain"), default="auto")
     pg = sub.add_parser("page")

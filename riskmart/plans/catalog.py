@@ -396,7 +396,7 @@ def table_external(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------ raw → curated → gold (M4, K5)
 
-def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "int"):
+def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "bigint"):
     war = war_like(spark, sf_dir)
     econ = economics_like(spark, sf_dir)
     war_path = scratch_path(spark, "source_war")
@@ -418,7 +418,7 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "int"):
 @register("end_to_end_government", GOVERNMENT_SQL)
 def end_to_end_government(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files → raw → curated → gold; the government mart as stored."""
-    return _run_pipeline(spark, sf_dir, id_type="bigint").tables["gold_output_government"]
+    return _run_pipeline(spark, sf_dir).tables["gold_output_government"]
 
 
 _DATE_SQL = f"{AS_OF.year} AS year, {AS_OF.month} AS month, {AS_OF.day} AS day"
@@ -427,7 +427,7 @@ _DATE_SQL = f"{AS_OF.year} AS year, {AS_OF.month} AS month, {AS_OF.day} AS day"
 @register("curate_war", f"""
 SELECT name, type, region, start_year, end_year, primary_country, most_affected_sector,
        cost_of_war_usd, black_market_activity_level, currency_black_market_rate_gap_pct,
-       primary_black_market_goods, CAST(id AS INTEGER) AS id, {_DATE_SQL}
+       primary_black_market_goods, id, {_DATE_SQL}
 FROM ({WAR_LIKE_SQL})""")
 def curate_war(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_pipeline(spark, sf_dir).tables["war_curated"]
@@ -442,7 +442,7 @@ SELECT prewar_unemployment_pct, during_war_unemployment_pct, status,
        during_war_poverty_rate_pct AS informal_economy_size_during_war_pct,
        CASE WHEN households_fallen_into_poverty_estimate > 4 THEN 'Yes' ELSE 'No' END
          AS war_profiteering_documented,
-       CAST(id AS INTEGER) AS id, {_DATE_SQL}
+       id, {_DATE_SQL}
 FROM ({ECONOMICS_LIKE_SQL})""")
 def curate_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_pipeline(spark, sf_dir).tables["economics_curated"]

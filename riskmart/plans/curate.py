@@ -30,7 +30,7 @@ WAR_SOURCE_SCHEMA = T.StructType([
 WAR_DECIMAL_COMMA = ("Cost_of_War_USD",)
 
 
-def war_spec(id_type: str = "int") -> list[ColumnSpec]:
+def war_spec(id_type: str = "bigint") -> list[ColumnSpec]:
     """Curated war columns in the reference's order."""
     return [
         ColumnSpec("Conflict_Name", "name"),
@@ -48,7 +48,7 @@ def war_spec(id_type: str = "int") -> list[ColumnSpec]:
     ]
 
 
-def economics_spec(id_type: str = "int") -> list[ColumnSpec]:
+def economics_spec(id_type: str = "bigint") -> list[ColumnSpec]:
     """Curated economics columns in the reference's order.
 
     Unemployment_Spike_pp and Estimated_Reconstruction_Cost_USD are not kept,
@@ -74,9 +74,9 @@ def economics_spec(id_type: str = "int") -> list[ColumnSpec]:
     ]
 
 
-def curate_war(raw: DataFrame, id_type: str = "int") -> DataFrame:
+def curate_war(raw: DataFrame, id_type: str = "bigint") -> DataFrame:
     return project(raw, war_spec(id_type))
 
 
-def curate_economics(raw: DataFrame, id_type: str = "int") -> DataFrame:
+def curate_economics(raw: DataFrame, id_type: str = "bigint") -> DataFrame:
     return project(raw, economics_spec(id_type))

@@ -106,7 +106,7 @@ def ingest(spark: SparkSession, war_path: str, economics_path: str, paths: Paths
 
 
 def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics,
-           database: str = "default", id_type: str = "int",
+           database: str = "default", id_type: str = "bigint",
            bucket_by: tuple[int, str] | None = None) -> dict[str, DataFrame]:
     def job(table, raw_path, fn):
         raw = _on_date(read_partitioned(spark, raw_path), as_of)
@@ -144,7 +144,7 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
 
 
 def run_all(spark: SparkSession, war_path: str, economics_path: str, root: str, as_of: date,
-            database: str = "default", dump_mode: str = "locale", id_type: str = "int",
+            database: str = "default", dump_mode: str = "locale", id_type: str = "bigint",
             rank_strategy: str = "auto", bucket_by: tuple[int, str] | None = None) -> RunResult:
     """All three stages; returns the catalog tables and the observed counts."""
     paths = Paths(root)
