@@ -453,6 +453,7 @@ _ONGOING_COUNT = f"(SELECT count(*) FROM ({_BASE_SQL} SELECT * FROM base))"
 
 @register("stage_counts", f"""
 SELECT 'raw' AS stage, 'war' AS table_name, 'rows' AS metric, (SELECT count(*) FROM ({WAR_LIKE_SQL})) AS value
+UNION ALL SELECT 'raw', 'war', 'malformed', CAST(0 AS BIGINT)
 UNION ALL SELECT 'raw', 'economics', 'rows', (SELECT count(*) FROM ({ECONOMICS_LIKE_SQL}))
 UNION ALL SELECT 'raw', 'economics', 'rejected', CAST(0 AS BIGINT)
 UNION ALL SELECT 'curated', 'war_curated', 'rows', (SELECT count(*) FROM ({WAR_LIKE_SQL}))

@@ -85,8 +85,13 @@ def in_parallel(*jobs: Callable[[], object]) -> list:
 def ingest(spark: SparkSession, war_path: str, economics_path: str, paths: Paths, as_of: date,
            metrics: StageMetrics, dump_mode: str = "locale", overwrite: str = "static") -> None:
     def war_job():
-        war = read_delimited(spark, war_path, schema=WAR_SOURCE_SCHEMA, sep=";")
-        write_partitioned(metrics.observe(war, "raw", "war"), paths.raw_war, as_of, overwrite)
+        war = read_delimited(spark, war_path, schema=WAR_SOURCE_SCHEMA, sep=";",
+                             corrupt_column="_malformed")
+        # Lines whose values do not fit the schema stay (with nulls), as the
+        # reference's casts would leave them, but they are counted.
+        war = metrics.observe(war, "raw", "war", rows=F.count(F.lit(1)),
+                              malformed=F.count_if(F.col("_malformed").isNotNull()))
+        write_partitioned(war.drop("_malformed"), paths.raw_war, as_of, overwrite)
 
     def economics_job():
         parsed = parse_insert_dump(spark.read.text(economics_path), ECONOMICS_DUMP_SCHEMA,

@@ -33,11 +33,20 @@ def parse_decimal_commas(df: DataFrame, decimal_comma: Sequence[str]) -> DataFra
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    schema: T.StructType | None = None, sep: str = ";", header: bool = True,
-                   decimal_comma: Sequence[str] = (), infer: bool = True) -> DataFrame:
-    """Read a delimited file set; decimal-comma columns come out as double."""
+                   decimal_comma: Sequence[str] = (), infer: bool = True,
+                   corrupt_column: str | None = None) -> DataFrame:
+    """Read a delimited file set; decimal-comma columns come out as double.
+
+    With ``corrupt_column`` (and a schema), a line whose values do not fit the
+    schema keeps its row (unfit values null) and its raw text in that column.
+    """
     reader = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
-        df = reader.schema(text_schema(schema, decimal_comma)).csv(path)
+        read_schema = text_schema(schema, decimal_comma)
+        if corrupt_column:
+            read_schema = read_schema.add(corrupt_column, T.StringType())
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        df = reader.schema(read_schema).csv(path)
     else:
         df = reader.option("inferSchema", infer).csv(path)
     return parse_decimal_commas(df, decimal_comma)

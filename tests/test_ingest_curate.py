@@ -12,6 +12,7 @@ WAR_CSV = """Conflict_Id;Conflict_Name;Conflict_Type;Region;Start_Year;End_Year;
 3;Syrian Civil War;Civil War;Middle East;2011;2026;Syria;Tourism;;Moderate;"water, weapons, cash";298.95
 4;WWII (Germany);World War;Europe;1939;1945;Germany;Construction;71321188262;Moderate;"currency, medicine";15.44
 4;Duplicate;Civil War;Europe;1990;1995;Nowhere;Mining;12;Low;none;1.5
+6;Bad Year;Civil War;Europe;19x0;1995;Nowhere;Mining;12;Low;none;1.5
 """
 
 ECON_DUMP = """CREATE TABLE economics (Conflict_Id INT, ...);
@@ -80,7 +81,9 @@ def test_run_all_end_to_end(spark, tmp_dir):
     # Ongoing ids 1, 2, 4 (4 twice on the war side: the join fans out); 5 is rejected.
     assert sorted(r.id for r in gov.collect()) == [1, 2, 4, 4]
     metrics = {(s, tb, m): v for s, tb, m, v in result.metrics.records}
-    assert metrics[("raw", "war", "rows")] == 5
+    assert metrics[("raw", "war", "rows")] == 6
+    assert metrics[("raw", "war", "malformed")] == 1
+    assert war[6].start_year is None and war[6].name == "Bad Year"
     assert metrics[("raw", "economics", "rows")] == 4
     assert metrics[("raw", "economics", "rejected")] == 1
     assert metrics[("gold", "gold_output_finance", "rows")] == 4
