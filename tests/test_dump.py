@@ -1,4 +1,3 @@
-
 from riskmart.sources.dump import (ECONOMICS_DUMP_SCHEMA, insert_lines, parse_insert_dump,
                                    read_insert_dump)
 

@@ -113,3 +113,10 @@ def test_bucketed_curated_tables_join_without_shuffle(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_autobroadcast_off)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_gold_dir_empty_is_empty(spark, tmp_dir):
+    import os
+    os.makedirs(tmp_dir + "/empty")
+    schema = spark.range(1).schema
+    assert read_gold_dir(spark, tmp_dir + "/empty", schema).count() == 0
