@@ -34,9 +34,11 @@ STRICT_VALUES = r"(?i)VALUES\s*\((.+)\)\s*;"
 STRICT_TOKEN = r"'[^']*'|-?[\d.]+(?:[Ee][+\-]?\d+)?"
 LOCALE_VALUES = r"(?i)\bVALUES\b(.*)$"
 LOCALE_END = r"\)\s*;\s*$"
-LOCALE_TUPLE = r"\((?:'(?:[^']|'')*'|[^'()])*\)"
-LOCALE_TOKEN = (r"'(?:[^']|'')*'|-?[0-9]+(?:[.,][0-9]+)?[Ee][+-]?[0-9]+"
-                r"|-?[0-9]*\.?[0-9]+|[A-Za-z_]+")
+# Possessive quantifiers: a token never needs to give characters back, so the
+# matcher does not backtrack character by character.
+LOCALE_TUPLE = r"\((?:'(?:[^']++|'')*+'|[^'()]++)*+\)"
+LOCALE_TOKEN = (r"'(?:[^']++|'')*+'|-?[0-9]++(?:[.,][0-9]++)?[Ee][+-]?[0-9]++"
+                r"|-?(?:[0-9]++(?:\.[0-9]++)?|\.[0-9]++)|[A-Za-z_]++")
 
 # The 18 columns of the economics dump, in file order. Floats are
 # read as double (the reference's 32-bit floats lose digits: 19.9 → 19.8999996)
