@@ -33,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--economics", required=True)
             c.add_argument("--dump-mode", choices=("locale", "strict"), default="locale")
             c.add_argument("--overwrite", choices=("static", "dynamic"), default="static")
+            c.add_argument("--infer-schema", action="store_true",
+                           help="infer the war file's types (extra pass) instead of the fixed schema")
         if name in ("all", "ingest", "curate"):
             c.add_argument("--as-of", type=date.fromisoformat, default=date.today())
             c.add_argument("--id-type", default="bigint", help="int reproduces the reference's curated type")
@@ -66,7 +68,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         paths, metrics = stages.Paths(args.root), StageMetrics()
         if args.command == "ingest":
             stages.ingest(spark, args.war, args.economics, paths, args.as_of, metrics,
-                          args.dump_mode, args.overwrite)
+                          args.dump_mode, args.overwrite,
+                          None if args.infer_schema else stages.WAR_SOURCE_SCHEMA)
         elif args.command == "curate":
             stages.curate(spark, paths, args.as_of, metrics, args.database, args.id_type)
         else:

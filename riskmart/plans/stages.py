@@ -22,6 +22,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.operators import marts
 from riskmart.operators.metrics import StageMetrics
@@ -83,9 +84,17 @@ def in_parallel(*jobs: Callable[[], object]) -> list:
 
 
 def ingest(spark: SparkSession, war_path: str, economics_path: str, paths: Paths, as_of: date,
-           metrics: StageMetrics, dump_mode: str = "locale", overwrite: str = "static") -> None:
+           metrics: StageMetrics, dump_mode: str = "locale", overwrite: str = "static",
+           war_schema: T.StructType | None = WAR_SOURCE_SCHEMA) -> None:
+    """``war_schema=None`` infers the war file's types as the reference does (one
+    extra pass over the file; the decimal-comma cost then stays text)."""
     def war_job():
-        war = read_delimited(spark, war_path, schema=WAR_SOURCE_SCHEMA, sep=";",
+        if war_schema is None:
+            war = metrics.observe(read_delimited(spark, war_path, sep=";", infer=True),
+                                  "raw", "war")
+            write_partitioned(war, paths.raw_war, as_of, overwrite)
+            return
+        war = read_delimited(spark, war_path, schema=war_schema, sep=";",
                              corrupt_column="_malformed")
         # Lines whose values do not fit the schema stay (with nulls), as the
         # reference's casts would leave them, but they are counted.

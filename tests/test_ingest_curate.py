@@ -139,3 +139,19 @@ def test_cli_stages_and_page(spark, tmp_dir):
     body = main(["page", "finance", "x", "--database", "cli"], spark)
     assert (body["page"], body["page_size"], body["total"], body["total_pages"]) == (1, 5, 4, 1)
     assert [r["rank"] for r in body["data"]] == sorted(r["rank"] for r in body["data"])
+
+
+def test_ingest_with_inferred_war_schema(spark, tmp_dir):
+    from riskmart.operators.metrics import StageMetrics
+    _write(f"{tmp_dir}/war.csv", WAR_CSV)
+    _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
+    paths = stages.Paths(f"{tmp_dir}/zones")
+    m = StageMetrics()
+    stages.ingest(spark, f"{tmp_dir}/war.csv", f"{tmp_dir}/economics.sql", paths,
+                  date(2026, 3, 25), m, war_schema=None)
+    raw = spark.read.parquet(paths.raw_war)
+    types = dict(raw.dtypes)
+    assert types["Cost_of_War_USD"] == "string" and types["Start_Year"] == "string"
+    assert m.value("raw", "war") == 6
+    curated = curate_war(raw)
+    assert curated.filter("id = 1").first().cost_of_war_usd == 106957000000.0
