@@ -200,7 +200,7 @@ def _key_row_bytes(df: DataFrame, order: OrderSpec) -> int:
 
 def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
                 materialize: bool = True, row_bound: int | None = None,
-                plain_rows: int = 1_000_000, window_limit: int = 1_000_000,
+                plain_rows: int = 500_000, window_limit: int = 1_000_000,
                 broadcast_bytes: int = 32 << 20,
                 max_buckets: int = 4096, rows_per_bucket: int = 500_000) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
