@@ -234,9 +234,12 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     elif row_bound is not None and row_bound <= window_limit:
         bound = row_bound
     else:
-        est_keys = df.select(F.approx_count_distinct(F.struct(*[c for c, _ in order]),
-                                                     HLL_RSD)).first()[0]
-        bound = int(est_keys * KEY_MARGIN) + 100
+        n_rows, est_keys = df.select(
+            F.count(F.lit(1)),
+            F.approx_count_distinct(F.struct(*[c for c, _ in order]), HLL_RSD)).first()
+        if strategy == "auto" and n_rows <= plain_rows:
+            return plain_rank(df, order, name)
+        bound = min(n_rows, int(est_keys * KEY_MARGIN) + 100)
 
     key_names = [f"_k{i}" for i in range(len(order))]
     keyed = (df.groupBy(*[F.col(c).alias(k) for (c, _), k in zip(order, key_names)])
