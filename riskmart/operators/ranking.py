@@ -229,7 +229,9 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
             # Few rows (exact count): one bounded task sorts them; no key table.
             return plain_rank(df, order, name)
         bound = min(n_rows, int(est_keys * KEY_MARGIN) + 100)
-    elif row_bound is not None and strategy == "auto" and row_bound <= plain_rows:
+    elif strategy == "distributed":
+        bound = None       # the exact key count comes with the stored key table below
+    elif row_bound is not None and row_bound <= plain_rows:
         return plain_rank(df, order, name)
     elif row_bound is not None and row_bound <= window_limit:
         bound = row_bound
@@ -244,7 +246,7 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     key_names = [f"_k{i}" for i in range(len(order))]
     keyed = (df.groupBy(*[F.col(c).alias(k) for (c, _), k in zip(order, key_names)])
              .agg(F.count(F.lit(1)).alias("_n")))
-    if strategy == "auto" and bound <= window_limit:
+    if strategy == "auto" and bound is not None and bound <= window_limit:
         ranked = rank_keys(keyed, order, key_names, bound, name, window_limit, max_buckets,
                            rows_per_bucket)
     else:
