@@ -26,7 +26,7 @@ def _rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, as_of: date | None = None,
                       mode: str = "static", partition_by: Sequence[str] = DATE_PARTS,
-                      cluster: bool | None = None) -> None:
+                      cluster: bool | None = None, num_files: int | None = None) -> None:
     """Overwrite a date-partitioned Parquet dataset.
 
     ``mode="static"`` replaces the whole dataset (the reference's behaviour:
@@ -38,16 +38,21 @@ def write_partitioned(df: DataFrame, path: str, as_of: date | None = None,
     the partition values come from the data and are many (a backfill over
     thousands of days), so it is the default only without ``as_of``. With one
     load date (plus, say, an accepted/rejected flag) every task writes its own
-    few files and nothing is shuffled.
+    few files and nothing is shuffled. ``num_files`` instead fixes the number of
+    writing tasks (the reference's ``repartition(4)``).
     """
     if mode not in ("static", "dynamic"):
         raise ValueError(f"unknown overwrite mode {mode!r}")
     if as_of is not None:
         df = with_load_date(df, as_of)
-    if cluster is None:
-        cluster = as_of is None
-    if cluster:
-        df = _rebalanced(df, partition_by)
+    if num_files is not None:
+        # A fixed file count, as the reference's repartition(4) (one shuffle).
+        df = df.repartition(num_files)
+    else:
+        if cluster is None:
+            cluster = as_of is None
+        if cluster:
+            df = _rebalanced(df, partition_by)
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", mode)
      .partitionBy(*partition_by).parquet(path))

@@ -120,3 +120,11 @@ def test_gold_dir_empty_is_empty(spark, tmp_dir):
     os.makedirs(tmp_dir + "/empty")
     schema = spark.range(1).schema
     assert read_gold_dir(spark, tmp_dir + "/empty", schema).count() == 0
+
+
+def test_fixed_file_count(spark, tmp_dir):
+    import glob
+    write_partitioned(spark.range(1000), tmp_dir + "/n", date(2026, 3, 25), num_files=4)
+    files = glob.glob(tmp_dir + "/n/year=2026/month=3/day=25/*.parquet")
+    assert len(files) == 4
+    assert read_partitioned(spark, tmp_dir + "/n").count() == 1000
