@@ -62,7 +62,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"endpoints": [f"{m}?page=1" for m in mart_names(spark, args.database)]}
     elif args.command == "all":
         result = stages.run_all(spark, args.war, args.economics, args.root, args.as_of,
-                                args.database, args.dump_mode, args.id_type, args.rank)
+                                args.database, args.dump_mode, args.id_type, args.rank,
+                                war_schema=None if args.infer_schema else stages.WAR_SOURCE_SCHEMA)
         out = {"metrics": result.metrics.records}
     else:
         paths, metrics = stages.Paths(args.root), StageMetrics()

@@ -162,12 +162,14 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
 
 def run_all(spark: SparkSession, war_path: str, economics_path: str, root: str, as_of: date,
             database: str = "default", dump_mode: str = "locale", id_type: str = "bigint",
-            rank_strategy: str = "auto", bucket_by: tuple[int, str] | None = None) -> RunResult:
+            rank_strategy: str = "auto", bucket_by: tuple[int, str] | None = None,
+            war_schema: T.StructType | None = WAR_SOURCE_SCHEMA) -> RunResult:
     """All three stages; returns the catalog tables and the observed counts."""
     paths = Paths(root)
     metrics = StageMetrics()
     mark = scratch_mark()
-    ingest(spark, war_path, economics_path, paths, as_of, metrics, dump_mode)
+    ingest(spark, war_path, economics_path, paths, as_of, metrics, dump_mode,
+           war_schema=war_schema)
     tables = curate(spark, paths, as_of, metrics, database, id_type, bucket_by)
     tables.update(build_marts(spark, paths, metrics, database, rank_strategy=rank_strategy))
     metrics.collect()

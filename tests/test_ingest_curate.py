@@ -155,3 +155,26 @@ def test_ingest_with_inferred_war_schema(spark, tmp_dir):
     assert m.value("raw", "war") == 6
     curated = curate_war(raw)
     assert curated.filter("id = 1").first().cost_of_war_usd == 106957000000.0
+
+
+def test_cli_all_with_inferred_schema_and_strict_dump(spark, tmp_dir):
+    from riskmart.__main__ import main
+    _write(f"{tmp_dir}/war.csv", WAR_CSV)
+    _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS cliall LOCATION '{tmp_dir}/db'")
+    out = main(["all", "--root", f"{tmp_dir}/zones", "--database", "cliall", "--war",
+                f"{tmp_dir}/war.csv", "--economics", f"{tmp_dir}/economics.sql",
+                "--as-of", "2026-03-25", "--infer-schema", "--dump-mode", "strict",
+                "--id-type", "int"], spark)
+    metrics = {(s, t, m): v for s, t, m, v in out["metrics"]}
+    # strict mode: the decimal-comma line (id 2) splits its cost in two and loses
+    # the bareword, so it still has 18 values and is accepted, shifted (as the
+    # reference does); only the non-numeric households line is rejected.
+    assert metrics[("raw", "economics", "rejected")] == 1
+    econ = spark.table("cliall.economics_curated")
+    shifted = econ.filter("id = 2").first()
+    assert (shifted.informal_economy_size_pre_war_pct, shifted.war_profiteering_documented) == \
+        (8.5916e15, "34.76")
+    gov = spark.table("cliall.gold_output_government")
+    assert dict(gov.dtypes)["id"] == "int"
+    assert sorted(r.id for r in gov.collect()) == [1, 2, 4, 4]
