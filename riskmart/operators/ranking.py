@@ -23,9 +23,11 @@ so only the *distinct* sort keys need ordering, each carrying its row count:
 
 The input is read twice (keys, then the join back), so by default it is first
 written once to shared storage; the row count and an HLL estimate of the key
-count are observed during that write, at no extra pass. Intermediate tables go
-to files under ``spark.checkpoint.dir``, so an executor loss costs a re-read,
-not a recomputation that could differ.
+count are observed during that write, at no extra pass. When that exact row
+count is small (≤ ``plain_rows``, 500k), one window over the rows is cheaper and
+still bounded, and is used instead. Intermediate tables go to files under
+``spark.checkpoint.dir``, so an executor loss costs a re-read, not a
+recomputation that could differ.
 
 Null and NaN follow Spark's ordering: NaN is the largest value, ``desc`` puts
 nulls last, ``asc`` puts nulls first. Ranks are BIGINT (Spark's own ``rank()`` is
