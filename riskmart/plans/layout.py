@@ -92,13 +92,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_gold_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All Parquet files of one directory; a missing or empty directory gives no rows."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as exc:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system its URI names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def read_gold_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All Parquet files of one directory; a missing or empty directory gives no rows."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
