@@ -58,26 +58,71 @@ def page_number(raw) -> int:
     return max(number, 1)
 
 
+def _narrow_by_sample(df: DataFrame, key: str, k: int, size: int, n: int,
+                      sample_rows: int = 4096):
+    """One pass of a two-sided cut around position ``k`` for any orderable key.
+
+    A bounded sample (sorted by Spark) gives two candidate bounds a few standard
+    errors either side of ``k``; exact counts then check that the rows wanted lie
+    between them. Returns ``(df, k)`` narrowed, or ``None`` when the sample was
+    unlucky or no narrowing is possible.
+    """
+    fraction = min(1.0, 2.0 * sample_rows / n)
+    sample = [r[0] for r in df.select(key).sample(False, fraction, seed=k % 1_000_003)
+              .filter(F.col(key).isNotNull()).orderBy(key).limit(4 * sample_rows).collect()]
+    if len(sample) < 16:
+        return None
+    pos = k / n * len(sample)
+    margin = 3.0 * math.sqrt(len(sample)) + 2
+    lo = sample[int(pos - margin)] if pos - margin >= 0 else None
+    hi = sample[int(pos + margin)] if pos + margin < len(sample) - 1 else None
+    if lo is None and hi is None:
+        return None
+    c = F.col(key)
+    below, upto = df.agg(
+        F.count_if(c < lo) if lo is not None else F.lit(0),
+        F.count_if(c <= hi) if hi is not None else F.count(F.lit(1))).first()
+    if below > k or upto < min(n, k + size):
+        return None
+    if lo is not None:
+        df = df.filter(c >= lo)
+    if hi is not None:
+        df = df.filter(c <= hi)
+    return df, k - below
+
+
 def skip_sorted(df: DataFrame, key: str, k: int, size: int,
                 offset_limit: int = OFFSET_LIMIT) -> DataFrame:
-    """Rows ``k … k+size-1`` (0-based) of ``df`` ordered by the numeric ``key``.
+    """Rows ``k … k+size-1`` (0-based) of ``df`` ordered by ``key`` (non-null, unique).
 
     A plain ``offset(k)`` keeps ``k + size`` rows per task and merges them in one
-    task. Here, while ``k`` is large, an approximate quantile of ``key`` (rank
-    error ≤ offset_limit/4) cuts off the rows before the target, the exact count
-    below the cut is subtracted from ``k``, and only a short offset is left.
+    task. Here, while ``k`` is large, the rows before the target are cut off
+    first and only a short offset is left: for a numeric key by an approximate
+    quantile (rank error ≤ offset_limit/4) and an exact count below the cut; for
+    any other orderable key by a two-sided cut from a bounded sample, which
+    shrinks the candidate rows about tenfold per pass.
     """
-    while k > offset_limit:
+    numeric = isinstance(df.schema[key].dataType, T.NumericType)
+    for _ in range(64):                      # each pass shrinks the problem; bounded anyway
+        if k <= offset_limit:
+            break
         n = df.count()
         if k >= n:
             return df.limit(0)
-        eps = offset_limit / (4.0 * n)
-        cut = df.approxQuantile(key, [max(0.0, (k - offset_limit / 2) / n)], eps)[0]
-        below = df.filter(F.col(key) < cut).count()
-        if below == 0 or below > k:          # no progress: fall back to the plain offset
-            break
-        df = df.filter(F.col(key) >= cut)
-        k -= below
+        if numeric:
+            eps = offset_limit / (4.0 * n)
+            cut = df.approxQuantile(key, [max(0.0, (k - offset_limit / 2) / n)], eps)[0]
+            below = df.filter(F.col(key) < cut).count()
+            if below == 0 or below > k:      # no progress: try the sample cut instead
+                numeric = False
+                continue
+            df = df.filter(F.col(key) >= cut)
+            k -= below
+        else:
+            narrowed = _narrow_by_sample(df, key, k, size, n)
+            if narrowed is None:
+                break
+            df, k = narrowed
     return df.orderBy(key).offset(k).limit(size)
 
 
@@ -94,9 +139,8 @@ def page_rows(df: DataFrame, number: int, size: int = PAGE_SIZE,
     if r_first is None:
         return df.limit(0)
     skip = first - r_first                   # rows of the tie group before the page
-    numeric_tiebreak = (len(order) == 2 and order[0] == rank_col
-                        and isinstance(df.schema[order[1]].dataType, T.NumericType))
-    if skip <= offset_limit or not numeric_tiebreak:
+    single_tiebreak = len(order) == 2 and order[0] == rank_col
+    if skip <= offset_limit or not single_tiebreak:
         window = df.filter((F.col(rank_col) >= r_first) & (F.col(rank_col) <= last))
         return window.orderBy(*order).offset(skip).limit(size)
     head = skip_sorted(df.filter(F.col(rank_col) == r_first), order[1], skip, size, offset_limit)

@@ -128,3 +128,29 @@ def test_fixed_file_count(spark, tmp_dir):
     files = glob.glob(tmp_dir + "/n/year=2026/month=3/day=25/*.parquet")
     assert len(files) == 4
     assert read_partitioned(spark, tmp_dir + "/n").count() == 1000
+
+
+def test_deep_page_with_string_tiebreak(spark):
+    from riskmart.operators.paging import page_rows
+    from riskmart.operators.ranking import desc, global_rank
+    base = spark.range(30000).select(
+        F.concat(F.lit("k"), F.lpad(((F.col("id") * 7919) % 30000).cast("string"), 6, "0")).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    ranked = global_rank(base, desc("v"))
+    ordered = [(r.rank, r.id) for r in ranked.orderBy("rank", "id").collect()]
+    for number in (3334, 5000, 5990, 6000, 6001):
+        got = [(r.rank, r.id) for r in page_rows(ranked, number, 5, offset_limit=100).collect()]
+        assert got == ordered[(number - 1) * 5: number * 5], number
+
+
+def test_sample_cut_narrows_around_target(spark):
+    from riskmart.operators.paging import _narrow_by_sample
+    df = spark.range(50000).select(F.concat(F.lit("x"), F.lpad(F.col("id").cast("string"), 6, "0"))
+                                   .alias("id"))
+    out = _narrow_by_sample(df, "id", 31000, 5, 50000)
+    assert out is not None
+    narrowed, k = out
+    n = narrowed.count()
+    assert n < 5000 and 0 <= k < n
+    assert [r.id for r in narrowed.orderBy("id").offset(k).limit(5).collect()] == \
+        [f"x{i:06d}" for i in range(31000, 31005)]
