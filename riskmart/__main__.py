@@ -6,6 +6,7 @@
     python -m riskmart marts   --root DIR [--database default]
     python -m riskmart page    finance 3 [--database default]
     python -m riskmart marts-list [--database default]
+    python -m riskmart views   [--database default]
 
 The session comes from ``SparkSession.builder.getOrCreate()``: cluster settings
 are given to spark-submit, not here.
@@ -46,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     pg.add_argument("--database", default="default")
     ls = sub.add_parser("marts-list")
     ls.add_argument("--database", default="default")
+    vw = sub.add_parser("views", help="country / sector / region views from the stored marts")
+    vw.add_argument("--database", default="default")
     return p
 
 
@@ -60,6 +63,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = page_mart(spark, args.mart, args.number, args.database).to_dict()
     elif args.command == "marts-list":
         out = {"endpoints": [f"{m}?page=1" for m in mart_names(spark, args.database)]}
+    elif args.command == "views":
+        from riskmart.operators import views
+        from riskmart.plans.layout import save_table
+        db = args.database
+        built = {
+            "view_country": views.country_crisis(spark.table(f"{db}.gold_output_government")),
+            "view_sector": views.sector_exposure(spark.table(f"{db}.gold_output_finance")),
+            "view_region": views.regional_need(spark.table(f"{db}.gold_output_humanitarian")),
+        }
+        for name, df in built.items():
+            save_table(df, f"{db}.{name}")
+        out = {"tables": [f"{db}.{name}" for name in built]}
     elif args.command == "all":
         result = stages.run_all(spark, args.war, args.economics, args.root, args.as_of,
                                 args.database, args.dump_mode, args.id_type, args.rank,
