@@ -219,10 +219,12 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     row count, e.g. observed when the input was written) spares the key-count
     estimate when it is already small enough.
     """
+    if strategy not in ("plain", "auto", "distributed"):
+        raise ValueError(f"unknown rank strategy {strategy!r}")
+    if name in df.columns:
+        df = df.drop(name)                   # re-ranking replaces the old column
     if strategy == "plain":
         return plain_rank(df, order, name)
-    if strategy not in ("auto", "distributed"):
-        raise ValueError(f"unknown rank strategy {strategy!r}")
 
     columns = df.columns
     if materialize:

@@ -94,3 +94,11 @@ def test_auto_small_input_uses_bounded_plain_window(spark):
     keyed = global_rank(df, desc("v"), plain_rows=0)
     assert "BroadcastHashJoin" in keyed._jdf.queryExecution().executedPlan().toString()
     assert _ranks(keyed) == _ranks(out)
+
+
+def test_rerank_replaces_existing_rank_column(spark):
+    df = spark.createDataFrame([(1, 2.0, 99), (2, 3.0, 98)], "id long, v double, rank long")
+    for strategy in ("plain", "auto", "distributed"):
+        out = global_rank(df, desc("v"), strategy=strategy)
+        assert out.columns == ["id", "v", "rank"]
+        assert _ranks(out) == {1: 2, 2: 1}
