@@ -60,7 +60,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"riskmart-{args.command}").getOrCreate()
     if args.command == "page":
-        out = page_mart(spark, args.mart, args.number, args.database).to_dict()
+        try:
+            out = page_mart(spark, args.mart, args.number, args.database).to_dict()
+        except Exception as exc:             # the API answered failures with an error body
+            out = {"error": str(exc).splitlines()[0] if str(exc) else type(exc).__name__}
     elif args.command == "marts-list":
         out = {"endpoints": [f"{m}?page=1" for m in mart_names(spark, args.database)]}
     elif args.command == "views":

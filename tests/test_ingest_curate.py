@@ -139,6 +139,7 @@ def test_cli_stages_and_page(spark, tmp_dir):
     views = main(["views", "--database", "cli"], spark)
     assert views["tables"] == ["cli.view_country", "cli.view_sector", "cli.view_region"]
     assert sum(r.n_conflicts for r in spark.table("cli.view_region").collect()) == 4
+    assert "error" in main(["page", "nope", "1", "--database", "cli"], spark)
     body = main(["page", "finance", "x", "--database", "cli"], spark)
     assert (body["page"], body["page_size"], body["total"], body["total_pages"]) == (1, 5, 4, 1)
     assert [r["rank"] for r in body["data"]] == sorted(r["rank"] for r in body["data"])
