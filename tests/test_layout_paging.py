@@ -154,3 +154,16 @@ def test_sample_cut_narrows_around_target(spark):
     assert n < 5000 and 0 <= k < n
     assert [r.id for r in narrowed.orderBy("id").offset(k).limit(5).collect()] == \
         [f"x{i:06d}" for i in range(31000, 31005)]
+
+
+def test_backfill_write_clusters_by_day(spark, tmp_dir):
+    import glob
+    df = spark.range(6000).select(
+        "id", F.lit(2026).alias("year"), F.lit(3).alias("month"),
+        (F.col("id") % 30 + 1).cast("int").alias("day")).repartition(8)
+    write_partitioned(df, tmp_dir + "/bf")          # no as_of: values come from the data
+    days = glob.glob(tmp_dir + "/bf/year=2026/month=3/day=*")
+    assert len(days) == 30
+    # Clustered first: each day is written by few tasks, not by all 8 input tasks.
+    assert max(len(glob.glob(d + "/*.parquet")) for d in days) <= 2
+    assert read_partitioned(spark, tmp_dir + "/bf").count() == 6000
