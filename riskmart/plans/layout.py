@@ -92,15 +92,29 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, on whatever file system its URI names."""
-    jvm = spark.sparkContext._jvm
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether a path exists, on whatever file system its URI names (None: unknown)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:                       # no driver-side JVM (e.g. Spark Connect)
+        return None
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(conf).exists(p)
 
 
 def read_gold_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All Parquet files of one directory; a missing or empty directory gives no rows."""
-    if not path_exists(spark, path):
+    exists = path_exists(spark, path)
+    if exists is False:
         return spark.createDataFrame([], schema)
+    if exists is None:
+        try:
+            df = spark.read.schema(schema).parquet(path)
+            df.schema                        # resolves the path
+            return df
+        except Exception as exc:
+            if "PATH_NOT_FOUND" in str(exc):
+                return spark.createDataFrame([], schema)
+            raise
     return spark.read.schema(schema).parquet(path)

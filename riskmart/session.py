@@ -33,22 +33,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Directory on storage every executor can reach.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local
-    runs, tests) a fresh local directory is made and registered as the
-    checkpoint directory, so ``DataFrame.checkpoint`` works too.
+    Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint directory set
+    on the context). Only when neither is set (local runs, tests) one fresh
+    local directory is made for the process.
     """
+    global _LOCAL_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if root:
+        return root.rstrip("/")
+    try:
         root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="riskmart-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    except Exception:                       # no driver-side context (e.g. Spark Connect)
+        root = None
+    if root:
+        return root.rstrip("/")
+    if _LOCAL_ROOT is None:                 # local runs only: one directory per process
+        _LOCAL_ROOT = tempfile.mkdtemp(prefix="riskmart-")
+    return _LOCAL_ROOT
 
 
 _CREATED: list[str] = []
@@ -71,8 +78,11 @@ def release_scratch(spark: SparkSession, since: int) -> int:
 
     Only call this when no DataFrame that reads them is used any more.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:                       # no driver-side JVM: leave the files
+        return 0
     removed = 0
     for path in _CREATED[since:]:
         p = jvm.org.apache.hadoop.fs.Path(path)

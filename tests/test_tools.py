@@ -20,3 +20,27 @@ def test_plan_summary_counts_exchanges(spark):
     df = spark.range(100).groupBy((F.col("id") % 7).alias("g")).count()
     s = summarise(df)
     assert s["hash_shuffles"] == 1 and s["single_partition"] == 0 and not s["python"]
+
+
+def test_shared_root_prefers_session_setting_then_local_dir():
+    import os
+    from riskmart import session
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Ctx:
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        def __init__(self, value):
+            self.conf, self.sparkContext = Conf(value), Ctx()
+
+    assert session.shared_root(Fake("hdfs:///ckpt/")) == "hdfs:///ckpt"
+    first = session.shared_root(Fake(None))
+    assert os.path.isdir(first) and session.shared_root(Fake(None)) == first
