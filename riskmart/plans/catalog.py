@@ -304,9 +304,10 @@ def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → JSON lines with a nested ``props`` object → nested read → struct field."""
     events = load(spark, sf_dir, "events")
     path = scratch_path(spark, "events_json")
-    (events.select(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"),
-                            F.lit(', "event_type": "'), F.col("event_type"),
-                            F.lit('", "props": '), F.col("props"), F.lit("}")).alias("value"))
+    # Scalar fields through to_json (escaping is Spark's); props is already a JSON object.
+    head = F.to_json(F.struct("event_id", "event_type"))
+    (events.select(F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(', "props": '),
+                            F.col("props"), F.lit("}")).alias("value"))
      .write.mode("overwrite").text(path))
     feed = feeds.read_json_feed(spark, path, EVENT_FEED_SCHEMA)
     return feed.select("event_id", "event_type", F.col("props.k").alias("k"))
