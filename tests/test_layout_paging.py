@@ -167,3 +167,12 @@ def test_backfill_write_clusters_by_day(spark, tmp_dir):
     # Clustered first: each day is written by few tasks, not by all 8 input tasks.
     assert max(len(glob.glob(d + "/*.parquet")) for d in days) <= 2
     assert read_partitioned(spark, tmp_dir + "/bf").count() == 6000
+
+
+def test_page_body_is_json_ready(spark):
+    import json
+    df = spark.createDataFrame([(1, float("inf"), 1), (2, 2.5, 2)], "id long, v double, rank long")
+    body = page(df, "1").to_dict()
+    assert json.loads(json.dumps(body)) == {
+        "page": 1, "page_size": 5, "total": 2, "total_pages": 1,
+        "data": [{"id": 1, "v": None, "rank": 1}, {"id": 2, "v": 2.5, "rank": 2}]}
