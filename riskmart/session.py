@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every riskmart job relies on. AQE re-plans joins and partition
 # counts at run time; skew-join splitting keeps a hot key from landing in one task.
@@ -40,8 +41,9 @@ def shared_root(spark: SparkSession) -> str:
     """Directory on storage every executor can reach.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint directory set
-    on the context). Only when neither is set (local runs, tests) one fresh
-    local directory is made for the process.
+    on the context). Only on a ``local`` master, where driver and executors are
+    one process, a fresh local directory is made when neither is set; any other
+    master without a shared root is an error.
     """
     global _LOCAL_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,11 +55,51 @@ def shared_root(spark: SparkSession) -> str:
         root = None
     if root:
         return root.rstrip("/")
-    if _LOCAL_ROOT is None:                 # local runs only: one directory per process
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir is not set and the master is {master!r}: intermediate "
+                         "files need a folder that the driver and all executors share")
+    if _LOCAL_ROOT is None:                 # one process: one directory for it
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="riskmart-")
     return _LOCAL_ROOT
 
 
+class Scratch:
+    """One job's own directory of intermediate files under the shared root.
+
+    Nothing else writes or deletes there. ``release`` (or leaving the ``with``
+    block) removes it; call it only when no DataFrame that reads it is used any
+    more.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "job"):
+        self.spark = spark
+        self.root = f"{shared_root(spark)}/riskmart/{name}-{uuid.uuid4().hex}"
+        self._count = 0
+
+    def path(self, name: str) -> str:
+        """A path of its own for one set of files."""
+        self._count += 1
+        return f"{self.root}/{self._count:03d}-{name}"
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as Parquet and read it back: cuts lineage, survives lost executors."""
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.release()
+
+
 _CREATED: list[str] = []
 
 
