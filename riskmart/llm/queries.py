@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kd_shards import kd_shards
+from .mixing import mix_sources
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +34,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(table(spark, sf_dir, "documents"),
                            public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query("op3_mix_sources")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op10_kd_shards")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = kd_shards(table(spark, sf_dir, "documents"), n_shards=8)
+    return (sharded.withColumn("law", F.lit("bytes"))
+            .withColumn("shard", F.col("shard").cast("int"))
+            .withColumn("grown_shard", F.lit(None).cast("int"))
+            .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"))
