@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import merkle
 from .kd_shards import kd_shards
 from .mixing import mix_sources
 from .token_counts import token_counts
@@ -48,3 +49,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("shard", F.col("shard").cast("int"))
             .withColumn("grown_shard", F.lit(None).cast("int"))
             .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"))
+
+
+@query("op5_merkle_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trees = merkle.fingerprints(table(spark, sf_dir, "documents"))
+    return trees.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        F.col("a_root").alias("fingerprint"), F.col("e_root").alias("edited_fingerprint"),
+        merkle.likeness("a_", "e_").alias("near_edited"), merkle.likeness("a_", "n_").alias("near_next"),
+        F.size("a_sections").alias("n_sections"), F.size("a_paragraphs").alias("n_paragraphs"),
+        merkle.first_difference("a_", "e_", "sections").alias("edited_section"),
+        merkle.first_difference("a_", "e_", "paragraphs").alias("edited_paragraph"))
