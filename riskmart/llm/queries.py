@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle
+from . import merkle, warc_zip
 from .kd_shards import kd_shards
 from .mixing import mix_sources
 from .token_counts import token_counts
@@ -61,3 +61,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("a_sections").alias("n_sections"), F.size("a_paragraphs").alias("n_paragraphs"),
         merkle.first_difference("a_", "e_", "sections").alias("edited_section"),
         merkle.first_difference("a_", "e_", "paragraphs").alias("edited_paragraph"))
+
+
+@query("op9_warc_zip", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+     k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS kept FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM k""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (warc_zip.round_trip(table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
