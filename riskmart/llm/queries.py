@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle, warc_zip
+from . import merkle, quality, warc_zip
 from .kd_shards import kd_shards
 from .mixing import mix_sources
 from .token_counts import token_counts
@@ -74,3 +74,12 @@ FROM k""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (warc_zip.round_trip(table(spark, sf_dir, "pages"))
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@query("op7_quality_gam")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
