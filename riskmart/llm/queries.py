@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle, quality, warc_zip
+from . import merkle, pii, quality, warc_zip
 from .kd_shards import kd_shards
 from .mixing import mix_sources
 from .token_counts import token_counts
@@ -83,3 +83,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_score(docs, model).select(
         "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")  # noqa: B023
+              for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
