@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import merkle, pii, quality, warc_zip
 from .kd_shards import kd_shards
 from .mixing import mix_sources
+from .ngram_join import near_duplicates
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
               for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
                         pii.joined(F.col("spans")).alias("spans"))
+
+
+@query("op4_ngram_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

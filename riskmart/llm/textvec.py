@@ -134,9 +134,17 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray
     return rows, values
 
 
+def by_row(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Indices that sort by row, then key; rows are counted from 0."""
+    order = np.argsort(keys)
+    if len(rows) and rows.max() < 1 << 16:        # 16-bit rows sort in linear time
+        return order[np.argsort(rows[order].astype(np.uint16), kind="stable")]
+    return order[np.argsort(rows[order], kind="stable")]
+
+
 def distinct(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, value) pairs, sorted by row, then value."""
-    order = np.lexsort((values, rows))
+    order = by_row(rows, values)
     rows, values = rows[order], values[order]
     if len(rows):
         keep = np.ones(len(rows), dtype=bool)
