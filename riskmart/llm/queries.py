@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import merkle, pii, quality, warc_zip
+from .decontaminate import contaminated
 from .kd_shards import kd_shards
 from .mixing import mix_sources
 from .ngram_join import near_duplicates
@@ -98,3 +99,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -37,6 +37,9 @@ def _byte_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _SPACE, _FOLDED, _EXACT = _byte_tables()
+_MARK = np.zeros(256, dtype=bool)        # every ASCII byte but letters and digits
+_MARK[:128] = [not chr(i).isalnum() for i in range(128)]
+_BARE = np.where(_MARK, np.uint64(0), _FOLDED)
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -71,16 +74,16 @@ def buffers(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int,
 
 
 def words(raw: np.ndarray, offsets: np.ndarray,
-          fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+          fold: bool = True, bare: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word of the slice: start byte, end byte, 64-bit hash. Texts never share a word.
 
-    With ``fold`` (the default) A-Z hash like a-z.
+    With ``fold`` (the default) A-Z hash like a-z; with ``bare`` words are also cut at ASCII marks.
     """
-    value = _FOLDED if fold else _EXACT
+    value, cut = (_BARE, _MARK) if bare else (_FOLDED if fold else _EXACT, _SPACE)
     n = len(raw)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    inside = ~_SPACE[raw]
+    inside = ~cut[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < n]
