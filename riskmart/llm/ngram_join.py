@@ -9,7 +9,8 @@ m: a longer prefix meets more sets, but asks more common shingles of a candidate
 so m minimises the estimated cost (occurrences of the prefix's shingles beyond the
 expected noise of a cell, plus a verification for every such occurrence over m).
 A pair is judged at the smaller m of the two; the length and positional filters
-apply to every shared shingle.
+apply to every shared shingle, and all shingles shared by the prefixes together
+bound the overlap that is still possible behind them.
 
 A shingle in the prefixes of at most ``crowd`` sets gives its pairs; one with
 more makes its sets a crowd, compared block against block without emitting the
@@ -146,14 +147,20 @@ def candidates(sets: DataFrame, num: int, den: int, crowd: int, scratch: Scratch
     few = few.withColumn("level", level)
     left = few.select("token", *[F.col(c).alias(f"{c}_a") for c in ("h", "n", "m", "pos", "level")])
     right = few.select("token", *[F.col(c).alias(f"{c}_b") for c in ("h", "n", "m", "pos", "level")])
-    m = F.least("m_a", "m_b")
+    m = F.least("m_a", "m_b")        # a pair that shares a crowd's shingle is a candidate by it
     n_a, n_b, i, j = F.col("n_a"), F.col("n_b"), F.col("pos_a"), F.col("pos_b")
     possible = F.least(i, j) + 1 + F.least(n_a - i - 1, n_b - j - 1)
     pairs = (left.join(right, "token").where(
         (F.col("h_a") < F.col("h_b")) & similar_enough(n_a, n_b, num, den)
-        & (possible * (num + den) >= num * (n_a + n_b)) & (F.greatest("level_a", "level_b") <= m))
+        & (possible * (num + den) >= num * (n_a + n_b)))
         .groupBy(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
-        .agg(F.count("*").alias("common"), F.max(m).alias("m")).where("common >= m").select("a", "b"))
+        .agg(F.count("*").alias("common"), F.sum((F.greatest("level_a", "level_b") <= m).cast("int")).alias("judged"),
+             F.max(m).alias("m"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"),
+             F.max("m_a").alias("m_a"), F.max("m_b").alias("m_b")))
+    # shingles shared beyond the prefixes lie behind the prefix that ends first in the common order
+    behind = F.greatest(*[F.ceil(F.col(n) * num / den) - F.col(k) for n, k in (("n_a", "m_a"), ("n_b", "m_b"))])
+    pairs = pairs.where((F.col("judged") >= F.col("m"))
+                        & ((F.col("common") + behind) * (num + den) >= num * (n_a + n_b))).select("a", "b")
     return scratch.store(pairs, "pairs"), rows.where(F.col("met") > crowd).select("token", "h", "n")
 
 
