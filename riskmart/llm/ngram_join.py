@@ -105,8 +105,8 @@ def _prefixes(k: int, num: int, den: int, counts):
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()),
                                                  pa.array(prefix.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(h.view(np.int64)),
-                     pa.array(m.astype(np.int32)), lists], names=["id", "n", "h", "m", "prefix"])
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(h.view(np.int64)),
+                     pa.array(m.astype(np.int32)), lists], names=["id", "text_hash", "n", "h", "m", "prefix"])
     return run
 
 
@@ -167,16 +167,17 @@ def candidates(sets: DataFrame, num: int, den: int, crowd: int, scratch: Scratch
 def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
                     text: str = "text", crowd: int = CROWD, bits: int = BITS,
                     scratch: Scratch | None = None) -> DataFrame:
-    """One row per row of ``docs``: id_col, n_shingles, component_id (the least id reachable by links).
+    """One row per row of ``docs``: id_col, text_hash, n_shingles, component_id (the least id reachable by links).
 
     Documents are linked when overlap / union of their shingle sets is at least num / den.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "ngram")
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"),
+                         F.xxhash64(F.col(text)).alias("text_hash"))
     counts = spark.sparkContext.broadcast(hash_counts(narrow.select("text"), _occurrences(k), bits))   # 2**bits cells
     every = scratch.store(narrow.mapInArrow(_prefixes(k, num, den, counts),
-                                            "id long, n long, h long, m int, prefix array<long>"), "sets")
+                                            "id long, text_hash long, n long, h long, m int, prefix array<long>"), "sets")
     sets = (every.where("n > 0").groupBy("h")
             .agg(F.min_by(F.struct("n", "m", "prefix", "id"), F.struct("id")).alias("s")).select("h", "s.*"))
     pairs, crowds = candidates(sets, num, den, crowd, scratch)
@@ -195,9 +196,24 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
              .applyInArrow(component_edges(num, den), "a long, b long"))
     roots = components(edges, scratch)
     keyed = (every.join(roots, (F.col("h") == F.col("node")) & (F.col("n") > 0), "left")
-             .select("id", "n", F.when(F.col("n") > 0, F.coalesce("root", "h")).alias("key")))
+             .select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("root", "h")).alias("key")))
     keyed = scratch.store(keyed, "keyed")
     least = keyed.where("key is not null").groupBy("key").agg(F.min("id").alias("least"))
     return (keyed.join(least, "key", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+            .select(F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"),
                     F.coalesce("least", "id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+                text: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs`` with the least id of their component, columns unchanged.
+
+    Equal rows (id and text) are one; rows without an id stay unless linked to one with an id.
+    """
+    found = near_duplicates(docs, k, num, den, id_col, text, scratch=scratch)
+    kept = (found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+            .select(F.col(id_col).alias("_kept"), F.col("text_hash").alias("_kept_hash")).distinct())
+    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(text)))
+    return (keyed.join(kept, keyed[id_col].cast("long").eqNullSafe(kept["_kept"])
+                       & (keyed["_text_hash"] == kept["_kept_hash"]), "left_semi")
+            .dropDuplicates([id_col, "_text_hash"]).drop("_text_hash"))

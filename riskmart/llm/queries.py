@@ -98,7 +98,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_ngram_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query("op2_decontaminate")
