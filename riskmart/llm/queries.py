@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import merkle, pii, quality, warc_zip
 from .decontaminate import contaminated
 from .kd_shards import kd_shards
+from .line_dedup import deduplicated
 from .mixing import mix_sources
 from .ngram_join import near_duplicates
 from .token_counts import token_counts
@@ -104,3 +105,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_decontaminate")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicated(docs).select(
+        "doc_id", "n_lines", "removed_lines", F.length("text").cast("long").alias("kept_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -27,8 +27,7 @@ def _emit(hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
         total = np.zeros(1 << bits, dtype=np.uint32)
         for batch in batches:
             for hashes in hashes_of(batch):
-                at, n = np.unique(cell(hashes, bits), return_counts=True)
-                total[at] += n.astype(np.uint32)
+                total += np.bincount(cell(hashes, bits), minlength=1 << bits).astype(np.uint32)
         slices = total.reshape(min(SLICES, 1 << bits), -1)
         used = np.flatnonzero(slices.any(axis=1))
         part = TaskContext.get().partitionId() // SUMMED

@@ -112,6 +112,18 @@ def word_counts(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(starts, offsets, side="left"))
 
 
+def lines(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per line of the slice: first byte, text, number within the text; a text has one line more than line ends."""
+    ends = np.flatnonzero(raw == 0x0A) + 1
+    # at equal places a text's last (empty) line comes before the next text's first
+    order = np.argsort(np.concatenate([ends, offsets[:-1]]), kind="stable")
+    starts = np.concatenate([ends, offsets[:-1]])[order]
+    head = order >= len(ends)
+    text = np.cumsum(head) - 1
+    first = np.flatnonzero(head)
+    return starts, text, np.arange(len(starts)) - first[text]
+
+
 def shingles(hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(text index, hash) of every k-word shingle; a shorter text is one shingle, an empty one has none."""
     row = np.repeat(np.arange(len(counts)), counts)
