@@ -213,7 +213,11 @@ def _rebuild(text_at: int):
 
 def deduplicated(docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "doc_id", text: str = "text",
                  scratch: Scratch | None = None) -> DataFrame:
-    """All rows and columns of ``docs`` with the text's later matches removed, then n_lines and removed_lines."""
+    """All rows and columns of ``docs`` with the text's later matches removed, then n_lines and removed_lines.
+
+    These two replace columns of their names.
+    """
+    docs = docs.drop("n_lines", "removed_lines")
     removed = later_matches(docs, num, den, id_col, text, scratch=scratch)
     gone = (removed.groupBy("id", "text_hash").agg(F.collect_set("line").alias("_gone"))     # one document's lines
             .withColumnsRenamed({"id": "_id", "text_hash": "_hash"}))

@@ -264,7 +264,8 @@ def _score_rows(shared, text_at: int, least: float | None):
 
 
 def with_score(docs: DataFrame, model: AdditiveModel, out: str = "score", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the score (0 to 1)."""
+    """All columns of ``docs`` and the score (0 to 1), which replaces a column of its name."""
+    docs = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
     return docs.mapInArrow(_score_rows(shared, docs.columns.index(text), None), schema).withColumnRenamed("_score", out)
