@@ -25,9 +25,22 @@ def cell(hashes: np.ndarray, bits: int) -> np.ndarray:
 def _emit(hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, dtype=np.uint32)
+        held, size = [], 0
+
+        def count() -> None:
+            nonlocal size
+            if held:
+                total[:] += np.bincount(np.concatenate(held), minlength=1 << bits).astype(np.uint32)
+            held.clear()
+            size = 0
+
         for batch in batches:
             for hashes in hashes_of(batch):
-                total += np.bincount(cell(hashes, bits), minlength=1 << bits).astype(np.uint32)
+                held.append(cell(hashes, bits))
+                size += len(hashes)
+                if size >= 1 << 19:
+                    count()
+        count()
         slices = total.reshape(min(SLICES, 1 << bits), -1)
         used = np.flatnonzero(slices.any(axis=1))
         part = TaskContext.get().partitionId() // SUMMED

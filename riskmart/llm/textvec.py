@@ -16,7 +16,7 @@ import pyarrow as pa
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C1B | 3              # odd multiplier, 3 modulo 8
-_CHUNK = 1 << 21                         # bytes hashed at a time
+_CHUNK = 1 << 20                         # bytes hashed at a time
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,7 +55,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["up"], _POW["down"]
 
 
-def buffers(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def buffers(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) over slices of about ``limit`` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
