@@ -4,12 +4,17 @@ A line's set holds its distinct words (A-Z as a-z). All words have one order: by
 the number of occurrences in the corpus (a fixed-size array of cell counts over
 all texts), then by hash, so a prefix holds the rarest words. Lines are matched
 when overlap / union >= num / den. Candidates share a prefix word (prefix
-filter), their sizes allow the threshold (length filter), the places of the
-shared words allow the overlap (positional filter), and all shared prefix words
-together with what may lie behind both prefixes reach it. Every candidate is
+filter), their sizes allow the threshold (length filter), and the places of the
+shared words allow the overlap (positional filter). The prefix that a pair needs
+follows from both sizes; it is taken one word longer where the lines' own prefixes
+reach that far, and two words in common are asked for then. Every candidate is
 verified on its whole set. A word in the prefixes of more than ``crowd`` sets
 makes them a crowd, compared block against block without emitting the pairs.
 
+Prefix words travel packed, one binary value for each task and range of words; a
+range's task sorts them and emits pairs. Words that occur more than ``FREQUENT``
+times in the corpus do not: their sets form a crowd at once, by rows.
+
 A line is removed when an earlier line matches it, itself removed or not: the
 order is document id, text hash, line number. Equal sets are one node from the
 start, known by the place of its first line, so a line that fills a third of the
@@ -39,7 +44,13 @@ from .sketch import cell, hash_counts
 BITS = 21
 FILTER_BITS = 22
 CROWD = 64
+FREQUENT = 1 << 15                       # bounds a word's rows in a range
+RANGE_BYTES = 8 << 20                    # text of the corpus for each range of words
+_PACKED = 1 << 20                        # prefix words that a task holds before it emits them
 _U = np.uint64
+_WORD = np.dtype([("range", "u4"), ("key", "u4"), ("h", "u8"), ("n", "u4"), ("pos", "u4")])
+_COLUMNS = ("key", "h", "n", "pos")      # packed one after the other
+_ROW = sum(_WORD[c].itemsize for c in _COLUMNS)
 
 
 def line_sets(column: pa.Array, cells: np.ndarray):
@@ -75,37 +86,126 @@ def _sets_of(rows: np.ndarray, values: np.ndarray, lines: int):
     return n, some, end, (set_hash(values, end - n[some]) if len(some) else np.zeros(0, np.uint64))
 
 
-def _line_rows(num: int, den: int, counts):
+def _line_rows(counts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, text, number, rows, values in line_sets(batch.column(2), counts.value):
+                n, some, _, h = _sets_of(rows, values, len(text))
+                ids = pa.array(lo + text[some])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(number[some].astype(np.int32)),
+                     pa.array(n[some].astype(np.int32)), pa.array(h.view(np.int64))],
+                    names=["id", "text_hash", "line", "n", "h"])
+    return run
+
+
+def _packed_prefixes(num: int, den: int, counts, ranges: int):
+    """(range, words): packed prefix words; ranges from ``ranges`` on hold frequent words, spread by set."""
     least = -(-num // (den - num))       # a smaller set matches only an equal one
 
+    def emit(parts: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(parts) if parts else np.zeros(0, _WORD)
+        rows = rows[np.argsort(rows["range"], kind="stable")]
+        begin = np.flatnonzero(np.append(True, rows["range"][1:] != rows["range"][:-1])) if len(rows) else rows["n"]
+        pieces = [rows[i:j] for i, j in zip(begin, np.append(begin[1:], len(rows)))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(p["range"][0]) for p in pieces], pa.int32()),
+             pa.array([b"".join(p[c].tobytes() for c in _COLUMNS) for p in pieces], pa.binary())],
+            names=["range", "words"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = counts.value
+        bits = len(cells).bit_length() - 1
+        parts, held, seen = [], 0, set()
         for batch in batches:
-            for lo, text, number, rows, values in line_sets(batch.column(2), counts.value):
+            for _, text, _, rows, values in line_sets(batch.column(0), cells):
                 n, some, end, h = _sets_of(rows, values, len(text))
                 size = np.where(n[some] >= least, n[some] - -(-num * n[some] // den) + 1, 0)
-                # an equal line of the same slice needs no second prefix
-                size[np.setdiff1d(np.arange(len(some)), np.unique(h, return_index=True)[1])] = 0
+                # an equal line of the same task needs no second prefix
+                once = np.zeros(len(some), dtype=bool)
+                once[np.unique(h, return_index=True)[1]] = True
+                known = np.fromiter((x in seen for x in h.tolist()), bool, len(h))
+                size[~once | known] = 0
+                seen.update(h[size > 0].tolist())
+                if len(seen) > _PACKED:
+                    seen.clear()
                 place = np.arange(len(rows)) - np.repeat(end - n[some], n[some])
-                prefix = values[place < np.repeat(size, n[some])]
-                ids = pa.array(lo + text[some])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(number[some].astype(np.int32)),
-                     pa.array(n[some].astype(np.int32)), pa.array(h.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()),
-                                              pa.array(prefix.view(np.int64)))],
-                    names=["id", "text_hash", "line", "n", "h", "prefix"])
+                keep = place < np.repeat(size, n[some])
+                out = np.zeros(int(keep.sum()), dtype=_WORD)
+                token = values[keep]
+                out["h"] = np.repeat(h, n[some])[keep]
+                out["n"] = np.repeat(n[some], n[some])[keep]
+                out["pos"] = place[keep]
+                out["key"] = token & np.uint64(0xFFFFFFFF)
+                often = cells[cell(token, bits)] > FREQUENT
+                out["range"] = textvec.mix(np.where(often, out["h"], token)) % np.uint64(ranges) + often * ranges
+                parts.append(out)
+                held += len(out)
+            if held > _PACKED:
+                yield emit(parts)
+                parts, held = [], 0
+        yield emit(parts)
     return run
 
 
+def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
+    """For applyInArrow over a range: (kind, a, b, least) - pairs and the common words they need, or crowds."""
+    def run(table: pa.Table) -> pa.Table:
+        most = crowd if table["range"][0].as_py() < ranges else 0
+        columns = {c: [] for c in _COLUMNS}
+        for words in table["words"].to_pylist():
+            k, at = len(words) // _ROW, 0
+            for c in _COLUMNS:
+                columns[c].append(np.frombuffer(words, dtype=_WORD[c], count=k, offset=at))
+                at += k * _WORD[c].itemsize
+        key, h, n, pos = (np.concatenate(columns[c]) for c in _COLUMNS)
+        order = np.lexsort((h, key))
+        key, h, n, pos = key[order], h[order], n[order].astype(np.int64), pos[order].astype(np.int64)
+        new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))       # equal sets of other tasks
+        key, h, n, pos = key[new], h[new].view(np.int64), n[new], pos[new]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count = np.diff(np.append(first, len(key)))
+        out = []
+        for c in np.unique(count[(count > 1) & (count <= most)]):
+            rows = first[count == c]
+            for i in range(c):
+                for j in range(i + 1, c):
+                    out.append(_possible(rows + i, rows + j, h, n, pos, num, den))
+        a, b, least = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        many = np.flatnonzero(count > most)
+        members = np.concatenate([np.arange(first[i], first[i] + count[i]) for i in many]) if len(many) else many
+        return pa.table({
+            "kind": pa.array(np.repeat([0, 1], [len(a), len(members)]), pa.int32()),
+            "a": pa.array(np.append(a, key[members].astype(np.int64)), pa.int64()),
+            "b": pa.array(np.append(b, h[members]), pa.int64()),
+            "least": pa.array(np.append(least, np.zeros(len(members), np.int64)), pa.int32())})
+    return run
+
+
+def _possible(x, y, h, n, pos, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows with one word that pass the filters: set hashes (less first), common words needed."""
+    n_x, n_y, i, j = n[x], n[y], pos[x], pos[y]
+    need = -(-num * (n_x + n_y) // (num + den))
+    ok = (np.minimum(n_x, n_y) * den >= np.maximum(n_x, n_y) * num)
+    ok &= (i + need <= n_x + 1) & (j + need <= n_y + 1)
+    ok &= np.minimum(i, j) + 1 + np.minimum(n_x - i - 1, n_y - j - 1) >= need
+    x, y, n_x, n_y, need = x[ok], y[ok], n_x[ok], n_y[ok], need[ok]
+    # the longer prefix holds only where a line's own prefix reaches it
+    longer = (n_x - -(-num * n_x // den) > n_x - need) & (n_y - -(-num * n_y // den) > n_y - need) & (need > 1)
+    return np.minimum(h[x], h[y]), np.maximum(h[x], h[y]), 1 + longer.astype(np.int64)
+
+
 def _fetch(counts, texts, sets):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_bits, set_bits = len(texts.value).bit_length() - 1, len(sets.value).bit_length() - 1
         for batch in batches:
-            key = textvec.mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-            column = batch.column(1).take(pa.array(np.flatnonzero(texts.value[cell(key, text_bits)])))
-            for _, text, _, rows, values in line_sets(column, counts.value):
+            key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            kept = np.flatnonzero(texts.value[cell(textvec.mix(key), text_bits)])
+            column, hashes = batch.column(1).take(pa.array(kept)), key[kept]
+            for lo, text, _, rows, values in line_sets(column, counts.value):
                 n, some, end, h = _sets_of(rows, values, len(text))
-                wanted = sets.value[cell(textvec.mix(h), set_bits)]
+                wanted = sets.value[cell(textvec.mix(h + textvec.mix(hashes[lo + text[some]])), set_bits)]
+                wanted[np.setdiff1d(np.arange(len(some)), np.unique(h, return_index=True)[1])] = False
                 if not wanted.any():
                     continue
                 size = np.where(wanted, n[some], 0)
@@ -120,6 +220,11 @@ def _hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield textvec.mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
+def _places(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    h, text = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
+    yield textvec.mix(h + textvec.mix(text))
+
+
 def _earliest(num: int, den: int):
     """For applyInArrow over (x, y): the first place among a set's matches of the block pair."""
     def run(table: pa.Table) -> pa.Table:
@@ -136,26 +241,18 @@ def _earliest(num: int, den: int):
     return run
 
 
-def _candidates(lines: DataFrame, num: int, den: int, crowd: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _candidates(texts: DataFrame, num: int, den: int, crowd: int, counts, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of set hashes to verify, and crowds (token, h)."""
-    sets = (lines.where(F.size("prefix") > 0).groupBy("h")
-            .agg(F.max("n").alias("n"), F.any_value("prefix").alias("prefix")))
-    rows = sets.select("h", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "h", "n", "pos")
-    rows = scratch.store(rows.withColumn("met", F.count("*").over(Window.partitionBy("token"))).where("met > 1"), "shared")
-    few = rows.where(F.col("met") <= crowd)
-    left = few.select("token", *[F.col(c).alias(f"{c}_a") for c in ("h", "n", "pos")])
-    right = few.select("token", *[F.col(c).alias(f"{c}_b") for c in ("h", "n", "pos")])
-    n_a, n_b, i, j = F.col("n_a"), F.col("n_b"), F.col("pos_a"), F.col("pos_b")
-    possible = F.least(i, j) + 1 + F.least(n_a - i - 1, n_b - j - 1)
-    pairs = (left.join(right, "token").where(
-        (F.col("h_a") < F.col("h_b")) & similar_enough(n_a, n_b, num, den)
-        & (possible * (num + den) >= num * (n_a + n_b)))
-        .groupBy(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
-        .agg(F.count("*").alias("common"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")))
-    # words shared beyond the prefixes lie behind the prefix that ends first in the common order
-    behind = F.greatest(*[F.ceil(F.col(n) * num / den) - 1 for n in ("n_a", "n_b")])
-    pairs = pairs.where((F.col("common") + behind) * (num + den) >= num * (n_a + n_b)).select("a", "b")
-    return scratch.store(pairs, "pairs"), rows.where(F.col("met") > crowd).select("token", "h")
+    size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    ranges = int(size // RANGE_BYTES) + 1
+    rows = (texts.mapInArrow(_packed_prefixes(num, den, counts, ranges), "range int, words binary").groupBy("range")
+            .applyInArrow(_pairs_of_range(num, den, crowd, ranges), "kind int, a long, b long, least int"))
+    # common words of a pair add up over the ranges; a crowd's member counts by itself
+    found = scratch.store(rows.groupBy("kind", "a", "b").agg(F.count("*").alias("common"), F.max("least").alias("least"))
+                          .where("common >= least").select("kind", "a", "b"), "found")
+    crowds = found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("h"))
+    shared = crowds.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select("token")
+    return found.where("kind = 0").select("a", "b"), crowds.join(shared, "token")
 
 
 def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "doc_id", text: str = "text",
@@ -167,9 +264,8 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     narrow = docs.select(F.col(id_col).cast("long").alias("id"),
                          F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
     counts = broadcast(hash_counts(narrow.select("text"), _occurrences, bits))       # 2**bits cells
-    lines = scratch.store(narrow.mapInArrow(_line_rows(num, den, counts),
-                                            "id long, text_hash long, line int, n int, h long, prefix array<long>"), "lines")
-    pairs, crowds = _candidates(lines, num, den, crowd, scratch)
+    lines = scratch.store(narrow.mapInArrow(_line_rows(counts), "id long, text_hash long, line int, n int, h long"), "lines")
+    pairs, crowds = _candidates(narrow.select("text"), num, den, crowd, counts, scratch)
     hub = crowds.groupBy("token").agg(F.min("h").alias("b"))
     hints = pairs.unionByName(crowds.join(hub, "token").where("h <> b").select(F.col("h").alias("a"), "b").distinct())
     place = F.struct("id", "text_hash", "line")
@@ -178,11 +274,10 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     nodes = scratch.store(nodes.join(first, "h").select("h", "n", "first.*"), "nodes")
     blocks = scratch.store(placed(nodes.select("h", "n"), hints), "blocks")
     texts = broadcast(hash_counts(nodes.select("text_hash"), _hashes, FILTER_BITS) > 0)
-    wanted = broadcast(hash_counts(nodes.select("h"), _hashes, FILTER_BITS) > 0)
+    wanted = broadcast(hash_counts(nodes.select("h", "text_hash"), _places, FILTER_BITS) > 0)
     tokens = narrow.select("text_hash", "text").mapInArrow(_fetch(counts, texts, wanted), "h long, tokens array<long>")
-    tokens = scratch.store(tokens.join(nodes, "h").groupBy("h", "id", "text_hash", "line")
-                           .agg(F.any_value("tokens").alias("tokens")), "tokens")
-    earlier = (gathered(pairs, crowds, blocks).join(tokens, "h").groupBy("x", "y")
+    sets = nodes.select("h", "id", "text_hash", "line").join(tokens, "h")
+    earlier = (gathered(pairs, crowds, blocks).join(sets, "h").groupBy("x", "y")
                .applyInArrow(_earliest(num, den), "h long, id long, text_hash long, line int"))
     earlier = earlier.groupBy("h").agg(F.min(place).alias("match")).withColumnRenamed("h", "_h")
     least = (first.join(earlier, F.col("h") == F.col("_h"), "left")
