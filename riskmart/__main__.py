@@ -33,14 +33,15 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--war", required=True)
             c.add_argument("--economics", required=True)
             c.add_argument("--dump-mode", choices=("locale", "strict"), default="locale")
-            c.add_argument("--overwrite", choices=("static", "dynamic"), default="static")
             c.add_argument("--infer-schema", action="store_true",
                            help="infer the war file's types (extra pass) instead of the fixed schema")
+        c.add_argument("--as-of", type=date.fromisoformat, default=None if name == "marts" else date.today(),
+                       help="load date; marts: the last one by default")
         if name in ("all", "ingest", "curate"):
-            c.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+            c.add_argument("--overwrite", choices=("static", "dynamic"), default="static")
             c.add_argument("--id-type", default="bigint", help="int reproduces the reference's curated type")
         if name in ("all", "marts"):
-            c.add_argument("--rank", choices=("auto", "distributed", "plain"), default="auto")
+            c.add_argument("--rank", choices=("buckets", "plain"), default="buckets")
     pg = sub.add_parser("page")
     pg.add_argument("mart")
     pg.add_argument("number", nargs="?", default="1")
@@ -81,7 +82,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.command == "all":
         result = stages.run_all(spark, args.war, args.economics, args.root, args.as_of,
                                 args.database, args.dump_mode, args.id_type, args.rank,
-                                war_schema=None if args.infer_schema else stages.WAR_SOURCE_SCHEMA)
+                                war_schema=None if args.infer_schema else stages.WAR_SOURCE_SCHEMA,
+                                overwrite=args.overwrite)
         out = {"metrics": result.metrics.records}
     else:
         paths, metrics = stages.Paths(args.root), StageMetrics()
@@ -90,14 +92,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                           args.dump_mode, args.overwrite,
                           None if args.infer_schema else stages.WAR_SOURCE_SCHEMA)
         elif args.command == "curate":
-            stages.curate(spark, paths, args.as_of, metrics, args.database, args.id_type)
+            stages.curate(spark, paths, args.as_of, metrics, args.database, args.id_type,
+                          overwrite=args.overwrite)
         else:
-            stages.build_marts(spark, paths, metrics, args.database, rank_strategy=args.rank)
+            stages.build_marts(spark, paths, metrics, args.database, rank_strategy=args.rank, as_of=args.as_of)
         out = {"metrics": metrics.collect()}
     print(json.dumps(out, default=str))
     return out
 
 
 if __name__ == "__main__":
-    main(sys.argv[1:])
-    sys.exit(0)
+    sys.exit(1 if "error" in main(sys.argv[1:]) else 0)

@@ -64,10 +64,10 @@ def composite_id(*parts: str, sep: str = "_"):
 
 
 def conform(df: DataFrame, schema: T.StructType = TARGET_SCHEMA) -> DataFrame:
-    """Cast to the target types and order; a column the feed lacks becomes a typed null."""
+    """Target types and order; a value that does not fit, or a column the feed lacks, is a typed null."""
     have = set(df.columns)
     return df.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in have else typed_null(f.dataType)).alias(f.name)
+        (F.col(f.name).try_cast(f.dataType) if f.name in have else typed_null(f.dataType)).alias(f.name)
         for f in schema.fields])
 
 
@@ -114,15 +114,6 @@ def mean_of(lo: str, hi: str):
     return F.expr(f"(`{lo}` + `{hi}`) / 2")
 
 
-def interval_columns(df: DataFrame, lo: str = "lcl", hi: str = "ucl", mode: str = "") -> DataFrame:
-    """The tutorial's transformation step with its intended switch.
-
-    ``mode="noop"``: no change. Otherwise add ``avg`` = (lo+hi)/2 and copies
-    ``lcl2``/``ucl2``; ``mode="full"`` then drops them again (the plan keeps the
-    work only if something reads it — Catalyst prunes it).
-    """
-    mode = mode.lower()
-    if mode == "noop":
-        return df
-    out = df.withColumns({"avg": mean_of(lo, hi), "lcl2": F.col(lo), "ucl2": F.col(hi)})
-    return out.drop("avg", "lcl2", "ucl2") if mode == "full" else out
+def interval_columns(df: DataFrame, lo: str = "lcl", hi: str = "ucl") -> DataFrame:
+    """Add ``avg``, the mean of two columns, and copies ``lcl2`` and ``ucl2`` of them."""
+    return df.withColumns({"avg": mean_of(lo, hi), "lcl2": F.col(lo), "ucl2": F.col(hi)})

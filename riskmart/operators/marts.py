@@ -101,42 +101,46 @@ def ongoing_base_sql(spark: SparkSession, war_table: str, economics_table: str,
         WHERE e.status = :status""", args={"status": status})
 
 
-def humanitarian_from_base(base: DataFrame, rank_strategy: str = "auto",
-                           materialize: bool = True, row_bound: int | None = None) -> DataFrame:
-    """``materialize=False`` when ``base`` is a stored table (it is read twice)."""
-    return global_rank(base.select(*HUMANITARIAN_COLUMNS), HUMANITARIAN_ORDER,
-                       strategy=rank_strategy, materialize=materialize, row_bound=row_bound)
+def humanitarian_scored(base: DataFrame) -> DataFrame:
+    return base.select(*HUMANITARIAN_COLUMNS)
 
 
-def government_from_base(base: DataFrame, rank_strategy: str = "auto",
-                         materialize: bool = True, row_bound: int | None = None) -> DataFrame:
-    scored = base.select(*GOVERNMENT_COLUMNS).withColumn(
+def government_scored(base: DataFrame) -> DataFrame:
+    return base.select(*GOVERNMENT_COLUMNS).withColumn(
         "crisis_score", weighted_score(_terms(CRISIS_WEIGHTS)))
-    return global_rank(scored, desc("crisis_score"), strategy=rank_strategy,
-                       materialize=materialize, row_bound=row_bound)
 
 
-def finance_from_base(base: DataFrame, rank_strategy: str = "auto",
-                      materialize: bool = True, row_bound: int | None = None) -> DataFrame:
-    scored = base.select(*FINANCE_COLUMNS).withColumn(
+def finance_scored(base: DataFrame) -> DataFrame:
+    return base.select(*FINANCE_COLUMNS).withColumn(
         "risk_score", weighted_score(_terms(RISK_WEIGHTS)))
-    return global_rank(scored, desc("risk_score"), strategy=rank_strategy,
-                       materialize=materialize, row_bound=row_bound)
+
+
+def humanitarian_from_base(base: DataFrame, rank_strategy: str = "buckets", **how) -> DataFrame:
+    """``how`` goes to ``global_rank`` (``position``, ``buckets``), here and below."""
+    return global_rank(humanitarian_scored(base), HUMANITARIAN_ORDER, strategy=rank_strategy, **how)
+
+
+def government_from_base(base: DataFrame, rank_strategy: str = "buckets", **how) -> DataFrame:
+    return global_rank(government_scored(base), desc("crisis_score"), strategy=rank_strategy, **how)
+
+
+def finance_from_base(base: DataFrame, rank_strategy: str = "buckets", **how) -> DataFrame:
+    return global_rank(finance_scored(base), desc("risk_score"), strategy=rank_strategy, **how)
 
 
 def humanitarian(war: DataFrame, economics: DataFrame, status: str = "Ongoing",
-                 rank_strategy: str = "auto") -> DataFrame:
-    return humanitarian_from_base(ongoing_base(war, economics, status), rank_strategy)
+                 rank_strategy: str = "buckets", **how) -> DataFrame:
+    return humanitarian_from_base(ongoing_base(war, economics, status), rank_strategy, **how)
 
 
 def government(war: DataFrame, economics: DataFrame, status: str = "Ongoing",
-               rank_strategy: str = "auto") -> DataFrame:
-    return government_from_base(ongoing_base(war, economics, status), rank_strategy)
+               rank_strategy: str = "buckets", **how) -> DataFrame:
+    return government_from_base(ongoing_base(war, economics, status), rank_strategy, **how)
 
 
 def finance(war: DataFrame, economics: DataFrame, status: str = "Ongoing",
-            rank_strategy: str = "auto") -> DataFrame:
-    return finance_from_base(ongoing_base(war, economics, status), rank_strategy)
+            rank_strategy: str = "buckets", **how) -> DataFrame:
+    return finance_from_base(ongoing_base(war, economics, status), rank_strategy, **how)
 
 
 MARTS = {

@@ -1,15 +1,14 @@
 """Stable paging over a ranked table.
 
-Page ``p`` of size ``n`` holds the rows at positions ``(p-1)·n+1 … p·n`` in
-``(rank, id)`` order. A rank is the position of the first row of its tie group,
-so the row at position ``a`` has the largest rank ``r_a ≤ a`` and every row of
-the page has a rank in ``[r_a, p·n]``. Two small steps therefore replace a sort
-of the whole table: one aggregate finds ``r_a`` (a pushed-down ``rank <= a``
-filter on a stored mart), then only the rows with a rank in that window are
-sorted, skipping the ``a - r_a`` rows of the same tie group before the page.
-When that skip is large (a tie group can hold a third of the table), it is
-narrowed with quantile cuts first, so no task ever holds more than a bounded
-number of rows.
+Page ``p`` of size ``n`` holds the rows at positions ``(p-1)·n+1 … p·n`` of the
+table in (rank, id) order; rows that agree in both are ordered by their hash, so
+every row has one position and is on one page. Gold tables store the position
+(``POSITION``, unique) and are sorted by it, so a page is one filter on a range of
+positions that reaches the Parquet scan and skips the other row groups. The total
+comes from the table's stored row count.
+
+A frame without stored positions gets them from the same range-bucket plan that
+ranks tables; there is no ordered offset over the table.
 """
 
 from __future__ import annotations
@@ -20,9 +19,9 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskmart.functions.columns import sanitize_floats
+from riskmart.operators.ranking import asc, global_rank
 
 PAGE_SIZE = 5   # fixed value: rows per page, as the reference's API serves them
 # The pageable marts by public name → gold table name.
@@ -31,7 +30,8 @@ MART_TABLES = {
     "government": "gold_output_government",
     "finance": "gold_output_finance",
 }
-OFFSET_LIMIT = 10_000   # largest offset taken with a plain ordered offset
+POSITION = "position"    # gold tables' stored place, 1 to the number of rows
+ROWS_PROPERTY = "riskmart.rows"
 
 
 @dataclass
@@ -58,104 +58,28 @@ def page_number(raw) -> int:
     return max(number, 1)
 
 
-def _narrow_by_sample(df: DataFrame, key: str, k: int, size: int, n: int,
-                      sample_rows: int = 4096):
-    """One pass of a two-sided cut around position ``k`` for any orderable key.
-
-    A bounded sample (sorted by Spark) gives two candidate bounds a few standard
-    errors either side of ``k``; exact counts then check that the rows wanted lie
-    between them. Returns ``(df, k)`` narrowed, or ``None`` when the sample was
-    unlucky or no narrowing is possible.
-    """
-    fraction = min(1.0, 2.0 * sample_rows / n)
-    sample = [r[0] for r in df.select(key).sample(False, fraction, seed=k % 1_000_003)
-              .filter(F.col(key).isNotNull()).orderBy(key).limit(4 * sample_rows).collect()]
-    if len(sample) < 16:
-        return None
-    pos = k / n * len(sample)
-    margin = 3.0 * math.sqrt(len(sample)) + 2
-    lo = sample[int(pos - margin)] if pos - margin >= 0 else None
-    hi = sample[int(pos + margin)] if pos + margin < len(sample) - 1 else None
-    if lo is None and hi is None:
-        return None
-    c = F.col(key)
-    below, upto = df.agg(
-        F.count_if(c < lo) if lo is not None else F.lit(0),
-        F.count_if(c <= hi) if hi is not None else F.count(F.lit(1))).first()
-    if below > k or upto < min(n, k + size):
-        return None
-    if lo is not None:
-        df = df.filter(c >= lo)
-    if hi is not None:
-        df = df.filter(c <= hi)
-    return df, k - below
-
-
-def skip_sorted(df: DataFrame, key: str, k: int, size: int,
-                offset_limit: int = OFFSET_LIMIT) -> DataFrame:
-    """Rows ``k … k+size-1`` (0-based) of ``df`` ordered by ``key`` (non-null, unique).
-
-    A plain ``offset(k)`` keeps ``k + size`` rows per task and merges them in one
-    task. Here, while ``k`` is large, the rows before the target are cut off
-    first and only a short offset is left: for a numeric key by an approximate
-    quantile (rank error ≤ offset_limit/4) and an exact count below the cut; for
-    any other orderable key by a two-sided cut from a bounded sample, which
-    shrinks the candidate rows about tenfold per pass.
-    """
-    numeric = isinstance(df.schema[key].dataType, T.NumericType)
-    for _ in range(64):                      # each pass shrinks the problem; bounded anyway
-        if k <= offset_limit:
-            break
-        n = df.count()
-        if k >= n:
-            return df.limit(0)
-        if numeric:
-            eps = offset_limit / (4.0 * n)
-            cut = df.approxQuantile(key, [max(0.0, (k - offset_limit / 2) / n)], eps)[0]
-            below = df.filter(F.col(key) < cut).count()
-            if below == 0 or below > k:      # no progress: try the sample cut instead
-                numeric = False
-                continue
-            df = df.filter(F.col(key) >= cut)
-            k -= below
-        else:
-            narrowed = _narrow_by_sample(df, key, k, size, n)
-            if narrowed is None:
-                break
-            df, k = narrowed
-    return df.orderBy(key).offset(k).limit(size)
+def with_position(df: DataFrame, order: Sequence[str] = ("rank", "id")) -> DataFrame:
+    """``df`` with the unique place of every row in ``order``."""
+    return global_rank(df, asc(*order), name="_order", ties=(), position=POSITION).drop("_order")
 
 
 def page_rows(df: DataFrame, number: int, size: int = PAGE_SIZE,
-              order: Sequence[str] = ("rank", "id"), rank_col: str | None = "rank",
-              offset_limit: int = OFFSET_LIMIT) -> DataFrame:
-    """The rows of one page (lazy, except small aggregates when ranked)."""
+              order: Sequence[str] = ("rank", "id")) -> DataFrame:
+    """The rows of one page, in order."""
     number = page_number(number)
-    first = (number - 1) * size + 1
-    last = number * size
-    if rank_col is None:
-        return df.orderBy(*order).offset(first - 1).limit(size)
-    r_first = df.filter(F.col(rank_col) <= first).agg(F.max(rank_col)).first()[0]
-    if r_first is None:
-        return df.limit(0)
-    skip = first - r_first                   # rows of the tie group before the page
-    single_tiebreak = len(order) == 2 and order[0] == rank_col
-    if skip <= offset_limit or not single_tiebreak:
-        window = df.filter((F.col(rank_col) >= r_first) & (F.col(rank_col) <= last))
-        return window.orderBy(*order).offset(skip).limit(size)
-    head = skip_sorted(df.filter(F.col(rank_col) == r_first), order[1], skip, size, offset_limit)
-    tail = (df.filter((F.col(rank_col) > r_first) & (F.col(rank_col) <= last))
-            .orderBy(*order).limit(size))
-    return head.unionByName(tail).orderBy(*order).limit(size)
+    if POSITION not in df.columns:
+        df = with_position(df, order)
+    wanted = F.col(POSITION).between((number - 1) * size + 1, number * size)
+    return df.where(wanted).orderBy(POSITION).drop(POSITION)
 
 
 def page(df: DataFrame, number, size: int = PAGE_SIZE, order: Sequence[str] = ("rank", "id"),
-         rank_col: str | None = "rank", sanitize: bool = True) -> Page:
-    """One page plus its metadata; past the end gives an empty page."""
+         sanitize: bool = True, total: int | None = None) -> Page:
+    """One page plus its metadata; past the end gives an empty page. ``total`` spares the count."""
     number = page_number(number)
-    total = df.count()
+    total = df.count() if total is None else total
     total_pages = max(1, math.ceil(total / size))
-    rows = page_rows(df, number, size, order, rank_col)
+    rows = page_rows(df, number, size, order)
     if sanitize:
         rows = sanitize_floats(rows)
     return Page(number, size, total, total_pages, rows)
@@ -172,4 +96,6 @@ def page_mart(spark: SparkSession, mart: str, number, database: str = "default",
     """A page of a stored mart by its public name (L2)."""
     if mart not in MART_TABLES:
         raise KeyError(f"unknown mart {mart!r}; expected one of {sorted(MART_TABLES)}")
-    return page(spark.table(f"{database}.{MART_TABLES[mart]}"), number, size)
+    name = f"{database}.{MART_TABLES[mart]}"
+    stored = [r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if r.key == ROWS_PROPERTY]
+    return page(spark.table(name), number, size, total=int(stored[0]) if stored else None)

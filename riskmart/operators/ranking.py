@@ -1,57 +1,44 @@
 """Global ``rank()`` over a whole table without sending every row to one task.
 
 ``rank() OVER (ORDER BY k DESC)`` with no PARTITION BY makes Spark move all rows
-into a single partition and sort them there. That is fine for a few thousand
-rows and fatal for billions. The identity used here:
-
-    rank(row) = 1 + (number of rows whose sort key comes strictly before row's)
-
-so only the *distinct* sort keys need ordering, each carrying its row count:
-
-1. ``groupBy(keys).count()`` – partial aggregation on the map side collapses
-   hot keys (a key holding a third of the table becomes one row per map task).
-2. The distinct keys get an exclusive running sum of counts. Few keys: one
-   window over the key table. Many keys: the key table is cut into range
-   buckets (cut points from a bounded sample, frozen as literals, so the
-   bucket is a pure function of the row and stable on task retry); the bucket
-   totals (≤ ``max_buckets`` rows) give each bucket's offset, and a window
-   per bucket finishes the running sum. Keys are unique in that table, so the
-   buckets are balanced whatever the skew of the rows.
-3. The rows are joined back to their key's rank: broadcast when the key table
-   is under a checked size (key count bound × row size ≤ 32 MB), otherwise a
-   shuffle join where AQE splits skewed keys.
-
-The input is read twice (keys, then the join back), so by default it is first
-written once to shared storage; the row count and an HLL estimate of the key
-count are observed during that write, at no extra pass. When that exact row
-count is small (≤ ``plain_rows``, 500k), one window over the rows is cheaper and
-still bounded, and is used instead. Intermediate tables go to files under
-``spark.checkpoint.dir``, so an executor loss costs a re-read, not a
-recomputation that could differ.
+into one partition. Here the table is cut into range buckets, one plan for every
+size:
+
+1. A sample gives the cut points: rows fall into a fixed number of hash cells and
+   each cell keeps one row (a partial aggregate, so a task sends at most one row
+   per cell). Cuts are on (order keys, tie columns, row hash), so a key that holds
+   a third of the rows is itself cut; they are one literal from then on, and a row's
+   bucket is a pure function of the row, stable on task retry.
+2. The rows are shuffled once by bucket and ranked inside it.
+3. One row per bucket (row count, first key, last key) gives every bucket's
+   offset, and carries the rank of a run of equal keys across bucket borders. It
+   is joined back by broadcast: two numbers for each bucket.
+
+Finding a bucket is a binary search in an array literal.
+The only job that runs before the caller's action is the sample. ``position``
+asks for the row's place in (order keys, tie columns, row hash), which no two
+rows share: paging reads it.
 
 Null and NaN follow Spark's ordering: NaN is the largest value, ``desc`` puts
 nulls last, ``asc`` puts nulls first. Ranks are BIGINT (Spark's own ``rank()`` is
-INT and would overflow past 2^31 rows).
+INT and would overflow past 2^31 rows). ``plain`` is Spark's single-task window,
+for comparison.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.session import scratch_path
-
 OrderSpec = Sequence[tuple[str, bool]]   # (column, descending)
 
-# Key-count estimate: HyperLogLog with 1% relative standard error; the bound
-# used for the one-window and broadcast decisions adds 10% (about ten standard
-# errors), or is the exact row / key count when one is known.
-HLL_RSD = 0.01
-KEY_MARGIN = 1.1
+CELLS_PER_BUCKET = 32
+MOST_CELLS = 1 << 16                     # sampled rows that reach the driver, at most
+CUT_CHARS = 64                           # a text key is cut on its first characters
 
 
 def desc(*names: str) -> list[tuple[str, bool]]:
@@ -71,198 +58,107 @@ def plain_rank(df: DataFrame, order: OrderSpec, name: str = "rank") -> DataFrame
     return df.withColumn(name, F.rank().over(Window.orderBy(*_sort_cols(order))).cast("long"))
 
 
-def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b):
-        return True
-    return a == b
-
+def _cut_key(name: str, data_type: T.DataType) -> Column:
+    """A key as it is compared with cuts: never later than the key's own order puts it."""
+    if isinstance(data_type, T.StringType):
+        return F.left(F.col(name), F.lit(CUT_CHARS))
+    if isinstance(data_type, T.BinaryType):
+        return F.substring(F.col(name), 1, CUT_CHARS)
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(F.col(name))            # no time-zone round trip through Python
+    return F.col(name)
 
-def _literal(value, data_type: T.DataType) -> Column:
-    """A literal of exactly the key's type (no time-zone round trip for local timestamps)."""
-    if isinstance(data_type, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(data_type)
-    return F.lit(value).cast(data_type)
 
+def _cuts(keyed: DataFrame, order: OrderSpec, buckets: int) -> list[str]:
+    """At most ``buckets - 1`` ascending cut tuples over the columns of ``order``, as JSON objects.
 
-def _before(order: OrderSpec, cut: tuple, key_names: Sequence[str],
-            types: Sequence[T.DataType]) -> Column:
-    """True when the row's key tuple sorts strictly before the literal ``cut``."""
-    expr = None
-    for (_, descending), name, value, data_type in reversed(list(zip(order, key_names, cut,
-                                                                     types))):
+    What JSON cannot hold exactly (parts of a millisecond) is cut off the same way for all cuts,
+    which keeps their order; a cut need not be a value that occurs.
+    """
+    names = [c for c, _ in order]
+    cells = min(buckets * CELLS_PER_BUCKET, MOST_CELLS)
+    sample = (keyed.groupBy(F.pmod(F.col("_tie"), F.lit(cells)).alias("_cell"))
+              .agg(F.min_by(F.struct(*names), F.xxhash64(F.lit("cut"), "_tie")).alias("_row"))
+              .select("_row", "_row.*").repartition(1).sortWithinPartitions(*_sort_cols(order))
+              .select(F.to_json("_row").alias("cut")).collect())
+    chosen = [sample[i * len(sample) // buckets].cut for i in range(1, buckets)] if sample else []
+    return list(dict.fromkeys(chosen))
+
+
+def _before(order: OrderSpec, cut: Sequence[Column]) -> Column:
+    """True when the row's tuple sorts strictly before the tuple ``cut``."""
+    def step(rest: Column, part: tuple) -> Column:
+        (name, descending), value = part
         col = F.col(name)
-        if value is None:
-            lt = col.isNotNull() if descending else F.lit(False)
-            eq = col.isNull()
-        else:
-            lit = _literal(value, data_type)
-            if descending:
-                lt = F.coalesce(col > lit, F.lit(False))
-            else:
-                lt = col.isNull() | F.coalesce(col < lit, F.lit(False))
-            eq = F.coalesce(col == lit, F.lit(False))  # Spark: NaN = NaN is true
-        expr = lt if expr is None else (lt | (eq & expr))
-    return expr
-
-
-def _bucket_expr(order: OrderSpec, cuts: list[tuple], key_names: Sequence[str],
-                 types: Sequence[T.DataType], lo: int, hi: int) -> Column:
-    """Binary search over the cuts as nested CASE: bucket = #cuts ≤ row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return (F.when(_before(order, cuts[mid], key_names, types),
-                   _bucket_expr(order, cuts, key_names, types, lo, mid))
-            .otherwise(_bucket_expr(order, cuts, key_names, types, mid + 1, hi)))
-
-
-def _cut_points(keyed: DataFrame, order: OrderSpec, key_names: Sequence[str],
-                n_keys: int, buckets: int) -> list[tuple]:
-    """Up to ``buckets - 1`` cut tuples from a bounded sample of the distinct keys."""
-    target = min(buckets * 64, 1 << 17)     # ≤ 131k sampled keys reach the driver
-    fraction = min(1.0, 1.5 * target / max(n_keys, 1))
-    sort_cols = [F.col(k).desc_nulls_last() if d else F.col(k).asc_nulls_first()
-                 for k, (_, d) in zip(key_names, order)]
-    # A sample of ~target rows, hard-capped: only cut points reach the driver.
-    sample = (keyed.select(*key_names).sample(False, fraction, seed=20260325)
-              .orderBy(*sort_cols).limit(target * 4).collect())
-    if len(sample) < 2:
-        return []
-    step = len(sample) / buckets
-    cuts: list[tuple] = []
-    for i in range(1, buckets):
-        cut = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not cuts or not all(_same(a, b) for a, b in zip(cuts[-1], cut)):
-            cuts.append(cut)
-    return cuts
-
-
-def rank_keys(keyed: DataFrame, order: OrderSpec, key_names: Sequence[str], n_keys: int,
-              name: str, window_limit: int, max_buckets: int,
-              rows_per_bucket: int) -> DataFrame:
-    """Rank a table of *distinct* keys with a ``_n`` row count per key."""
-    sort_cols = [F.col(k).desc_nulls_last() if d else F.col(k).asc_nulls_first()
-                 for k, (_, d) in zip(key_names, order)]
-    if n_keys <= window_limit:
-        w = Window.orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return keyed.withColumn(name, (F.sum("_n").over(w) - F.col("_n") + 1).cast("long"))
-
-    buckets = max(2, min(max_buckets, math.ceil(n_keys / rows_per_bucket)))
-    cuts = _cut_points(keyed, order, key_names, n_keys, buckets)
-    types = [keyed.schema[k].dataType for k in key_names]
-    bucketed = keyed.withColumn("_b", _bucket_expr(order, cuts, key_names, types, 0, len(cuts)))
-    # One row per bucket: the offset is the total of all earlier buckets.
-    totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    offsets = totals.select(
-        "_b",
-        F.coalesce(F.sum("_bn").over(Window.orderBy("_b").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_b").orderBy(*sort_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (bucketed.join(F.broadcast(offsets), "_b")      # ≤ max_buckets rows
-            .withColumn(name, (F.col("_off") + F.sum("_n").over(inner) - F.col("_n") + 1)
-                        .cast("long"))
-            .drop("_b", "_off"))
-
-
-def _materialize(df: DataFrame, key_cols: Sequence[str]) -> tuple[DataFrame, int, int]:
-    """Write ``df`` once to shared storage; row count and an HLL key count come with it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "rank_input")
-    obs = Observation(f"rank_input_{path.rsplit('-', 1)[-1]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.approx_count_distinct(F.struct(*key_cols), HLL_RSD).alias("keys"))
-    observed.write.mode("overwrite").parquet(path)
-    stats = obs.get
-    return spark.read.parquet(path), int(stats["rows"]), int(stats["keys"])
-
-
-def _store(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write a table once (lineage cut on shared storage); its row count comes with it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    obs = Observation(f"{name}_{path.rsplit('-', 1)[-1]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
-
-
-def _key_row_bytes(df: DataFrame, order: OrderSpec) -> int:
-    """Rough in-memory size of one ranked-key row: key values, rank, hash-table overhead."""
-    size = 8 + 32
-    for c, _ in order:
-        t = df.schema[c].dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            size += 32
-        elif isinstance(t, T.DecimalType):
-            size += 16
-        else:
-            size += 8
-    return size
-
-
-def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "auto",
-                materialize: bool = True, row_bound: int | None = None,
-                plain_rows: int = 500_000, window_limit: int = 1_000_000,
-                broadcast_bytes: int = 32 << 20,
-                max_buckets: int = 4096, rows_per_bucket: int = 500_000) -> DataFrame:
+        first = (col > value) | (col.isNotNull() & value.isNull()) if descending else \
+            (col < value) | (col.isNull() & value.isNotNull())
+        return F.coalesce(first, F.lit(False)) | (col.eqNullSafe(value) & rest)
+    return reduce(step, reversed(list(zip(order, cut))), F.lit(False))
+
+
+def with_bucket(df: DataFrame, order: OrderSpec, ties: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with ``_tie`` (row hash) and ``_b``: the number of cuts at or before the row."""
+    types = {f.name: f.dataType for f in df.schema}
+    keyed = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    full = [*order, *[(t, False) for t in ties]]
+    cut_order = [(f"_k{i}", d) for i, (_, d) in enumerate(full)] + [("_tie", False)]
+    for i, (c, _) in enumerate(full):
+        keyed = keyed.withColumn(f"_k{i}", _cut_key(c, types[c]))
+    cuts = _cuts(keyed.select(*[c for c, _ in cut_order]), cut_order, buckets)
+    kind = T.ArrayType(T.StructType([keyed.schema[c] for c, _ in cut_order]))
+    table = F.from_json(F.lit("[" + ",".join(cuts) + "]"), kind)       # folded to one literal
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+
+    def step(at: Column, size: Column) -> Column:
+        cut = F.element_at(table, F.least(at + size, F.lit(len(cuts))))
+        here = [cut[c] for c, _ in cut_order]
+        return at + F.when((at + size <= len(cuts)) & ~_before(cut_order, here), size).otherwise(0)
+
+    # a binary search as one expression: the optimizer may copy it without it growing
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if cuts else F.lit(0)
+    keyed = keyed.withColumn("_b", F.coalesce(found, F.lit(0)))
+    return keyed.drop(*[f"_k{i}" for i in range(len(full))])
+
+
+def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: str = "buckets",
+                ties: Sequence[str] | None = None, position: str | None = None,
+                buckets: int | None = None) -> DataFrame:
     """Append ``name`` = ``rank()`` over the whole table in ``order``.
 
-    strategy ``plain`` is Spark's single-task window. ``auto`` uses that window
-    only when the input has at most ``plain_rows`` rows (an exact count, so the
-    one task is bounded); else it ranks the distinct keys with one window while
-    (by an HLL estimate, with margin) there are at most ``window_limit`` of them,
-    and with range buckets beyond. ``distributed`` always uses the buckets.
-
-    ``materialize`` writes the input once first, so an expensive input (a join)
-    is computed once although the rank reads it twice; pass ``False`` when the
-    input is already a stored table. ``row_bound`` (a known upper bound on the
-    row count, e.g. observed when the input was written) spares the key-count
-    estimate when it is already small enough.
+    ``ties`` (``id`` if there is such a column) only spread rows of equal keys and
+    order them for ``position``, an optional unique place from 1 on. ``buckets``
+    defaults to the session's number of shuffle partitions.
     """
-    if strategy not in ("plain", "auto", "distributed"):
+    if strategy not in ("plain", "buckets"):
         raise ValueError(f"unknown rank strategy {strategy!r}")
-    if name in df.columns:
-        df = df.drop(name)                   # re-ranking replaces the old column
-    if strategy == "plain":
+    df = df.drop(name, *([position] if position else []))    # re-ranking replaces the old columns
+    if strategy == "plain" and position is None:
         return plain_rank(df, order, name)
-
     columns = df.columns
-    if materialize:
-        df, n_rows, est_keys = _materialize(df, [c for c, _ in order])
-        if strategy == "auto" and n_rows <= plain_rows:
-            # Few rows (exact count): one bounded task sorts them; no key table.
-            return plain_rank(df, order, name)
-        bound = min(n_rows, int(est_keys * KEY_MARGIN) + 100)
-    elif strategy == "distributed":
-        bound = None       # the exact key count comes with the stored key table below
-    elif row_bound is not None and row_bound <= plain_rows:
-        return plain_rank(df, order, name)
-    elif row_bound is not None and row_bound <= window_limit:
-        bound = row_bound
-    else:
-        n_rows, est_keys = df.select(
-            F.count(F.lit(1)),
-            F.approx_count_distinct(F.struct(*[c for c, _ in order]), HLL_RSD)).first()
-        if strategy == "auto" and n_rows <= plain_rows:
-            return plain_rank(df, order, name)
-        bound = min(n_rows, int(est_keys * KEY_MARGIN) + 100)
-
-    key_names = [f"_k{i}" for i in range(len(order))]
-    keyed = (df.groupBy(*[F.col(c).alias(k) for (c, _), k in zip(order, key_names)])
-             .agg(F.count(F.lit(1)).alias("_n")))
-    if strategy == "auto" and bound is not None and bound <= window_limit:
-        ranked = rank_keys(keyed, order, key_names, bound, name, window_limit, max_buckets,
-                           rows_per_bucket)
-    else:
-        # Many keys: store the key table once; cut points sample it, buckets rank it.
-        keyed, n_keys = _store(keyed, "rank_keys")
-        bound = n_keys
-        # Forced bucketing splits even a small key table (at least 8 buckets).
-        per_bucket = rows_per_bucket if strategy == "auto" else \
-            min(rows_per_bucket, max(1, n_keys // 8))
-        ranked = rank_keys(keyed, order, key_names, n_keys, name, 0, max_buckets, per_bucket)
-    ranked = ranked.select(*key_names, name)
-    if bound * _key_row_bytes(df, order) <= broadcast_bytes:
-        ranked = F.broadcast(ranked)       # size bound checked: ≤ broadcast_bytes per executor
-    cond = [df[c].eqNullSafe(ranked[k]) for (c, _), k in zip(order, key_names)]
-    return df.join(ranked, cond, "inner").select(*[df[c] for c in columns], ranked[name])
+    keys = [c for c, _ in order]
+    ties = [t for t in (("id",) if ties is None else ties) if t in columns and t not in keys]
+    if buckets is None:
+        buckets = 1 if strategy == "plain" else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = with_bucket(df, order, ties, max(1, buckets))
+    by_key = Window.partitionBy("_b").orderBy(*_sort_cols(order))
+    by_row = Window.partitionBy("_b").orderBy(*_sort_cols(order), *_sort_cols(asc(*ties)), "_tie")
+    if position:
+        cut = cut.withColumn("_p", F.row_number().over(by_row))
+    local = cut.withColumn("_r", F.rank().over(by_key))
+
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    each = local.groupBy("_b").agg(F.count("*").alias("rows"), F.min_by(key, "_r").alias("first"),
+                                   F.max_by(key, "_r").alias("last"), F.max("_r").alias("run"))
+    up = Window.orderBy("_b")                        # one row for each bucket
+    past = up.rowsBetween(Window.unboundedPreceding, -1)
+    each = (each.withColumn("off", F.coalesce(F.sum("rows").over(past), F.lit(0)))
+            .withColumn("goes_on", F.col("first").eqNullSafe(F.lag("last").over(up)) & F.lag("rows").over(up).isNotNull())
+            # rank of the run that the bucket ends in, unless that run came in from before
+            .withColumn("start", F.when((F.col("run") > 1) | ~F.col("goes_on"), F.col("off") + F.col("run"))))
+    each = each.select(F.col("_b").alias("_bucket"), F.col("off").alias("_off"),
+                       F.when(F.col("goes_on"), F.last("start", ignorenulls=True).over(past))
+                       .otherwise(F.col("off") + 1).alias("_first"))
+    out = local.join(F.broadcast(each), F.col("_b") == F.col("_bucket"))       # one row for each bucket
+    rank = F.when(F.col("_r") == 1, F.col("_first")).otherwise(F.col("_off") + F.col("_r")).cast("long")
+    more = [(F.col("_off") + F.col("_p")).cast("long").alias(position)] if position else []
+    return out.select(*[F.col(f"`{c}`") for c in columns], rank.alias(name), *more)

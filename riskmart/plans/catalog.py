@@ -90,6 +90,10 @@ SELECT *, rank() OVER (ORDER BY risk_score DESC NULLS LAST) AS rank FROM scored
 """
 
 
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.ongoing_base(war_like(spark, sf_dir), economics_like(spark, sf_dir))
+
+
 @register("mart_government", GOVERNMENT_SQL)
 def mart_government(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.government(war_like(spark, sf_dir), economics_like(spark, sf_dir))
@@ -107,22 +111,22 @@ def mart_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("mart_government_distributed", GOVERNMENT_SQL)
 def mart_government_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The government mart with the range-bucket rank forced (the large-table path)."""
+    """The government mart ranked in many small buckets."""
     return marts.government(war_like(spark, sf_dir), economics_like(spark, sf_dir),
-                            rank_strategy="distributed")
+                            buckets=64)
 
 
 @register("mart_humanitarian_distributed", HUMANITARIAN_SQL)
 def mart_humanitarian_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two descending keys with heavy ties, bucketed rank forced."""
+    """Two descending keys with heavy ties, many small buckets."""
     return marts.humanitarian(war_like(spark, sf_dir), economics_like(spark, sf_dir),
-                              rank_strategy="distributed")
+                              buckets=64)
 
 
 @register("mart_finance_distributed", FINANCE_SQL)
 def mart_finance_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.finance(war_like(spark, sf_dir), economics_like(spark, sf_dir),
-                         rank_strategy="distributed")
+                         buckets=64)
 
 
 @register("mart_government_sql", GOVERNMENT_SQL)
@@ -142,7 +146,7 @@ SELECT o_orderkey, o_totalprice, rank() OVER (ORDER BY o_totalprice DESC NULLS L
 FROM orders""")
 def rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return ranking.global_rank(orders, ranking.desc("o_totalprice"), strategy="distributed")
+    return ranking.global_rank(orders, ranking.desc("o_totalprice"), buckets=32)
 
 
 @register("rank_key_window", """
@@ -150,10 +154,10 @@ SELECT o_orderkey,
        rank() OVER (ORDER BY o_orderpriority DESC NULLS LAST, o_orderstatus ASC NULLS FIRST) AS rank
 FROM orders""")
 def rank_key_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few distinct keys, heavy ties: rank the key table in one window, join back."""
+    """Few distinct keys, heavy ties: runs of equal keys cross many bucket borders."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     order = [("o_orderpriority", True), ("o_orderstatus", False)]
-    return ranking.global_rank(orders, order, plain_rows=0).select("o_orderkey", "rank")
+    return ranking.global_rank(orders, order, ties=("o_orderkey",), buckets=64).select("o_orderkey", "rank")
 
 
 _NULL_KEY_SQL = """CASE WHEN o_orderstatus = 'F' THEN NULL
@@ -180,7 +184,7 @@ def rank_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", _null_key().alias("key"))
     order = [("key", True), ("o_custkey", False)]
-    return ranking.global_rank(orders, order, strategy="distributed").select("o_orderkey", "rank")
+    return ranking.global_rank(orders, order, buckets=32).select("o_orderkey", "rank")
 
 
 # ------------------------------------------------------------ paging
@@ -188,21 +192,42 @@ def rank_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("page_finance", f"SELECT * FROM ({FINANCE_SQL}) ORDER BY rank, id LIMIT 5 OFFSET 10")
 def page_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page 3 of the stored finance mart (the API pages gold tables, not plans)."""
-    return paging.page(_stored(mart_finance(spark, sf_dir), "gold_finance"), 3).rows
+    return paging.page(_stored(marts.finance_from_base, spark, sf_dir), 3).rows
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Store a mart as the staged run does: files sorted by (rank, id)."""
-    path = scratch_path(df.sparkSession, name)
-    df.sortWithinPartitions("rank", "id").write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _stored(build, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store a mart as the staged run does: with positions, files sorted by them."""
+    df = build(_base(spark, sf_dir), position=paging.POSITION)
+    path = scratch_path(spark, build.__name__)
+    df.sortWithinPartitions(paging.POSITION).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("page_humanitarian_ties",
           f"SELECT * FROM ({HUMANITARIAN_SQL}) ORDER BY rank, id LIMIT 5 OFFSET 1495")
 def page_humanitarian_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page deep inside a tie group (the humanitarian rank has few distinct values)."""
-    return paging.page(_stored(mart_humanitarian(spark, sf_dir), "gold_humanitarian"), 300).rows
+    return paging.page(_stored(marts.humanitarian_from_base, spark, sf_dir), 300).rows
+
+
+@register("page_government", f"SELECT * FROM ({GOVERNMENT_SQL}) ORDER BY rank, id LIMIT 5 OFFSET 35")
+def page_government(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page 8 of the government mart by its public name, from the staged run's gold table."""
+    db, _ = _staged(spark, sf_dir)
+    return paging.page_mart(spark, "government", 8, db).rows
+
+
+@register("page_metadata", f"""
+SELECT mart, CAST(2 AS BIGINT) AS page, CAST(5 AS BIGINT) AS page_size, total,
+       greatest(CAST(1 AS BIGINT), CAST(ceil(total / 5.0) AS BIGINT)) AS total_pages
+FROM (SELECT unnest(['humanitarian', 'government', 'finance']) AS mart),
+     (SELECT count(*) AS total FROM ({_BASE_SQL} SELECT * FROM base))""")
+def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a page says of itself: its number and size, and the mart's rows and pages."""
+    db, _ = _staged(spark, sf_dir)
+    pages = [(m, paging.page_mart(spark, m, "2", db)) for m in paging.MART_TABLES]
+    return spark.createDataFrame([(m, p.number, p.size, p.total, p.total_pages) for m, p in pages],
+                                 "mart string, page long, page_size long, total long, total_pages long")
 
 
 @register("sanitize_floats", """
@@ -293,6 +318,35 @@ def ingest_dump_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("ingest_dump_conservation", """
+SELECT 'accepted' AS outcome, CAST(NULL AS VARCHAR) AS reason, count(*) AS n, CAST(sum(key) AS BIGINT) AS key_sum
+FROM (SELECT p_partkey AS key FROM part WHERE p_partkey % 5 IN (0, 3)
+      UNION ALL SELECT p_partkey + 1000000 FROM part WHERE p_partkey % 5 = 0)
+UNION ALL SELECT 'rejected', 'text outside the value tuples', count(*), NULL FROM part WHERE p_partkey % 5 IN (1, 2)
+UNION ALL SELECT 'rejected', 'text between the values', count(*), NULL FROM part WHERE p_partkey % 5 = 4""")
+def ingest_dump_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with two tuples and a backslash quote, stray text, nested parentheses: none is lost."""
+    part = load(spark, sf_dir, "part")
+    key, rest = F.col("p_partkey").cast("string"), F.concat_ws(", ", "p_size", "p_retailprice")
+    kind = F.col("p_partkey") % 5
+    body = (F.when(kind == 0, F.concat(F.lit("("), key, F.lit(", 'it\\'s one', "), rest, F.lit("), ("),
+                                       (F.col("p_partkey") + 1000000).cast("string"), F.lit(", 'two', "), rest, F.lit(")")))
+            .when(kind == 1, F.concat(F.lit("("), key, F.lit(", 'a', "), rest, F.lit("), 7, 'lost', ("), key,
+                                      F.lit(", 'b', "), rest, F.lit(")")))
+            .when(kind == 2, F.concat(F.lit("("), key, F.lit(", (1), "), rest, F.lit(")")))
+            .when(kind == 3, F.concat(F.lit("("), key, F.lit(", 'q''q\u2028', "), rest, F.lit(")")))
+            .otherwise(F.concat(F.lit("("), key, F.lit(", 'x' junk!, "), rest, F.lit(")"))))
+    path = scratch_path(spark, "conservation")
+    (part.select(F.concat(F.lit("INSERT INTO part VALUES "), body, F.lit(";")).alias("value"))
+     .write.mode("overwrite").text(path))
+    parsed = dump.parse_insert_dump(spark.read.text(path), PART_DUMP_SCHEMA, mode="locale")
+    return (parsed.groupBy(
+        F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected").alias("outcome"),
+        F.col("reject_reason").alias("reason"))
+        .agg(F.count(F.lit(1)).alias("n"),
+             F.sum(F.when(F.col("reject_reason").isNull(), F.col("p_partkey"))).alias("key_sum")))
+
+
 EVENT_FEED_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("props", T.StructType([T.StructField("k", T.LongType())]))])
@@ -302,15 +356,27 @@ EVENT_FEED_SCHEMA = T.StructType([
 SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → JSON lines with a nested ``props`` object → nested read → struct field."""
+    feed = feeds.read_json_feed(spark, _event_feed(spark, sf_dir), EVENT_FEED_SCHEMA)
+    return feed.select("event_id", "event_type", F.col("props.k").alias("k"))
+
+
+@register("json_inferred", """
+SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed read without a schema (one more pass finds it)."""
+    feed = feeds.read_json_feed(spark, _event_feed(spark, sf_dir))
+    return feed.select("event_id", "event_type", F.col("props.k").cast("long").alias("k"))
+
+
+def _event_feed(spark: SparkSession, sf_dir: str) -> str:
     events = load(spark, sf_dir, "events")
     path = scratch_path(spark, "events_json")
     # Scalar fields through to_json (escaping is Spark's); props is already a JSON object.
     head = F.to_json(F.struct("event_id", "event_type"))
     (events.select(F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(', "props": '),
-                            F.col("props"), F.lit("}")).alias("value"))
+                            F.coalesce("props", F.lit("null")), F.lit("}")).alias("value"))
      .write.mode("overwrite").text(path))
-    feed = feeds.read_json_feed(spark, path, EVENT_FEED_SCHEMA)
-    return feed.select("event_id", "event_type", F.col("props.k").alias("k"))
+    return path
 
 
 # ------------------------------------------------------ layout
@@ -362,6 +428,31 @@ def overwrite_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(spark, sf_dir, "dynamic")
 
 
+@register("write_fixed_files", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_totalprice, 2026 AS year, 3 AS month, 25 AS day FROM orders""")
+def write_fixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders written by four tasks (the reference's repartition before a write), read back."""
+    path = scratch_path(spark, "fixed_files")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    layout.write_partitioned(orders, path, AS_OF, num_files=4)
+    return layout.read_partitioned(spark, path)
+
+
+@register("write_backfill", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+FROM orders GROUP BY 1, 2""")
+def write_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders written under their own months, rows of a month brought together first, read back."""
+    path = scratch_path(spark, "backfill")
+    day = F.col("o_orderdate").cast("date")
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year(day).alias("year"), F.month(day).alias("month"))
+    layout.write_partitioned(orders, path, partition_by=("year", "month"))
+    return (layout.read_partitioned(spark, path).groupBy("year", "month")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum")))
+
+
 _STATUS_SUMS_SQL = """
 SELECT o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkey_sum
 FROM orders GROUP BY o_orderstatus"""
@@ -398,8 +489,8 @@ def table_external(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------ raw → curated → gold (M4, K5)
 
-def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "bigint",
-                  dump_mode: str = "locale", infer_war_schema: bool = False):
+def _source_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The reshaped driver tables as a ``;`` file and an INSERT dump."""
     war = war_like(spark, sf_dir)
     econ = economics_like(spark, sf_dir)
     war_path = scratch_path(spark, "source_war")
@@ -413,10 +504,75 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, id_type: str = "bigint",
         lambda: write_delimited(war_source(war), war_path, sep=";",
                                 decimal_comma=("Cost_of_War_USD",)),
         lambda: header.unionByName(lines).write.mode("overwrite").text(econ_path))
+    return war_path, econ_path
+
+
+def _staged(spark: SparkSession, sf_dir: str, **how) -> tuple[str, stages.RunResult]:
+    """A whole staged run: its database and result."""
     db = _scratch_database(spark, "pipeline")
-    return stages.run_all(spark, war_path, econ_path, scratch_path(spark, "zones"), AS_OF,
-                          database=db, id_type=id_type, dump_mode=dump_mode,
-                          war_schema=None if infer_war_schema else stages.WAR_SOURCE_SCHEMA)
+    return db, stages.run_all(spark, *_source_files(spark, sf_dir), scratch_path(spark, "zones"), AS_OF,
+                              database=db, **how)
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str, **how) -> stages.RunResult:
+    return _staged(spark, sf_dir, **how)[1]
+
+
+def _curated(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Ingest and curation only."""
+    paths, counts = stages.Paths(scratch_path(spark, "zones")), metrics.StageMetrics()
+    stages.ingest(spark, *_source_files(spark, sf_dir), paths, AS_OF, counts)
+    return stages.curate(spark, paths, AS_OF, counts, _scratch_database(spark, "curated"))[table]
+
+
+@register("end_to_end_humanitarian", HUMANITARIAN_SQL)
+def end_to_end_humanitarian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_pipeline(spark, sf_dir).tables["gold_output_humanitarian"]
+
+
+@register("end_to_end_finance", FINANCE_SQL)
+def end_to_end_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_pipeline(spark, sf_dir).tables["gold_output_finance"]
+
+
+def _two_days_sql(days: list[date]) -> str:
+    parts = [f"SELECT zone, {d.year} AS year, {d.month} AS month, {d.day} AS day, n FROM counts" for d in days]
+    return f"""
+WITH counts AS (
+  SELECT 'raw_war' AS zone, count(*) AS n FROM ({WAR_LIKE_SQL})
+  UNION ALL SELECT 'war_curated', count(*) FROM ({WAR_LIKE_SQL})
+  UNION ALL SELECT 'raw_economics', count(*) FROM ({ECONOMICS_LIKE_SQL})
+  UNION ALL SELECT 'economics_curated', count(*) FROM ({ECONOMICS_LIKE_SQL}))
+""" + " UNION ALL ".join(parts) + f"""
+UNION ALL SELECT 'gold_output_government', {days[-1].year}, {days[-1].month}, {days[-1].day},
+                 (SELECT count(*) FROM ({_BASE_SQL} SELECT * FROM base))"""
+
+
+def _two_days(spark: SparkSession, sf_dir: str, overwrite: str) -> DataFrame:
+    """Two whole runs a day apart: rows by zone and load date, and the last run's government mart."""
+    sources = _source_files(spark, sf_dir)
+    root, db = scratch_path(spark, "zones"), _scratch_database(spark, overwrite)
+    for day in (EARLIER, AS_OF):
+        result = stages.run_all(spark, *sources, root, day, database=db, overwrite=overwrite)
+    paths = stages.Paths(root)
+    zones = {"raw_war": layout.read_partitioned(spark, paths.raw_war),
+             "raw_economics": layout.read_partitioned(spark, paths.raw_economics),
+             "war_curated": spark.table(f"{db}.war_curated"),
+             "economics_curated": spark.table(f"{db}.economics_curated"),
+             "gold_output_government": layout.with_load_date(result.tables["gold_output_government"], AS_OF)}
+    return harmonise.union_feeds([
+        df.groupBy(F.lit(zone).alias("zone"), "year", "month", "day").agg(F.count("*").alias("n"))
+        for zone, df in zones.items()])
+
+
+@register("pipeline_two_days_dynamic", _two_days_sql([EARLIER, AS_OF]))
+def pipeline_two_days_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_days(spark, sf_dir, "dynamic")
+
+
+@register("pipeline_two_days_static", _two_days_sql([AS_OF]))
+def pipeline_two_days_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_days(spark, sf_dir, "static")
 
 
 @register("end_to_end_government", GOVERNMENT_SQL)
@@ -434,7 +590,7 @@ def end_to_end_reference_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart is unchanged.
     """
     return _run_pipeline(spark, sf_dir, dump_mode="strict",
-                         infer_war_schema=True).tables["gold_output_government"]
+                         war_schema=None).tables["gold_output_government"]
 
 
 _DATE_SQL = f"{AS_OF.year} AS year, {AS_OF.month} AS month, {AS_OF.day} AS day"
@@ -446,7 +602,7 @@ SELECT name, type, region, start_year, end_year, primary_country, most_affected_
        primary_black_market_goods, id, {_DATE_SQL}
 FROM ({WAR_LIKE_SQL})""")
 def curate_war(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_pipeline(spark, sf_dir).tables["war_curated"]
+    return _curated(spark, sf_dir, "war_curated")
 
 
 @register("curate_economics", f"""
@@ -461,7 +617,7 @@ SELECT prewar_unemployment_pct, during_war_unemployment_pct, status,
        id, {_DATE_SQL}
 FROM ({ECONOMICS_LIKE_SQL})""")
 def curate_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_pipeline(spark, sf_dir).tables["economics_curated"]
+    return _curated(spark, sf_dir, "economics_curated")
 
 
 _ONGOING_COUNT = f"(SELECT count(*) FROM ({_BASE_SQL} SELECT * FROM base))"
@@ -666,7 +822,7 @@ SELECT most_affected_sector, black_market_activity_level, count(*) AS n_conflict
 FROM ({FINANCE_SCORED_SQL} SELECT * FROM scored)
 GROUP BY most_affected_sector, black_market_activity_level""")
 def view_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.sector_exposure(mart_finance(spark, sf_dir))
+    return views.sector_exposure(marts.finance_scored(_base(spark, sf_dir)))
 
 
 @register("view_region", f"""
@@ -675,7 +831,7 @@ SELECT region, count(*) AS n_conflicts, round(avg(poverty_change_pct), 4) AS avg
        max(extreme_poverty_rate_pct) AS max_extreme_poverty_rate_pct
 FROM ({_BASE_SQL} SELECT * FROM base) GROUP BY region""")
 def view_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.regional_need(mart_humanitarian(spark, sf_dir))
+    return views.regional_need(marts.humanitarian_scored(_base(spark, sf_dir)))
 
 
 # ------------------------------------------------ incremental ingest (stream)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from typing import Sequence
 
@@ -66,9 +67,12 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
                partition_by: Sequence[str] = (), bucket_by: tuple[int, str] | None = None,
-               mode: str = "overwrite") -> None:
+               mode: str = "overwrite", replace: dict[str, int] | None = None) -> None:
     """Write a catalog table: managed, or external when ``path`` is given.
 
+    ``replace`` names one partition (every partition column's value): if the table
+    exists only that partition is written anew, its others stay.
+
     ``bucket_by=(n, "id")`` stores the table hash-bucketed on ``id``, so a later
     join of two such tables on ``id`` needs no shuffle (the write pays one
     shuffle by ``id`` instead; worth it when the table is joined more than once).
@@ -78,6 +82,14 @@ def save_table(df: DataFrame, name: str, path: str | None = None,
         # Without this shuffle every task would write a file per bucket
         # (tasks × buckets files); with it each bucket is written by one task.
         df = df.repartition(bucket_by[0], bucket_by[1])
+    if replace and df.sparkSession.catalog.tableExists(name):
+        view = f"riskmart_{uuid.uuid4().hex}"
+        df.createOrReplaceTempView(view)
+        columns = [f"`{c}`" for c in df.sparkSession.table(name).columns if c not in replace]
+        part = ", ".join(f"`{k}` = {v}" for k, v in replace.items())
+        df.sparkSession.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({part}) SELECT {', '.join(columns)} FROM {view}")
+        df.sparkSession.catalog.dropTempView(view)
+        return
     writer = df.write.mode(mode).format("parquet")
     if path is not None:
         writer = writer.option("path", path)

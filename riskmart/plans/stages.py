@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 
 from riskmart.operators import marts
 from riskmart.operators.metrics import StageMetrics
+from riskmart.operators.paging import POSITION, ROWS_PROPERTY
 from riskmart.plans.curate import WAR_SOURCE_SCHEMA, curate_economics, curate_war
 from riskmart.plans.layout import (DATE_PARTS, read_partitioned, save_table, with_load_date,
                                    write_partitioned)
-from riskmart.session import release_scratch, scratch_mark
 from riskmart.sources.delimited import read_delimited
 from riskmart.sources.dump import ECONOMICS_DUMP_SCHEMA, parse_insert_dump
 
@@ -121,14 +121,18 @@ def ingest(spark: SparkSession, war_path: str, economics_path: str, paths: Paths
 
 def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics,
            database: str = "default", id_type: str = "bigint",
-           bucket_by: tuple[int, str] | None = None) -> dict[str, DataFrame]:
+           bucket_by: tuple[int, str] | None = None, overwrite: str = "static") -> dict[str, DataFrame]:
+    if overwrite not in ("static", "dynamic"):
+        raise ValueError(f"unknown overwrite mode {overwrite!r}")
+    kept = dict(zip(DATE_PARTS, (as_of.year, as_of.month, as_of.day))) if overwrite == "dynamic" else None
+
     def job(table, raw_path, fn):
         raw = _on_date(read_partitioned(spark, raw_path), as_of)
         curated = with_load_date(fn(raw, id_type), as_of)
         name = f"{database}.{table}"
         # Managed table (lives under the database location), as the reference has it.
         save_table(metrics.observe(curated, "curated", table), name,
-                   partition_by=DATE_PARTS, bucket_by=bucket_by)
+                   partition_by=DATE_PARTS, bucket_by=bucket_by, replace=kept)
         return table, spark.table(name)
 
     specs = (("war_curated", paths.raw_war, curate_war),
@@ -136,25 +140,39 @@ def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics
     return dict(in_parallel(*[lambda spec=spec: job(*spec) for spec in specs]))
 
 
+def latest_load(df: DataFrame) -> date | None:
+    """The last load date of a curated table (reads partition values only)."""
+    last = df.agg(F.max(F.struct(*DATE_PARTS)).alias("d")).head().d
+    return None if last is None else date(*last)
+
+
 def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
                 database: str = "default", status: str = "Ongoing",
-                rank_strategy: str = "auto") -> dict[str, DataFrame]:
+                rank_strategy: str = "buckets", as_of: date | None = None) -> dict[str, DataFrame]:
+    """The marts of one load date (the curated war table's last one by default).
+
+    Gold tables store the page position besides the mart's columns; the frames
+    returned leave it out.
+    """
     war = spark.table(f"{database}.war_curated")
     economics = spark.table(f"{database}.economics_curated")
+    as_of = as_of or latest_load(war)
+    if as_of is not None:
+        war, economics = _on_date(war, as_of), _on_date(economics, as_of)
     # One join for all three marts, written once (lineage cut, shared input).
     base = metrics.observe(marts.ongoing_base(war, economics, status), "gold", "ongoing_base")
     base.write.mode("overwrite").parquet(paths.ongoing_base)
-    n_base = metrics.value("gold", "ongoing_base")
+    rows = metrics.value("gold", "ongoing_base")
     base = spark.read.parquet(paths.ongoing_base)
 
     def job(mart, build):
         name = f"{database}.gold_output_{mart}"
-        df = build(base, rank_strategy, materialize=False, row_bound=n_base)
-        # Each file sorted by (rank, id) (a per-task sort, no shuffle): its row
-        # groups cover narrow rank ranges, so a page read skips nearly all of them.
-        df = df.sortWithinPartitions("rank", "id")
+        # Each file sorted by position (a per-task sort, no shuffle): a page read skips
+        # the row groups of other positions.
+        df = build(base, rank_strategy, position=POSITION).sortWithinPartitions(POSITION)
         save_table(metrics.observe(df, "gold", f"gold_output_{mart}"), name, path=paths.gold(mart))
-        return f"gold_output_{mart}", spark.table(name)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{ROWS_PROPERTY}' = '{rows}')")
+        return f"gold_output_{mart}", spark.table(name).drop(POSITION)
 
     # The three marts only share the stored base: build them side by side.
     return dict(in_parallel(*[lambda m=m, b=b: job(m, b) for m, b in marts.MARTS.items()]))
@@ -162,17 +180,17 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
 
 def run_all(spark: SparkSession, war_path: str, economics_path: str, root: str, as_of: date,
             database: str = "default", dump_mode: str = "locale", id_type: str = "bigint",
-            rank_strategy: str = "auto", bucket_by: tuple[int, str] | None = None,
-            war_schema: T.StructType | None = WAR_SOURCE_SCHEMA) -> RunResult:
-    """All three stages; returns the catalog tables and the observed counts."""
+            rank_strategy: str = "buckets", bucket_by: tuple[int, str] | None = None,
+            war_schema: T.StructType | None = WAR_SOURCE_SCHEMA, overwrite: str = "static") -> RunResult:
+    """All three stages; returns the catalog tables and the observed counts.
+
+    ``overwrite="dynamic"`` keeps the other load dates of the raw zone and the
+    curated tables; the marts are those of ``as_of``.
+    """
     paths = Paths(root)
     metrics = StageMetrics()
-    mark = scratch_mark()
-    ingest(spark, war_path, economics_path, paths, as_of, metrics, dump_mode,
-           war_schema=war_schema)
-    tables = curate(spark, paths, as_of, metrics, database, id_type, bucket_by)
-    tables.update(build_marts(spark, paths, metrics, database, rank_strategy=rank_strategy))
+    ingest(spark, war_path, economics_path, paths, as_of, metrics, dump_mode, overwrite, war_schema)
+    tables = curate(spark, paths, as_of, metrics, database, id_type, bucket_by, overwrite)
+    tables.update(build_marts(spark, paths, metrics, database, rank_strategy=rank_strategy, as_of=as_of))
     metrics.collect()
-    # The marts are written: the rank's intermediate files are no longer read.
-    release_scratch(spark, mark)
     return RunResult(tables, metrics)

@@ -100,37 +100,6 @@ class Scratch:
         self.release()
 
 
-_CREATED: list[str] = []
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared root for one job's intermediate files."""
-    path = f"{shared_root(spark)}/riskmart/{name}-{uuid.uuid4().hex[:12]}"
-    _CREATED.append(path)
-    return path
-
-
-def scratch_mark() -> int:
-    """A position in the list of scratch paths handed out so far."""
-    return len(_CREATED)
-
-
-def release_scratch(spark: SparkSession, since: int) -> int:
-    """Delete the scratch paths handed out after ``since`` (any Hadoop file system).
-
-    Only call this when no DataFrame that reads them is used any more.
-    """
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:                       # no driver-side JVM: leave the files
-        return 0
-    removed = 0
-    for path in _CREATED[since:]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
-            removed += 1
-    del _CREATED[since:]
-    return removed
+    """A new, unique path under the shared root; nothing deletes it but its user."""
+    return f"{shared_root(spark)}/riskmart/{name}-{uuid.uuid4().hex[:12]}"

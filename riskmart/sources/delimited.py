@@ -34,13 +34,16 @@ def parse_decimal_commas(df: DataFrame, decimal_comma: Sequence[str]) -> DataFra
 def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    schema: T.StructType | None = None, sep: str = ";", header: bool = True,
                    decimal_comma: Sequence[str] = (), infer: bool = True,
-                   corrupt_column: str | None = None) -> DataFrame:
+                   corrupt_column: str | None = None, multi_line: bool = False) -> DataFrame:
     """Read a delimited file set; decimal-comma columns come out as double.
 
     With ``corrupt_column`` (and a schema), a line whose values do not fit the
     schema keeps its row (unfit values null) and its raw text in that column.
+    ``multi_line`` reads quoted values with line breaks; a file is then one task.
     """
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = spark.read.option("header", header).option("sep", sep).option("escape", '"')
+    if multi_line:
+        reader = reader.option("multiLine", True)
     if schema is not None:
         read_schema = text_schema(schema, decimal_comma)
         if corrupt_column:
@@ -54,8 +57,13 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";",
                     decimal_comma: Sequence[str] = ()) -> None:
-    """Write a header + delimited file set; listed double columns use a decimal comma."""
+    """Write a header + delimited file set; listed double columns use a decimal comma.
+
+    Text is written as it is: blanks kept, quotes doubled, values with line breaks quoted
+    (read those back with ``multi_line``).
+    """
     out = df.select(*[
         F.translate(F.col(f"`{c}`").cast("string"), ".", ",").alias(c)
         if c in decimal_comma else F.col(f"`{c}`") for c in df.columns])
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    (out.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -17,7 +17,10 @@ Two tokenizer modes:
 
 A line or tuple that fails (wrong value count, a value that does not fit its
 type, no ``VALUES``/``;``) is not dropped silently: it goes to the rejects with
-a reason.
+a reason. In ``locale`` mode a line must be nothing but tuples and a tuple nothing
+but values, so every tuple is either accepted or rejected, alone or with its line.
+Inside quotes ``''`` and ``\\'`` are a quote and ``\\\\`` is a backslash; any other
+backslash is itself.
 """
 
 from __future__ import annotations
@@ -30,15 +33,20 @@ from pyspark.sql import types as T
 # The tokenizer patterns. STRICT_* mirror the reference's parser;
 # LOCALE_* are this package's own reading of the same statements.
 INSERT_LINE = r"^\s*(?i:INSERT INTO)"
-STRICT_VALUES = r"(?i)VALUES\s*\((.+)\)\s*;"
+STRICT_VALUES = r"(?is)VALUES\s*\((.+)\)\s*;"
 STRICT_TOKEN = r"'[^']*'|-?[\d.]+(?:[Ee][+\-]?\d+)?"
-LOCALE_VALUES = r"(?i)\bVALUES\b(.*)$"
+LOCALE_VALUES = r"(?is)\bVALUES\b(.*)$"
 LOCALE_END = r"\)\s*;\s*$"
 # Possessive quantifiers: a token never needs to give characters back, so the
 # matcher does not backtrack character by character.
-LOCALE_TUPLE = r"\((?:'(?:[^']++|'')*+'|[^'()]++)*+\)"
-LOCALE_TOKEN = (r"'(?:[^']++|'')*+'|-?[0-9]++(?:[.,][0-9]++)?[Ee][+-]?[0-9]++"
-                r"|-?(?:[0-9]++(?:\.[0-9]++)?|\.[0-9]++)|[A-Za-z_]++")
+_QUOTED = r"'(?:[^'\\]++|''|\\.)*+'"
+LOCALE_TUPLE = rf"(?s)\((?:{_QUOTED}|[^'()]++)*+\)"
+LOCALE_TOKEN = (rf"{_QUOTED}|-?[0-9]++(?:[.,][0-9]++)?[Ee][+-]?[0-9]++"
+                r"|-?(?:[0-9]++(?:\.[0-9]++)?|\.[0-9]++)|-?[A-Za-z_]++")
+# A line is read only if it is nothing but tuples, and a tuple only if it is nothing but values.
+_TUPLE = LOCALE_TUPLE.removeprefix("(?s)")
+LOCALE_BODY = rf"(?s)^\s*+{_TUPLE}(?:\s*+,\s*+{_TUPLE})*+\s*+;\s*+$"
+LOCALE_WHOLE = rf"(?s)^\(\s*+(?:{LOCALE_TOKEN})(?:\s*+,\s*+(?:{LOCALE_TOKEN}))*+\s*+\)$"
 
 # The 18 columns of the economics dump, in file order. Floats are
 # read as double (the reference's 32-bit floats lose digits: 19.9 → 19.8999996)
@@ -63,6 +71,8 @@ ECONOMICS_DUMP_SCHEMA = T.StructType([
     T.StructField("Informal_Economy_During_War_pct", T.DoubleType()),
     T.StructField("War_Profiteering_Documented", T.StringType()),
 ])
+# Fixed value: the whole-number column that the reference reads through a float.
+FLOAT_LONGS = ("Estimated_Reconstruction_Cost_USD",)
 
 
 @dataclass
@@ -74,13 +84,13 @@ class DumpRead:
         return iter((self.rows, self.rejects))
 
 
-def _typed(value: Column, data_type: T.DataType) -> Column:
-    if isinstance(data_type, T.StringType):
+def _typed(value: Column, field: T.StructField, float_longs: tuple[str, ...]) -> Column:
+    if isinstance(field.dataType, T.StringType):
         return value
-    if isinstance(data_type, T.LongType):
-        # A long may be written as a float ("5.85916E+11"): parse, then truncate.
+    if field.name in float_longs:
+        # written as a float ("5.85916E+11"): parse, then truncate
         return F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"))
-    return value.try_cast(data_type)
+    return value.try_cast(field.dataType)
 
 
 def _strip_quotes(t: Column) -> Column:
@@ -89,16 +99,16 @@ def _strip_quotes(t: Column) -> Column:
 
 def _locale_token(t: Column) -> Column:
     # The tokenizer only yields quoted strings, numbers ([0-9.,eE+-]) and
-    # barewords ([A-Za-z_]), so a comma can only be a decimal comma and no
-    # regex is needed here.
-    return (F.when(t.startswith("'"), F.replace(t.substr(F.lit(2), F.length(t) - 2),
-                                                F.lit("''"), F.lit("'")))
+    # barewords, so a comma can only be a decimal comma.
+    inner = t.substr(F.lit(2), F.length(t) - 2)
+    return (F.when(t.startswith("'"), F.regexp_replace(inner, r"['\\](['\\])", "$1"))
             .when(F.upper(t) == "NULL", F.lit(None).cast("string"))
             .otherwise(F.translate(t, ",", ".")))
 
 
 def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA,
-                      mode: str = "locale", line_col: str = "value") -> DataFrame:
+                      mode: str = "locale", line_col: str = "value",
+                      float_longs: tuple[str, ...] = FLOAT_LONGS) -> DataFrame:
     """Parse INSERT lines into typed columns plus ``line``, ``tuple_no``, ``reject_reason``.
 
     ``reject_reason`` is null for a good row. Lines that are not INSERT
@@ -122,13 +132,15 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
                               F.regexp_extract_all("_after", F.lit(LOCALE_TUPLE), 0).alias("_tuples"))
         shape = (F.when(F.col("_after") == "", F.lit("no VALUES clause"))
                  .when(~F.col("_ends"), F.lit("statement does not end with ');'"))
-                 .when(F.size("_tuples") == 0, F.lit("no value tuple")))
-        exploded = tuples.select(
-            "line", shape.alias("_shape"),
-            F.posexplode_outer(F.when(F.size("_tuples") > 0, F.col("_tuples")))
+                 .when(F.size("_tuples") == 0, F.lit("no value tuple"))
+                 .when(~F.col("_after").rlike(LOCALE_BODY), F.lit("text outside the value tuples")))
+        exploded = tuples.select("line", "_tuples", shape.alias("_line")).select(
+            "line", "_line", F.posexplode_outer(F.when(F.col("_line").isNull(), F.col("_tuples")))
             .alias("tuple_no", "_tuple"))
         staged = exploded.select(
-            "line", "tuple_no", "_shape",
+            "line", "tuple_no",
+            F.coalesce("_line", F.when(~F.col("_tuple").rlike(LOCALE_WHOLE), F.lit("text between the values")))
+            .alias("_shape"),
             F.regexp_extract_all("_tuple", F.lit(LOCALE_TOKEN), 0).alias("_raw"))
         norm = _locale_token
     else:
@@ -140,7 +152,7 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
     failures = []
     for i, f in enumerate(schema.fields):
         value = F.col(f"_v{i}")
-        col = _typed(value, f.dataType)
+        col = _typed(value, f, float_longs)
         typed.append(col.alias(f.name))
         if not isinstance(f.dataType, T.StringType):
             failures.append(F.when(value.isNotNull() & col.isNull(), F.lit(f"bad {f.name}")))
@@ -170,7 +182,7 @@ def insert_lines(df: DataFrame, table: str, decimal_comma: tuple[str, ...] = (),
                  barewords: tuple[str, ...] = ()) -> DataFrame:
     """Render rows as one ``INSERT INTO table VALUES (…);`` line each (``value`` column).
 
-    Strings are quoted with ``''`` escaping (unquoted for ``barewords``), nulls
+    Strings are quoted with ``''`` and ``\\\\`` escaping (unquoted for ``barewords``), nulls
     become ``NULL``; listed numeric columns are written with a decimal comma.
     """
     parts = []
@@ -179,7 +191,8 @@ def insert_lines(df: DataFrame, table: str, decimal_comma: tuple[str, ...] = (),
         if f.name in barewords:
             text = c.cast("string")
         elif isinstance(f.dataType, T.StringType):
-            text = F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))
+            text = F.concat(F.lit("'"), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''")),
+                            F.lit("'"))
         else:
             text = c.cast("string")
             if f.name in decimal_comma:

@@ -54,7 +54,7 @@ def test_locale_must_have_lines(spark):
     rows = {(r.Conflict_Id, r.tuple_no): r for r in _parse(spark, LINES, "locale").collect()}
     assert rows[(3, 0)].Status == "O'Brien" and rows[(3, 0)].War_Profiteering_Documented is None
     assert rows[(3, 0)].reject_reason is None
-    assert "end with" in rows[(4, 0)].reject_reason
+    assert "end with" in rows[(None, None)].reject_reason          # the line as a whole
     assert rows[(5, 0)].reject_reason == "bad Households_Fallen_Into_Poverty"
     assert rows[(6, 0)].Status == "" and rows[(7, 1)].Status == "a,(b)"
     assert rows[(8, 0)].reject_reason == "expected 18 values, got 17"
@@ -62,8 +62,7 @@ def test_locale_must_have_lines(spark):
     neg = rows[(-10, 0)]
     assert neg.reject_reason is None and neg.Pre_War_Unemployment_pct == -1500.0
     assert neg.During_War_Unemployment_pct == 0.02
-    bad_id = [r for r in rows.values() if r.Conflict_Id is None]
-    assert bad_id and bad_id[0].reject_reason == "bad Conflict_Id"
+    assert rows[(None, 0)].reject_reason == "bad Conflict_Id"
 
 
 def test_strict_rejects(spark):
@@ -92,3 +91,51 @@ def test_conservation_and_roundtrip(spark, tmp_dir):
 def test_no_python_in_plan(spark):
     plan = _parse(spark, LINES, "locale")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "BatchEvalPython" not in plan
+
+
+def _two(spark, lines, mode="locale"):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    return [(r.id, r.t, r.reject_reason) for r in parse_insert_dump(df, schema, mode).collect()]
+
+
+def test_no_tuple_is_lost_without_a_reject(spark):
+    got = _two(spark, [r"INSERT INTO t VALUES (1,'O\'Brien'),(2,'b');",
+                       "INSERT INTO t VALUES (6,'a'), 7,'lost', (8,'c');",
+                       "INSERT INTO t VALUES (9,(1));",
+                       "INSERT INTO t VALUES (10,'x' junk!);",
+                       "INSERT INTO t VALUES (11,'line\u2028separator');",
+                       r"INSERT INTO t VALUES (12,'back\\slash \n');",
+                       "INSERT INTO t VALUES (12.5,'x');"])
+    assert got == [(1, "O'Brien", None), (2, "b", None),
+                   (None, None, "text outside the value tuples"), (None, None, "text outside the value tuples"),
+                   (10, "x", "text between the values"), (11, "line\u2028separator", None),
+                   (12, r"back\slash \n", None), (None, "x", "bad id")]
+
+
+def test_strict_reads_line_separators_and_whole_ids(spark):
+    assert _two(spark, ["INSERT INTO t VALUES (11,'line\u2028separator');", "INSERT INTO t VALUES (12.5,'x');"],
+                "strict") == [(11, "line\u2028separator", None), (None, "x", "bad id")]
+
+
+def test_written_dump_reads_back_equal(spark, tmp_dir):
+    import math
+    values = ["", " pad ", "O'Brien", "''", "\\", "a\\'b", "x;y", "(a),(b)", "1,2", "NULL", "tab\there", "\u2028", "é漢"]
+    numbers = [1.5, -2e-300, math.inf, -math.inf, math.nan, None]
+    rows = [(i, values[i % len(values)] if i % 17 else None, numbers[i % len(numbers)]) for i in range(100)]
+    df = spark.createDataFrame(rows, "k long, s string, x double")
+    insert_lines(df, "t").write.text(f"{tmp_dir}/d")
+    got, rejects = read_insert_dump(spark, f"{tmp_dir}/d", df.schema, mode="locale")
+    assert rejects.count() == 0
+    same = {r.k: (r.s, repr(r.x)) for r in got.collect()}
+    assert same == {k: (s, repr(x)) for k, s, x in rows}
+
+
+def test_written_csv_reads_back_equal(spark, tmp_dir):
+    from riskmart.sources.delimited import read_delimited, write_delimited
+    values = [" pad ", "a;b", 'say "hi"', "two\nlines", "'", "x,y", "\\", 'end\\"', "plain", None]
+    df = spark.createDataFrame(list(enumerate(values)), "k long, s string")
+    write_delimited(df, f"{tmp_dir}/c")
+    got = read_delimited(spark, f"{tmp_dir}/c", df.schema, multi_line=True)
+    assert {r.k: r.s for r in got.collect()} == dict(enumerate(values))

@@ -71,11 +71,9 @@ def test_word_count_tokens(spark):
     assert got == {"Hello": 1, "world": 1, "hello": 1, "world,": 1, "World!": 1}
 
 
-def test_interval_columns_modes(spark):
+def test_interval_columns(spark):
     from riskmart.operators.harmonise import interval_columns
     df = spark.createDataFrame([(1.0, 3.0), (None, 2.0)], "lcl double, ucl double")
-    assert interval_columns(df, mode="noop").columns == ["lcl", "ucl"]
-    assert interval_columns(df, mode="FULL").columns == ["lcl", "ucl"]
     out = interval_columns(df)
     assert out.columns == ["lcl", "ucl", "avg", "lcl2", "ucl2"]
     assert [r.avg for r in out.collect()] == [2.0, None]

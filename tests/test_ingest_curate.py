@@ -108,21 +108,38 @@ def test_status_filter_reaches_parquet_scan(spark, tmp_dir):
     assert "EqualTo(status,Ongoing)" in plan
 
 
-def test_run_all_removes_its_scratch_files(spark, tmp_dir):
+def test_run_all_leaves_no_scratch_files(spark, tmp_dir):
     import os
-    from riskmart.session import scratch_mark
+    from riskmart.session import shared_root
     _write(f"{tmp_dir}/war.csv", WAR_CSV)
     _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS scr LOCATION '{tmp_dir}/db'")
-    mark = scratch_mark()
+    scratch = f"{shared_root(spark)}/riskmart"
+    before = sorted(os.listdir(scratch)) if os.path.isdir(scratch) else []
     result = stages.run_all(spark, f"{tmp_dir}/war.csv", f"{tmp_dir}/economics.sql",
-                            f"{tmp_dir}/zones", date(2026, 3, 25), database="scr",
-                            rank_strategy="distributed")
-    assert scratch_mark() == mark
+                            f"{tmp_dir}/zones", date(2026, 3, 25), database="scr")
+    assert (sorted(os.listdir(scratch)) if os.path.isdir(scratch) else []) == before
     assert result.tables["gold_output_finance"].count() == 4
     assert os.path.isdir(f"{tmp_dir}/zones/gold/gold_output_finance")
 
 
+def test_dynamic_overwrite_keeps_earlier_days(spark, tmp_dir):
+    _write(f"{tmp_dir}/war.csv", WAR_CSV)
+    _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS twodays LOCATION '{tmp_dir}/db'")
+    common = ["--root", f"{tmp_dir}/zones", "--database", "twodays", "--war", f"{tmp_dir}/war.csv",
+              "--economics", f"{tmp_dir}/economics.sql", "--overwrite", "dynamic"]
+    from riskmart.__main__ import main
+    for day in ("2026-03-24", "2026-03-25"):
+        main(["all", *common, "--as-of", day], spark)
+    raw = spark.read.parquet(stages.Paths(f"{tmp_dir}/zones").raw_war)
+    assert {r.day for r in raw.select("day").distinct().collect()} == {24, 25}
+    assert {r.day: r["count"] for r in spark.table("twodays.war_curated").groupBy("day").count().collect()} == {24: 6, 25: 6}
+    assert spark.table("twodays.gold_output_finance").count() == 4       # one day's marts
+    main(["marts", "--root", f"{tmp_dir}/zones", "--database", "twodays", "--as-of", "2026-03-24"], spark)
+    assert spark.table("twodays.gold_output_finance").count() == 4
+
+
 def test_cli_stages_and_page(spark, tmp_dir):
     from riskmart.__main__ import main
     _write(f"{tmp_dir}/war.csv", WAR_CSV)

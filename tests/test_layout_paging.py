@@ -70,8 +70,9 @@ def test_deep_page_inside_huge_tie_group(spark):
         F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise(F.col("id").cast("double")).alias("v"))
     ranked = global_rank(base, desc("v"))
     ordered = [(r.rank, r.id) for r in ranked.orderBy("rank", "id").collect()]
+    stored = global_rank(base, desc("v"), position="position").cache()
     for number in (1, 2000, 3333, 3334, 5990, 6000):
-        got = [(r.rank, r.id) for r in page_rows(ranked, number, 5, offset_limit=100).collect()]
+        got = [(r.rank, r.id) for r in page_rows(stored, number, 5).collect()]
         assert got == ordered[(number - 1) * 5: number * 5], number
 
 
@@ -138,22 +139,28 @@ def test_deep_page_with_string_tiebreak(spark):
         F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise(F.col("id").cast("double")).alias("v"))
     ranked = global_rank(base, desc("v"))
     ordered = [(r.rank, r.id) for r in ranked.orderBy("rank", "id").collect()]
+    stored = global_rank(base, desc("v"), position="position").cache()
     for number in (3334, 5000, 5990, 6000, 6001):
-        got = [(r.rank, r.id) for r in page_rows(ranked, number, 5, offset_limit=100).collect()]
+        got = [(r.rank, r.id) for r in page_rows(stored, number, 5).collect()]
         assert got == ordered[(number - 1) * 5: number * 5], number
 
 
-def test_sample_cut_narrows_around_target(spark):
-    from riskmart.operators.paging import _narrow_by_sample
-    df = spark.range(50000).select(F.concat(F.lit("x"), F.lpad(F.col("id").cast("string"), 6, "0"))
-                                   .alias("id"))
-    out = _narrow_by_sample(df, "id", 31000, 5, 50000)
-    assert out is not None
-    narrowed, k = out
-    n = narrowed.count()
-    assert n < 5000 and 0 <= k < n
-    assert [r.id for r in narrowed.orderBy("id").offset(k).limit(5).collect()] == \
-        [f"x{i:06d}" for i in range(31000, 31005)]
+def test_pages_with_repeated_ids_cover_table_once(spark):
+    from riskmart.operators.ranking import desc, global_rank
+    rows = [(i % 7, float(i % 2), i) for i in range(60)] + [(3, 1.0, 99)] * 4
+    base = spark.createDataFrame(rows, "id long, v double, n long")
+    for df in (global_rank(base, desc("v")), global_rank(base, desc("v"), position="position").cache()):
+        seen = [tuple(r)[:3] for p in range(1, 14) for r in page(df, p).rows.collect()]
+        assert len(seen) == 64 and sorted(seen) == sorted(rows)
+
+
+def test_page_filter_reaches_the_scan(spark, tmp_dir):
+    from riskmart.operators.paging import page_rows
+    from riskmart.operators.ranking import desc, global_rank
+    base = spark.range(1000).select("id", (F.col("id") % 4).alias("v"))
+    global_rank(base, desc("v"), position="position").sortWithinPartitions("position").write.parquet(tmp_dir + "/g")
+    plan = page_rows(spark.read.parquet(tmp_dir + "/g"), 9)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(position,41)" in plan and "LessThanOrEqual(position,45)" in plan
 
 
 def test_backfill_write_clusters_by_day(spark, tmp_dir):

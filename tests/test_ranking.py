@@ -25,26 +25,26 @@ def _random_rows(n, seed, distinct=50):
     return rows
 
 
-@pytest.mark.parametrize("strategy", ["auto", "distributed"])
+@pytest.mark.parametrize("buckets", [None, 1, 37])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_matches_plain_window_with_ties_nulls_nan(spark, strategy, seed):
+def test_matches_plain_window_with_ties_nulls_nan(spark, buckets, seed):
     df = spark.createDataFrame(_random_rows(3000, seed), "id long, v double, w int")
     for order in (desc("v"), [("v", True), ("w", False)], asc("v", "w"), [("w", True), ("v", False)]):
-        got = _ranks(global_rank(df, order, strategy=strategy, rows_per_bucket=200, plain_rows=0))
+        got = _ranks(global_rank(df, order, buckets=buckets))
         want = _ranks(plain_rank(df, order))
         assert got == want, order
 
 
 def test_distributed_on_unique_keys_many_buckets(spark):
     df = spark.range(20000).select(F.col("id"), (F.rand(7) * 1e6).alias("score"))
-    got = _ranks(global_rank(df, desc("score"), strategy="distributed"))
+    got = _ranks(global_rank(df, desc("score"), buckets=40))
     want = _ranks(plain_rank(df, desc("score")))
     assert got == want
 
 
 def test_one_distinct_key_and_empty(spark):
     same = spark.range(500).withColumn("v", F.lit(1.0))
-    assert set(_ranks(global_rank(same, desc("v"), strategy="distributed")).values()) == {1}
+    assert set(_ranks(global_rank(same, desc("v"))).values()) == {1}
     empty = spark.createDataFrame([], "id long, v double")
     assert global_rank(empty, desc("v")).count() == 0
 
@@ -60,18 +60,52 @@ def test_hot_key_keeps_all_rows(spark):
     # A third of the rows share one key: every row must come back with the same rank.
     df = spark.range(9000).select("id", F.when(F.col("id") < 3000, F.lit(5.0))
                                   .otherwise(F.col("id").cast("double")).alias("v"))
-    out = global_rank(df, desc("v"), strategy="distributed")
+    out = global_rank(df, desc("v"))
     assert out.count() == 9000
     assert _ranks(out) == _ranks(plain_rank(df, desc("v")))
 
 
-def test_distributed_plan_has_no_single_partition_over_rows(spark):
-    df = spark.range(5000).select("id", (F.col("id") * 7 % 1013).cast("double").alias("v"))
-    plan = global_rank(df, desc("v"), strategy="distributed")._jdf.queryExecution() \
-        .executedPlan().toString()
-    # The only single-partition window is over the bucket totals (≤ max_buckets rows).
-    assert "hashpartitioning(_b" in plan
-    assert plan.count("SinglePartition") <= 1
+def _single_partitions(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("SinglePartition"), plan.count("hashpartitioning(_b")
+
+
+@pytest.mark.parametrize("rows", [20, 2_000_000])
+def test_one_plan_for_every_size(spark, rows):
+    # The only single-partition step is over one row per bucket, whatever the table's size.
+    df = spark.range(rows).select("id", (F.col("id") * 7 % 1013).cast("double").alias("v"))
+    single, by_bucket = _single_partitions(global_rank(df, desc("v")))
+    assert single == 1 and by_bucket >= 1
+
+
+def test_hot_key_is_cut(spark):
+    from riskmart.operators.ranking import with_bucket
+    df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
+    cut = with_bucket(df, desc("v"), ("id",), 16)
+    rows = {r["_b"]: r["count"] for r in cut.where("v = 5").groupBy("_b").count().collect()}
+    assert len(rows) >= 4 and max(rows.values()) < 1500
+    whole = [r["count"] for r in cut.groupBy("_b").count().collect()]
+    assert len(whole) >= 14 and max(whole) < 9000 / 16 * 2
+
+
+def test_position_is_unique_and_in_order(spark):
+    rows = [(i % 50, float(i % 3), "x") for i in range(400)] + [(7, 1.0, "same")] * 30
+    df = spark.createDataFrame(rows, "id long, v double, s string")
+    out = global_rank(df, desc("v"), position="position", buckets=13).orderBy("position").collect()
+    assert [r.position for r in out] == list(range(1, 431))
+    assert [(-r.v, r.id) for r in out] == sorted((-r.v, r.id) for r in out)
+    first = {}
+    assert all(r["rank"] == first.setdefault(r.v, r.position) for r in out)
+
+
+def test_only_the_sample_runs_before_the_action(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rank-lazy", "rank")
+    global_rank(spark.range(1000).select("id", (F.col("id") % 9).alias("v")), desc("v"))
+    jobs = tracker.getJobIdsForGroup("rank-lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    assert len(stages) <= 6                  # the sample's stages; AQE runs each as a job
 
 
 def test_timestamp_date_and_string_keys(spark):
@@ -82,23 +116,13 @@ def test_timestamp_date_and_string_keys(spark):
         F.expr("date_add(DATE'2020-01-01', CAST(id % 97 AS INT))").alias("d"),
         F.expr("concat('k', CAST(id % 211 AS STRING))").alias("s"))
     for order in (desc("ts"), asc("d", "s"), [("s", True), ("ts", False)]):
-        got = _ranks(global_rank(df, order, strategy="distributed", rows_per_bucket=50))
+        got = _ranks(global_rank(df, order, buckets=20))
         assert got == _ranks(plain_rank(df, order)), order
 
 
-def test_auto_small_input_uses_bounded_plain_window(spark):
-    df = spark.range(100).select("id", (F.col("id") % 7).cast("double").alias("v"))
-    out = global_rank(df, desc("v"))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" in plan and _ranks(out) == _ranks(plain_rank(df, desc("v")))
-    keyed = global_rank(df, desc("v"), plain_rows=0)
-    assert "BroadcastHashJoin" in keyed._jdf.queryExecution().executedPlan().toString()
-    assert _ranks(keyed) == _ranks(out)
-
-
 def test_rerank_replaces_existing_rank_column(spark):
     df = spark.createDataFrame([(1, 2.0, 99), (2, 3.0, 98)], "id long, v double, rank long")
-    for strategy in ("plain", "auto", "distributed"):
+    for strategy in ("plain", "buckets"):
         out = global_rank(df, desc("v"), strategy=strategy)
         assert out.columns == ["id", "v", "rank"]
         assert _ranks(out) == {1: 2, 2: 1}

@@ -30,7 +30,7 @@ def _econ(spark, n):
 def test_hot_join_key_fans_out_whole(spark):
     n = 6000
     war, econ = _war(spark, n), _econ(spark, n)
-    out = government(war, econ, rank_strategy="distributed")
+    out = government(war, econ, buckets=24)
     assert out.count() == n                  # every war row joins exactly one economics row
     assert out.filter("id = 0").count() == n // 3
     ranks = {(r.name_of_war): r.rank for r in out.collect()}
