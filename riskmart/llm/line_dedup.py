@@ -39,7 +39,7 @@ from ..session import Scratch
 from . import textvec
 from .blocks import gathered, linked, placed, similar_enough
 from .ngram_join import set_hash
-from .sketch import cell, hash_counts
+from .sketch import cell, hash_counts, hash_flags
 
 BITS = 21
 FILTER_BITS = 22
@@ -273,8 +273,8 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("h")).unionByName(crowds.select("h")).distinct()
     nodes = scratch.store(nodes.join(first, "h").select("h", "n", "first.*"), "nodes")
     blocks = scratch.store(placed(nodes.select("h", "n"), hints), "blocks")
-    texts = broadcast(hash_counts(nodes.select("text_hash"), _hashes, FILTER_BITS) > 0)
-    wanted = broadcast(hash_counts(nodes.select("h", "text_hash"), _places, FILTER_BITS) > 0)
+    texts = broadcast(hash_flags(nodes.select("text_hash"), _hashes, FILTER_BITS))
+    wanted = broadcast(hash_flags(nodes.select("h", "text_hash"), _places, FILTER_BITS))
     tokens = narrow.select("text_hash", "text").mapInArrow(_fetch(counts, texts, wanted), "h long, tokens array<long>")
     sets = nodes.select("h", "id", "text_hash", "line").join(tokens, "h")
     earlier = (gathered(pairs, crowds, blocks).join(sets, "h").groupBy("x", "y")
@@ -284,7 +284,10 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
              .select(F.col("h").alias("_h"), F.coalesce(F.least("first", "match"), "first").alias("least")))
     removed = (lines.select("id", "text_hash", "line", "h").join(least, F.col("h") == F.col("_h"))
                .where(place > F.col("least")).select("id", "text_hash", "line").distinct())
-    return scratch.store(removed, "removed")
+    removed = scratch.store(removed, "removed")
+    for shared in (counts, texts, wanted):
+        shared.destroy()
+    return removed
 
 
 def _rebuild(text_at: int):

@@ -35,7 +35,7 @@ from ..session import Scratch
 from . import textvec
 from .blocks import component_edges, gathered, placed, similar_enough
 from .components import components
-from .sketch import cell, hash_counts
+from .sketch import cell, hash_counts, hash_flags
 
 BITS = 21                                # cells of the occurrence counts: 2**21
 FILTER_BITS = 22                         # cells of the filter on documents to fetch again
@@ -115,8 +115,8 @@ def _fetch(k: int, wanted):
         cells = wanted.value
         bits = len(cells).bit_length() - 1
         for batch in batches:
-            ids = textvec.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            some = pa.array(np.flatnonzero(cells[cell(ids, bits)]))
+            keys = textvec.mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            some = pa.array(np.flatnonzero(cells[cell(keys, bits)]))
             for lo, hi, rows, values in shingle_sets(batch.column(1).take(some), k):
                 n = np.bincount(rows, minlength=hi - lo)
                 has = np.flatnonzero(n)
@@ -131,8 +131,8 @@ def _fetch(k: int, wanted):
     return run
 
 
-def _id_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield textvec.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+def _text_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield textvec.mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
 def candidates(sets: DataFrame, num: int, den: int, crowd: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -184,14 +184,16 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
     hub = crowds.groupBy("token").agg(F.min("h").alias("b"))
     hints = pairs.unionByName(crowds.join(hub, "token").where("h <> b").select(F.col("h").alias("a"), "b").distinct())
     nodes = (pairs.select(F.explode(F.array("a", "b")).alias("h")).unionByName(crowds.select("h")).distinct())
-    known = every.where("n > 0").groupBy("h").agg(F.min("id").alias("id"), F.max("n").alias("n"))
+    known = every.where("n > 0").groupBy("h").agg(F.min("text_hash").alias("text_hash"), F.max("n").alias("n"))
     nodes = scratch.store(nodes.join(known, "h"), "nodes")
     blocks = scratch.store(placed(nodes.select("h", "n"), hints), "blocks")
     groups = gathered(pairs, crowds.select("token", "h"), blocks)
-    wanted = spark.sparkContext.broadcast(hash_counts(nodes.select("id"), _id_hashes, FILTER_BITS) > 0)
-    tokens = narrow.where("id is not null").mapInArrow(_fetch(k, wanted), "h long, tokens array<long>")
+    counts.destroy()                     # both are read by stored tables only
+    wanted = spark.sparkContext.broadcast(hash_flags(nodes.select("text_hash"), _text_hashes, FILTER_BITS))
+    tokens = narrow.select("text_hash", "text").mapInArrow(_fetch(k, wanted), "h long, tokens array<long>")
     tokens = scratch.store(tokens.join(nodes.select("h"), "h", "left_semi").groupBy("h")
                            .agg(F.any_value("tokens").alias("tokens")), "tokens")
+    wanted.destroy()
     edges = (groups.join(tokens, "h").groupBy("x", "y")
              .applyInArrow(component_edges(num, den), "a long, b long"))
     roots = components(edges, scratch)

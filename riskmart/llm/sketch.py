@@ -61,6 +61,39 @@ def _sum(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                     schema=pa.schema([("slice", pa.int32()), ("counts", pa.binary())]))
 
 
+def _emit_flags(hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << bits, dtype=bool)
+        for batch in batches:
+            for hashes in hashes_of(batch):
+                seen[cell(hashes, bits)] = True
+        slices = seen.reshape(min(SLICES, 1 << bits), -1)
+        used = np.flatnonzero(slices.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), pa.array([slices[i].tobytes() for i in used], pa.binary())],
+            names=["slice", "flags"])
+    return run
+
+
+def _either(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    total = None
+    for flags in table["flags"].to_pylist():
+        values = np.frombuffer(flags, dtype=bool)
+        total = values if total is None else total | values
+    return pa.table({"slice": [key[0].as_py()], "flags": [np.packbits(total).tobytes()]},
+                    schema=pa.schema([("slice", pa.int32()), ("flags", pa.binary())]))
+
+
+def hash_flags(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
+    """2**bits flags: whether any hash falls in the cell. The driver sees one bit per cell."""
+    found = (df.mapInArrow(_emit_flags(hashes_of, bits), "slice int, flags binary")
+             .groupBy("slice").applyInArrow(_either, "slice int, flags binary"))
+    out = np.zeros((min(SLICES, 1 << bits), (1 << bits) // min(SLICES, 1 << bits)), dtype=bool)
+    for row in found.toArrow().to_pylist():
+        out[row["slice"]] = np.unpackbits(np.frombuffer(row["flags"], dtype=np.uint8), count=out.shape[1])
+    return out.ravel()
+
+
 def hash_counts(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
     """The 2**bits counts of the hashes that ``hashes_of`` yields for the batches of ``df``."""
     schema = "slice int, counts binary"

@@ -66,6 +66,13 @@ def test_empty_table_and_nulls(spark):
                          key=str)
 
 
+def test_links_between_documents_without_ids(spark):
+    a, b = near_copies(2, edits=2)
+    rows = spark.createDataFrame([(None, a), (None, b), (5, b + " tail")], "doc_id long, text string")
+    got = near_duplicates(rows, bits=10).collect()
+    assert {r.component_id for r in got} == {5}
+
+
 def test_one_of_each_keeps_whole_rows(spark):
     values = texts() + near_copies(10)
     docs = documents(spark, values).unionByName(documents(spark, values[:3]))       # repeated rows
