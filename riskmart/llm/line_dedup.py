@@ -7,8 +7,10 @@ when overlap / union >= num / den. Candidates share a prefix word (prefix
 filter), their sizes allow the threshold (length filter), and the places of the
 shared words allow the overlap (positional filter). The prefix that a pair needs
 follows from both sizes; it is taken one word longer where the lines' own prefixes
-reach that far, and two words in common are asked for then. Every candidate is
-verified on its whole set. A word in the prefixes of more than ``crowd`` sets
+reach that far, and two words in common are asked for then. A row also has one bit
+of 64 for every word of its line: a bit that the other line lacks is a word that it
+lacks, which bounds the overlap from above. Every candidate is verified on its
+whole set. A word in the prefixes of more than ``crowd`` sets
 makes them a crowd, compared block against block without emitting the pairs.
 
 Prefix words travel packed, one binary value for each task and range of words; a
@@ -46,10 +48,11 @@ FILTER_BITS = 22
 CROWD = 64
 FREQUENT = 1 << 15                       # bounds a word's rows in a range
 RANGE_BYTES = 8 << 20                    # text of the corpus for each range of words
+SENT_BYTES = 32 << 20                    # removed lines (24 bytes each) that may be broadcast
 _PACKED = 1 << 20                        # prefix words that a task holds before it emits them
 _U = np.uint64
-_WORD = np.dtype([("range", "u4"), ("key", "u4"), ("h", "u8"), ("n", "u4"), ("pos", "u4")])
-_COLUMNS = ("key", "h", "n", "pos")      # packed one after the other
+_WORD = np.dtype([("range", "u4"), ("key", "u4"), ("h", "u8"), ("bits", "u8"), ("n", "u4"), ("pos", "u4")])
+_COLUMNS = ("key", "h", "bits", "n", "pos")                # packed one after the other
 _ROW = sum(_WORD[c].itemsize for c in _COLUMNS)
 
 
@@ -134,6 +137,9 @@ def _packed_prefixes(num: int, den: int, counts, ranges: int):
                 out = np.zeros(int(keep.sum()), dtype=_WORD)
                 token = values[keep]
                 out["h"] = np.repeat(h, n[some])[keep]
+                flag = _U(1) << (textvec.mix(values ^ _U(0x8EBC6AF09C88C6E3)) >> _U(58))
+                either = np.bitwise_or.reduceat(flag, end - n[some]) if len(some) else flag
+                out["bits"] = np.repeat(either, n[some])[keep]
                 out["n"] = np.repeat(n[some], n[some])[keep]
                 out["pos"] = place[keep]
                 out["key"] = token & np.uint64(0xFFFFFFFF)
@@ -158,11 +164,11 @@ def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
             for c in _COLUMNS:
                 columns[c].append(np.frombuffer(words, dtype=_WORD[c], count=k, offset=at))
                 at += k * _WORD[c].itemsize
-        key, h, n, pos = (np.concatenate(columns[c]) for c in _COLUMNS)
+        key, h, bits, n, pos = (np.concatenate(columns[c]) for c in _COLUMNS)
         order = np.lexsort((h, key))
-        key, h, n, pos = key[order], h[order], n[order].astype(np.int64), pos[order].astype(np.int64)
+        key, h, bits, n, pos = key[order], h[order], bits[order], n[order].astype(np.int64), pos[order].astype(np.int64)
         new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))       # equal sets of other tasks
-        key, h, n, pos = key[new], h[new].view(np.int64), n[new], pos[new]
+        key, h, bits, n, pos = key[new], h[new].view(np.int64), bits[new], n[new], pos[new]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first, len(key)))
         out = []
@@ -170,7 +176,7 @@ def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
             rows = first[count == c]
             for i in range(c):
                 for j in range(i + 1, c):
-                    out.append(_possible(rows + i, rows + j, h, n, pos, num, den))
+                    out.append(_possible(rows + i, rows + j, h, bits, n, pos, num, den))
         a, b, least = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
         many = np.flatnonzero(count > most)
         members = np.concatenate([np.arange(first[i], first[i] + count[i]) for i in many]) if len(many) else many
@@ -182,7 +188,7 @@ def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
     return run
 
 
-def _possible(x, y, h, n, pos, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _possible(x, y, h, bits, n, pos, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of rows with one word that pass the filters: set hashes (less first), common words needed."""
     n_x, n_y, i, j = n[x], n[y], pos[x], pos[y]
     need = -(-num * (n_x + n_y) // (num + den))
@@ -190,6 +196,8 @@ def _possible(x, y, h, n, pos, num: int, den: int) -> tuple[np.ndarray, np.ndarr
     ok &= (i + need <= n_x + 1) & (j + need <= n_y + 1)
     ok &= np.minimum(i, j) + 1 + np.minimum(n_x - i - 1, n_y - j - 1) >= need
     x, y, n_x, n_y, need = x[ok], y[ok], n_x[ok], n_y[ok], need[ok]
+    ok = (n_x - np.bitwise_count(bits[x] & ~bits[y]) >= need) & (n_y - np.bitwise_count(bits[y] & ~bits[x]) >= need)
+    x, y, n_x, n_y, need = x[ok], y[ok], n_x[ok], n_y[ok], need[ok]
     # the longer prefix holds only where a line's own prefix reaches it
     longer = (n_x - -(-num * n_x // den) > n_x - need) & (n_y - -(-num * n_y // den) > n_y - need) & (need > 1)
     return np.minimum(h[x], h[y]), np.maximum(h[x], h[y]), 1 + longer.astype(np.int64)
@@ -319,6 +327,10 @@ def deduplicated(docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "
     removed = later_matches(docs, num, den, id_col, text, scratch=scratch)
     gone = (removed.groupBy("id", "text_hash").agg(F.collect_set("line").alias("_gone"))     # one document's lines
             .withColumnsRenamed({"id": "_id", "text_hash": "_hash"}))
+    # removed lines are few numbers for each document: sent to the texts while they are counted as small,
+    # else both sides are shuffled
+    if removed.count() * 24 <= SENT_BYTES:
+        gone = F.broadcast(gone)
     keyed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     rows = (keyed.join(gone, keyed[id_col].cast("long").eqNullSafe(gone["_id"]) & (keyed["_text_hash"] == gone["_hash"]),
                        "left").select(*[keyed[c] for c in docs.columns], "_gone"))
