@@ -115,9 +115,9 @@ def instances(found: DataFrame) -> DataFrame:
         seed = seed | F.coalesce(_valid(F.lit(kind), hit), F.lit(False)) & hit.isNotNull()
     value = F.regexp_extract(token, VALUE, 1)
     tail = F.length(token) - F.length(F.regexp_replace(token, r"[^A-Za-z0-9]+$", ""))
-    rows = (found.where(F.col("kind") == "candidate").withColumn("value", value)
-            .where((F.length(F.regexp_replace("value", "[^A-Za-z0-9]", "")) >= 8) & (F.length(_digits(F.col("value"))) >= 2))
-            .withColumn("seed", seed)
+    looks_like_id = (F.length(F.regexp_replace("value", "[^A-Za-z0-9]", "")) >= 8) & (F.length(_digits(F.col("value"))) >= 2)
+    rows = (found.where(F.col("kind") == "candidate").withColumn("seed", seed).withColumn("value", value)
+            .where(F.col("seed") | looks_like_id)
             .withColumn("to", (F.col("end") - tail).cast("long"))
             .withColumn("from", (F.col("to") - F.length("value")).cast("long"))
             .withColumn("prefix", F.substring("match", F.lit(1), (F.col("from") - F.col("start")).cast("int"))))

@@ -13,7 +13,7 @@ by a hash of the id (a documented bound; their features are what the driver
 collects). Scoring covers every whole text in one pass.
 
 Defined results: a null or empty text has zero features and a score; without any
-labelled row of both classes the score is the prior (0.5 if there is none);
+labelled row the score is 0.5, with one class alone it is 0.98 or 0.02;
 labels that are null or name no document are ignored; repeated rows are scored
 each; an empty table gives an empty result; extra columns pass through.
 """
@@ -176,9 +176,9 @@ def fit(x: np.ndarray, y: np.ndarray, n_bins: int = 48, cycles: int = 120, rate:
         pair_cycles: int = 40, ridge: float = 2.0) -> AdditiveModel:
     """Cyclic boosting of shallow trees on binned features, then on the pairs with the largest gain."""
     k = x.shape[1] if x.ndim == 2 else len(FEATURES)
-    positive = float(y.mean()) if len(y) else 0.5
+    positive = float(y.mean()) if len(y) else 0.0
     if not 0 < positive < 1:
-        flat = 0.0 if not len(y) else (4.0 if positive else -4.0)
+        flat = 0.0 if not len(y) else (4.0 if positive else -4.0)        # one class only: nearly sure of it
         return AdditiveModel([np.zeros(0)] * k, [np.zeros(1)] * k, [], flat)
     edges = [np.unique(np.quantile(x[:, i], np.linspace(0, 1, n_bins + 1)[1:-1])) for i in range(k)]
     model = AdditiveModel(edges, [np.zeros(len(e) + 1) for e in edges], [], float(np.log(positive / (1 - positive))))

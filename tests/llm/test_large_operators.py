@@ -7,6 +7,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from riskmart.llm import decontaminate, quality, textvec, warc_zip
 from riskmart.llm.kd_shards import kd_shards  # noqa: F401  (imported as the pipeline does)
@@ -49,7 +50,7 @@ def test_contaminated_and_clean_documents(spark):
         item = items[i * 5]
         values.append(" ".join([sentence(rng, 80), item[1].upper() if i % 3 else item[1].replace(" ", "\n"), sentence(rng, 70)]))
         leaks[len(values) - 1] = item[0]
-    docs = documents(spark, values).unionByName(documents(spark, values[-1:]).withColumn("doc_id", documents(spark, values[-1:]).doc_id + 500))
+    docs = documents(spark, values).unionByName(documents(spark, values[-1:]).withColumn("doc_id", F.col("doc_id") + 500))
     bench = spark.createDataFrame([*items, (990, None), (991, "")], "item_id long, text string")
     for shard_bytes in (1 << 20, 3000):                     # one index, or several shards
         got = decontaminate.contaminated(docs, bench, shard_bytes=shard_bytes).collect()
@@ -92,7 +93,6 @@ def test_quality_on_held_out_rows(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.score >= 0.3}
     # labels only from rows that are not held out
-    import pyspark.sql.functions as F
     flipped = labels.withColumn("quality", F.when(quality.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
     again = quality.train(docs, flipped)
     assert all((a == b).all() for a, b in zip(model.tables, again.tables))
