@@ -10,8 +10,8 @@ follows from both sizes; it is taken one word longer where the lines' own prefix
 reach that far, and two words in common are asked for then. A row also has one bit
 of 64 for every word of its line: a bit that the other line lacks is a word that it
 lacks, which bounds the overlap from above. Every candidate is verified on its
-whole set. A word in the prefixes of more than ``crowd`` sets
-makes them a crowd, compared block against block without emitting the pairs.
+whole set. If more than ``crowd`` pairs a set pass for one word, as among near
+copies, its sets are a crowd, compared block against block without emitting pairs.
 
 Prefix words travel packed, one binary value for each task and range of words; a
 range's task sorts them and emits pairs. Words that occur more than ``FREQUENT``
@@ -45,10 +45,11 @@ from .sketch import cell, hash_counts, hash_flags
 
 BITS = 21
 FILTER_BITS = 22
-CROWD = 64
+CROWD = 16
 FREQUENT = 1 << 15                       # bounds a word's rows in a range
 RANGE_BYTES = 8 << 20                    # text of the corpus for each range of words
 SENT_BYTES = 32 << 20                    # removed lines (24 bytes each) that may be broadcast
+_PAIRS = 1 << 17                         # pairs of rows looked at together
 _PACKED = 1 << 20                        # prefix words that a task holds before it emits them
 _U = np.uint64
 _WORD = np.dtype([("range", "u4"), ("key", "u4"), ("h", "u8"), ("bits", "u8"), ("n", "u4"), ("pos", "u4")])
@@ -157,7 +158,6 @@ def _packed_prefixes(num: int, den: int, counts, ranges: int):
 def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
     """For applyInArrow over a range: (kind, a, b, least) - pairs and the common words they need, or crowds."""
     def run(table: pa.Table) -> pa.Table:
-        most = crowd if table["range"][0].as_py() < ranges else 0
         columns = {c: [] for c in _COLUMNS}
         for words in table["words"].to_pylist():
             k, at = len(words) // _ROW, 0
@@ -165,42 +165,76 @@ def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
                 columns[c].append(np.frombuffer(words, dtype=_WORD[c], count=k, offset=at))
                 at += k * _WORD[c].itemsize
         key, h, bits, n, pos = (np.concatenate(columns[c]) for c in _COLUMNS)
-        order = np.lexsort((h, key))
-        key, h, bits, n, pos = key[order], h[order], bits[order], n[order].astype(np.int64), pos[order].astype(np.int64)
+        order = np.lexsort((h, n, key))
+        key, h, bits, n, pos = (x[order] for x in (key, h, bits, n, pos))
         new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))       # equal sets of other tasks
-        key, h, bits, n, pos = key[new], h[new].view(np.int64), bits[new], n[new], pos[new]
+        row = _Rows(h[new].view(np.int64), bits[new], n[new].astype(np.int64), pos[new].astype(np.int64), num, den)
+        key = key[new]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first, len(key)))
-        out = []
-        for c in np.unique(count[(count > 1) & (count <= most)]):
-            rows = first[count == c]
-            for i in range(c):
-                for j in range(i + 1, c):
-                    out.append(_possible(rows + i, rows + j, h, bits, n, pos, num, den))
-        a, b, least = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
-        many = np.flatnonzero(count > most)
-        members = np.concatenate([np.arange(first[i], first[i] + count[i]) for i in many]) if len(many) else many
+        pairs, members = [], []
+        if table["range"][0].as_py() >= ranges:          # frequent words
+            members = [np.arange(len(key))]
+        else:
+            few = 2 * crowd                              # no such list has more than crowd * its length pairs
+            for c in np.unique(count[(count > 1) & (count <= few)]):
+                i, j = np.triu_indices(c, 1)
+                some = first[count == c]
+                for part in np.array_split(some, 1 + len(some) * len(i) // _PAIRS):
+                    pairs.append(row.possible((part[:, None] + i).ravel(), (part[:, None] + j).ravel()))
+            for at, c in zip(first[count > few], count[count > few]):
+                found = row.possible_in_list(int(at), int(c))
+                if len(found[0]) <= crowd * c:
+                    pairs.append(found)
+                else:
+                    members.append(np.unique(np.concatenate(found[:2])))
+        x, y, least = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 3
+        often = np.concatenate(members) if members else np.zeros(0, np.int64)
+        a, b = np.minimum(row.h[x], row.h[y]), np.maximum(row.h[x], row.h[y])
         return pa.table({
-            "kind": pa.array(np.repeat([0, 1], [len(a), len(members)]), pa.int32()),
-            "a": pa.array(np.append(a, key[members].astype(np.int64)), pa.int64()),
-            "b": pa.array(np.append(b, h[members]), pa.int64()),
-            "least": pa.array(np.append(least, np.zeros(len(members), np.int64)), pa.int32())})
+            "kind": pa.array(np.repeat([0, 1], [len(x), len(often)]), pa.int32()),
+            "a": pa.array(np.append(a, key[often].astype(np.int64)), pa.int64()),
+            "b": pa.array(np.append(b, row.h[often]), pa.int64()),
+            "least": pa.array(np.append(least, np.zeros(len(often), np.int64)), pa.int32())})
     return run
 
 
-def _possible(x, y, h, bits, n, pos, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows with one word that pass the filters: set hashes (less first), common words needed."""
-    n_x, n_y, i, j = n[x], n[y], pos[x], pos[y]
-    need = -(-num * (n_x + n_y) // (num + den))
-    ok = (np.minimum(n_x, n_y) * den >= np.maximum(n_x, n_y) * num)
-    ok &= (i + need <= n_x + 1) & (j + need <= n_y + 1)
-    ok &= np.minimum(i, j) + 1 + np.minimum(n_x - i - 1, n_y - j - 1) >= need
-    x, y, n_x, n_y, need = x[ok], y[ok], n_x[ok], n_y[ok], need[ok]
-    ok = (n_x - np.bitwise_count(bits[x] & ~bits[y]) >= need) & (n_y - np.bitwise_count(bits[y] & ~bits[x]) >= need)
-    x, y, n_x, n_y, need = x[ok], y[ok], n_x[ok], n_y[ok], need[ok]
-    # the longer prefix holds only where a line's own prefix reaches it
-    longer = (n_x - -(-num * n_x // den) > n_x - need) & (n_y - -(-num * n_y // den) > n_y - need) & (need > 1)
-    return np.minimum(h[x], h[y]), np.maximum(h[x], h[y]), 1 + longer.astype(np.int64)
+class _Rows:
+    """Prefix rows of a range, sorted by word, then set size; the filters on pairs of them."""
+
+    def __init__(self, h, bits, n, pos, num: int, den: int):
+        self.h, self.bits, self.n, self.pos, self.num, self.den = h, bits, n, pos, num, den
+
+    def possible(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of pairs of rows with one word, those that pass the filters, and the common words they need."""
+        num, den, n, pos, bits = self.num, self.den, self.n, self.pos, self.bits
+        ok = n[x] * den >= n[y] * num                    # n[x] <= n[y]
+        x, y = x[ok], y[ok]
+        n_x, n_y, i, j = n[x], n[y], pos[x], pos[y]
+        need = -(-num * (n_x + n_y) // (num + den))
+        ok = (i + need <= n_x + 1) & (j + need <= n_y + 1)
+        ok &= np.minimum(i, j) + 1 + np.minimum(n_x - i - 1, n_y - j - 1) >= need
+        x, y, need = x[ok], y[ok], need[ok]
+        ok = n[x] - np.bitwise_count(bits[x] & ~bits[y]) >= need
+        ok &= n[y] - np.bitwise_count(bits[y] & ~bits[x]) >= need
+        x, y, need = x[ok], y[ok], need[ok]
+        n_x, n_y = n[x], n[y]
+        # the longer prefix holds only where a line's own prefix reaches it
+        longer = (need > -(-num * n_x // den)) & (need > -(-num * n_y // den)) & (need > 1)
+        return x, y, 1 + longer.astype(np.int64)
+
+    def possible_in_list(self, at: int, c: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for all pairs of one long list, by slices, up to the sizes that the length filter allows."""
+        n, out, lo = self.n[at:at + c], [], 0
+        while lo < c:
+            hi = min(c, lo + max(1, _PAIRS // c))
+            end = int(np.searchsorted(n, n[hi - 1] * self.den // self.num, side="right"))
+            x, y = np.meshgrid(np.arange(lo, hi), np.arange(lo, max(end, hi)), indexing="ij")
+            ahead = x < y
+            out.append(self.possible(at + x[ahead], at + y[ahead]))
+            lo = hi
+        x, y, least = (np.concatenate(p) for p in zip(*out))
+        return x, y, least
 
 
 def _fetch(counts, texts, sets):
