@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4096
 
 
 def uniform(h: Column) -> Column:
