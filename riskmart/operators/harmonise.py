@@ -41,7 +41,8 @@ FLAT_RENAMES = {
     "CITY": "city", "STATE": "state", "POSTALCODE": "zip", "PHONENUMBER": "tel",
     "RESTAURANTOPENDATE": "dateStart", "FACILITYTYPE": "type", "X": "geoX", "Y": "geoY",
 }
-FLAT_DROPPED = ("OBJECTID", "PERMITID", "GEOCODESTATUS")
+# Flat-feed columns that are not kept.
+FLAT_DROPPED = ("OBJECTID", "GEOCODESTATUS", "PERMITID")
 
 # Nested-feed field (under ``fields``) → target column.
 NESTED_FIELDS = {
@@ -50,6 +51,7 @@ NESTED_FIELDS = {
     "zip": "premise_zip", "tel": "premise_phone", "dateStart": "opening_date",
     "dateEnd": "closing_date",
 }
+# Nested-feed columns that are not kept.
 NESTED_DROPPED = ("fields", "geometry", "record_timestamp", "recordid")
 
 

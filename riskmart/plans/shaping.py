@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.plans.curate import WAR_SOURCE_SCHEMA, economics_spec, war_spec
+from riskmart.sources.dump import ECONOMICS_DUMP_SCHEMA
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -119,39 +122,20 @@ FROM orders o JOIN (
 
 
 def war_source(war: DataFrame) -> DataFrame:
-    """A war-like table under the war source file's column names."""
-    return war.select(
-        F.col("id").alias("Conflict_Id"), F.col("name").alias("Conflict_Name"),
-        F.col("type").alias("Conflict_Type"), F.col("region").alias("Region"),
-        F.col("start_year").alias("Start_Year"), F.col("end_year").alias("End_Year"),
-        F.col("primary_country").alias("Primary_Country"),
-        F.col("most_affected_sector").alias("Most_Affected_Sector"),
-        F.col("cost_of_war_usd").alias("Cost_of_War_USD"),
-        F.col("black_market_activity_level").alias("Black_Market_Activity_Level"),
-        F.col("primary_black_market_goods").alias("Primary_Black_Market_Goods"),
-        F.col("currency_black_market_rate_gap_pct").alias("Currency_Black_Market_Rate_Gap_%"))
+    """A war-like table under the war source file's column names, in file order."""
+    target = {spec.source: spec.target for spec in war_spec()}
+    return war.select(*[F.col(target[f.name]).alias(f.name) for f in WAR_SOURCE_SCHEMA])
 
 
 def economics_source(econ: DataFrame) -> DataFrame:
-    """An economics-like table as the 18 dump columns, in dump order."""
-    return econ.select(
-        F.col("id").alias("Conflict_Id"),
-        F.col("prewar_unemployment_pct").alias("Pre_War_Unemployment_pct"),
-        F.col("during_war_unemployment_pct").alias("During_War_Unemployment_pct"),
-        (F.col("during_war_unemployment_pct") - F.col("prewar_unemployment_pct"))
-        .alias("Unemployment_Spike_pp"),
-        F.col("status").alias("Status"),
-        F.col("youth_unemployment_change_pct").alias("Youth_Unemployment_Change_pct"),
-        F.col("prewar_poverty_rate_pct").alias("Pre_War_Poverty_Rate_pct"),
-        F.col("during_war_poverty_rate_pct").alias("During_War_Poverty_Rate_pct"),
-        F.col("extreme_poverty_rate_pct").alias("Extreme_Poverty_Rate_pct"),
-        F.col("food_insecurity_rate_pct").alias("Food_Insecurity_Rate_pct"),
-        F.col("households_fallen_into_poverty_estimate").alias("Households_Fallen_Into_Poverty"),
-        F.col("gdp_change_pct").alias("GDP_Change_pct"),
-        F.col("inflation_rate_change_pct").alias("Inflation_Rate_pct"),
-        F.col("currency_devaluation_pct").alias("Currency_Devaluation_pct"),
-        (F.col("inflation_rate_change_pct") * 1e9).alias("Estimated_Reconstruction_Cost_USD"),
-        F.col("prewar_poverty_rate_pct").alias("Informal_Economy_Pre_War_pct"),
-        F.col("during_war_poverty_rate_pct").alias("Informal_Economy_During_War_pct"),
-        F.when(F.col("households_fallen_into_poverty_estimate") > 4, "Yes").otherwise("No")
-        .alias("War_Profiteering_Documented"))
+    """An economics-like table as the dump's columns, in dump order."""
+    target = {spec.source: F.col(spec.target) for spec in economics_spec() if spec.target in econ.columns}
+    # the columns that curation drops, and those that the economics-like table lacks
+    made = {
+        "Unemployment_Spike_pp": F.col("during_war_unemployment_pct") - F.col("prewar_unemployment_pct"),
+        "Estimated_Reconstruction_Cost_USD": F.col("inflation_rate_change_pct") * 1e9,
+        "Informal_Economy_Pre_War_pct": F.col("prewar_poverty_rate_pct"),
+        "Informal_Economy_During_War_pct": F.col("during_war_poverty_rate_pct"),
+        "War_Profiteering_Documented": F.when(F.col("households_fallen_into_poverty_estimate") > 4, "Yes").otherwise("No"),
+    }
+    return econ.select(*[(target | made)[f.name].alias(f.name) for f in ECONOMICS_DUMP_SCHEMA])
