@@ -1,4 +1,3 @@
-import duckdb
 from pyspark.sql import functions as F
 
 from riskmart.plans.oracle import compare
@@ -27,20 +26,33 @@ def test_shared_root_prefers_session_setting_then_local_dir():
     from riskmart import session
 
     class Conf:
-        def __init__(self, value):
-            self.value = value
+        def __init__(self, value, master):
+            self.values = {"spark.checkpoint.dir": value, "spark.master": master}
 
         def get(self, key, default=None):
-            return self.value if key == "spark.checkpoint.dir" else default
+            return self.values.get(key) or default
 
     class Ctx:
         def getCheckpointDir(self):
             return None
 
     class Fake:
-        def __init__(self, value):
-            self.conf, self.sparkContext = Conf(value), Ctx()
+        def __init__(self, value, master="local[4]"):
+            self.conf, self.sparkContext = Conf(value, master), Ctx()
 
     assert session.shared_root(Fake("hdfs:///ckpt/")) == "hdfs:///ckpt"
     first = session.shared_root(Fake(None))
     assert os.path.isdir(first) and session.shared_root(Fake(None)) == first
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            session.shared_root(Fake(None, master))
+        assert session.shared_root(Fake("/shared", master)) == "/shared"
+
+
+def test_scratch_directories_do_not_touch_each_other(spark):
+    from riskmart.session import Scratch
+    with Scratch(spark, "a") as one:
+        kept = one.store(spark.range(5).toDF("x"), "t")
+        with Scratch(spark, "a") as two:
+            two.store(spark.range(3).toDF("x"), "t")
+        assert kept.count() == 5
