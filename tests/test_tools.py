@@ -1,3 +1,5 @@
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from riskmart.plans.oracle import compare
