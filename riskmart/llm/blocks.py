@@ -73,10 +73,10 @@ def overlaps(doc: np.ndarray, token: np.ndarray, docs: int) -> np.ndarray:
     for c in range(2, RARE + 1):
         rows = first[count == c]
         if len(rows):
-            sets = doc[rows[:, None] + np.arange(c)]
-            for i in range(c):
-                for j in range(i + 1, c):
-                    out += np.bincount(sets[:, i] * docs + sets[:, j], minlength=docs * docs)
+            i, j = np.triu_indices(c, 1)
+            for part in np.array_split(rows, 1 + len(rows) * len(i) // (1 << 20)):
+                sets = doc[part[:, None] + np.arange(c)]
+                out += np.bincount((sets[:, i] * docs + sets[:, j]).ravel(), minlength=docs * docs)
     out = out.reshape(docs, docs)
     many = np.flatnonzero(count > RARE)
     for lo in range(0, len(many), 2048):
