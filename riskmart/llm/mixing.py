@@ -4,10 +4,12 @@ The rows of a source, in seeded hash order, are cut into blocks of
 ``block_bytes`` (a document belongs to the block in which it starts). A source
 of weight w gets its k-th block within the window [floor(k/w), ceil((k+1)/w)) of
 slots; of the blocks that are released, the one with the earliest deadline takes
-the slot. Weights are whole parts of ``period``, so all windows repeat with the
-period: its schedule is computed once (``period`` entries, a fixed bound) and
-every document finds its slot by arithmetic. In every prefix of the stream each
-source is less than one block from its share.
+the slot. Weights are taken as they are given (whole numbers with the same ratios,
+nothing is rounded), so in every prefix of the stream, however long, each source is
+less than one block from its share. The state before a slot is one number for each
+source: the driver steps through the slots once and keeps the state of every
+``period``-th one, tasks fill in the slots between, and documents meet their
+block's slots in a join.
 
 ``cover`` (the default) runs until the source that is largest for its weight has
 been used up once; a source that ends earlier starts again (``epoch`` 1, 2 ...),
@@ -15,14 +17,18 @@ so no document is lost. ``supply`` stops where a source would start again.
 
 Rows with the same source and doc_id move as one unit. Defined results: null or
 empty text counts one byte; null sources are a source; an empty table gives an
-empty result; a source without a given weight is an error, a given weight whose
-source has no rows is ignored; extra columns are ignored.
+empty result; a source without a given weight, or with one that is not a positive
+number, is an error, a given weight whose source has no rows is ignored; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,32 +52,83 @@ def whole_parts(weights: list[float], period: int) -> list[int]:
     return parts
 
 
-def pfair_period(parts: list[int]) -> list[int]:
-    """The source of every slot of one period, by earliest deadline among released blocks."""
+def exact_parts(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the ratios of the weights."""
+    exact = [Fraction(w) for w in weights]
+    whole = math.lcm(*(x.denominator for x in exact))
+    parts = [int(x * whole) for x in exact]
+    common = math.gcd(*parts) or 1
+    return [q // common for q in parts]
+
+
+def pfair(parts: list[int], slot: int, served: list[int]) -> Iterator[int]:
+    """The source of ``slot`` and all later ones, by earliest deadline among released blocks.
+
+    ``served`` holds every source's blocks before ``slot``; it is kept up to date.
+    """
     period = sum(parts)
-    release: list[list[tuple[int, int]]] = [[] for _ in range(period)]
-    for source, q in enumerate(parts):
-        for k in range(q):
-            release[k * period // q].append((-(-(k + 1) * period // q), source))
+
+    def window(source: int) -> tuple[int, int, int]:
+        k, q = served[source], parts[source]
+        return k * period // q, -(-(k + 1) * period // q), source
+
+    later = [window(i) for i in range(len(parts))]         # each source's next block
+    heapq.heapify(later)
     ready: list[tuple[int, int]] = []
-    order = []
-    for slot in range(period):
-        for block in release[slot]:
-            heapq.heappush(ready, block)
+    while True:
+        while later and later[0][0] <= slot:
+            heapq.heappush(ready, heapq.heappop(later)[1:])
         deadline, source = heapq.heappop(ready)
         if deadline <= slot:
             raise AssertionError("a block missed its window")
-        order.append(source)
-    return order
+        served[source] += 1
+        heapq.heappush(later, window(source))
+        slot += 1
+        yield source
+
 
+def pfair_period(parts: list[int]) -> list[int]:
+    """The source of every slot of one period."""
+    stream = pfair(parts, 0, [0] * len(parts))
+    return [next(stream) for _ in range(sum(parts))]
 
-def _length(slots: list[list[int]], blocks: list[int], period: int, mode: str) -> int:
-    """Slots of the whole stream."""
-    def slot(s: int, k: int) -> int:
-        return k // len(slots[s]) * period + slots[s][k % len(slots[s])]
-    if mode == "cover":
-        return max((slot(s, n - 1) + 1 for s, n in enumerate(blocks)), default=0)
-    return min((slot(s, n) for s, n in enumerate(blocks)), default=0)
+
+def _states(parts: list[int], blocks: list[int], period: int, mode: str) -> list[tuple[int, int, list[int]]]:
+    """(slot, slots, blocks served before it) of every ``period`` slots of the whole stream."""
+    if not parts:
+        return []
+    served = [0] * len(parts)
+    states, slot, unfinished = [(0, list(served))], 0, len(parts)
+    for source in pfair(parts, 0, served):
+        if mode == "supply" and served[source] > blocks[source]:
+            break
+        slot += 1
+        unfinished -= served[source] == blocks[source]
+        if mode == "cover" and not unfinished:
+            break
+        if slot % period == 0:
+            states.append((slot, list(served)))
+    return [(at, min(period, slot - at), before) for at, before in states if at < slot]
+
+
+def _slots(parts: list[int], blocks: list[int]):
+    """For mapInArrow over the states: (number of the source, block, epoch, slot) of every slot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for state in batch.to_pylist():
+                served = state["served"]
+                stream = pfair(parts, state["slot"], served)
+                source, block, epoch = [], [], []
+                for _ in range(state["slots"]):
+                    i = next(stream)
+                    source.append(i)
+                    block.append((served[i] - 1) % blocks[i])
+                    epoch.append((served[i] - 1) // blocks[i])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(source, pa.int32()), pa.array(block, pa.int64()), pa.array(epoch, pa.int32()),
+                     pa.array(range(state["slot"], state["slot"] + state["slots"]), pa.int64())],
+                    names=["_number", "_block", "epoch", "slot"])
+    return run
 
 
 def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9,
@@ -81,8 +138,11 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     """One row per scheduled unit and epoch: id_col, source_col, bytes, epoch, block, slot, offset.
 
     The stream's order is (slot, offset, id). Without ``weights``, a source's
-    weight is its bytes to the power ``exponent``. ``period`` grows to four
-    times the number of sources where that is more.
+    weight is its bytes, one block at least, to the power ``exponent``: a source
+    of a few bytes takes a whole slot and must not stretch the stream until a slot
+    is due to so few. ``period`` is the number of
+    slots that a task fills in at a time; it grows to four times the number of
+    sources where that is more. No result depends on it.
     """
     if mode not in ("cover", "supply"):
         raise ValueError(f"mode must be cover or supply, not {mode!r}")
@@ -96,34 +156,27 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     totals = sorted(((r.source, r.bytes) for r in units.groupBy("source").agg(F.sum("bytes").alias("bytes")).collect()),
                     key=lambda t: (t[0] is not None, t[0] or ""))
     if weights is None:
-        shares = [b ** exponent for _, b in totals]
+        shares = [max(b, block_bytes) ** exponent for _, b in totals]
     else:
         missing = [s for s, _ in totals if s not in weights]
         if missing:
             raise ValueError(f"no target weight for sources {missing[:5]}")
         shares = [weights[s] for s, _ in totals]
+    wrong = [s for (s, _), w in zip(totals, shares) if not (w > 0 and math.isfinite(w))]
+    if wrong:
+        raise ValueError(f"weights of sources {wrong[:5]} are not positive numbers")
     period = max(period, 4 * len(totals))
-    order = pfair_period(whole_parts(shares, period))
-    slots: list[list[int]] = [[] for _ in totals]
-    for slot, source in enumerate(order):
-        slots[source].append(slot)
+    parts = exact_parts(shares)
     blocks = [-(-b // block_bytes) for _, b in totals]
-    length = _length(slots, blocks, period, mode)
-    plan = spark.createDataFrame(
-        [(name, blocks[i], slots[i], length // period * len(slots[i]) + sum(x < length % period for x in slots[i]))
-         for i, (name, _) in enumerate(totals)], "_source string, blocks long, slots array<int>, due long")
+    states = spark.createDataFrame(_states(parts, blocks, period, mode), "slot long, slots long, served array<long>")
+    plan = scratch.store(states.mapInArrow(_slots(parts, blocks), "_number int, _block long, epoch int, slot long"), "plan")
+    numbers = spark.createDataFrame([(name, i) for i, (name, _) in enumerate(totals)], "_source string, number int")
     placed = running_sum(units, ["source"], "h", ["id"], F.col("bytes"), "at")
-    with_plan = (placed.join(F.broadcast(plan), placed["source"].eqNullSafe(plan["_source"]))   # period entries
-                 .withColumn("block", F.floor(F.col("at") / block_bytes).cast("long"))
-                 .where(F.col("block") < F.col("due"))
-                 .withColumn("epoch", F.explode(F.sequence(
-                     F.lit(0).cast("long"), F.floor((F.col("due") - 1 - F.col("block")) / F.col("blocks")).cast("long")))))
-    nth = F.col("epoch") * F.col("blocks") + F.col("block")
-    per = F.size("slots").cast("long")
-    slot = F.floor(nth / per).cast("long") * period + F.element_at("slots", (nth % per).cast("int") + 1)
+    numbered = (placed.join(F.broadcast(numbers), placed["source"].eqNullSafe(numbers["_source"]))   # a row for each source
+                .withColumn("block", F.floor(F.col("at") / block_bytes).cast("long")))
+    with_plan = numbered.join(plan, (F.col("number") == F.col("_number")) & (F.col("block") == F.col("_block")))
     return with_plan.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "bytes",
-                            F.col("epoch").cast("int"), "block", slot.cast("long").alias("slot"),
-                            (F.col("at") % block_bytes).alias("offset"))
+                            "epoch", "block", "slot", (F.col("at") % block_bytes).alias("offset"))
 
 
 def mixed_documents(docs: DataFrame, scratch: Scratch | None = None, **how) -> DataFrame:

@@ -108,6 +108,34 @@ def test_mixed_documents_are_whole_rows(spark):
         mixing.mix_sources(docs, weights={"src0": 1.0})
 
 
+def test_weights_hold_over_several_periods(spark):
+    shares = {"hot": 1 / 3} | {f"s{i}": 2 / 3 / 19 * (0.5 + i / 18) for i in range(19)}
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 19).cast("string"))).alias("source"))
+    how = {"weights": shares, "block_bytes": 10, "period": 128}
+    order = [(slot, source) for slot, _, _, source, _, _ in plain_schedule(spark, docs, **how)]
+    assert [slot for slot, _ in order] == list(range(len(order))) and len(order) > 20 * 128
+    total, have = sum(shares.values()), dict.fromkeys(shares, 0)
+    for slot, source in order:
+        have[source] += 1
+        assert all(abs(have[s] - (slot + 1) * w / total) < 1 for s, w in shares.items())
+    assert plain_schedule(spark, docs, **(how | {"period": 1000})) == plain_schedule(spark, docs, **how)
+
+
+def test_scarce_sources_are_repeated_by_their_weight_only(spark):
+    docs = spark.range(20_001).select(F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"),
+                                      F.when(F.col("id") == 0, "scarce").otherwise("hot").alias("source"))
+    got = plain_schedule(spark, docs, block_bytes=10)
+    due = len(got) / (1 + 20_000 ** 0.9)                   # about 2.7; one slot of 4,096 would be 5
+    assert abs(sum(source == "scarce" for _, _, _, source, _, _ in got) - due) < 1
+    tiny = docs.withColumn("text", F.when(F.col("doc_id") == 0, "x").otherwise(F.col("text")))
+    assert len(plain_schedule(spark, tiny, block_bytes=10)) == len(got)
+    for weight in (0.0, -1.0, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            mixing.mix_sources(docs, weights={"hot": 1.0, "scarce": weight})
+
+
 # ---------------------------------------------------------------- fingerprints
 
 def test_fingerprints_and_edited_texts(spark):
