@@ -318,6 +318,8 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     texts = broadcast(hash_flags(nodes.select("text_hash"), _hashes, FILTER_BITS))
     wanted = broadcast(hash_flags(nodes.select("h", "text_hash"), _places, FILTER_BITS))
     tokens = narrow.select("text_hash", "text").mapInArrow(_fetch(counts, texts, wanted), "h long, tokens array<long>")
+    # every copy of a first place's text sends its lines: one row for each set, or a block pair would hold all of them
+    tokens = scratch.store(tokens.groupBy("h").agg(F.any_value("tokens").alias("tokens")), "tokens")
     sets = nodes.select("h", "id", "text_hash", "line").join(tokens, "h")
     earlier = (gathered(pairs, crowds, blocks).join(sets, "h").groupBy("x", "y")
                .applyInArrow(_earliest(num, den), "h long, id long, text_hash long, line int"))

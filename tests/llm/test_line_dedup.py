@@ -1,3 +1,4 @@
+from riskmart.llm import line_dedup
 from riskmart.llm.line_dedup import deduplicated, later_matches
 
 from .helpers import documents, texts, words_of
@@ -43,3 +44,21 @@ def test_repeated_rows_and_empty_table(spark):
     again = deduplicated(docs.withColumn("n_lines", docs.n))
     assert again.columns == [*docs.columns, "n_lines", "removed_lines"]
     assert deduplicated(documents(spark, empty=True)).count() == 0
+
+
+def test_copies_in_many_partitions_are_one_row_of_a_block_pair(spark, monkeypatch):
+    whole = line_dedup._earliest(80, 100)
+
+    def once(num, den):
+        def run(table):
+            h = table["h"].to_pylist()
+            if len(h) != len(set(h)):
+                raise ValueError(f"{len(h)} rows of {len(set(h))} sets in a block pair")
+            return whole(table)
+        return run
+
+    monkeypatch.setattr(line_dedup, "_earliest", once)
+    base = " ".join(f"b{i}" for i in range(20))
+    values = [base] * 64 + [base.replace("b3", "other")]
+    docs = documents(spark, values).repartition(16, "doc_id")
+    assert {(r.id, r.line) for r in later_matches(docs, bits=10).collect()} == {(i, 0) for i in range(1, 65)}
