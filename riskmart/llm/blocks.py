@@ -118,12 +118,22 @@ def forest(link: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[nodes][keep], root[keep]
 
 
-def component_edges(num: int, den: int):
-    """A function for applyInArrow over (x, y): edges (a, b) that span the links of a block pair."""
+def edges_and_links(num: int, den: int):
+    """A function for applyInArrow over (x, y): edges (a, b) that span the links of a block pair, and
+    (a, links), the copies of the sets that a is linked to.
+
+    Every link is counted in the pair of its own two blocks only: (x, x) for two sets of one block.
+    """
     def run(sets: pa.Table) -> pa.Table:
         h, link = linked(sets, num, den)
         a, b = forest(link, h)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        x, y, block = (sets[c].to_numpy() for c in ("x", "y", "block"))
+        own = link if x[0] == y[0] else link & (block[:, None] != block[None, :])
+        links = np.where(own, sets["copies"].to_numpy()[None, :], 0).sum(axis=1)
+        some = np.flatnonzero(links)
+        return pa.table({"a": pa.array(np.append(a, h[some]), pa.int64()),
+                         "b": pa.concat_arrays([pa.array(b, pa.int64()), pa.nulls(len(some), pa.int64())]),
+                         "links": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(links[some], pa.int64())])})
     return run
 
 

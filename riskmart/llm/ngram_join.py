@@ -15,10 +15,11 @@ bound the overlap that is still possible behind them.
 A shingle in the prefixes of at most ``crowd`` sets gives its pairs; one with
 more makes its sets a crowd, compared block against block without emitting the
 pairs. All candidates are verified on their whole sets. Copies (equal sets) are
-one node from the start. Links give components by star steps on stored edges.
+one node from the start. Links give components by star steps on stored edges; they
+are counted where they are verified, one row for each set of a block pair.
 
-Defined results: a null text, or one without words, has no shingles and is its own
-component; repeated rows are copies; an empty table gives an empty result; extra
+Defined results: a null text, or one without words, has no shingles and no links and
+is its own component; repeated rows are copies; an empty table gives an empty result; extra
 columns are ignored; a null id is the component id only of documents alone.
 """
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import textvec
-from .blocks import component_edges, gathered, placed, similar_enough
+from .blocks import edges_and_links, gathered, placed, similar_enough
 from .components import components
 from .sketch import cell, hash_counts, hash_flags
 
@@ -167,7 +168,8 @@ def candidates(sets: DataFrame, num: int, den: int, crowd: int, scratch: Scratch
 def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
                     text: str = "text", crowd: int = CROWD, bits: int = BITS,
                     scratch: Scratch | None = None) -> DataFrame:
-    """One row per row of ``docs``: id_col, text_hash, n_shingles, component_id (the least id reachable by links).
+    """One row per row of ``docs``: id_col, text_hash, n_shingles, component_id (the least id reachable by links),
+    n_links (the other rows that it is linked to).
 
     Documents are linked when overlap / union of their shingle sets is at least num / den.
     """
@@ -184,7 +186,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
     hub = crowds.groupBy("token").agg(F.min("h").alias("b"))
     hints = pairs.unionByName(crowds.join(hub, "token").where("h <> b").select(F.col("h").alias("a"), "b").distinct())
     nodes = (pairs.select(F.explode(F.array("a", "b")).alias("h")).unionByName(crowds.select("h")).distinct())
-    known = every.where("n > 0").groupBy("h").agg(F.min("text_hash").alias("text_hash"), F.max("n").alias("n"))
+    known = every.where("n > 0").groupBy("h").agg(F.min("text_hash").alias("text_hash"), F.max("n").alias("n"),
+                                                   F.count("*").alias("copies"))
     nodes = scratch.store(nodes.join(known, "h"), "nodes")
     blocks = scratch.store(placed(nodes.select("h", "n"), hints), "blocks")
     groups = gathered(pairs, crowds.select("token", "h"), blocks)
@@ -194,16 +197,23 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
     tokens = scratch.store(tokens.join(nodes.select("h"), "h", "left_semi").groupBy("h")
                            .agg(F.any_value("tokens").alias("tokens")), "tokens")
     wanted.destroy()
-    edges = (groups.join(tokens, "h").groupBy("x", "y")
-             .applyInArrow(component_edges(num, den), "a long, b long"))
-    roots = components(edges, scratch)
-    keyed = (every.join(roots, (F.col("h") == F.col("node")) & (F.col("n") > 0), "left")
-             .select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("root", "h")).alias("key")))
+    sets = tokens.join(blocks.select("h", "block"), "h").join(nodes.select("h", "copies"), "h")
+    found = scratch.store(groups.join(sets, "h").groupBy("x", "y")
+                          .applyInArrow(edges_and_links(num, den), "a long, b long, links long"), "links")
+    roots = components(found.where("b is not null").select("a", "b"), scratch)
+    others = (found.where("b is null").select(F.col("a").alias("h"), "links")
+              .unionByName(every.where("n > 0").groupBy("h").agg((F.count("*") - 1).alias("links")).where("links > 0"))
+              .groupBy("h").agg(F.sum("links").alias("links")))
+    # every set of an edge has links
+    alike = others.join(roots, F.col("h") == F.col("node"), "left").select(F.col("h").alias("_h"), "links", "root")
+    keyed = (every.join(alike, (F.col("h") == F.col("_h")) & (F.col("n") > 0), "left")
+             .select("id", "text_hash", "n", F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+                     F.when(F.col("n") > 0, F.coalesce("root", "h")).alias("key")))
     keyed = scratch.store(keyed, "keyed")
     least = keyed.where("key is not null").groupBy("key").agg(F.min("id").alias("least"))
     return (keyed.join(least, "key", "left")
             .select(F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"),
-                    F.coalesce("least", "id").alias("component_id")))
+                    F.coalesce("least", "id").alias("component_id"), F.col("links").alias("n_links")))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",

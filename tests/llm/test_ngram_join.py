@@ -56,6 +56,30 @@ def test_chain_of_links_is_one_component(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def plain_links(values, k, num, den):
+    sets = [shingle_set(t, k) for t in values]
+    linked = lambda a, b: (both := len(a & b)) and den * both >= num * (len(a) + len(b) - both)
+    return {i: sum(bool(linked(a, b)) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)}
+
+
+@pytest.mark.parametrize("block,crowd", [(1 << 17, 64), (1 << 11, 4), (1 << 11, 64)])
+def test_links_are_counted_once(spark, monkeypatch, block, crowd):
+    from riskmart.llm import blocks
+    monkeypatch.setattr(blocks, "BLOCK", block)            # small blocks: many block pairs for one group
+    copies = near_copies(40)
+    values = texts() + copies + copies[:3] * 2
+    got = {r.doc_id: r.n_links for r in near_duplicates(documents(spark, values), 5, 80, 100, crowd=crowd, bits=12).collect()}
+    want = plain_links(values, 5, 80, 100)
+    assert got == want and max(want.values()) > 10
+
+
+def test_a_chain_is_not_a_clique(spark):
+    words = [f"w{i}" for i in range(120)]
+    values = [" ".join(words[i:i + 100]) for i in (0, 6, 12)]
+    got = near_duplicates(documents(spark, values), bits=10).collect()
+    assert {r.doc_id: (r.component_id, r.n_links) for r in got} == {0: (0, 1), 1: (0, 2), 2: (0, 1)}
+
+
 def test_empty_table_and_nulls(spark):
     assert near_duplicates(documents(spark, empty=True), bits=8).count() == 0
     rows = spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e"), (None, "z"), (7, "a b c d e"), (8, None)],
