@@ -38,7 +38,6 @@ OrderSpec = Sequence[tuple[str, bool]]   # (column, descending)
 
 CELLS_PER_BUCKET = 32
 MOST_CELLS = 1 << 16                     # sampled rows that reach the driver, at most
-CUT_CHARS = 64                           # a text key is cut on its first characters
 
 
 def desc(*names: str) -> list[tuple[str, bool]]:
@@ -59,11 +58,7 @@ def plain_rank(df: DataFrame, order: OrderSpec, name: str = "rank") -> DataFrame
 
 
 def _cut_key(name: str, data_type: T.DataType) -> Column:
-    """A key as it is compared with cuts: never later than the key's own order puts it."""
-    if isinstance(data_type, T.StringType):
-        return F.left(F.col(name), F.lit(CUT_CHARS))
-    if isinstance(data_type, T.BinaryType):
-        return F.substring(F.col(name), 1, CUT_CHARS)
+    """A key as it is compared with cuts, in the key's own order; text is compared whole."""
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(F.col(name))            # no time-zone round trip through Python
     return F.col(name)

@@ -120,6 +120,26 @@ def test_timestamp_date_and_string_keys(spark):
         assert got == _ranks(plain_rank(df, order)), order
 
 
+@pytest.mark.parametrize("binary", [False, True])
+def test_long_keys_with_a_common_prefix(spark, binary):
+    # ids run against the keys, and a page position must follow the whole key
+    prefix = "https://example.org/" + "path/" * 20
+    key = F.concat(F.lit(prefix), F.lpad((5000 - F.col("id") - F.col("id") % 3).cast("string"), 5, "0"))
+    df = spark.range(3000).select("id", (key.cast("binary") if binary else key).alias("k"), (F.col("id") % 2).alias("w"))
+    for order in (asc("k"), desc("k"), [("w", True), ("k", False)]):
+        out = global_rank(df, order, buckets=20, position="position")
+        assert _ranks(out) == _ranks(plain_rank(df, order)), order
+        positions = [r.position for r in out.orderBy(*[F.col(c).desc() if d else F.col(c) for c, d in order], "id").collect()]
+        assert positions == list(range(1, 3001)), order
+
+
+def test_long_keys_with_a_common_prefix_are_spread(spark):
+    from riskmart.operators.ranking import with_bucket
+    df = spark.range(3000).select("id", F.concat(F.lit("p" * 100), F.col("id").cast("string")).alias("k"))
+    rows = [r["count"] for r in with_bucket(df, asc("k"), ("id",), 16).groupBy("_b").count().collect()]
+    assert len(rows) >= 14 and max(rows) < 3000 / 16 * 2
+
+
 def test_rerank_replaces_existing_rank_column(spark):
     df = spark.createDataFrame([(1, 2.0, 99), (2, 3.0, 98)], "id long, v double, rank long")
     for strategy in ("plain", "buckets"):
