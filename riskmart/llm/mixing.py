@@ -180,9 +180,16 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
 
 
 def mixed_documents(docs: DataFrame, scratch: Scratch | None = None, **how) -> DataFrame:
-    """The documents of the mixed stream, repeated as scheduled, with the columns of ``docs``."""
+    """The documents of the mixed stream in its order, repeated as scheduled, with the columns of ``docs``.
+
+    Partitions are ranges of (slot, offset, id) and sorted by it, so stored files follow the stream by their names.
+    """
     key, source = how.get("id_col", "doc_id"), how.get("source_col", "source")
-    plan = mix_sources(docs, scratch=scratch, **how).select(F.col(key).alias("_mix_id"), F.col(source).alias("_mix_source"))
+    plan = mix_sources(docs, scratch=scratch, **how).select(
+        F.col(key).alias("_mix_id"), F.col(source).alias("_mix_source"), F.col("slot").alias("_mix_slot"),
+        F.col("offset").alias("_mix_offset"))
     joined = docs.join(plan, docs[key].eqNullSafe(plan["_mix_id"])
                        & docs[source].cast("string").eqNullSafe(plan["_mix_source"]))
-    return joined.select(*[docs[c] for c in docs.columns])
+    place = ["_mix_slot", "_mix_offset", "_mix_id"]
+    ordered = joined.select(*[docs[c] for c in docs.columns], *place).repartitionByRange(*place).sortWithinPartitions(*place)
+    return ordered.drop(*place)

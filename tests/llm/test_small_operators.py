@@ -136,6 +136,19 @@ def test_scarce_sources_are_repeated_by_their_weight_only(spark):
             mixing.mix_sources(docs, weights={"hot": 1.0, "scarce": weight})
 
 
+def test_stored_documents_follow_the_stream(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("x" * 100).alias("text"),
+                                    (F.col("id") % 7).cast("string").alias("source"))
+    how = {"weights": {str(i): 1.0 + i for i in range(7)}, "block_bytes": 500}
+    mixing.mixed_documents(docs, **how).write.parquet(f"{tmp_dir}/mixed")
+    files = sorted(glob.glob(f"{tmp_dir}/mixed/part-*.parquet"))
+    stored = [i for f in files for i in pq.read_table(f)["doc_id"].to_pylist()]
+    assert stored == [doc for _, _, doc, *_ in plain_schedule(spark, docs, **how)]
+
+
 # ---------------------------------------------------------------- fingerprints
 
 def test_fingerprints_and_edited_texts(spark):
