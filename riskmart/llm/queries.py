@@ -13,6 +13,7 @@ from .kd_shards import kd_shards
 from .line_dedup import deduplicated
 from .mixing import mix_sources
 from .ngram_join import near_duplicates
+from .phrases import phrases, top_phrases
 from .substring_dedup import without_repeats
 from .token_counts import token_counts
 
@@ -129,3 +130,32 @@ FROM d LEFT JOIN kept USING (doc_id)""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_phrases", """
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+     pieces AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM docs),
+     grams AS (SELECT lang, k, w[i:i + k - 1] AS w, count(*) AS f
+               FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 5) AS t(k) WHERE len(w) >= k)
+               GROUP BY ALL),
+     totals AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+     often AS (SELECT * FROM grams WHERE f >= 30),
+     cuts AS (SELECT lang, k, w, f, unnest(range(1, k)) AS cut FROM often WHERE k > 1),
+     scored AS (SELECT c.lang, c.k, c.w, c.f AS a, c.cut, p.f AS l, q.f AS r,
+                       CAST(2000000::HUGEINT * c.f // (p.f + q.f) AS BIGINT) AS score
+                FROM cuts c JOIN often p ON p.lang = c.lang AND p.w = c.w[1:cut] JOIN often q ON q.lang = c.lang AND q.w = c.w[cut + 1:]),
+     best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, cut) = 1),
+     inner_of AS (SELECT lang, w[i:i + m - 1] AS w, max(f) AS f
+                  FROM (SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i FROM often, range(2, 4) AS t(m) WHERE k > m)
+                  GROUP BY ALL),
+     kept AS (SELECT b.* FROM best b LEFT JOIN inner_of o USING (lang, w) WHERE o.f IS NULL OR 100 * o.f < 80 * b.a),
+     ranked AS (SELECT *, array_to_string(w, ' ') AS phrase FROM kept)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (top_phrases(phrases(table(spark, sf_dir, "documents")), 2000)
+            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
