@@ -177,6 +177,14 @@ def _sent(frequent, buckets: int):
     return run
 
 
+def _window_keys(word: np.ndarray, of_pair) -> np.ndarray:
+    """A key of the K words from every word on: of pairs of words, of pairs of those, and so on."""
+    two = of_pair(word[:-1].astype(_U), word[1:].astype(_U)).astype(_U)
+    four = of_pair(two[:-2], two[2:]).astype(_U)
+    eight = of_pair(four[:-4], four[4:]).astype(_U)
+    return of_pair(eight[:-5], eight[5:]).astype(_U)                       # words 0-7 and 5-12
+
+
 def _counted(table: pa.Table) -> pa.Table:
     """For applyInArrow over a bucket: one bit per window - a smaller id holds it too."""
     strings = [unpack(s, np.uint8) for s in table["strings"].to_pylist()]
@@ -187,21 +195,23 @@ def _counted(table: pa.Table) -> pa.Table:
     string = np.append(0, np.cumsum(line_end)[:-1])
     data = np.where(data == 0x0A, np.uint8(0x20), data)
     word = numbered(binary(data, np.append(0, stops + 1)))[0]
-    two = numbered_pairs(word[:-1], word[1:])
-    four = numbered_pairs(two[:-2], two[2:])
-    eight = numbered_pairs(four[:-4], four[4:])
-    whole = string[:-K + 1] == string[K - 1:]
-    window = ((eight[:-5].astype(_U) << _U(32)) | eight[5:].astype(_U))[whole]       # words 0-7 and 5-12
-    owner = owners[string[:-K + 1][whole]]
-    order = np.argsort(window, kind="stable")
-    ordered = window[order]
-    begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    at = np.flatnonzero(string[:-K + 1] == string[K - 1:])                 # windows by their first words
+    owner = owners[string[at]]
+    window = _window_keys(word, lambda x, y: textvec.mix(x * _U(0x9E3779B97F4A7C15) + textvec.mix(y + _U(1))))[at]
+    order = np.argsort(window)
+    same = window[order[1:]] == window[order[:-1]]
+    x, y = at[order[1:][same]], at[order[:-1][same]]
+    if any((word[x + i] != word[y + i]).any() for i in range(K)):          # two windows of one hash: number them instead
+        window = _window_keys(word, numbered_pairs)[at]
+        order = np.argsort(window)
+        same = window[order[1:]] == window[order[:-1]]
+    begin = np.flatnonzero(np.append(True, ~same))
     least = np.minimum.reduceat(owner[order], begin)
     later = np.empty(len(window), dtype=bool)
     later[order] = owner[order] > np.repeat(least, np.diff(np.append(begin, len(window))))
     # windows of each row of the table, in its order
     rows_end = np.cumsum([int(np.count_nonzero(s == 0x0A)) for s in strings])
-    cut = np.searchsorted(string[:-K + 1][whole], np.append(0, rows_end))
+    cut = np.searchsorted(string[at], np.append(0, rows_end))
     bits = [later[i:j] for i, j in zip(cut[:-1], cut[1:])]
     some = [i for i, b in enumerate(bits) if b.any()]
     return pa.table({"part": table["part"].take(pa.array(some, pa.int64())), "bucket": table["bucket"].take(pa.array(some, pa.int64())),
