@@ -92,12 +92,13 @@ def _slices(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, texts, size = [], [], 0
         for batch in batches:
-            langs += batch.column(0).to_pylist()
-            texts.append(batch.column(1).cast(pa.large_string()))
-            size += texts[-1].nbytes
-            if size >= SLICE_BYTES:
-                yield _slice_rows(langs, pa.concat_arrays(texts), ranges)
-                langs, texts, size = [], [], 0
+            for lo, hi, raw, _ in textvec.buffers(batch.column(1), SLICE_BYTES):
+                if langs and size + len(raw) > SLICE_BYTES:
+                    yield _slice_rows(langs, pa.concat_arrays(texts), ranges)
+                    langs, texts, size = [], [], 0
+                langs += batch.column(0).slice(lo, hi - lo).to_pylist()
+                texts.append(batch.column(1).slice(lo, hi - lo).cast(pa.large_string()))
+                size += len(raw)
         if langs:
             yield _slice_rows(langs, pa.concat_arrays(texts), ranges)
     return run
