@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import merkle, pii, quality, warc_zip
 from .decontaminate import contaminated
+from .divergence import audit
 from .kd_shards import kd_shards
 from .line_dedup import deduplicated
 from .mixing import mix_sources
@@ -159,3 +160,30 @@ QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (top_phrases(phrases(table(spark, sf_dir, "documents")), 2000)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
+
+
+@query("op11_source_divergence", """
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+     terms AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+     kept AS (SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+     sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+     groups AS (SELECT DISTINCT lang, source FROM docs),
+     found AS (SELECT lang, source, term, count(*) AS c FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+     grid AS (SELECT g.lang, g.source, k.term, coalesce(f.c, 0)::HUGEINT AS c FROM groups g JOIN kept k USING (lang)
+              LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+     own AS (SELECT lang, source, term, c, sum(c) OVER (PARTITION BY lang, source) AS n, sum(c) OVER (PARTITION BY lang, term) AS lc,
+                    sum(c) OVER (PARTITION BY lang) AS ln, v FROM grid JOIN sizes USING (lang)),
+     p AS (SELECT lang, source, term, c, 1 + 1000000000 * (c + 2) // (n + 2 * v) AS p, 1 + 1000000000 * (lc + 2) // (ln + 2 * v) AS q FROM own),
+     sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+               FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+     parts AS (SELECT * FROM pairs UNION ALL
+               SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS r FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
