@@ -3,11 +3,12 @@
 1. Frequency filter: every slice of documents sends its distinct (language, term) pairs
    once, with the number of its documents that hold them, packed by shard (a hash of the
    term). A shard's task adds up, keeps the terms of at least ``least`` documents of
-   their language, and builds a minimal perfect hash with the kept strings by slot.
+   their language, and builds for each language a minimal perfect hash that holds the
+   kept strings by slot.
 2. Recount: the shards are broadcast in waves of at most ``WAVE_BYTES``, and for each
    wave the texts are read again. A task looks up a slice's distinct terms, compares
    them with the stored strings, and increments the slots of each (language, source)
-   group, one dense array for a group; arrays above ``HELD_BYTES`` are sent off packed.
+   group, dense over its language's slots; above ``HELD_BYTES`` they are sent off packed.
    A larger vocabulary is more waves, never a larger broadcast.
 3. Blocks of slots add the counts up, and from the groups' and languages' totals give
    the smoothed shares p, the divergence of each pair of a language's sources summed
@@ -35,19 +36,20 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import perfect_hash, textvec
-from .packing import LOWER, binary, byte_class, hashes_of, numbered, numbered_pairs, pack, parts, runs, spaced, unpack
+from .packing import LOWER, binary, byte_class, firsts, hashes_of, numbered, numbered_pairs, pack, parts, runs, spaced, unpack
 
 LEAST = 10                               # documents of a language that hold a kept term
 TOP = 10
-SLICE_BYTES = 4 << 20                    # text of a slice
+SLICE_BYTES = 8 << 20                    # text of a slice
 SHARD_BYTES = 4 << 20                    # text of the corpus for each shard
 MOST_SHARDS = 1 << 18                    # a row of three numbers each reaches the driver
 WAVE_BYTES = 64 << 20                    # perfect hashes broadcast together
 HELD_BYTES = 64 << 20                    # dense slots that a task holds
-BLOCK = 1 << 11                          # slots of a block
+BLOCK = 1 << 11                          # slots of a block, 2**16 at most
 SCALE = 1_000_000_000
 _TERM = byte_class(range(0x41, 0x5B), range(0x61, 0x7B), range(0x80, 0x100))
 _U = np.uint64
+_COUNTS = ("lang string, block long, sources array<string>, n array<long>, sizes array<int>, slots binary, counts binary")
 
 
 def _sliced(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -71,10 +73,12 @@ def _document_counts(shards: int):
                 text, number, terms = _terms(raw, offsets)
                 if not len(terms):
                     continue
-                once = np.unique((text.astype(_U) << _U(32)) | number.astype(_U))       # a document's term
+                once = np.sort((text.astype(_U) << _U(32)) | number.astype(_U))         # a document's term, once
+                once = once[np.append(True, once[1:] != once[:-1])]
                 lang_of, langs = numbered(rows.column(0))
                 lang, number = lang_of[(once >> _U(32)).astype(np.int64)], (once & _U(0xFFFFFFFF)).astype(np.int64)
-                _, first, count = np.unique(numbered_pairs(lang, number), return_index=True, return_counts=True)
+                pair = numbered_pairs(lang, number)
+                first, count = firsts(pair), np.bincount(pair)
                 lang, number = lang[first], number[first]
                 shard = (hashes_of(terms) % _U(shards)).astype(np.int64)[number]
                 order = np.lexsort((lang, shard))
@@ -89,32 +93,8 @@ def _document_counts(shards: int):
     return run
 
 
-def _keys(langs: pa.Array, terms: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(language, term) as one byte string - the term ends at the first blank - and its hash."""
-    raw, offsets = parts(terms)
-    lang_raw, lang_offsets = parts(langs.cast(pa.large_binary()))
-    size = np.diff(offsets) + np.diff(lang_offsets)
-    stop = np.append(0, np.cumsum(size))
-    out, first = np.empty(int(stop[-1]), dtype=np.uint8), np.zeros(int(stop[-1]), dtype=bool)
-    edge = np.zeros(len(first) + 1, dtype=np.int64)
-    np.add.at(edge, stop[:-1], 1)
-    np.add.at(edge, stop[:-1] + np.diff(offsets), -1)
-    first = np.cumsum(edge)[:-1] > 0
-    out[first], out[~first] = raw, lang_raw
-    number, names = numbered(langs)
-    salt = np.array([_name_hash(x) for x in names.to_pylist()], dtype=_U)
-    return binary(out, stop), textvec.mix(hashes_of(terms) ^ salt[number])
-
-
-def _name_hash(name: str) -> int:
-    value = 0xCBF29CE484222325                           # FNV-1a
-    for byte in (name or "").encode():
-        value = (value ^ byte) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-    return value
-
-
 def _kept_terms(least: int):
-    """For applyInArrow over a shard: its number of kept terms and its perfect hash."""
+    """For applyInArrow over a shard: each language's number of kept terms and their perfect hash."""
     def run(table: pa.Table) -> pa.Table:
         counts = [unpack(c, np.uint32) for c in table["counts"].to_pylist()]
         data = np.concatenate([unpack(t, np.uint8) for t in table["terms"].to_pylist()])
@@ -123,85 +103,101 @@ def _kept_terms(least: int):
         lang = np.repeat(lang, [len(c) for c in counts])
         key = numbered_pairs(lang, numbered(terms)[0])
         total = np.bincount(key, weights=np.concatenate(counts)).astype(np.int64)
-        first = np.zeros(len(total), dtype=np.int64)
-        first[key[::-1]] = np.arange(len(key))[::-1]
-        kept = first[total >= least]
-        values, hashes = _keys(names.take(pa.array(lang[kept])), terms.take(pa.array(kept)))
-        built = perfect_hash.build(values, hashes)
-        return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int32()), "n": pa.array([len(kept)], pa.int64()),
-                         "n_bytes": pa.array([built.nbytes if len(kept) else 0], pa.int64()),
-                         "hash": pa.array([pickle.dumps(built)], pa.binary())})
+        kept = firsts(key)[total >= least]
+        built = []
+        for i, name in enumerate(names.to_pylist()):
+            values = terms.take(pa.array(kept[lang[kept] == i]))
+            if len(values):
+                built.append((name, perfect_hash.build(values, hashes_of(values))))
+        return pa.table({"shard": pa.array([table["shard"][0].as_py()] * len(built), pa.int32()),
+                         "lang": pa.array([name for name, _ in built], pa.string()), "n": pa.array([h.size for _, h in built], pa.int64()),
+                         "n_bytes": pa.array([h.nbytes for _, h in built], pa.int64()),
+                         "hash": pa.array([pickle.dumps(h) for _, h in built], pa.binary())})
     return run
 
 
 class _Wave:
-    """Some shards' perfect hashes (with the first slot of each), as a task holds them."""
+    """Some shards' perfect hashes, as a task holds them: for each language its range of slots and its shards."""
 
     def __init__(self, shared: Broadcast):
-        self.shards, self.low, self.high, hashes = shared.value
-        self.hashes = {shard: (first, pickle.loads(data)) for shard, first, data in hashes}
-
-    def slots(self, langs: pa.Array, terms: pa.Array) -> np.ndarray:
-        """The wave's slot of every (language, term), from 0; -1 for others."""
-        values, hashes = _keys(langs, terms)
-        shard = (hashes_of(terms) % _U(self.shards)).astype(np.int64)
-        out = np.full(len(shard), -1, dtype=np.int64)
+        self.shards, hashes = shared.value
+        self.langs: dict[str, list] = {}
+        for lang, shard, first, n, data in hashes:               # in order of the slots
+            span = self.langs.setdefault(lang, [first, first, {}])
+            span[1] = first + n
+            span[2][shard] = (first, pickle.loads(data))
+
+    def slots(self, lang: str, terms: pa.Array) -> np.ndarray:
+        """The slot of every term in its language's range, from 0; -1 for others."""
+        hashes = hashes_of(terms)
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        low, _, tables = self.langs[lang]
+        shard = (hashes % _U(self.shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         begin = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)) if len(order) else order
         for some in np.split(order, begin[1:]):
-            first, table = self.hashes.get(int(shard[some[0]]), (0, None)) if len(some) else (0, None)
-            if table is not None:
-                slot = table.slots(values.take(pa.array(some)), hashes[some])
-                out[some] = np.where(slot >= 0, slot + first - self.low, -1)
+            if len(some) and int(shard[some[0]]) in tables:
+                first, table = tables[int(shard[some[0]])]
+                slot = table.slots(terms.take(pa.array(some)), hashes[some])
+                out[some] = np.where(slot >= 0, slot + first - low, -1)
         return out
 
 
 def _recount(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wave, held = _Wave(shared), {}
-        n_slots = wave.high - wave.low
+        wave = _Wave(shared)
+        at: dict[tuple[str, str], int] = {}              # where a group's dense slots begin
+        dense = np.zeros(0, dtype=np.int64)
 
         def emit() -> pa.RecordBatch:
-            rows = []
-            for (lang, source), dense in held.items():
-                slots = np.flatnonzero(dense)
-                block = (slots + wave.low) // BLOCK
+            blocks: dict[tuple[str, int], list] = {}
+            for (lang, source), first in at.items():
+                low, high, _ = wave.langs[lang]
+                slots = np.flatnonzero(dense[first:first + high - low])
+                counts, slots = dense[first + slots], slots + low
+                block = slots // BLOCK
                 begin = np.flatnonzero(np.append(True, np.diff(block) != 0)) if len(slots) else slots
-                rows += [(int(block[some[0]]), lang, source, pack((slots[some] + wave.low).astype(np.int64)),
-                          pack(dense[slots[some]]), int(dense[slots[some]].sum()))
-                         for some in (np.arange(i, j) for i, j in zip(begin, np.append(begin[1:], len(slots))))]
-            held.clear()
-            types = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.int64())
+                for i, j in zip(begin, np.append(begin[1:], len(slots))):
+                    blocks.setdefault((lang, int(block[i])), []).append((source, slots[i:j], counts[i:j]))
+            rows = [(lang, block, [s for s, _, _ in found], [int(c.sum()) for _, _, c in found], [len(c) for _, _, c in found],
+                     pack((np.concatenate([x for _, x, _ in found]) - block * BLOCK).astype(np.uint16)),
+                     pack(np.concatenate([c for _, _, c in found]))) for (lang, block), found in blocks.items()]
+            types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
             columns = list(zip(*rows)) or [()] * len(types)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                              names=["block", "lang", "source", "slots", "counts", "n"])
+                                              names=["lang", "block", "sources", "n", "sizes", "slots", "counts"])
 
         for batch in batches:
             for rows, raw, offsets in _sliced(batch, 2):
                 text, number, terms = _terms(raw, offsets)
-                if not len(terms):
-                    continue
                 lang_of, langs = numbered(rows.column(0))
                 source_of, sources = numbered(rows.column(1))
                 group_of = numbered_pairs(lang_of, source_of)
                 pair = numbered_pairs(lang_of[text], number)               # distinct (language, term) pairs of the slice
-                _, first = np.unique(pair, return_index=True)
-                slot = wave.slots(langs.take(pa.array(lang_of[text[first]])), terms.take(pa.array(number[first])))[pair]
+                first = firsts(pair)
+                pair_lang, slot_of = lang_of[text[first]], np.full(len(first), -1, dtype=np.int64)
+                for i, lang in enumerate(langs.to_pylist()):
+                    some = np.flatnonzero(pair_lang == i)
+                    if lang in wave.langs and len(some):
+                        slot_of[some] = wave.slots(lang, terms.take(pa.array(number[first[some]])))
+                members = firsts(group_of).tolist()
+                names = [(langs[int(lang_of[r])].as_py(), sources[int(source_of[r])].as_py()) for r in members]
+                names = [name if name[0] in wave.langs else None for name in names]
+                new = [name for name in names if name is not None and name not in at]
+                size = sum(wave.langs[lang][1] - wave.langs[lang][0] for lang, _ in new)
+                if at and (len(dense) + size) * 8 > HELD_BYTES:
+                    yield emit()
+                    at, dense, new = {}, np.zeros(0, dtype=np.int64), [name for name in names if name is not None]
+                    size = sum(wave.langs[lang][1] - wave.langs[lang][0] for lang, _ in new)
+                end = len(dense)
+                for lang, source in new:
+                    at[lang, source] = end
+                    end += wave.langs[lang][1] - wave.langs[lang][0]
+                dense = np.append(dense, np.zeros(size, dtype=np.int64))
+                base = np.array([at[name] if name is not None else 0 for name in names], dtype=np.int64)
+                slot = slot_of[pair]
                 counted = slot >= 0
-                group, slot = group_of[text[counted]], slot[counted]
-                order = np.argsort(group, kind="stable")
-                stops = np.searchsorted(group[order], np.arange(group_of.max() + 2))
-                _, member = np.unique(group_of, return_index=True)
-                for g, row in enumerate(member.tolist()):
-                    some = slot[order[stops[g]:stops[g + 1]]]
-                    if not len(some):
-                        continue
-                    name = (langs[int(lang_of[row])].as_py(), sources[int(source_of[row])].as_py())
-                    if name not in held:
-                        if (len(held) + 1) * n_slots * 8 > HELD_BYTES and held:
-                            yield emit()
-                        held[name] = np.zeros(n_slots, dtype=np.int64)
-                    held[name] += np.bincount(some, minlength=n_slots)
+                dense += np.bincount(base[group_of[text[counted]]] + slot[counted], minlength=len(dense))
         yield emit()
     return run
 
@@ -220,74 +216,71 @@ def _divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _terms_by_block(starts: Broadcast):
-    """(block, first slot, language, terms, n) of the kept terms: runs of slots of one language."""
+    """(language, block, slots, terms, n) of the kept terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, data in zip(*(c.to_pylist() for c in batch.columns)):
-                keys = pickle.loads(data).keys().to_pylist()
-                rows: dict[tuple, tuple[list, list]] = {}
-                for slot, key in enumerate(keys, starts.value[shard]):
-                    term, lang = key.split(b" ", 1)
-                    slots, terms = rows.setdefault((slot // BLOCK, lang), ([], []))
-                    slots.append(slot)
-                    terms.append(term)
+            for lang, shard, data in zip(*(c.to_pylist() for c in batch.columns)):
+                keys = [key[:-1] for key in pickle.loads(data).keys().to_pylist()]
+                slot = starts.value[lang, shard] + np.arange(len(keys))
+                begin = np.flatnonzero(np.append(True, np.diff(slot // BLOCK) != 0))
+                pieces = list(zip(begin.tolist(), np.append(begin[1:], len(keys)).tolist()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for b, _ in rows], pa.int64()), pa.array([x.decode() for _, x in rows], pa.string()),
-                     pa.array([pack(np.array(s, dtype=np.int64)) for s, _ in rows.values()], pa.binary()),
-                     pa.array([b" ".join(t) for _, t in rows.values()], pa.binary()),
-                     pa.array([len(t) for _, t in rows.values()], pa.int64())], names=["block", "lang", "slots", "terms", "n"])
+                    [pa.array([lang] * len(pieces), pa.string()), pa.array([int(slot[i]) // BLOCK for i, _ in pieces], pa.int64()),
+                     pa.array([int(slot[i]) for i, _ in pieces], pa.int64()), pa.array([b" ".join(keys[i:j]) for i, j in pieces], pa.binary()),
+                     pa.array([j - i for i, j in pieces], pa.int64())], names=["lang", "block", "first", "terms", "n"])
     return run
 
 
 def _block_parts(groups: Broadcast, top: int):
-    """For a cogroup by block of slots: partial sums of the pairs of sources, and each group's highest terms."""
+    """For a cogroup by language and block of slots: partial sums of the pairs of sources, and each group's highest terms."""
     def run(kept: pa.Table, table: pa.Table) -> pa.Table:
-        low = kept["block"][0].as_py() * BLOCK
-        by_lang: dict[str, dict[str, tuple[int, int]]] = {}
-        for lang, source, n, v in groups.value:
-            by_lang.setdefault(lang, {})[source] = (n, v)
-        counts: dict[tuple[str, str], np.ndarray] = {}
-        for lang, source, slots, n in zip(*(table[c].to_pylist() for c in ("lang", "source", "slots", "counts"))):
-            dense = counts.setdefault((lang, source), np.zeros(BLOCK, dtype=np.int64))
-            dense[unpack(slots, np.int64) - low] += unpack(n, np.int64)
-        terms: dict[str, tuple[list, list]] = {}
-        for lang, slots, data in zip(*(kept[c].to_pylist() for c in ("lang", "slots", "terms"))):
-            here, names = terms.setdefault(lang, ([], []))
-            here += (unpack(slots, np.int64) - low).tolist()
-            names += data.split(b" ")
+        lang, low = kept["lang"][0].as_py(), kept["block"][0].as_py() * BLOCK
+        totals = groups.value[lang]                      # source -> (n, v)
+        counts: dict[str, np.ndarray] = {}
+        for names, sizes, slots, n in zip(*(table[c].to_pylist() for c in ("sources", "sizes", "slots", "counts"))):
+            slots, n, stop = unpack(slots, np.uint16), unpack(n, np.int64), np.cumsum(sizes).tolist()
+            for source, size, j in zip(names, sizes, stop):
+                dense = counts.setdefault(source, np.zeros(BLOCK, dtype=np.int64))
+                dense[slots[j - size:j]] += n[j - size:j]
+        here, names = [], []
+        for first, data in zip(kept["first"].to_pylist(), kept["terms"].to_pylist()):
+            found = data.split(b" ")
+            here += range(first - low, first - low + len(found))
+            names += found
+        here, item = np.array(here), np.array(names, dtype=object)
+        sources = sorted(totals)
+        n, v = (np.array(x, dtype=np.int64) for x in zip(*(totals[s] for s in sources)))
+        none = np.zeros(BLOCK, dtype=np.int64)
+        count = np.stack([counts.get(s, none)[here] for s in sources])
+        p = shares(count + 2, (n + 2 * v)[:, None])
+        q = shares(count.sum(axis=0) + 2, n.sum() + 2 * v[:1])
         out = []
-        for lang, (here, names) in terms.items():
-            here, item = np.array(here), np.array(names, dtype=object)
-            sources = sorted(by_lang[lang])
-            n, v = (np.array(x, dtype=np.int64) for x in zip(*(by_lang[lang][s] for s in sources)))
-            none = np.zeros(BLOCK, dtype=np.int64)
-            count = np.stack([counts.get((lang, s), none)[here] for s in sources])
-            p = shares(count + 2, (n + 2 * v)[:, None])
-            q = shares(count.sum(axis=0) + 2, n.sum() + 2 * v[:1])
-            for i, s in enumerate(sources):
-                if i + 1 < len(sources):
-                    sums = _divergence(p[i][None, :], p[i + 1:]).sum(axis=1)
-                    out += [(lang, s, "pair", t, value) for t, value in zip(sources[i + 1:], sums.tolist())]
-                more = np.flatnonzero((count[i] > 0) & (p[i] > q))
-                value = _divergence(p[i][more], q[more])
-                best = sorted(zip((-value).tolist(), item[more].tolist()))[:top]
-                out += [(lang, s, "term", t.decode(), -x) for x, t in best]
+        for i, s in enumerate(sources):
+            if i + 1 < len(sources):
+                sums = _divergence(p[i][None, :], p[i + 1:]).sum(axis=1)
+                out += [(lang, s, "pair", t, value) for t, value in zip(sources[i + 1:], sums.tolist())]
+            more = np.flatnonzero((count[i] > 0) & (p[i] > q))
+            value = _divergence(p[i][more], q[more])
+            best = sorted(zip((-value).tolist(), item[more].tolist()))[:top]
+            out += [(lang, s, "term", t.decode(), -x) for x, t in best]
         columns = list(zip(*out)) or [()] * 5
         types = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "source", "part", "item", "value"])
     return run
 
 
-def _waves(sizes: list) -> list[list]:
-    """Shards in order, cut where their perfect hashes together exceed WAVE_BYTES."""
-    out, held = [], 0
+def _waves(sizes: list) -> Iterator[list]:
+    """(row, first slot) of the shards, by language, cut where their perfect hashes together exceed WAVE_BYTES."""
+    wave, held, first, lang = [], 0, 0, None
     for row in sizes:
-        if not out or held + row.n_bytes > WAVE_BYTES:
-            out.append([])
-            held = 0
-        out[-1].append(row)
-        held += row.n_bytes
-    return out
+        if wave and held + row.n_bytes > WAVE_BYTES:
+            yield wave
+            wave, held = [], 0
+        first = first if row.lang == lang else 0
+        wave.append((row, first))
+        held, first, lang = held + row.n_bytes, first + row.n, row.lang
+    if wave:
+        yield wave
 
 
 def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", least: int = LEAST,
@@ -303,47 +296,44 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     with Scratch(spark, "divergence-work") as work:
         n_bytes = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
         shards = min(n_bytes // SHARD_BYTES + 1, MOST_SHARDS)
-        kept = work.store(rows.select("lang", "text").mapInArrow(_document_counts(shards),
-                                                                 "shard int, lang string, terms binary, counts binary")
-                          .groupBy("shard").applyInArrow(_kept_terms(least), "shard int, n long, n_bytes long, hash binary"), "shards")
-        sizes = kept.where("n > 0").select("shard", "n", "n_bytes").orderBy("shard").collect()      # a row for each shard
-        counts, first = None, 0
+        kept = work.store(
+            rows.select("lang", "text")
+            .mapInArrow(_document_counts(shards), "shard int, lang string, terms binary, counts binary").groupBy("shard")
+            .applyInArrow(_kept_terms(least), "shard int, lang string, n long, n_bytes long, hash binary"), "shards")
+        sizes = kept.drop("hash").orderBy("lang", "shard").collect()       # three numbers for each shard of a language
+        counts, starts = None, {}
         for wave in _waves(sizes):
-            low, held = first, []
-            found = {r.shard: r.hash for r in
-                     kept.where(F.col("shard").between(wave[0].shard, wave[-1].shard)).select("shard", "hash").collect()}
-            for row in wave:
-                held.append((row.shard, first, found[row.shard]))
-                first += row.n
-            shared = broadcast((shards, low, first, held))
-            part = work.store(rows.select("lang", "source", "text").mapInArrow(
-                _recount(shared), "block long, lang string, source string, slots binary, counts binary, n long"), "counts")
+            low, high = (F.struct(F.lit(r.lang), F.lit(r.shard)) for r in (wave[0][0], wave[-1][0]))
+            found = {(r.lang, r.shard): r.hash for r in
+                     kept.where(F.struct("lang", "shard").between(low, high)).select("lang", "shard", "hash").collect()}
+            starts.update({(r.lang, r.shard): first for r, first in wave})
+            shared = broadcast((shards, [(r.lang, r.shard, first, r.n, found[r.lang, r.shard]) for r, first in wave]))
+            part = work.store(rows.select("lang", "source", "text").mapInArrow(_recount(shared), _COUNTS), "counts")
             counts = part if counts is None else counts.unionByName(part)
             shared.destroy()
-        return out.store(_parts(rows, kept, counts, sizes, top), "audit")
+        return out.store(_parts(rows, kept, counts, starts, top, work), "audit")
 
 
-def _parts(rows: DataFrame, kept: DataFrame, counts: DataFrame | None, sizes: list, top: int) -> DataFrame:
+def _parts(rows: DataFrame, kept: DataFrame, counts: DataFrame | None, starts: dict, top: int, work: Scratch) -> DataFrame:
     """The audit's rows from the stored counts of all waves."""
     spark = rows.sparkSession
-    groups = rows.select("lang", "source").distinct()
+    groups = work.store(rows.select("lang", "source").distinct(), "groups")
+    schema = "lang string, source string, part string, item string, value long"
     if counts is None:                                   # no term is kept
-        sums = spark.createDataFrame([], "lang string, source string, part string, item string, value long")
+        sums = spark.createDataFrame([], schema)
     else:
-        first = np.append(0, np.cumsum([r.n for r in sizes]))[:-1].tolist()
-        starts = spark.sparkContext.broadcast({r.shard: f for r, f in zip(sizes, first)})
-        by_block = kept.where("n > 0").select("shard", "hash").mapInArrow(
-            _terms_by_block(starts), "block long, lang string, slots binary, terms binary, n long")
-        kept_of = by_block.groupBy("lang").agg(F.sum("n").alias("v")).withColumnRenamed("lang", "_lang")
-        counted = counts.groupBy("lang", "source").agg(F.sum("n").alias("n")).select(
-            F.col("lang").alias("_l"), F.col("source").alias("_s"), "n")
-        totals = (groups.join(counted, (F.col("lang") == F.col("_l")) & (F.col("source") == F.col("_s")), "left")
-                  .join(kept_of, F.col("lang") == F.col("_lang"))
-                  .select("lang", "source", F.coalesce("n", F.lit(0)).cast("long"), F.col("v").cast("long")).collect())
-        shared = spark.sparkContext.broadcast([tuple(r) for r in totals])
-        sums = (by_block.groupBy("block").cogroup(counts.groupBy("block"))
-                .applyInArrow(_block_parts(shared, top), "lang string, source string, part string, item string, value long")
-                .groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")))
+        terms = kept.select("lang", "shard", "hash").mapInArrow(
+            _terms_by_block(spark.sparkContext.broadcast(starts)), "lang string, block long, first long, terms binary, n long")
+        kept_of = kept.groupBy("lang").agg(F.sum("n").alias("v")).withColumnRenamed("lang", "_lang")
+        counted = (counts.select("lang", F.explode(F.arrays_zip("sources", "n")).alias("g"))
+                   .groupBy(F.col("lang").alias("_l"), F.col("g.sources").alias("_s")).agg(F.sum("g.n").alias("n")))
+        totals: dict[str, dict[str, tuple[int, int]]] = {}
+        for r in (groups.join(counted, (F.col("lang") == F.col("_l")) & (F.col("source") == F.col("_s")), "left")
+                  .join(kept_of, F.col("lang") == F.col("_lang")).select("lang", "source", "n", "v")).collect():
+            totals.setdefault(r.lang, {})[r.source] = (r.n or 0, r.v)
+        both = terms.groupBy("lang", "block").cogroup(counts.groupBy("lang", "block"))
+        sums = work.store(both.applyInArrow(_block_parts(spark.sparkContext.broadcast(totals), top), schema)
+                          .groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")), "sums")
     pair = sums.where("part = 'pair'").select("lang", "source", "item", "value")
     pair = pair.unionByName(pair.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value"))
     others = groups.select(F.col("lang").alias("_l"), F.col("source").alias("item"))       # the result's own pairs

@@ -74,6 +74,13 @@ def numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
+def firsts(number: np.ndarray) -> np.ndarray:
+    """The first place of each number, for numbers 0, 1, ... that all occur."""
+    out = np.zeros(int(number.max()) + 1 if len(number) else 0, dtype=np.int64)
+    out[number[::-1]] = np.arange(len(number))[::-1]
+    return out
+
+
 def numbered_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Equal pairs of numbers (below 2**32 each) get equal numbers."""
     return numbered(pa.array((x.astype(np.uint64) << np.uint64(32)) | y.astype(np.uint64)))[0]
