@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -64,18 +65,35 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT
 
 
+_AT_EXIT: list = []
+
+
+def release_all() -> None:
+    """Remove the directories that were kept for the program's end (of sessions that still run)."""
+    while _AT_EXIT:
+        scratch = _AT_EXIT.pop()
+        if scratch.spark.sparkContext._jsc is not None and not scratch.spark.sparkContext._jsc.sc().isStopped():
+            scratch.release()
+
+
+atexit.register(release_all)
+
+
 class Scratch:
     """One job's own directory of intermediate files under the shared root.
 
     Nothing else writes or deletes there. ``release`` (or leaving the ``with``
     block) removes it; call it only when no DataFrame that reads it is used any
-    more.
+    more. With ``until_exit`` it is removed when the driver program ends, for files
+    that a returned DataFrame still reads.
     """
 
-    def __init__(self, spark: SparkSession, name: str = "job"):
+    def __init__(self, spark: SparkSession, name: str = "job", until_exit: bool = False):
         self.spark = spark
         self.root = f"{shared_root(spark)}/riskmart/{name}-{uuid.uuid4().hex}"
         self._count = 0
+        if until_exit:
+            _AT_EXIT.append(self)
 
     def path(self, name: str) -> str:
         """A path of its own for one set of files."""

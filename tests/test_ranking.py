@@ -70,12 +70,27 @@ def _single_partitions(df):
     return plan.count("SinglePartition"), plan.count("hashpartitioning(_b")
 
 
-@pytest.mark.parametrize("rows", [20, 2_000_000])
-def test_one_plan_for_every_size(spark, rows):
-    # The only single-partition step is over one row per bucket, whatever the table's size.
+@pytest.mark.parametrize("rows, single, by_bucket", [(20, 1, 0), (2_000_000, 0, 1)])
+def test_buckets_follow_the_rows(spark, rows, single, by_bucket):
+    # a table of one bucket is sorted whole; no step of a larger one takes all rows or joins
     df = spark.range(rows).select("id", (F.col("id") * 7 % 1013).cast("double").alias("v"))
-    single, by_bucket = _single_partitions(global_rank(df, desc("v")))
-    assert single == 1 and by_bucket >= 1
+    out = global_rank(df, desc("v"))
+    assert _single_partitions(out) == (single, by_bucket)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan parquet") == 1
+
+
+def test_search_steps_stay_in_generated_code_and_small(spark):
+    """The plan grows with the number of steps, not of cuts, and no step is interpreted row by row."""
+    df = spark.range(20000).select("id", (F.col("id") * 7 % 10007).cast("double").alias("v"), (F.col("id") % 5).alias("w"))
+    out = global_rank(df, [("w", True), ("v", False)], buckets=300)
+    assert _ranks(out) == _ranks(plain_rank(df, [("w", True), ("v", False)]))
+    optimized = out._jdf.queryExecution().optimizedPlan()
+    assert optimized.toString().count("CASE WHEN") < 40
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.split("Initial Plan")[0].split("\n") if "Project" in line and "CASE WHEN" in line]
+    assert steps and all("*(" in line for line in steps)
 
 
 def test_hot_key_is_cut(spark):
