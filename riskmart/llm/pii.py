@@ -28,18 +28,22 @@ from pyspark.sql import functions as F
 from ..session import Scratch
 
 # The base patterns, in the order of the kinds. Possessive repeats match the
-# same text as greedy ones here, since nothing follows them, and need no stack for long runs.
+# same text as greedy ones here, since what follows never starts with a repeated character, and
+# need no stack for long runs. An email or ip begins where its run of characters begins or where
+# the match before ended (\\G): from elsewhere in a run it matches no better, so no run is scanned twice.
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
-    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 ADDED = "id"
 # a phone or card number with blanks as one piece, else a token that holds a digit
 CANDIDATE = r"\+[0-9][\x20().0-9-]+[0-9]|(?<!\S)[0-9](?:[\x20-]?[0-9]){13,}+|(?<!\S)[^\s0-9]*+[0-9]\S*+"
-VALUE = r"([A-Za-z0-9](?:[A-Za-z0-9_./+-]*[A-Za-z0-9])?)[^A-Za-z0-9]*$"
+# of a token from its end on: marks, then the value; from the end there is one place to start
+TAIL = r"^[^A-Za-z0-9]*+"
+VALUE = TAIL + r"([A-Za-z0-9](?:[A-Za-z0-9_./+-]*[A-Za-z0-9])?)"
 
 
 def _digits(match: Column) -> Column:
@@ -65,17 +69,19 @@ def _valid(kind: Column, match: Column) -> Column:
             .when(kind == "phone", F.length(digits).between(10, 15)).otherwise(True))
 
 
-def _pieces(text: Column, kind: str, pattern: str, present: Column) -> Column:
-    """Structs (kind, gap before, match, gap after), empty where ``present`` is false."""
-    match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
+def _pieces(rows: DataFrame, kind: str, pattern: str, present: Column) -> DataFrame:
+    """A row for each match: id, h, pos, kind, match, the length of the gap before it, and the text around it.
+
+    Matches and gaps are columns of their own first, so a lambda looks them up and never splits the text again.
+    """
     edge = 64
-    made = F.transform(match, lambda m, i: F.struct(
-        F.lit(kind).alias("kind"), m.alias("match"), F.length(F.element_at(gaps, i + 1)).alias("gap"),
-        F.right(F.element_at(gaps, i + 1), F.lit(edge)).alias("before"),
-        F.left(F.element_at(gaps, i + 2), F.lit(edge)).alias("after")))
-    return F.when(present, made).otherwise(F.array().cast(
-        "array<struct<kind:string,match:string,gap:int,before:string,after:string>>"))
+    cut = rows.where(present).select("id", "h", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("matches"),
+                                     F.split("text", pattern, -1).alias("gaps"))
+    made = F.transform("matches", lambda m, i: F.struct(
+        F.lit(kind).alias("kind"), m.alias("match"), F.length(F.element_at("gaps", i + 1)).alias("gap"),
+        F.right(F.element_at("gaps", i + 1), F.lit(edge)).alias("before"),
+        F.left(F.element_at("gaps", i + 2), F.lit(edge)).alias("after")))
+    return cut.where(F.size("matches") > 0).select("id", "h", F.posexplode(made))
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -89,8 +95,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     digit, at, plus = body.rlike("[0-9]"), body.contains("@"), body.contains("+")
     present = {"email": at, "ip": digit & body.contains("."), "card": digit, "phone": plus}
     found = rows.where(digit | at)
-    parts = [found.select("id", "h", F.posexplode(_pieces(body, kind, pattern, present.get(kind, digit))))
-             for kind, pattern in (*PATTERNS.items(), ("candidate", CANDIDATE))]
+    parts = [_pieces(found, kind, pattern, present.get(kind, digit)) for kind, pattern in (*PATTERNS.items(), ("candidate", CANDIDATE))]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -113,8 +118,8 @@ def instances(found: DataFrame) -> DataFrame:
     for kind, pattern in PATTERNS.items():
         hit = F.regexp_substr(token, F.lit(pattern))
         seed = seed | F.coalesce(_valid(F.lit(kind), hit), F.lit(False)) & hit.isNotNull()
-    value = F.regexp_extract(token, VALUE, 1)
-    tail = F.length(token) - F.length(F.regexp_replace(token, r"[^A-Za-z0-9]+$", ""))
+    value = F.reverse(F.regexp_extract(F.reverse(token), VALUE, 1))
+    tail = F.length(F.regexp_extract(F.reverse(token), TAIL, 0))
     looks_like_id = (F.length(F.regexp_replace("value", "[^A-Za-z0-9]", "")) >= 8) & (F.length(_digits(F.col("value"))) >= 2)
     rows = (found.where(F.col("kind") == "candidate").withColumn("seed", seed).withColumn("value", value)
             .where(F.col("seed") | looks_like_id)
@@ -151,7 +156,7 @@ def pattern_scores(found: DataFrame, rounds: int = 3, smooth: float = 2.0) -> Da
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text", trust: float = 0.6,
                   support: int = 3, rounds: int = 3, scratch: Scratch | None = None) -> DataFrame:
     """id_col, base and spans: arrays of (start, kind number, kind, end), both sorted, one row per row of ``docs``."""
-    scratch = scratch or Scratch(docs.sparkSession, "pii")
+    scratch = scratch or Scratch(docs.sparkSession, "pii", until_exit=True)
     found = scratch.store(occurrences(docs, id_col, text), "occurrences")
     base = base_spans(found)
     known = scratch.store(instances(found), "instances")
@@ -165,7 +170,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     order = Window.partitionBy("id", "h").orderBy("start", "end", "kind")
     is_base = F.col("kind") != ADDED
     past = F.max(F.when(is_base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.min(F.when(is_base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy("id", "h").orderBy(F.col("start").desc(), F.col("end").desc(), F.col("kind").desc())
+    ahead = F.min(F.when(is_base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     free = is_base | ((F.coalesce("past", F.lit(0)) <= F.col("start"))
                       & (F.coalesce("ahead", F.col("end")) >= F.col("end")))
     number = F.lit(len(KINDS))
