@@ -55,7 +55,7 @@ STAGES = [("quality", keep_good), ("near_duplicates", keep_distinct), ("decontam
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table, each stage's result stored and read again."""
-    scratch = Scratch(spark, "pipeline")
+    scratch = Scratch(spark, "pipeline", until_exit=True)
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = scratch.store(stage(spark, docs, sf_dir), name)

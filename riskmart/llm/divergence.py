@@ -292,7 +292,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), empty).alias(name)
                          for c, name in ((lang, "lang"), (source, "source"), (text, "text"))])
     broadcast = spark.sparkContext.broadcast
-    out = Scratch(spark, "divergence")
+    out = Scratch(spark, "divergence", until_exit=True)
     with Scratch(spark, "divergence-work") as work:
         n_bytes = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
         shards = min(n_bytes // SHARD_BYTES + 1, MOST_SHARDS)

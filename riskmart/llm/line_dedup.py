@@ -90,40 +90,39 @@ def _sets_of(rows: np.ndarray, values: np.ndarray, lines: int):
     return n, some, end, (set_hash(values, end - n[some]) if len(some) else np.zeros(0, np.uint64))
 
 
-def _line_rows(counts):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, text, number, rows, values in line_sets(batch.column(2), counts.value):
-                n, some, _, h = _sets_of(rows, values, len(text))
-                ids = pa.array(lo + text[some])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(number[some].astype(np.int32)),
-                     pa.array(n[some].astype(np.int32)), pa.array(h.view(np.int64))],
-                    names=["id", "text_hash", "line", "n", "h"])
-    return run
+_LINE_ROW = "id long, text_hash long, line int, n int, h long, range int, words binary"
 
 
-def _packed_prefixes(num: int, den: int, counts, ranges: int):
-    """(range, words): packed prefix words; ranges from ``ranges`` on hold frequent words, spread by set."""
+def _lines_and_prefixes(num: int, den: int, counts, ranges: int):
+    """In one pass over the texts: a row for each line with words, and rows (range, words) of packed prefix words.
+
+    Ranges from ``ranges`` on hold frequent words, spread by set.
+    """
     least = -(-num // (den - num))       # a smaller set matches only an equal one
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    names = ["id", "text_hash", "line", "n", "h", "range", "words"]
 
     def emit(parts: list[np.ndarray]) -> pa.RecordBatch:
         rows = np.concatenate(parts) if parts else np.zeros(0, _WORD)
         rows = rows[np.argsort(rows["range"], kind="stable")]
         begin = np.flatnonzero(np.append(True, rows["range"][1:] != rows["range"][:-1])) if len(rows) else rows["n"]
         pieces = [rows[i:j] for i, j in zip(begin, np.append(begin[1:], len(rows)))]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([int(p["range"][0]) for p in pieces], pa.int32()),
-             pa.array([b"".join(p[c].tobytes() for c in _COLUMNS) for p in pieces], pa.binary())],
-            names=["range", "words"])
+        packed = [pa.array([int(p["range"][0]) for p in pieces], pa.int32()),
+                  pa.array([b"".join(p[c].tobytes() for c in _COLUMNS) for p in pieces], pa.binary())]
+        return pa.RecordBatch.from_arrays([*[pa.nulls(len(pieces), t) for t in types[:5]], *packed], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = counts.value
         bits = len(cells).bit_length() - 1
         parts, held, seen = [], 0, set()
         for batch in batches:
-            for _, text, _, rows, values in line_sets(batch.column(0), cells):
+            for lo, text, number, rows, values in line_sets(batch.column(2), cells):
                 n, some, end, h = _sets_of(rows, values, len(text))
+                ids = pa.array(lo + text[some])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(number[some].astype(np.int32)),
+                     pa.array(n[some].astype(np.int32)), pa.array(h.view(np.int64)),
+                     *[pa.nulls(len(some), t) for t in types[5:]]], names=names)
                 size = np.where(n[some] >= least, n[some] - -(-num * n[some] // den) + 1, 0)
                 # an equal line of the same task needs no second prefix
                 once = np.zeros(len(some), dtype=bool)
@@ -148,9 +147,9 @@ def _packed_prefixes(num: int, den: int, counts, ranges: int):
                 out["range"] = textvec.mix(np.where(often, out["h"], token)) % np.uint64(ranges) + often * ranges
                 parts.append(out)
                 held += len(out)
-            if held > _PACKED:
-                yield emit(parts)
-                parts, held = [], 0
+                if held > _PACKED:
+                    yield emit(parts)
+                    parts, held = [], 0
         yield emit(parts)
     return run
 
@@ -271,8 +270,9 @@ def _earliest(num: int, den: int):
     """For applyInArrow over (x, y): the first place among a set's matches of the block pair."""
     def run(table: pa.Table) -> pa.Table:
         h, link = linked(table, num, den)
-        ids = table["id"].to_numpy()
-        place = np.lexsort((table["line"].to_numpy(), table["text_hash"].to_numpy(), np.nan_to_num(ids, nan=-np.inf)))
+        ids = table["id"].combine_chunks()
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        place = np.lexsort((table["line"].to_numpy(), table["text_hash"].to_numpy(), ids.fill_null(0).to_numpy(), known))
         rank = np.empty(len(h), dtype=np.int64)
         rank[place] = np.arange(len(h))
         best = np.where(link, rank[None, :], len(h)).min(axis=1, initial=len(h))
@@ -283,11 +283,9 @@ def _earliest(num: int, den: int):
     return run
 
 
-def _candidates(texts: DataFrame, num: int, den: int, crowd: int, counts, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _candidates(words: DataFrame, num: int, den: int, crowd: int, ranges: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of set hashes to verify, and crowds (token, h)."""
-    size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    ranges = int(size // RANGE_BYTES) + 1
-    rows = (texts.mapInArrow(_packed_prefixes(num, den, counts, ranges), "range int, words binary").groupBy("range")
+    rows = (words.groupBy("range")
             .applyInArrow(_pairs_of_range(num, den, crowd, ranges), "kind int, a long, b long, least int"))
     # common words of a pair add up over the ranges; a crowd's member counts by itself
     found = scratch.store(rows.groupBy("kind", "a", "b").agg(F.count("*").alias("common"), F.max("least").alias("least"))
@@ -301,13 +299,15 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
                   crowd: int = CROWD, bits: int = BITS, scratch: Scratch | None = None) -> DataFrame:
     """The lines to remove: id, text_hash, line (from 0), one row each (a stored table)."""
     spark = docs.sparkSession
-    scratch = scratch or Scratch(spark, "lines")
+    scratch = scratch or Scratch(spark, "lines", until_exit=True)
     broadcast = spark.sparkContext.broadcast
     narrow = docs.select(F.col(id_col).cast("long").alias("id"),
                          F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
     counts = broadcast(hash_counts(narrow.select("text"), _occurrences, bits))       # 2**bits cells
-    lines = scratch.store(narrow.mapInArrow(_line_rows(counts), "id long, text_hash long, line int, n int, h long"), "lines")
-    pairs, crowds = _candidates(narrow.select("text"), num, den, crowd, counts, scratch)
+    ranges = int((narrow.agg(F.sum(F.octet_length("text"))).head()[0] or 0) // RANGE_BYTES) + 1
+    stored = scratch.store(narrow.mapInArrow(_lines_and_prefixes(num, den, counts, ranges), _LINE_ROW), "lines")
+    lines = stored.where("range is null").select("id", "text_hash", "line", "n", "h")
+    pairs, crowds = _candidates(stored.where("range is not null").select("range", "words"), num, den, crowd, ranges, scratch)
     hub = crowds.groupBy("token").agg(F.min("h").alias("b"))
     hints = pairs.unionByName(crowds.join(hub, "token").where("h <> b").select(F.col("h").alias("a"), "b").distinct())
     place = F.struct("id", "text_hash", "line")

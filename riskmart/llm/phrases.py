@@ -275,7 +275,7 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least: int
     if not 2 <= longest <= 4:
         raise ValueError("phrases of 2 to 4 words")
     spark = docs.sparkSession
-    out = scratch or Scratch(spark, "phrases")
+    out = scratch or Scratch(spark, "phrases", until_exit=True)
     with Scratch(spark, "phrase-relations") as work:
         totals, found = _mined(docs, lang, text, least, longest, work)
         level = found[0].select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",

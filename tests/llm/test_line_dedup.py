@@ -62,3 +62,14 @@ def test_copies_in_many_partitions_are_one_row_of_a_block_pair(spark, monkeypatc
     values = [base] * 64 + [base.replace("b3", "other")]
     docs = documents(spark, values).repartition(16, "doc_id")
     assert {(r.id, r.line) for r in later_matches(docs, bits=10).collect()} == {(i, 0) for i in range(1, 65)}
+
+
+def test_null_and_large_ids_keep_their_order(spark):
+    """Ids above 2**53 differ by one beside a null id; null comes first."""
+    low = 2**60
+    same = "one two three four five six"
+    docs = spark.createDataFrame([(low + 1, same), (low, same), (low + 2, same), (None, same + " seven")], "doc_id long, text string")
+    got = {(r.id, r.line) for r in later_matches(docs, bits=10).collect()}
+    assert got == {(low, 0), (low + 1, 0), (low + 2, 0)}
+    docs = docs.where("doc_id is not null").unionByName(spark.createDataFrame([(None, "x")], "doc_id long, text string"))
+    assert {(r.id, r.line) for r in later_matches(docs, bits=10).collect()} == {(low + 1, 0), (low + 2, 0)}
