@@ -50,7 +50,7 @@ FREQUENT = 1 << 15                       # bounds a word's rows in a range
 RANGE_BYTES = 8 << 20                    # text of the corpus for each range of words
 SENT_BYTES = 32 << 20                    # removed lines (24 bytes each) that may be broadcast
 _PAIRS = 1 << 17                         # pairs of rows looked at together
-_PACKED = 1 << 20                        # prefix words that a task holds before it emits them
+_PACKED = 1 << 18                        # prefix words that a task holds before it emits them
 _U = np.uint64
 _WORD = np.dtype([("range", "u4"), ("key", "u4"), ("h", "u8"), ("bits", "u8"), ("n", "u4"), ("pos", "u4")])
 _COLUMNS = ("key", "h", "bits", "n", "pos")                # packed one after the other
