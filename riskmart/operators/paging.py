@@ -3,9 +3,10 @@
 Page ``p`` of size ``n`` holds the rows at positions ``(p-1)·n+1 … p·n`` of the
 table in (rank, id) order; rows that agree in both are ordered by their hash, so
 every row has one position and is on one page. Gold tables store the position
-(``POSITION``, unique) and are sorted by it, so a page is one filter on a range of
-positions that reaches the Parquet scan and skips the other row groups. The total
-comes from the table's stored row count.
+(``POSITION``, unique), their files are sorted by it, and a manifest beside them lists
+each file's runs of positions. So a page opens the one file (two at a border) that holds
+it, and the position filter skips that file's other row groups; the total is a sum over
+the manifest. The manifest has a row for each file and rank bucket, not for rows.
 
 A frame without stored positions gets them from the same range-bucket plan that
 ranks tables; there is no ordered offset over the table.
@@ -32,6 +33,8 @@ MART_TABLES = {
 }
 POSITION = "position"    # gold tables' stored place, 1 to the number of rows
 ROWS_PROPERTY = "riskmart.rows"
+PATH_PROPERTY = "riskmart.path"    # where the table's files and their manifest are
+MANIFEST = "_positions"            # appended to a mart's path
 
 
 @dataclass
@@ -73,6 +76,32 @@ def page_rows(df: DataFrame, number: int, size: int = PAGE_SIZE,
     return df.where(wanted).orderBy(POSITION).drop(POSITION)
 
 
+def write_manifest(spark: SparkSession, path: str) -> None:
+    """Store the runs of positions of the files at ``path``, which are sorted by position.
+
+    Within a run, the position less the row's index in its file is constant: one aggregate
+    over a single column finds the runs.
+    """
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), F.col(POSITION).alias("at"),
+                                           (F.col(POSITION) - F.col("_metadata.row_index")).alias("run"))
+    runs = rows.groupBy("file", "run").agg(F.min("at").alias("low"), F.max("at").alias("high")).drop("run")
+    runs.coalesce(1).write.mode("overwrite").parquet(path + MANIFEST)
+
+
+def manifest_page(spark: SparkSession, path: str, number, size: int = PAGE_SIZE, sanitize: bool = True) -> Page:
+    """A page of the positioned files at ``path`` by their manifest: only the files that hold it are opened."""
+    number = page_number(number)
+    first, last = (number - 1) * size + 1, number * size
+    manifest = spark.read.schema("file string, low long, high long").parquet(path + MANIFEST)
+    here = (F.col("low") <= last) & (F.col("high") >= first)
+    found = manifest.agg(F.coalesce(F.sum(F.col("high") - F.col("low") + 1), F.lit(0)).alias("total"),
+                         F.collect_set(F.when(here, F.col("file"))).alias("files")).head()     # at most a file for each row
+    # past the end any one file gives the schema, and the filter no rows
+    rows = spark.read.parquet(*([f"{path}/{f}" for f in sorted(found.files)] or [path]))
+    rows = page_rows(rows, number, size)
+    return Page(number, size, found.total, max(1, math.ceil(found.total / size)), sanitize_floats(rows) if sanitize else rows)
+
+
 def page(df: DataFrame, number, size: int = PAGE_SIZE, order: Sequence[str] = ("rank", "id"),
          sanitize: bool = True, total: int | None = None) -> Page:
     """One page plus its metadata; past the end gives an empty page. ``total`` spares the count."""
@@ -97,5 +126,7 @@ def page_mart(spark: SparkSession, mart: str, number, database: str = "default",
     if mart not in MART_TABLES:
         raise KeyError(f"unknown mart {mart!r}; expected one of {sorted(MART_TABLES)}")
     name = f"{database}.{MART_TABLES[mart]}"
-    stored = [r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if r.key == ROWS_PROPERTY]
-    return page(spark.table(name), number, size, total=int(stored[0]) if stored else None)
+    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if PATH_PROPERTY in stored:
+        return manifest_page(spark, stored[PATH_PROPERTY], number, size)
+    return page(spark.table(name), number, size, total=int(stored[ROWS_PROPERTY]) if ROWS_PROPERTY in stored else None)

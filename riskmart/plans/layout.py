@@ -59,10 +59,31 @@ def write_partitioned(df: DataFrame, path: str, as_of: date | None = None,
      .partitionBy(*partition_by).parquet(path))
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a partitioned dataset; partition columns come back as columns (pruned on filter)."""
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                     as_of: date | None = None) -> DataFrame:
+    """Read a partitioned dataset; partition columns come back as columns (pruned on filter).
+
+    With ``as_of`` the load date's own directory is opened, so no other day is listed; a
+    dataset without that day gives no rows.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    if as_of is None:
+        return reader.parquet(path)
+    values = dict(zip(DATE_PARTS, (as_of.year, as_of.month, as_of.day)))
+    day = "/".join([path, *[f"{k}={v}" for k, v in values.items()]])
+    if path_exists(spark, day) is False:
+        wanted = [F.col(k) == v for k, v in values.items()]
+        return reader.parquet(path).where(wanted[0] & wanted[1] & wanted[2])
+    return reader.option("basePath", path).parquet(day)
+
+
+def last_partition(spark: SparkSession, table: str) -> date | None:
+    """The last load date among the catalog's partitions of a table; no file is read."""
+    dates = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        values = dict(part.split("=", 1) for part in row[0].split("/"))
+        dates.append(date(*[int(values[k]) for k in DATE_PARTS]))
+    return max(dates, default=None)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
@@ -104,6 +125,25 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def publish_table(spark: SparkSession, name: str, path: str, properties: dict[str, str]) -> None:
+    """An external Parquet table ``name`` over the files at ``path``: made, or pointed there anew."""
+    schema = spark.read.parquet(path).schema
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    if spark.catalog.tableExists(name) and spark.table(name).schema != schema:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+    spark.catalog.refreshTable(name)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object for ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def path_exists(spark: SparkSession, path: str) -> bool | None:
     """Whether a path exists, on whatever file system its URI names (None: unknown)."""
     try:

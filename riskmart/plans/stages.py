@@ -5,7 +5,8 @@
   rejects land in the same job under ``outcome=accepted|rejected``.
 * ``curate``: the load date's raw partition → typed, renamed managed tables.
 * ``build_marts``: the ``Ongoing`` join is written once, then the three marts
-  are projected from it, ranked, and written as external tables (own paths).
+  are projected from it, ranked, and written below the run's own id; one new
+  file publishes all three (``runs``), and the external tables follow it.
 
 Every write is observed (row counts come with the write, not a second scan).
 Independent jobs (the two ingests, the two curations, the three marts) are
@@ -26,10 +27,11 @@ from pyspark.sql import types as T
 
 from riskmart.operators import marts
 from riskmart.operators.metrics import StageMetrics
-from riskmart.operators.paging import POSITION, ROWS_PROPERTY
+from riskmart.operators.paging import MART_TABLES, PATH_PROPERTY, POSITION, ROWS_PROPERTY, write_manifest
+from riskmart.plans import runs
 from riskmart.plans.curate import WAR_SOURCE_SCHEMA, curate_economics, curate_war
-from riskmart.plans.layout import (DATE_PARTS, read_partitioned, save_table, with_load_date,
-                                   write_partitioned)
+from riskmart.plans.layout import (DATE_PARTS, last_partition, publish_table, read_partitioned, save_table,
+                                   with_load_date, write_partitioned)
 from riskmart.sources.delimited import read_delimited
 from riskmart.sources.dump import ECONOMICS_DUMP_SCHEMA, parse_insert_dump
 
@@ -57,11 +59,14 @@ class Paths:
         return f"{self.raw_economics_ingest}/outcome=rejected"
 
     @property
-    def ongoing_base(self) -> str:
-        return f"{self.root}/gold/ongoing_base"
+    def gold(self) -> str:
+        return f"{self.root}/gold"
 
-    def gold(self, mart: str) -> str:
-        return f"{self.root}/gold/gold_output_{mart}"
+    def ongoing_base(self, run: str) -> str:
+        return f"{runs.run_root(self.gold, run)}/ongoing_base"
+
+    def mart(self, run: str, mart: str) -> str:
+        return f"{runs.run_root(self.gold, run)}/gold_output_{mart}"
 
 
 @dataclass
@@ -127,7 +132,7 @@ def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics
     kept = dict(zip(DATE_PARTS, (as_of.year, as_of.month, as_of.day))) if overwrite == "dynamic" else None
 
     def job(table, raw_path, fn):
-        raw = _on_date(read_partitioned(spark, raw_path), as_of)
+        raw = read_partitioned(spark, raw_path, as_of=as_of)           # lists that day only
         curated = with_load_date(fn(raw, id_type), as_of)
         name = f"{database}.{table}"
         # Managed table (lives under the database location), as the reference has it.
@@ -140,10 +145,28 @@ def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics
     return dict(in_parallel(*[lambda spec=spec: job(*spec) for spec in specs]))
 
 
-def latest_load(df: DataFrame) -> date | None:
-    """The last load date of a curated table (reads partition values only)."""
-    last = df.agg(F.max(F.struct(*DATE_PARTS)).alias("d")).head().d
-    return None if last is None else date(*last)
+def latest_load(spark: SparkSession, table: str) -> date | None:
+    """The last load date of a curated table, from the catalog's list of partitions."""
+    return last_partition(spark, table)
+
+
+def published_marts(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    """The three marts of the published run, all of one run whatever is published meanwhile."""
+    root = runs.published(spark, paths.gold)
+    if root is None:
+        return {}
+    return {table: spark.read.parquet(f"{root}/{table}").drop(POSITION) for table in MART_TABLES.values()}
+
+
+def _follow(spark: SparkSession, paths: Paths, database: str) -> None:
+    """Point the catalog's gold tables at the published run; again if another was published meanwhile."""
+    seen = None
+    while (now := runs.history(spark, paths.gold)) != seen:
+        seen = now
+        for mart, table in MART_TABLES.items():
+            path = paths.mart(seen[0], mart)
+            rows = spark.read.parquet(path).count()                   # from the files' footers
+            publish_table(spark, f"{database}.{table}", path, {ROWS_PROPERTY: str(rows), PATH_PROPERTY: path})
 
 
 def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
@@ -152,30 +175,33 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
     """The marts of one load date (the curated war table's last one by default).
 
     Gold tables store the page position besides the mart's columns; the frames
-    returned leave it out.
+    returned, which read this run's own files, leave it out.
     """
     war = spark.table(f"{database}.war_curated")
     economics = spark.table(f"{database}.economics_curated")
-    as_of = as_of or latest_load(war)
+    as_of = as_of or latest_load(spark, f"{database}.war_curated")
     if as_of is not None:
         war, economics = _on_date(war, as_of), _on_date(economics, as_of)
+    run = runs.new_run()
     # One join for all three marts, written once (lineage cut, shared input).
     base = metrics.observe(marts.ongoing_base(war, economics, status), "gold", "ongoing_base")
-    base.write.mode("overwrite").parquet(paths.ongoing_base)
-    rows = metrics.value("gold", "ongoing_base")
-    base = spark.read.parquet(paths.ongoing_base)
+    base.write.parquet(paths.ongoing_base(run))
+    base = spark.read.schema(base.schema).parquet(paths.ongoing_base(run))
 
     def job(mart, build):
-        name = f"{database}.gold_output_{mart}"
-        # Each file sorted by position (a per-task sort, no shuffle): a page read skips
-        # the row groups of other positions.
-        df = build(base, rank_strategy, position=POSITION).sortWithinPartitions(POSITION)
-        save_table(metrics.observe(df, "gold", f"gold_output_{mart}"), name, path=paths.gold(mart))
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{ROWS_PROPERTY}' = '{rows}')")
-        return f"gold_output_{mart}", spark.table(name).drop(POSITION)
+        # Each file sorted by position (a per-task sort, no shuffle): a page read opens
+        # one file and skips its row groups of other positions.
+        df = build(base, rank_strategy, position=POSITION, stored=True).sortWithinPartitions(POSITION)
+        path = paths.mart(run, mart)
+        metrics.observe(df, "gold", f"gold_output_{mart}").write.parquet(path)
+        write_manifest(spark, path)
+        return f"gold_output_{mart}", spark.read.schema(df.schema).parquet(path).drop(POSITION)
 
     # The three marts only share the stored base: build them side by side.
-    return dict(in_parallel(*[lambda m=m, b=b: job(m, b) for m, b in marts.MARTS.items()]))
+    built = dict(in_parallel(*[lambda m=m, b=b: job(m, b) for m, b in marts.MARTS.items()]))
+    runs.publish(spark, paths.gold, run)
+    _follow(spark, paths, database)
+    return built
 
 
 def run_all(spark: SparkSession, war_path: str, economics_path: str, root: str, as_of: date,
