@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.columns import delta, weighted_score
+from riskmart.operators.joins import spread_join
 from riskmart.operators.ranking import desc, global_rank
 
 # Output column names and orders of the gold tables, and the
@@ -53,11 +54,12 @@ def _terms(weights):
     return [(-F.col(c[1:]) if c.startswith("-") else F.col(c), w) for c, w in weights]
 
 
-def ongoing_base(war: DataFrame, economics: DataFrame, status: str = "Ongoing") -> DataFrame:
+def ongoing_base(war: DataFrame, economics: DataFrame, status: str = "Ongoing", spread: bool = False) -> DataFrame:
     """Curated war ⋈ curated economics on ``id`` for one status, all mart inputs.
 
     The status filter sits on the economics side below the join, so it reaches
-    the Parquet scan as a pushed filter.
+    the Parquet scan as a pushed filter. ``spread`` is for ids that repeat many times on
+    both sides: a sketch of each finds them, and the join spreads them.
     """
     econ = economics.filter(F.col("status") == F.lit(status)).select(
         "id", "status",
@@ -74,7 +76,7 @@ def ongoing_base(war: DataFrame, economics: DataFrame, status: str = "Ongoing")
         "black_market_activity_level", "currency_black_market_rate_gap_pct",
         "primary_black_market_goods")
     # Inner equi-join, key once and first (left columns, then right).
-    return w.join(econ, on="id", how="inner")
+    return spread_join(w, econ, "id") if spread else w.join(econ, on="id", how="inner")
 
 
 def ongoing_base_sql(spark: SparkSession, war_table: str, economics_table: str,

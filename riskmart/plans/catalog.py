@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.functions import columns
-from riskmart.operators import harmonise, marts, metrics, paging, ranking, text, views
+from riskmart.operators import harmonise, joins, marts, metrics, paging, ranking, text, views
 from riskmart.plans import layout, stages
 from riskmart.plans.shaping import (ECONOMICS_LIKE_SQL, WAR_LIKE_SQL, economics_like,
                                     economics_source, load, war_like, war_source)
@@ -139,6 +139,29 @@ def mart_government_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.government_from_base(base)
 
 
+# ------------------------------------------------------------- fan-out join
+
+@register("mart_government_spread", GOVERNMENT_SQL)
+def mart_government_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The government mart over the join that looks for hot ids first."""
+    base = marts.ongoing_base(war_like(spark, sf_dir), economics_like(spark, sf_dir), spread=True)
+    return marts.government_from_base(base)
+
+
+@register("join_fan_out", """
+WITH c AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey END AS k, c_acctbal FROM customer),
+     o AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS k, o_orderkey FROM orders)
+SELECT k % 10 AS k, count(*) AS n, sum(o_orderkey) AS orders, max(c_acctbal) AS most
+FROM c JOIN o USING (k) GROUP BY 1""")
+def join_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and orders over a key that fills a third of both sides."""
+    hot = lambda c: F.when(F.col(c) % 3 == 0, F.lit(0)).otherwise(F.col(c)).cast("long")
+    customers = load(spark, sf_dir, "customer").select(hot("c_custkey").alias("k"), "c_acctbal")
+    orders = load(spark, sf_dir, "orders").select(hot("o_custkey").alias("k"), "o_orderkey")
+    return (joins.spread_join(customers, orders, "k").groupBy((F.col("k") % 10).alias("k"))
+            .agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("orders"), F.max("c_acctbal").alias("most")))
+
+
 # ----------------------------------------------------------- ranking
 
 @register("rank_distributed", """
