@@ -110,6 +110,7 @@ def test_status_filter_reaches_parquet_scan(spark, tmp_dir):
 
 def test_run_all_leaves_no_scratch_files(spark, tmp_dir):
     import os
+    from riskmart.plans import runs
     from riskmart.session import shared_root
     _write(f"{tmp_dir}/war.csv", WAR_CSV)
     _write(f"{tmp_dir}/economics.sql", ECON_DUMP)
@@ -120,7 +121,9 @@ def test_run_all_leaves_no_scratch_files(spark, tmp_dir):
                             f"{tmp_dir}/zones", date(2026, 3, 25), database="scr")
     assert (sorted(os.listdir(scratch)) if os.path.isdir(scratch) else []) == before
     assert result.tables["gold_output_finance"].count() == 4
-    assert os.path.isdir(f"{tmp_dir}/zones/gold/gold_output_finance")
+    published = runs.published(spark, f"{tmp_dir}/zones/gold")
+    assert sorted(os.listdir(published)) == sorted(
+        ["ongoing_base", *[f"gold_output_{m}{x}" for m in ("finance", "government", "humanitarian") for x in ("", "_positions")]])
 
 
 def test_dynamic_overwrite_keeps_earlier_days(spark, tmp_dir):
