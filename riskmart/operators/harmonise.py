@@ -73,18 +73,41 @@ def conform(df: DataFrame, schema: T.StructType = TARGET_SCHEMA) -> DataFrame:
         for f in schema.fields])
 
 
+def misfits(df: DataFrame, schema: T.StructType = TARGET_SCHEMA, keep: Sequence[str] = ("id", "datasetId")) -> DataFrame:
+    """The values that ``conform`` turns into null because they do not fit their type.
+
+    One row each: the ``keep`` columns as text, ``column``, ``value`` (as text) and ``reason``.
+    ``df`` has the target's column names already (``flat_shape``, ``nested_shape``).
+    """
+    have = set(df.columns)
+    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.struct(
+        F.lit(f.name).alias("column"), F.col(f.name).cast("string").alias("value"),
+        F.lit(f"not a {f.dataType.simpleString()}").alias("reason"))) for f in schema.fields if f.name in have]
+    return (df.withColumn("_bad", F.explode(F.array_compact(F.array(*bad))))
+            .select(*[F.col(k).cast("string").alias(k) for k in keep], "_bad.*"))
+
+
 def flat_feed(df: DataFrame, county: str) -> DataFrame:
     """Flat (CSV) feed: add county, rename, typed null end date, drop, composite id."""
+    return conform(flat_shape(df, county))
+
+
+def flat_shape(df: DataFrame, county: str) -> DataFrame:
+    """``flat_feed`` before its values are fitted to the target types."""
     out = (df.withColumn("county", F.lit(county))
            .withColumnsRenamed(FLAT_RENAMES)
            .withColumn("dateEnd", typed_null("string"))
            .drop(*FLAT_DROPPED))
-    out = out.withColumn("id", composite_id("state", "county", "datasetId"))
-    return conform(out)
+    return out.withColumn("id", composite_id("state", "county", "datasetId"))
 
 
 def nested_feed(df: DataFrame, county: str) -> DataFrame:
     """Nested (JSON) feed: struct fields, type after " - ", coordinates from an array."""
+    return conform(nested_shape(df, county))
+
+
+def nested_shape(df: DataFrame, county: str) -> DataFrame:
+    """``nested_feed`` before its values are fitted to the target types."""
     out = df.withColumn("county", F.lit(county)).withColumns(
         {target: F.col(f"fields.{source}") for target, source in NESTED_FIELDS.items()})
     out = out.withColumns({
@@ -92,8 +115,7 @@ def nested_feed(df: DataFrame, county: str) -> DataFrame:
         "geoX": F.get(F.col("fields.geolocation"), 0),
         "geoY": F.get(F.col("fields.geolocation"), 1),
     }).drop(*NESTED_DROPPED)
-    out = out.withColumn("id", composite_id("state", "county", "datasetId"))
-    return conform(out)
+    return out.withColumn("id", composite_id("state", "county", "datasetId"))
 
 
 def union_feeds(feeds: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

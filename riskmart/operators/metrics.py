@@ -42,6 +42,15 @@ class StageMetrics:
                 return v
         raise KeyError((stage, table, metric))
 
+    def settle(self, stage: str, table: str, rows: int) -> None:
+        """Put an exact row count, taken from the stored files, in place of the observed one.
+
+        For writes with a shuffle after the observed node, whose map tasks may have run twice.
+        """
+        self.collect()
+        at = max(i for i, (s, t, m, _) in enumerate(self.records) if (s, t, m) == (stage, table, "rows"))
+        self.records[at] = (stage, table, "rows", rows)
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
         """One row per counted metric (a handful of rows: metadata, not data)."""
         return spark.createDataFrame(self.collect(),

@@ -662,6 +662,19 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_pipeline(spark, sf_dir).metrics.to_frame(spark)
 
 
+@register("stage_counts_bucketed", f"""
+SELECT 'war_curated' AS table_name, count(*) AS value, count(*) AS stored FROM ({WAR_LIKE_SQL})
+UNION ALL SELECT 'economics_curated', count(*), count(*) FROM ({ECONOMICS_LIKE_SQL})""")
+def stage_counts_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of bucketed curated tables (written through a shuffle), beside the tables' own rows."""
+    paths, counts = stages.Paths(scratch_path(spark, "zones")), metrics.StageMetrics()
+    stages.ingest(spark, *_source_files(spark, sf_dir), paths, AS_OF, counts)
+    tables = stages.curate(spark, paths, AS_OF, counts, _scratch_database(spark, "bucketed"), bucket_by=(4, "id"))
+    stored = harmonise.union_feeds([df.groupBy(F.lit(name).alias("table_name")).agg(F.count("*").alias("stored"))
+                                    for name, df in tables.items()])
+    return counts.to_frame(spark).where("stage = 'curated'").select("table_name", "value").join(stored, "table_name")
+
+
 @register("duplicate_keys", """
 SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""")
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -761,6 +774,25 @@ def harmonise_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   harmonise.nested_feed(nested, "Durham")])
 
 
+@register("harmonise_misfits", """
+SELECT concat('NC_Wake_', c_custkey) AS id, CAST(c_custkey AS VARCHAR) AS "datasetId", 'geoX' AS "column",
+       'n/a ' || c_mktsegment AS value, 'not a double' AS reason
+FROM customer WHERE c_custkey % 7 = 0
+UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR), 'geoX', CAST(count(CASE WHEN c_custkey % 7 <> 0 THEN 1 END) AS VARCHAR), 'kept'
+FROM customer""")
+def harmonise_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat feed with coordinates that are not numbers: each such value with its reason, and all rows kept."""
+    feed = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("HSISID"), F.col("c_name").alias("NAME"), F.col("c_mktsegment").alias("ADDRESS1"),
+        F.lit("NC").alias("STATE"), F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("n/a "), "c_mktsegment"))
+        .otherwise(F.col("c_acctbal").cast("string")).alias("X"))
+    shaped = harmonise.flat_shape(feed, "Wake")
+    kept = harmonise.conform(shaped).agg(F.lit("rows").alias("id"), F.count("*").cast("string").alias("datasetId"),
+                                         F.lit("geoX").alias("column"), F.count("geoX").cast("string").alias("value"),
+                                         F.lit("kept").alias("reason"))
+    return harmonise.misfits(shaped).unionByName(kept)
+
+
 @register("union_positional", """
 SELECT c_custkey AS party_key, c_name AS party_name, c_acctbal AS balance FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier""")

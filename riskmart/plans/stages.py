@@ -142,7 +142,11 @@ def curate(spark: SparkSession, paths: Paths, as_of: date, metrics: StageMetrics
 
     specs = (("war_curated", paths.raw_war, curate_war),
              ("economics_curated", paths.raw_economics, curate_economics))
-    return dict(in_parallel(*[lambda spec=spec: job(*spec) for spec in specs]))
+    tables = dict(in_parallel(*[lambda spec=spec: job(*spec) for spec in specs]))
+    if bucket_by is not None:            # bucketing shuffles after the count: take it from the files' footers
+        for table, df in tables.items():
+            metrics.settle("curated", table, _on_date(df, as_of).count())
+    return tables
 
 
 def latest_load(spark: SparkSession, table: str) -> date | None:
