@@ -21,8 +21,8 @@ def summarise(df) -> dict:
         "broadcasts": len(re.findall(r"BroadcastExchange", plan)),
         "scans": len(re.findall(r"FileScan|Scan parquet|Scan ExistingRDD", plan)),
         "pushed_filters": sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan))),
-        "python": bool(re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|FlatMapGroupsInPandas",
-                                 plan)),
+        "python": bool(re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapIn(Arrow|Pandas)"
+                                 r"|FlatMap(Co)?GroupsIn(Arrow|Pandas)", plan)),
     }
 
 

@@ -58,3 +58,11 @@ def test_scratch_directories_do_not_touch_each_other(spark):
         with Scratch(spark, "a") as two:
             two.store(spark.range(3).toDF("x"), "t")
         assert kept.count() == 5
+
+
+def test_plan_report_sees_arrow_functions(spark):
+    from riskmart.plans.planreport import summarise
+    same = lambda batches: batches
+    assert summarise(spark.range(3).mapInArrow(same, "id long"))["python"]
+    assert summarise(spark.range(3).groupBy("id").applyInArrow(lambda t: t, "id long"))["python"]
+    assert not summarise(spark.range(3).groupBy("id").count())["python"]
