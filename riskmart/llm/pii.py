@@ -1,22 +1,30 @@
 """Personal data: fixed patterns plus bootstrapped contextual extraction, in Spark functions only.
 
-Base spans come from the four fixed patterns. They are the seeds of a graph
-between instances (identifier-like strings: eight letters or digits at least,
-two digits at least) and the lexical patterns they stand in (the word before, the
-word after, the text that a token has before the value, a value's first four
-letters). Scores travel over the graph: a pattern's score is the share of its
-occurrences whose instance is believed, smoothed by ``smooth`` occurrences; an
-instance that is no seed is believed by the noisy-or of its patterns. After
-``rounds`` rounds the patterns with a score of at least ``trust`` and ``support``
-occurrences discover every further instance they stand with, as spans of kind
-``id``. Spans that overlap a base span are not added.
+Base spans come from the four fixed patterns. Seeds are their valid matches and
+digests (runs of 32, 40 or 64 hex digits). They start a graph between instances
+(identifier-like strings: eight letters or digits at least, two digits at least)
+and the lexical patterns they stand in: the word before and the word after (two
+words where the nearer one has no letter or digit), the text before ``=`` or ``:``
+in their token, a token's first four letters. Scores travel over the graph:
+
+* a pattern's score is the believed share of all its occurrences beside any token of
+  the corpus, smoothed by ``smooth`` occurrences, so a word that stands beside
+  ordinary words scores near 0; it is 0 until ``support`` distinct instances are believed;
+* an occurrence is believed by the noisy-or of the patterns on all its sides that score
+  ``weak`` or more; an instance that is no seed by the mean of its occurrences, and not
+  below ``trust``, so many weak contexts do not add up.
+
+After ``rounds`` rounds every occurrence believed to at least ``trust`` is found, as a
+span of kind ``id``. A digest is found
+like any other instance: by its context alone. Spans that overlap a base span are not added.
 
 Positions are code points, ends exclusive. They are found without a Python
 function: a text split at the matches gives the gaps, whose lengths are summed.
 
 Defined results: a null or empty text has no span; repeated rows each get their
-result; without any seed nothing is added; an empty table gives an empty result;
-extra columns are ignored. A document's spans are one row's text at most, so
+result (they count once as evidence and each as text beside which a pattern may stand);
+without any seed nothing is added; an empty table gives an empty result; extra columns are
+ignored; words of more than 32 characters are no context. A document's spans are one row's text at most, so
 grouping them by document is bounded by the document.
 """
 
@@ -39,8 +47,15 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 ADDED = "id"
-# a phone or card number with blanks as one piece, else a token that holds a digit
-CANDIDATE = r"\+[0-9][\x20().0-9-]+[0-9]|(?<!\S)[0-9](?:[\x20-]?[0-9]){13,}+|(?<!\S)[^\s0-9]*+[0-9]\S*+"
+# a phone or card number with blanks as one piece, else a token that holds a digit or an @
+CANDIDATE = r"\+[0-9][\x20().0-9-]+[0-9]|(?<!\S)[0-9](?:[\x20-]?[0-9]){13,}+|(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+DIGEST = r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})(?![0-9A-Za-z])"
+# contexts, on lower-cased tokens: the part up to = or :, the first letters, a letter or digit
+KEY = r"^[^\s=:a-z]*+[a-z][^\s=:]*+[=:]++[\"'(\[{<]*+"
+HEAD = r"^[^a-z0-9]*+([a-z]{4})"
+ALNUM = r"[\p{L}\p{N}]"
+CONTEXT_WORD = 32                        # longest word of a context
+EDGE = 128                               # characters kept on either side of a match
 # of a token from its end on: marks, then the value; from the end there is one place to start
 TAIL = r"^[^A-Za-z0-9]*+"
 VALUE = TAIL + r"([A-Za-z0-9](?:[A-Za-z0-9_./+-]*[A-Za-z0-9])?)"
@@ -69,18 +84,22 @@ def _valid(kind: Column, match: Column) -> Column:
             .when(kind == "phone", F.length(digits).between(10, 15)).otherwise(True))
 
 
+def _around(edge, i: Column) -> Column:
+    """EDGE characters of the text beside a match: the gap, the neighbouring match ``i``, the gap beyond."""
+    part = [edge(c, F.lit(EDGE)) for c in (F.get("gaps", i), F.get("matches", i), F.get("gaps", i + 1))]
+    return edge(F.concat_ws("", *part), F.lit(EDGE))
+
+
 def _pieces(rows: DataFrame, kind: str, pattern: str, present: Column) -> DataFrame:
     """A row for each match: id, h, pos, kind, match, the length of the gap before it, and the text around it.
 
     Matches and gaps are columns of their own first, so a lambda looks them up and never splits the text again.
     """
-    edge = 64
     cut = rows.where(present).select("id", "h", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("matches"),
                                      F.split("text", pattern, -1).alias("gaps"))
     made = F.transform("matches", lambda m, i: F.struct(
         F.lit(kind).alias("kind"), m.alias("match"), F.length(F.element_at("gaps", i + 1)).alias("gap"),
-        F.right(F.element_at("gaps", i + 1), F.lit(edge)).alias("before"),
-        F.left(F.element_at("gaps", i + 2), F.lit(edge)).alias("after")))
+        _around(F.right, i - 1).alias("before"), _around(F.left, i + 1).alias("after")))
     return cut.where(F.size("matches") > 0).select("id", "h", F.posexplode(made))
 
 
@@ -95,7 +114,8 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     digit, at, plus = body.rlike("[0-9]"), body.contains("@"), body.contains("+")
     present = {"email": at, "ip": digit & body.contains("."), "card": digit, "phone": plus}
     found = rows.where(digit | at)
-    parts = [_pieces(found, kind, pattern, present.get(kind, digit)) for kind, pattern in (*PATTERNS.items(), ("candidate", CANDIDATE))]
+    parts = [_pieces(found, kind, pattern, present.get(kind, digit | at if kind == "candidate" else digit))
+             for kind, pattern in (*PATTERNS.items(), ("candidate", CANDIDATE))]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -111,61 +131,108 @@ def base_spans(found: DataFrame) -> DataFrame:
             .select("id", "h", "kind", "start", "end"))
 
 
+def _unit(near: Column, far: Column, side: str) -> Column:
+    """A context: the nearer word, with the farther one where the nearer has no letter or digit."""
+    both = F.concat(far, F.lit(" "), near) if side == "left" else F.concat(near, F.lit(" "), far)
+    word = F.when(near.rlike(ALNUM), near).when(F.length(far) <= CONTEXT_WORD, both)
+    return F.when(F.length(near) <= CONTEXT_WORD, F.concat(F.lit(f"{side} "), word))
+
+
+def _own(token: Column) -> list[Column]:
+    """The patterns inside a lower-cased token."""
+    start = F.left(token, F.lit(64))
+    key, head = F.regexp_extract(start, KEY, 0), F.regexp_extract(start, HEAD, 1)
+    return [F.when(key != "", F.concat(F.lit("key "), key)), F.when(head != "", F.concat(F.lit("head "), head))]
+
+
 def instances(found: DataFrame) -> DataFrame:
-    """Candidate occurrences with their value, its span, whether it is a seed, and its patterns."""
+    """Candidate occurrences with their name in the graph, their span, whether it is a seed, and its patterns."""
     token = F.col("match")
-    seed = F.lit(False)
+    hits = []
     for kind, pattern in PATTERNS.items():
         hit = F.regexp_substr(token, F.lit(pattern))
-        seed = seed | F.coalesce(_valid(F.lit(kind), hit), F.lit(False)) & hit.isNotNull()
+        hits.append(F.when(_valid(F.lit(kind), hit), F.lower(hit)))
+    hit = F.coalesce(*hits, F.lower(F.regexp_substr(token, F.lit(DIGEST))))
     value = F.reverse(F.regexp_extract(F.reverse(token), VALUE, 1))
     tail = F.length(F.regexp_extract(F.reverse(token), TAIL, 0))
     looks_like_id = (F.length(F.regexp_replace("value", "[^A-Za-z0-9]", "")) >= 8) & (F.length(_digits(F.col("value"))) >= 2)
-    rows = (found.where(F.col("kind") == "candidate").withColumn("seed", seed).withColumn("value", value)
-            .where(F.col("seed") | looks_like_id)
+    rows = (found.where(F.col("kind") == "candidate").withColumn("hit", hit).withColumn("value", value)
+            .where(F.col("hit").isNotNull() | looks_like_id)
             .withColumn("to", (F.col("end") - tail).cast("long"))
             .withColumn("from", (F.col("to") - F.length("value")).cast("long"))
-            .withColumn("prefix", F.substring("match", F.lit(1), (F.col("from") - F.col("start")).cast("int"))))
-    before = F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != "")
-    after = F.filter(F.split(F.lower("after"), r"\s+"), lambda w: w != "")
-    last = F.try_element_at(before, F.lit(-1))
-    word = F.when(last.rlike("[^\\W_]"), last).otherwise(F.concat_ws(" ", F.try_element_at(before, F.lit(-2)), last))
+            .withColumn("left", F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != ""))
+            .withColumn("right", F.filter(F.split(F.lower("after"), r"\s+"), lambda w: w != "")))
     patterns = F.array(
-        F.concat(F.lit("left "), word), F.concat(F.lit("right "), F.try_element_at(after, F.lit(1))),
-        F.when(F.col("prefix").rlike("[A-Za-z]"), F.concat(F.lit("key "), F.lower("prefix"))),
-        F.when(F.col("value").rlike("^[A-Za-z]{4}"), F.concat(F.lit("head "), F.left("value", F.lit(4)))))
-    return rows.select("id", "h", "from", "to", "value", "seed",
-                       F.array_compact(F.array_distinct(patterns)).alias("patterns"))
-
-
-def pattern_scores(found: DataFrame, rounds: int = 3, smooth: float = 2.0) -> DataFrame:
-    """pattern, n, score after ``rounds`` rounds over the graph of patterns and instances (a stored table)."""
-    edges = (found.select("value", "seed", F.explode("patterns").alias("pattern"))
-             .groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed")))
-    belief = edges.groupBy("value").agg(F.max("seed").cast("double").alias("belief"))
+        _unit(F.try_element_at("left", F.lit(-1)), F.try_element_at("left", F.lit(-2)), "left"),
+        _unit(F.try_element_at("right", F.lit(1)), F.try_element_at("right", F.lit(2)), "right"),
+        *_own(F.lower("match")))
+    return rows.select("id", "h", "from", "to", F.coalesce("hit", F.lower("value")).alias("name"),
+                       F.col("hit").isNotNull().alias("seed"), F.array_compact(patterns).alias("patterns"))
+
+
+def pattern_totals(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
+    """pattern, total: how often each wanted pattern stands beside any token of the texts, or in one."""
+    words = docs.select(F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "").alias("words"))
+    none = F.array(F.lit(None).cast("string"))
+    near = words.select(F.arrays_zip(
+        F.col("words").alias("word"), F.concat(none, "words").alias("before"),
+        F.concat(F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), none).alias("after")).alias("near"))
+    each = near.select(F.inline("near")).where(F.col("word").isNotNull())
+    patterns = F.array(F.when(F.col("after").isNotNull(), _unit(F.col("word"), F.col("before"), "left")),
+                       F.when(F.col("before").isNotNull(), _unit(F.col("word"), F.col("after"), "right")), *_own(F.col("word")))
+    return (each.select(F.explode(patterns).alias("pattern")).where(F.col("pattern").isNotNull())
+            .join(wanted.select("pattern"), "pattern", "left_semi").groupBy("pattern").agg(F.count("*").alias("total")))
+
+
+def _noisy_or(score: str) -> Column:
+    return F.round(1 - F.exp(F.sum(F.log(1 - F.least(F.col(score), F.lit(0.99))))), 6)
+
+
+def pattern_scores(known: DataFrame, docs: DataFrame, text: str = "text", rounds: int = 3, smooth: float = 2.0,
+                   support: int = 3, weak: float = 0.2, trust: float = 0.6, scratch: Scratch | None = None) -> DataFrame:
+    """pattern, n, total, score after ``rounds`` rounds over the graph of patterns and instances."""
+    scratch = scratch or Scratch(docs.sparkSession, "pii", until_exit=True)
+    contexts = scratch.store(known.groupBy("name", "patterns").agg(F.count("*").alias("n"), F.max("seed").alias("seed")), "contexts")
+    each = contexts.withColumn("pattern", F.explode("patterns"))
+    edges = scratch.store(each.groupBy("pattern", "name").agg(F.sum("n").alias("n"), F.max("seed").alias("seed")), "edges")
+    # a pattern of fewer instances never has the support
+    wanted = edges.groupBy("pattern").agg(F.count("*").alias("names"), F.sum("n").alias("own")).where(F.col("names") >= support)
+    wanted = scratch.store(wanted, "wanted")
+    totals = pattern_totals(docs, wanted, text)
+    wanted = wanted.join(totals, "pattern", "left").select(           # a match may begin or end inside a token
+        "pattern", "own", F.greatest("own", F.coalesce("total", "own")).alias("total"))
+    links = scratch.store(edges.join(wanted, "pattern"), "links")
+    belief = links.groupBy("name").agg(F.max("seed").cast("double").alias("belief"))
     for turn in range(rounds):
-        scores = (edges.join(belief, "value").groupBy("pattern")
-                  .agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("belief")) / (F.sum("n") + smooth)).alias("score")))
+        share = F.sum(F.col("n") * F.col("belief")) / (F.max("total") + smooth)
+        scores = scratch.store(
+            links.join(belief, "name").groupBy("pattern")
+            .agg(F.max("own").alias("n"), F.max("total").alias("total"),
+                 F.round(F.when(F.sum("belief") >= support, share).otherwise(0.0), 6).alias("score")), "scores")
         if turn < rounds - 1:
-            doubt = F.exp(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.99)))))
-            belief = (edges.join(scores.select("pattern", "score"), "pattern").groupBy("value")
-                      .agg(F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - doubt).alias("belief")))
+            joint = (each.join(scores.where(F.col("score") >= weak).select("pattern", "score"), "pattern")
+                     .groupBy("name", "patterns").agg(F.max("n").alias("n"), _noisy_or("score").alias("joint")))
+            mean = (contexts.groupBy("name").agg(F.sum("n").alias("n"), F.max("seed").alias("seed"))
+                    .join(joint.groupBy("name").agg(F.sum(F.col("n") * F.col("joint")).alias("held")), "name", "left")
+                    .withColumn("mean", F.round(F.coalesce(F.col("held") / F.col("n"), F.lit(0.0)), 6)))
+            belief = mean.select("name", F.when(F.col("seed"), 1.0).when(F.col("mean") >= trust, F.col("mean"))
+                                 .otherwise(0.0).alias("belief"))
     return scores
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text", trust: float = 0.6,
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text", trust: float = 0.6, weak: float = 0.2,
                   support: int = 3, rounds: int = 3, scratch: Scratch | None = None) -> DataFrame:
     """id_col, base and spans: arrays of (start, kind number, kind, end), both sorted, one row per row of ``docs``."""
     scratch = scratch or Scratch(docs.sparkSession, "pii", until_exit=True)
     found = scratch.store(occurrences(docs, id_col, text), "occurrences")
     base = base_spans(found)
     known = scratch.store(instances(found), "instances")
-    trusted = (pattern_scores(known, rounds).where((F.col("score") >= trust) & (F.col("n") >= support))
-               .select(F.col("pattern").alias("_trusted")))
-    added = (known.where(~F.col("seed")).withColumn("pattern", F.explode("patterns"))
-             .join(trusted, F.col("pattern") == F.col("_trusted"), "left_semi")
-             .select("id", "h", F.lit(ADDED).alias("kind"), F.col("from").alias("start"), F.col("to").alias("end"))
-             .distinct())
+    scores = pattern_scores(known, docs, text, rounds, support=support, weak=weak, trust=trust, scratch=scratch)
+    added = (known.withColumn("pattern", F.explode("patterns"))
+             .join(scores.where(F.col("score") >= weak).select("pattern", "score"), "pattern")
+             .groupBy("id", "h", "from", "to").agg(_noisy_or("score").alias("joint")).where(F.col("joint") >= trust)
+             .where(F.col("to") > F.col("from"))
+             .select("id", "h", F.lit(ADDED).alias("kind"), F.col("from").alias("start"), F.col("to").alias("end")))
     every = base.unionByName(added)
     order = Window.partitionBy("id", "h").orderBy("start", "end", "kind")
     is_base = F.col("kind") != ADDED
