@@ -7,8 +7,10 @@ node holds some of the leaves; it is split along the dimension whose levels are
 widest in it, at the key where its bytes divide in proportion to the leaves on
 either side, until every node is one leaf, i.e. has about the target bytes.
 
-Keys order rows by (level, content code, row code), so copies of a text stay
-together except at a cut, and no value is too frequent to be cut. A cut is found
+Equal texts are a group. All rows of a group take the metadata of its least row and one
+key, (level, content code), so they share a shard. A group of more than ``whole`` of a
+shard's target is no unit: its rows are keyed by (level, content code, row code), so
+no value is too frequent to be cut. A cut is found
 exactly by four passes over 16-bit digits of the key for all nodes of a level at
 once; the driver sees one row per node.
 
@@ -22,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread_join
 from ..session import Scratch
 from .running import running_sum
 
@@ -71,7 +74,7 @@ def _splits(base: DataFrame, dims: int) -> list[dict]:
                  .groupBy("node").agg(F.min_by(F.struct("digit", "upto", "bytes"), "digit").alias("at")))
         for r in found.collect():
             todo[r.node] |= {"prefix": r["at"].digit, "before": r["at"].upto - r["at"].bytes, "last": r["at"].bytes}
-    for t in todo.values():              # the cut row goes to the side that it unbalances less
+    for t in todo.values():              # the cut key goes to the side that it unbalances less
         t["cut"] = t["prefix"] + (2 * (t["want"] - t["before"]) > t["last"])
     return list(todo.values())
 
@@ -80,16 +83,23 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("key", F.shiftleft(F.expr("levels[dim]").cast("long"), 47) + F.col("tie"))
 
 
+def _grouped(narrow: DataFrame, dims: list[str]) -> DataFrame:
+    """Rows with their group's bytes and the dimensions of the group's least row; hot groups are spread."""
+    groups = (narrow.groupBy("g").agg(F.sum("size").alias("g_bytes"), F.min(F.struct("id", *dims)).alias("least"))
+              .select("g", "g_bytes", *[F.col(f"least.{d}").alias(d) for d in dims]))
+    return spread_join(narrow.drop(*dims), groups, "g")
+
+
 def kd_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
               numeric: dict[str, bool] | None = None, coded: list[str] | None = None,
-              n_shards: int | None = None, target_bytes: int | None = None,
+              n_shards: int | None = None, target_bytes: int | None = None, whole: float = 0.25,
               scratch: Scratch | None = None) -> DataFrame:
     """Per row: id_col, size, text_crc32, shard, slot (gapless from 0 within the shard).
 
     ``numeric`` maps dimension columns to whether they count by logarithm,
     ``coded`` lists the other dimensions. Give either the number of shards or
-    the target bytes of one. Sizes differ by about one row or, where more equal
-    texts than 2**23 cells exist, one cell of copies.
+    the target bytes of one. A cut misses its place by half a row or group at most (a group
+    of more than ``whole`` of the target bytes counts as rows), or by one of 2**23 cells of its rows.
     """
     if (n_shards is None) == (target_bytes is None):
         raise ValueError("give n_shards or target_bytes")
@@ -101,6 +111,7 @@ def kd_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     narrow = scratch.store(docs.select(
         F.col(id_col).alias("id"), _size(F.col(text)).alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("g"),
         *[v.alias(f"n{i}") for i, v in enumerate(value.values())],
         *[_coded_level(F.col(c)).alias(f"c{i}") for i, c in enumerate(coded)]), "narrow")
     stats = narrow.agg(F.sum("size").alias("bytes"),
@@ -110,10 +121,14 @@ def kd_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     row_code = F.xxhash64(F.lit("row"), "id")
     levels = [*[F.col(f"c{i}") for i in range(len(coded))],
               *[_numeric_level(F.col(f"n{i}"), stats[f"min{i}"], stats[f"max{i}"]) for i in range(len(value))]]
-    base = narrow.select(
+    code = F.xxhash64(F.lit("group"), "g")
+    unit = F.col("g_bytes") <= F.lit(whole * (stats.bytes or 0) / n_shards)
+    dims = [*[f"c{i}" for i in range(len(coded))], *[f"n{i}" for i in range(len(value))]]
+    base = scratch.store(_grouped(narrow, dims).select(
         "id", "size", "text_crc32", F.array(*levels).alias("levels"),
-        (F.shiftleft(F.shiftrightunsigned("text_crc32", 8), 23) + F.shiftrightunsigned(row_code, 41)).alias("tie"),
-        F.lit(0).alias("node"), F.lit(n_shards).alias("leaves"))
+        F.when(unit, F.shiftrightunsigned(code, 17))
+        .otherwise(F.shiftleft(F.shiftrightunsigned(code, 40), 23) + F.shiftrightunsigned(row_code, 41)).alias("tie"),
+        F.lit(0).alias("node"), F.lit(n_shards).alias("leaves")), "placed")
     widest = n_shards
     while widest > 1:
         splits = _splits(base, len(levels))
