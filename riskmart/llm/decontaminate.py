@@ -11,11 +11,15 @@ others run through block-max WAND, which returns every item at or above the
 threshold. A hit is verified: the 5-word shingles of the item's
 question (all but its last sentence) and of its answer (the last sentence; an
 item of one sentence has none) must each be found in the passage to at least
-``overlap``.
+``overlap``. The shorter of the two takes the longest shingles of at most 5 words of
+which one changed word leaves that share (``shingle_words``); with fewer than three
+words the item's shingles stand for it.
 
 Words are cut at white space and ASCII marks, A-Z as a-z. The index is broadcast
 in shards of at most about ``shard_bytes`` of item text, one pass over the
-documents for each shard, so its size does not grow with the benchmark.
+documents for each shard, so its size does not grow with the benchmark. Document
+frequencies, the number of items, their mean and greatest length are those of the whole
+benchmark, so scores and hits do not depend on the shards.
 
 Defined results: null or empty documents and items have no words and never
 match; items with equal texts each match; repeated rows are reported each; empty
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -65,23 +70,55 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, "")
 
 
+def shingle_words(n: int, overlap: float) -> int:
+    """The longest shingle, up to SHINGLE words, of which one changed word among ``n`` leaves the share ``overlap``; or 0."""
+    return max((k for k in range(1, SHINGLE + 1) if n - 2 * k + 1 >= overlap * (n - k + 1) > 0), default=0)
+
+
+def verified_parts(text: str, whole: np.ndarray, overlap: float) -> list[tuple[np.ndarray, int]]:
+    """Word hashes and shingle length of question and answer; length 0 for an empty part."""
+    parts = [_word_hashes(part) for part in question_and_answer(text)]
+    out = [(part, min(SHINGLE, len(part))) for part in parts]
+    short = int(len(parts[1]) <= len(parts[0]))
+    n = len(parts[short])
+    if n and len(parts[1 - short]) >= SHINGLE:
+        k = shingle_words(n, overlap)
+        out[short] = (parts[short], k) if k else (whole, SHINGLE)
+    return out
+
+
+class Statistics(NamedTuple):
+    """Of a whole benchmark: number of items, mean and greatest length, and some terms with their document frequencies."""
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class Index:
-    """Postings per term in item order, impacts divided by the item's own score, maxima per block."""
+    """Postings per term in item order, impacts divided by the item's own score, maxima per block.
+
+    ``known`` holds the statistics of the whole benchmark, with the terms of these items at least;
+    without it the items are the benchmark.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], overlap: float = OVERLAP, known: Statistics | None = None):
         words = [_word_hashes(t or "") for _, t in items]
         self.ids = [i for i, _ in items]
-        self.parts = [[(part, min(SHINGLE, len(part))) for part in map(_word_hashes, question_and_answer(t or ""))]
-                      for _, t in items]
-        self.step = max([1, *map(len, words)])
+        self.parts = [verified_parts(t or "", w, overlap) for (_, t), w in zip(items, words)]
         counted = [np.unique(w, return_counts=True) for w in words]
         terms = np.concatenate([c[0] for c in counted]) if counted else np.zeros(0, np.uint64)
         tf = np.concatenate([c[1] for c in counted]).astype(float) if counted else np.zeros(0)
         item = np.repeat(np.arange(len(words)), [len(c[0]) for c in counted])
         length = np.array([len(w) for w in words], dtype=float)
         self.terms, at, df = np.unique(terms, return_inverse=True, return_counts=True)
-        idf = np.log1p((len(words) - df + 0.5) / (df + 0.5))
-        mean = max(1.0, length.mean()) if len(words) else 1.0
+        if known is None:
+            known = Statistics(len(words), length.mean() if len(words) else 0.0, int(max(length, default=0)), self.terms, df)
+        self.step = max(1, known.longest)
+        df = known.df[np.searchsorted(known.terms, self.terms)]
+        idf = np.log1p((known.items - df + 0.5) / (df + 0.5))
+        mean = max(1.0, known.mean)
         impact = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / mean)) if len(tf) else tf
         own = np.bincount(item, impact, len(words)) if len(tf) else np.zeros(len(words))
         impact = impact / own[item] if len(tf) else impact
@@ -203,7 +240,7 @@ def _matches(index: Index, column: pa.Array, threshold: float, overlap: float) -
             for item, score in index.search(terms, threshold):
                 question, answer = index.overlaps(item, passage)
                 if question >= overlap and answer >= overlap:
-                    yield lo + int(text), item, score, question, answer
+                    yield lo + int(text), item, round(score, 9), question, answer   # sums in the order of the shard
 
 
 def _report(index, threshold: float, overlap: float):
@@ -232,16 +269,35 @@ def _keep(index, text_at: int, threshold: float, overlap: float):
     return run
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """shard, number of words and distinct terms of each item."""
+    for batch in batches:
+        words = [_word_hashes(t) for t in batch.column(1).to_pylist()]
+        terms = pa.array([np.unique(w).view(np.int64) for w in words], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), terms],
+                                         names=["shard", "n_words", "terms"])
+
+
 def index_shards(benchmark: DataFrame, item_col: str = "item_id", text: str = "text",
-                 shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
+                 shard_bytes: int = SHARD_BYTES, overlap: float = OVERLAP) -> Iterator[Index]:
     """One index after another, each over at most about ``shard_bytes`` of item text."""
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     shards = int(total // shard_bytes) + 1
+    items = items.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int"))
+    counted = items.select("shard", "text").mapInArrow(_item_terms, "shard int, n_words long, terms array<long>")
+    sums = counted.agg(F.count("*").alias("items"), F.sum("n_words").alias("words"), F.max("n_words").alias("longest")).head()
+    each = counted.select("shard", F.explode("terms").alias("term"))
+    frequency = each.groupBy("term").agg(F.count("*").alias("df"))
     for shard in range(shards):
-        some = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == shard) if shards > 1 else items
-        rows = sorted((r.id if r.id is not None else -1, r.id, r.text) for r in some.collect())
-        yield Index([(i, t) for _, i, t in rows])
+        # bounded by the shard's text: its rows, and one row for each of its terms
+        own = each.where(F.col("shard") == shard).select("term").distinct().join(frequency, "term").toArrow()
+        term = own.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        known = Statistics(sums.items, (sums.words or 0) / max(1, sums.items), sums.longest or 0,
+                           term[order], own.column("df").to_numpy()[order])
+        rows = sorted((r.id if r.id is not None else -1, r.id, r.text) for r in items.where(F.col("shard") == shard).collect())
+        yield Index([(i, t) for _, i, t in rows], overlap, known)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
@@ -250,7 +306,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     narrow = docs.select(F.col(id_col), F.col(text))
     schema = T.StructType([T.StructField("doc_id", narrow.schema[0].dataType), *T._parse_datatype_string(FOUND).fields])
     out = None
-    for index in index_shards(benchmark, text="text", shard_bytes=shard_bytes):
+    for index in index_shards(benchmark, shard_bytes=shard_bytes, overlap=overlap):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         part = narrow.mapInArrow(_report(shared, threshold, overlap), schema)
         out = part if out is None else out.unionByName(part)
@@ -260,7 +316,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
                     text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The rows of ``docs`` that hold no test item, columns unchanged."""
-    for index in index_shards(benchmark, shard_bytes=shard_bytes):
+    for index in index_shards(benchmark, shard_bytes=shard_bytes, overlap=overlap):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = docs.mapInArrow(_keep(shared, docs.columns.index(text), threshold, overlap), docs.schema)
     return docs
