@@ -6,10 +6,10 @@ of weight w gets its k-th block within the window [floor(k/w), ceil((k+1)/w)) of
 slots; of the blocks that are released, the one with the earliest deadline takes
 the slot. Weights are taken as they are given (whole numbers with the same ratios,
 nothing is rounded), so in every prefix of the stream, however long, each source is
-less than one block from its share. The state before a slot is one number for each
-source: the driver steps through the slots once and keeps the state of every
-``period``-th one, tasks fill in the slots between, and documents meet their
-block's slots in a join.
+less than one block from its share. The state before a slot (blocks served, for each
+source) follows from arithmetic: every task finds the state at the start of its frames
+of ``period`` slots by itself (``served_before``) and fills in their slots, so nothing
+steps through the whole stream; documents meet their block's slots in a join.
 
 ``cover`` (the default) runs until the source that is largest for its weight has
 been used up once; a source that ends earlier starts again (``epoch`` 1, 2 ...),
@@ -27,9 +27,11 @@ import heapq
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Scratch
@@ -37,19 +39,8 @@ from .running import running_sum
 
 BLOCK_BYTES = 1 << 16
 PERIOD = 1 << 12
-
-
-def whole_parts(weights: list[float], period: int) -> list[int]:
-    """Weights as whole parts of ``period``, one at least, by largest remainders."""
-    if not weights:
-        return []
-    total = float(sum(weights))
-    exact = [w / total * (period - len(weights)) for w in weights]
-    parts = [1 + int(x) for x in exact]
-    by_rest = sorted(range(len(weights)), key=lambda i: (int(exact[i]) - exact[i], i))
-    for i in by_rest[:period - sum(parts)]:
-        parts[i] += 1
-    return parts
+FRAME_CACHE = 1 << 25
+NO_SLACK = 1 << 62
 
 
 def exact_parts(weights: list[float]) -> list[int]:
@@ -87,50 +78,141 @@ def pfair(parts: list[int], slot: int, served: list[int]) -> Iterator[int]:
         yield source
 
 
-def pfair_period(parts: list[int]) -> list[int]:
-    """The source of every slot of one period."""
-    stream = pfair(parts, 0, [0] * len(parts))
-    return [next(stream) for _ in range(sum(parts))]
+def slack(parts: list[int], low: int, high: int) -> np.ndarray:
+    """For u = low + 1 .. high: the blocks released before slot u, less u. Never negative."""
+    whole, before, at = sum(parts), 0, []
+    for q in parts:
+        first, end = -(-q * low // whole), -(-q * high // whole)
+        before += first
+        at.extend(k * whole // q - low for k in range(first, end))
+    released = np.bincount(np.array(at, dtype=np.int64), minlength=high - low)
+    return before - low + np.cumsum(released) - np.arange(1, high - low + 1)
 
 
-def _states(parts: list[int], blocks: list[int], period: int, mode: str) -> list[tuple[int, int, list[int]]]:
-    """(slot, slots, blocks served before it) of every ``period`` slots of the whole stream."""
-    if not parts:
-        return []
-    served = [0] * len(parts)
-    states, slot, unfinished = [(0, list(served))], 0, len(parts)
-    for source in pfair(parts, 0, served):
-        if mode == "supply" and served[source] > blocks[source]:
-            break
-        slot += 1
-        unfinished -= served[source] == blocks[source]
-        if mode == "cover" and not unfinished:
-            break
-        if slot % period == 0:
-            states.append((slot, list(served)))
-    return [(at, min(period, slot - at), before) for at, before in states if at < slot]
+class LeastSlack:
+    """The least slack over any range of slots, from the least one of every whole frame.
+
+    Slack inside the frames at a range's two ends is computed again; the last ones are kept.
+    """
+
+    GROUP = 512                                            # frames with a common minimum
+
+    def __init__(self, parts: list[int], period: int, least: np.ndarray):
+        self.period, self.least = period, least
+        self.groups = np.minimum.reduceat(least, range(0, len(least), self.GROUP)) if len(least) else least
+        self.frame = lru_cache(max(4, FRAME_CACHE // (8 * period)))(
+            lambda m: slack(parts, m * period, (m + 1) * period))
+
+    def frames(self, first: int, end: int) -> int:
+        """The least slack of the whole frames first .. end - 1."""
+        inner, outer = -(-first // self.GROUP), end // self.GROUP
+        if inner >= outer:
+            return int(self.least[first:end].min())
+        return int(min(self.least[first:inner * self.GROUP].min(initial=NO_SLACK), self.groups[inner:outer].min(),
+                       self.least[outer * self.GROUP:end].min(initial=NO_SLACK)))
+
+    def over(self, low: int, high: int) -> int:
+        """The least slack of low < u <= high."""
+        if low >= high:
+            return NO_SLACK
+        first, last = low // self.period, (high - 1) // self.period
+        start, stop = low - first * self.period, high - last * self.period
+        if first == last:
+            return int(self.frame(first)[start:stop].min())
+        ends = min(int(self.frame(first)[start:].min()), int(self.frame(last)[:stop].min()))
+        return min(ends, self.frames(first + 1, last)) if first + 1 < last else ends
+
+
+def served_before(parts: list[int], slot: int, least: LeastSlack) -> list[int]:
+    """Every source's blocks before ``slot``, without stepping through the slots before it.
+
+    Source i has had floor(w_i * slot) blocks, and perhaps the one whose window holds the
+    border. The work that earliest-deadline-first does before ``slot`` on the blocks down to
+    a priority p depends on those blocks alone: slot + min over u <= slot of (slack at u,
+    less the open blocks beyond p that are released before u). An open block has had its
+    slot if that work grows by one when p reaches it.
+    """
+    whole = sum(parts)
+    served = [q * slot // whole for q in parts]
+    opened = sorted((k * whole // q, -(-(k + 1) * whole // q), i)          # (release, deadline, source)
+                    for i, (q, k) in enumerate(zip(parts, served)) if q * slot % whole)
+    if not opened:
+        return served
+    releases = [release for release, _, _ in opened] + [slot]
+    room = np.array([least.over(a, b) for a, b in zip(releases, releases[1:])]) - np.arange(1, len(opened) + 1)
+    work = min(0, int(room.min()))
+    for _, source, place in sorted((deadline, i, place) for place, (_, deadline, i) in enumerate(opened)):
+        room[place:] += 1
+        more = min(0, int(room.min()))
+        served[source] += more - work
+        work = more
+    return served
 
 
-def _slots(parts: list[int], blocks: list[int]):
-    """For mapInArrow over the states: (number of the source, block, epoch, slot) of every slot."""
+def stream_slots(parts: list[int], blocks: list[int], mode: str) -> int:
+    """A number of slots within which the stream ends: a deadline of the block that ends it."""
+    whole = sum(parts)
+    if mode == "cover":
+        return max((-(-b * whole // q) for b, q in zip(blocks, parts)), default=0)
+    return min((-(-(b + 1) * whole // q) for b, q in zip(blocks, parts)), default=0)
+
+
+def _least(parts: list[int], period: int):
+    """For mapInArrow over frame numbers: (frame, its least slack)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for state in batch.to_pylist():
-                served = state["served"]
-                stream = pfair(parts, state["slot"], served)
-                source, block, epoch = [], [], []
-                for _ in range(state["slots"]):
+            frames = batch.column(0).to_pylist()
+            lows = [int(slack(parts, m * period, (m + 1) * period).min()) for m in frames]
+            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.int64()), pa.array(lows, pa.int64())],
+                                             names=["frame", "least"])
+    return run
+
+
+def _slots(parts: list[int], blocks: list[int], period: int, slots: int, lows: np.ndarray, mode: str):
+    """For mapInArrow over frame numbers: (number of the source, block, epoch, slot, edge) of every slot.
+
+    ``edge`` marks a source's last new block (cover) or its first repeated one (supply).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = LeastSlack(parts, period, lows)
+        edges = blocks if mode == "cover" else [b + 1 for b in blocks]
+        for batch in batches:
+            for frame in batch.column(0).to_pylist():
+                start, end = frame * period, min((frame + 1) * period, slots)
+                served = served_before(parts, start, least)
+                stream = pfair(parts, start, served)
+                source, block, epoch, edge = [], [], [], []
+                for _ in range(start, end):
                     i = next(stream)
                     source.append(i)
                     block.append((served[i] - 1) % blocks[i])
                     epoch.append((served[i] - 1) // blocks[i])
+                    edge.append(served[i] == edges[i])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(source, pa.int32()), pa.array(block, pa.int64()), pa.array(epoch, pa.int32()),
-                     pa.array(range(state["slot"], state["slot"] + state["slots"]), pa.int64())],
-                    names=["_number", "_block", "epoch", "slot"])
+                     pa.array(range(start, end), pa.int64()), pa.array(edge, pa.bool_())],
+                    names=["_number", "_block", "epoch", "slot", "_edge"])
     return run
 
 
+def schedule(spark: SparkSession, parts: list[int], blocks: list[int], period: int, mode: str,
+             scratch: Scratch) -> DataFrame:
+    """(_number, _block, epoch, slot) of the whole stream: frames of ``period`` slots, each on its own.
+
+    One number of 8 bytes for each frame passes the driver (3 MB for 100 TB in blocks of 64 KB).
+    """
+    slots = stream_slots(parts, blocks, mode)
+    frames = spark.range(-(-slots // period))
+    lows = sorted(tuple(r) for r in frames.mapInArrow(_least(parts, period), "frame long, least long").collect())
+    least = np.array([low for _, low in lows], dtype=np.int64)
+    plan = scratch.store(frames.mapInArrow(_slots(parts, blocks, period, slots, least, mode),
+                                           "_number int, _block long, epoch int, slot long, _edge boolean"), "plan")
+    edges = plan.where("_edge").agg(F.max("slot").alias("last"), F.min("slot").alias("first")).first()
+    if edges.last is not None:
+        plan = plan.where(F.col("slot") <= edges.last if mode == "cover" else F.col("slot") < edges.first)
+    return plan.drop("_edge")
+
+
 def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9,
                 mode: str = "cover", block_bytes: int = BLOCK_BYTES, period: int = PERIOD, seed: int = 7,
                 id_col: str = "doc_id", source_col: str = "source", text: str = "text",
@@ -168,8 +250,7 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     period = max(period, 4 * len(totals))
     parts = exact_parts(shares)
     blocks = [-(-b // block_bytes) for _, b in totals]
-    states = spark.createDataFrame(_states(parts, blocks, period, mode), "slot long, slots long, served array<long>")
-    plan = scratch.store(states.mapInArrow(_slots(parts, blocks), "_number int, _block long, epoch int, slot long"), "plan")
+    plan = schedule(spark, parts, blocks, period, mode, scratch)
     numbers = spark.createDataFrame([(name, i) for i, (name, _) in enumerate(totals)], "_source string, number int")
     placed = running_sum(units, ["source"], "h", ["id"], F.col("bytes"), "at")
     numbered = (placed.join(F.broadcast(numbers), placed["source"].eqNullSafe(numbers["_source"]))   # a row for each source

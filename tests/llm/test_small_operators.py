@@ -1,9 +1,11 @@
 """Token counts, sharding, mixing, fingerprints, personal data: against plain Python on awkward rows."""
 
 import hashlib
+import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from riskmart.llm import merkle, mixing, pii
 from riskmart.llm.kd_shards import kd_shards
 from riskmart.llm.queries import op6
 from riskmart.llm.token_counts import token_counts
+from riskmart.session import Scratch
 
 from .helpers import documents, texts
 
@@ -64,14 +67,62 @@ def test_shards_by_target_bytes_any_count_and_empty(spark):
 # ---------------------------------------------------------------- mixing
 
 def test_pfair_windows_and_deviation():
-    for weights in ([1, 1], [5, 3, 1], [0.7, 0.2, 0.05, 0.05], [1] * 37, [1000, 1]):
-        parts = mixing.whole_parts(weights, 256)
-        order = mixing.pfair_period(parts)
-        assert sum(parts) == 256 and [order.count(s) for s in range(len(parts))] == parts
-        have = [0] * len(parts)
-        for slot, source in enumerate(order, 1):
-            have[source] += 1
-            assert all(abs(have[s] - slot * q / 256) < 1 for s, q in enumerate(parts))
+    for weights in ([1, 1], [5, 3, 1], [0.5, 0.25, 0.125, 0.125], [1] * 37, [1000, 1]):
+        parts = mixing.exact_parts(weights)
+        whole, served = sum(parts), [0] * len(parts)
+        stream = mixing.pfair(parts, 0, served)
+        for slot in range(1, 2100):
+            next(stream)
+            assert all(abs(k * whole - slot * q) < whole for k, q in zip(served, parts))
+            if slot == whole:
+                assert served == parts
+
+
+def test_states_equal_those_of_stepping_through():
+    draw = random.Random(5)
+    cases = [[1, 1], [1], [1, 1, 2], [1e6, 3, 3, 2, 1], [1] * 37]
+    cases += [[draw.choice([draw.random(), draw.random() ** 8 + 1e-6, draw.randint(1, 9)])
+               for _ in range(draw.randint(1, 30))] for _ in range(40)]
+    for weights in cases:
+        parts, period, slots = mixing.exact_parts(weights), draw.choice([7, 16, 64]), 3000
+        least = mixing.LeastSlack(parts, period, np.array(
+            [mixing.slack(parts, k * period, (k + 1) * period).min() for k in range(slots // period + 1)]))
+        served = [0] * len(parts)
+        stream = mixing.pfair(parts, 0, served)
+        for slot in range(slots):
+            if slot % period == 0:
+                assert mixing.served_before(parts, slot, least) == served
+            next(stream)
+
+
+def plain_stream(parts, blocks, mode):
+    """(source, block, epoch, slot) by stepping through the whole stream."""
+    served, rows, unfinished = [0] * len(parts), [], len(parts)
+    for slot, source in enumerate(mixing.pfair(parts, 0, served)):
+        epoch, block = divmod(served[source] - 1, blocks[source])
+        if mode == "supply" and epoch:
+            return rows
+        rows.append((source, block, epoch, slot))
+        unfinished -= served[source] == blocks[source]
+        if mode == "cover" and not unfinished:
+            return rows
+
+
+def test_schedule_in_frames_equals_the_plain_one(spark, tmp_dir):
+    for weights, blocks in (([3.0, 1.0, 0.01], [700, 100, 2]), ([1.0], [130]), ([1 / 3, 0.2, 0.05, 0.4167], [1, 90, 7, 300])):
+        parts = mixing.exact_parts(weights)
+        for mode in ("cover", "supply"):
+            got = mixing.schedule(spark, parts, blocks, 64, mode, Scratch(spark, "test-mix"))
+            rows = sorted(((r._number, r._block, r.epoch, r.slot) for r in got.collect()), key=lambda r: r[3])
+            assert rows == plain_stream(parts, blocks, mode)
+
+
+def test_null_ids_and_texts_are_mixed(spark):
+    docs = spark.createDataFrame([(None, "a", "x"), (None, None, "x"), (None, "b", None), (4, "", None), (4, "c", None)],
+                                 "doc_id long, text string, source string")
+    units = {(r.source, r.doc_id, r.bytes) for r in mixing.mix_sources(docs).collect()}
+    assert units == {("x", None, 2), (None, None, 1), (None, 4, 2)}
+    assert len({tuple(r) for r in mixing.mixed_documents(docs).collect()}) == 5
 
 
 def plain_schedule(spark, docs, **how):
