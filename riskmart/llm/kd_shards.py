@@ -105,7 +105,7 @@ def kd_shards(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         raise ValueError("give n_shards or target_bytes")
     numeric = {"n_chars": True, id_col: False} if numeric is None else numeric
     coded = ["source", "lang"] if coded is None else coded
-    scratch = scratch or Scratch(docs.sparkSession, "kd")
+    scratch = scratch or Scratch(docs.sparkSession, "kd", until_exit=True)
     value = {c: F.log2(F.greatest(F.col(c).cast("double"), F.lit(0.0)) + 1) if log else F.col(c).cast("double")
              for c, log in numeric.items()}
     narrow = scratch.store(docs.select(

@@ -229,7 +229,7 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     if mode not in ("cover", "supply"):
         raise ValueError(f"mode must be cover or supply, not {mode!r}")
     spark = docs.sparkSession
-    scratch = scratch or Scratch(spark, "mix")
+    scratch = scratch or Scratch(spark, "mix", until_exit=True)
     size = F.greatest(F.coalesce(F.octet_length(F.col(text)), F.lit(0)), F.lit(1)).cast("long")
     units = scratch.store(
         docs.select(F.col(source_col).cast("string").alias("source"), F.col(id_col).alias("id"), size.alias("bytes"))
