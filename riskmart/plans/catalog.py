@@ -22,6 +22,7 @@ from riskmart.plans.shaping import (ECONOMICS_LIKE_SQL, WAR_LIKE_SQL, economics_
 from riskmart.session import scratch_path
 from riskmart.sources import dump, feeds
 from riskmart.sources.delimited import read_delimited, write_delimited
+from riskmart.sources.records import read_delimited_records
 from riskmart.streaming import ingest as streaming_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,6 +371,34 @@ def ingest_dump_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.sum(F.when(F.col("reject_reason").isNull(), F.col("p_partkey"))).alias("key_sum")))
 
 
+DOCUMENT_SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType())])
+DOCUMENT_SQL = "SELECT doc_id, text, lang, source FROM documents"
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "documents").select(*[F.col(f.name).cast(f.dataType) for f in DOCUMENT_SCHEMA.fields])
+
+
+@register("ingest_csv_quoted_lines", DOCUMENT_SQL)
+def ingest_csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with their line breaks → ``;`` file → records read by several tasks a file."""
+    path = scratch_path(spark, "documents_csv")
+    write_delimited(_documents(spark, sf_dir), path, sep=";")
+    return read_delimited_records(spark, path, DOCUMENT_SCHEMA, sep=";")
+
+
+@register("ingest_dump_statements", DOCUMENT_SQL)
+def ingest_dump_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents → INSERT statements over several lines, line breaks inside and outside quotes → rows."""
+    path = scratch_path(spark, "documents_dump")
+    lines = dump.insert_lines(_documents(spark, sf_dir), "documents")
+    (lines.select(F.regexp_replace("value", r"^(INSERT INTO documents VALUES) \(", "$1\n-- one row\n  (").alias("value"))
+     .write.mode("overwrite").text(path))
+    return dump.read_insert_dump(spark, path, DOCUMENT_SCHEMA, statements=True).rows
+
+
 EVENT_FEED_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("props", T.StructType([T.StructField("k", T.LongType())]))])

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.sources.records import sql_statements
+
 # The tokenizer patterns. STRICT_* mirror the reference's parser;
 # LOCALE_* are this package's own reading of the same statements.
 INSERT_LINE = r"^\s*(?i:INSERT INTO)"
@@ -173,9 +175,14 @@ def split_parsed(parsed: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA
 
 
 def read_insert_dump(spark: SparkSession, path: str, schema: T.StructType = ECONOMICS_DUMP_SCHEMA,
-                     mode: str = "locale") -> DumpRead:
-    """Read a dump file set → ``(rows, rejects)``; both lazy."""
-    return split_parsed(parse_insert_dump(spark.read.text(path), schema, mode), schema)
+                     mode: str = "locale", statements: bool = False) -> DumpRead:
+    """Read a dump file set → ``(rows, rejects)``; both lazy.
+
+    ``statements`` reads statements and quoted values over several lines (``records.sql_statements``,
+    which stores the lines once); without it a line is a statement.
+    """
+    lines = sql_statements(spark, path) if statements else spark.read.text(path)
+    return split_parsed(parse_insert_dump(lines, schema, mode), schema)
 
 
 def insert_lines(df: DataFrame, table: str, decimal_comma: tuple[str, ...] = (),
