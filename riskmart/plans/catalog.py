@@ -431,6 +431,35 @@ def _event_feed(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@register("json_conflicts", """
+WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT 'row' AS reason, '' AS field, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids,
+  CAST(sum(CASE WHEN event_id % 11 <> 0 THEN k END) AS BIGINT) AS ks
+FROM e WHERE event_id % 13 <> 0
+UNION ALL SELECT 'not a JSON object', '', count(*), NULL, NULL FROM e WHERE event_id % 13 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'not a bigint', 'props.k', count(*), NULL, NULL FROM e
+WHERE event_id % 13 <> 0 AND event_id % 11 = 0 AND k IS NOT NULL HAVING count(*) > 0
+UNION ALL SELECT 'not in the schema', 'note', count(*), NULL, NULL FROM e
+WHERE event_id % 13 <> 0 AND event_id % 11 <> 0 AND event_id % 7 = 0 HAVING count(*) > 0""")
+def json_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events → JSON lines, some cut short, with a text for a number or with a new field → rows and conflicts."""
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    number, id_ = F.struct("k").alias("props"), F.col("event_id")
+    line = (F.when(id_ % 13 == 0, F.concat(F.lit('{"event_id": '), id_.cast("string")))
+            .when(id_ % 11 == 0, F.to_json(F.struct("event_id", "event_type", F.struct(
+                F.concat(F.lit("no "), F.col("k").cast("string")).alias("k")).alias("props"))))
+            .when(id_ % 7 == 0, F.to_json(F.struct("event_id", "event_type", number, F.lit("new").alias("note"))))
+            .otherwise(F.to_json(F.struct("event_id", "event_type", number))))
+    path = scratch_path(spark, "events_json")
+    events.select(line.alias("value")).write.mode("overwrite").text(path)
+    feed = feeds.read_checked_feed(spark, path, EVENT_FEED_SCHEMA)
+    rows = feed.rows.agg(F.lit("row").alias("reason"), F.lit("").alias("field"), F.count("*").alias("n"),
+                         F.sum("event_id").alias("ids"), F.sum("props.k").alias("ks"))
+    none = F.lit(None).cast("long")
+    return rows.unionByName(feed.conflicts.groupBy("reason", "field").agg(F.count("*").alias("n"))
+                            .select("*", none.alias("ids"), none.alias("ks")))
+
+
 # ------------------------------------------------------ layout
 
 AS_OF = date(2026, 3, 25)

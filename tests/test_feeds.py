@@ -1,0 +1,35 @@
+"""Checked JSON feeds: every line is a row or a conflict, whatever does not fit is listed."""
+
+from riskmart.sources.feeds import read_checked_feed, sampled_schema
+
+
+def feed(tmp_path, lines):
+    path = tmp_path / "feed.json"
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_conflicts_after_the_sample_are_listed(spark, tmp_path):
+    lines = ['{"id": %d, "at": {"x": %d, "it\'s": "a"}, "tags": ["t"]}' % (i, i) for i in range(50)]
+    odd = ['{"id": "seven", "at": {"x": 1}}', '{"id": 100, "at": {"x": "far", "z": 1}, "extra": true}', '{"id": 101, "at": 5}',
+           '{"id": 102, "at": null, "tags": null}', '{"id": 1', '[1, 2]', '', '   ', '{}', '{"id": 103, "tags": "t"}']
+    path = feed(tmp_path, lines + odd)
+    got = read_checked_feed(spark, path, sample_lines=50)
+    assert got.schema == sampled_schema(spark, path, 50)
+    rows = {(r.id, None if r["at"] is None else r["at"].x) for r in got.rows.collect()}
+    assert got.rows.count() == 56
+    assert rows == {(i, i) for i in range(50)} | {(None, 1), (100, None), (101, None), (102, None), (None, None), (103, None)}
+    conflicts = {(r.field, r.value, r.reason) for r in got.conflicts.collect()}
+    assert conflicts == {
+        ("id", "seven", "not a bigint"), ("at.x", "far", "not a bigint"), ("at.z", None, "not in the schema"),
+        ("extra", None, "not in the schema"), ("at", "5", "not a struct<it's:string,x:bigint>"),
+        ("tags", "t", "not a array<string>"), ("", None, "not a JSON object")}
+    assert got.conflicts.where("reason = 'not a JSON object'").count() == 2
+
+
+def test_clean_and_empty_feeds_have_no_conflicts(spark, tmp_path):
+    path = feed(tmp_path, ['{"id": 1, "v": 1.5}', '{"id": 2}'])
+    got = read_checked_feed(spark, path)
+    assert got.rows.count() == 2 and got.conflicts.count() == 0
+    got = read_checked_feed(spark, feed(tmp_path, [""]), schema=got.schema)
+    assert got.rows.count() == 0 and got.conflicts.count() == 0
