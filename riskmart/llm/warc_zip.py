@@ -43,7 +43,8 @@ from ..session import Scratch
 
 LEAST = 1000
 PACKAGE_BYTES = 32 << 20
-SALTS = 16
+HOT = 64
+LENGTH_FIELD = "X-Payload-Length"                # of a revisit: the length of the payload that it leaves out
 WARC_MEMBER = "archive/data.warc.gz"
 INDEX_MEMBER = "indexes/index.cdxj"
 READ_BYTES = 4 << 20
@@ -73,14 +74,14 @@ def build_record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
         head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if revisit:
-        head += [f"WARC-Refers-To: {_urn(refers_to)}",
+        head += [f"WARC-Refers-To: {_urn(refers_to)}", f"{LENGTH_FIELD}: {len(payload)}",
                  "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def parse_record(record: bytes) -> dict:
-    """Fields of a record; the payload is None for a revisit."""
+    """Fields of a record; the payload is None for a revisit, its length None where the record does not give it."""
     head, _, rest = record.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
@@ -91,12 +92,14 @@ def parse_record(record: bytes) -> dict:
         raise ValueError("record is cut short")
     kind = fields["warc-type"]
     payload = None if kind == "revisit" else block.partition(b"\r\n\r\n")[2]
+    length = fields.get(LENGTH_FIELD.lower()) if payload is None else len(payload)
     uri = fields.get("warc-target-uri")
     if uri is not None:
         uri = uri.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
     return {"page_id": _from_urn(fields["warc-record-id"]), "target_uri": uri, "record_type": kind,
             "digest": fields["warc-payload-digest"].removeprefix("sha1:"),
-            "refers_to": _from_urn(fields.get("warc-refers-to")), "payload": payload}
+            "refers_to": _from_urn(fields.get("warc-refers-to")), "payload": payload,
+            "payload_bytes": None if length is None else int(length)}
 
 
 def _gzip(data: bytes) -> bytes:
@@ -210,19 +213,28 @@ def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
 
 # ---------------------------------------------------------------- Spark
 
-def with_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """page_id, url, payload, digest, refers_to (null for a response); copies spread by a salt."""
+def with_revisits(pages: DataFrame, scratch: Scratch, least: int = LEAST) -> DataFrame:
+    """page_id, url, payload, digest, refers_to (null for a response).
+
+    A payload with more than 1/64 of all copies (63 such at most) meets its response's id by
+    broadcast; the rows of those and of short payloads are dealt evenly in the other join.
+    """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    first = (rows.where(F.octet_length("payload") >= least).groupBy("digest")
-             .agg(F.max("page_id").alias("kept"), F.count("*").alias("n"))
-             .where((F.col("n") > 1) & F.col("kept").isNotNull()).drop("n")
-             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    revisit = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
-    return (salted.join(first, ["digest", "salt"], "left")
-            .select("page_id", "url", "payload", "digest", F.when(revisit, F.col("kept")).alias("refers_to")))
+    copies = scratch.store(rows.where(F.octet_length("payload") >= least).groupBy("digest")
+                           .agg(F.max("page_id").alias("kept"), F.count("*").alias("n"))
+                           .where((F.col("n") > 1) & F.col("kept").isNotNull()), "copies")
+    every = copies.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = copies.where(F.col("n") * HOT > every).select(F.col("digest").alias("_hot"), F.col("kept").alias("_kept"))
+    rest = copies.where(F.col("n") * HOT <= every).select(F.col("digest").alias("_key"), "kept")
+    alone = F.col("_kept").isNotNull() | (F.octet_length("payload") < least)
+    keyed = (rows.join(F.broadcast(hot), F.col("digest") == F.col("_hot"), "left")
+             .withColumn("key", F.when(alone, F.concat_ws("/", "digest", "page_id", "url")).otherwise(F.col("digest"))))
+    first = F.coalesce("_kept", "kept")
+    return (keyed.join(rest, F.col("key") == F.col("_key"), "left")
+            .select("page_id", "url", "payload", "digest",
+                    F.when(first.isNotNull() & ~F.col("page_id").eqNullSafe(first), first).alias("refers_to")))
 
 
 def _write(folder: str, package_bytes: int):
@@ -253,12 +265,13 @@ def _write(folder: str, package_bytes: int):
     return run
 
 
-def write_packages(pages: DataFrame, folder: str, least: int = LEAST,
-                   package_bytes: int = PACKAGE_BYTES) -> DataFrame:
+def write_packages(pages: DataFrame, folder: str, least: int = LEAST, package_bytes: int = PACKAGE_BYTES,
+                   scratch: Scratch | None = None) -> DataFrame:
     """Write every page's record under ``folder``; returns (package, records) when run."""
     files, base = _file_system(folder)
     files.create_dir(base, recursive=True)
-    rows = with_revisits(pages, least).sortWithinPartitions("page_id", "digest")
+    scratch = scratch or Scratch(pages.sparkSession, "warc", until_exit=True)
+    rows = with_revisits(pages, scratch, least).sortWithinPartitions("page_id", "digest")
     return rows.mapInArrow(_write(folder, package_bytes), "package string, records long")
 
 
@@ -284,7 +297,7 @@ def _read(folder: str, keep_payload: bool):
                         if payload is not None and hashlib.sha1(payload).hexdigest() != r["digest"]:
                             raise ValueError(f"payload of page {r['page_id']} does not match its digest")
                         rows.append((r["page_id"], r["target_uri"], r["record_type"], r["digest"],
-                                     None if payload is None else len(payload), r["refers_to"],
+                                     r["payload_bytes"], r["refers_to"],
                                      payload if keep_payload else None))
                         held += len(payload or b"") if keep_payload else 100
                         if held > READ_BYTES:
@@ -296,24 +309,18 @@ def _read(folder: str, keep_payload: bool):
 
 
 def read_packages(packages: DataFrame, folder: str, payload: bool = False) -> DataFrame:
-    """Every record of the listed packages (column ``package``); payloads checked against their digests.
+    """Every record of the listed packages (column ``package``), read once; payloads checked against their digests.
 
-    A revisit takes payload_bytes from the response that it refers to.
+    A revisit's payload_bytes comes from its own record (null in archives that do not note it).
     """
     read = packages.select("package").repartition(packages.sparkSession.sparkContext.defaultParallelism)
-    rows = read.mapInArrow(_read(folder, payload), RECORDS)
-    referred = (rows.where("record_type = 'response'").groupBy("page_id", "payload_digest")
-                .agg(F.max("payload_bytes").alias("_bytes"))
-                .select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), "_bytes"))
-    found = rows.join(referred, (F.col("record_type") == "revisit") & (F.col("refers_to") == F.col("_id"))
-                      & (F.col("payload_digest") == F.col("_digest")), "left")
-    return found.withColumn("payload_bytes", F.coalesce("payload_bytes", "_bytes")).drop("_id", "_digest", "_bytes")
+    return read.mapInArrow(_read(folder, payload), RECORDS)
 
 
 def round_trip(pages: DataFrame, scratch: Scratch | None = None, least: int = LEAST) -> DataFrame:
     """Write all pages, then read all records back."""
-    scratch = scratch or Scratch(pages.sparkSession, "warc")
+    scratch = scratch or Scratch(pages.sparkSession, "warc", until_exit=True)
     folder = scratch.path("packages")
-    written = scratch.store(write_packages(pages, folder, least), "written")
+    written = scratch.store(write_packages(pages, folder, least, scratch=scratch), "written")
     records = scratch.store(read_packages(written, folder), "records")
     return records
