@@ -43,8 +43,9 @@ LOCALE_END = r"\)\s*;\s*$"
 # matcher does not backtrack character by character.
 _QUOTED = r"'(?:[^'\\]++|''|\\.)*+'"
 LOCALE_TUPLE = rf"(?s)\((?:{_QUOTED}|[^'()]++)*+\)"
-LOCALE_TOKEN = (rf"{_QUOTED}|-?[0-9]++(?:[.,][0-9]++)?[Ee][+-]?[0-9]++"
-                r"|-?(?:[0-9]++(?:\.[0-9]++)?|\.[0-9]++)|-?[A-Za-z_]++")
+_EXPONENT = r"[Ee][+-]?[0-9]++"
+LOCALE_TOKEN = (rf"{_QUOTED}|-?[0-9]++(?:\.[0-9]++(?:{_EXPONENT})?|,[0-9]++{_EXPONENT}|{_EXPONENT})?"
+                r"|-?\.[0-9]++|-?[A-Za-z_]++")
 # A line is read only if it is nothing but tuples, and a tuple only if it is nothing but values.
 _TUPLE = LOCALE_TUPLE.removeprefix("(?s)")
 LOCALE_BODY = rf"(?s)^\s*+{_TUPLE}(?:\s*+,\s*+{_TUPLE})*+\s*+;\s*+$"
@@ -90,8 +91,10 @@ def _typed(value: Column, field: T.StructField, float_longs: tuple[str, ...]) ->
     if isinstance(field.dataType, T.StringType):
         return value
     if field.name in float_longs:
-        # written as a float ("5.85916E+11"): parse, then truncate
-        return F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"))
+        # written as a float ("5.85916E+11"): parse, then truncate. A value with a point or an
+        # exponent is no whole number: a failing cast costs an exception for every row.
+        whole = ~(value.contains(".") | value.contains("E") | value.contains("e"))
+        return F.coalesce(F.when(whole, value.try_cast("long")), value.try_cast("double").try_cast("long"))
     return value.try_cast(field.dataType)
 
 
@@ -103,9 +106,10 @@ def _locale_token(t: Column) -> Column:
     # The tokenizer only yields quoted strings, numbers ([0-9.,eE+-]) and
     # barewords, so a comma can only be a decimal comma.
     inner = t.substr(F.lit(2), F.length(t) - 2)
-    return (F.when(t.startswith("'"), F.regexp_replace(inner, r"['\\](['\\])", "$1"))
-            .when(F.upper(t) == "NULL", F.lit(None).cast("string"))
-            .otherwise(F.translate(t, ",", ".")))
+    escaped = inner.contains("'") | inner.contains("\\")
+    return (F.when(t.startswith("'"), F.when(escaped, F.regexp_replace(inner, r"['\\](['\\])", "$1")).otherwise(inner))
+            .when((F.length(t) == 4) & (F.upper(t) == "NULL"), F.lit(None).cast("string"))
+            .otherwise(F.replace(t, F.lit(","), F.lit("."))))
 
 
 def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA,
@@ -115,8 +119,9 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
 
     ``reject_reason`` is null for a good row. Lines that are not INSERT
     statements are skipped (they are DDL, comments, blank lines). Each regex runs
-    once per line (staged projections); per-value clean-up and casts are plain
-    column expressions, so they compile into the stage's generated code.
+    once per line (staged projections). The clean-up is one expression over the
+    array of values, and a value is cast once: written out for every column they make
+    a generated method so long that the JVM does not compile it.
     """
     n = len(schema.fields)
     ins = lines.select(F.col(line_col).alias("line")).filter(F.col("line").rlike(INSERT_LINE))
@@ -129,41 +134,40 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
         norm = _strip_quotes
     elif mode == "locale":
         after = ins.select("line", F.regexp_extract("line", LOCALE_VALUES, 1).alias("_after"),
-                           F.col("line").rlike(LOCALE_END).alias("_ends"))
+                           (F.col("line").endswith(");") | F.col("line").rlike(LOCALE_END)).alias("_ends"))
         tuples = after.select("line", "_after", "_ends",
                               F.regexp_extract_all("_after", F.lit(LOCALE_TUPLE), 0).alias("_tuples"))
+        # Tuples and values that make up the text as it is commonly written need no second pattern.
+        plain_body = F.col("_after") == F.concat(F.lit(" "), F.array_join("_tuples", ", "), F.lit(";"))
+        plain_tuple = (F.size("_raw") > 0) & (F.col("_tuple") == F.concat(F.lit("("), F.array_join("_raw", ", "), F.lit(")")))
         shape = (F.when(F.col("_after") == "", F.lit("no VALUES clause"))
                  .when(~F.col("_ends"), F.lit("statement does not end with ');'"))
                  .when(F.size("_tuples") == 0, F.lit("no value tuple"))
-                 .when(~F.col("_after").rlike(LOCALE_BODY), F.lit("text outside the value tuples")))
+                 .when(~(plain_body | F.col("_after").rlike(LOCALE_BODY)), F.lit("text outside the value tuples")))
         exploded = tuples.select("line", "_tuples", shape.alias("_line")).select(
             "line", "_line", F.posexplode_outer(F.when(F.col("_line").isNull(), F.col("_tuples")))
             .alias("tuple_no", "_tuple"))
+        whole = plain_tuple | F.col("_tuple").rlike(LOCALE_WHOLE)
         staged = exploded.select(
-            "line", "tuple_no",
-            F.coalesce("_line", F.when(~F.col("_tuple").rlike(LOCALE_WHOLE), F.lit("text between the values")))
-            .alias("_shape"),
-            F.regexp_extract_all("_tuple", F.lit(LOCALE_TOKEN), 0).alias("_raw"))
+            "line", "tuple_no", "_line", "_tuple",
+            F.regexp_extract_all("_tuple", F.lit(LOCALE_TOKEN), 0).alias("_raw")).select(
+            "line", "tuple_no", F.coalesce("_line", F.when(~whole, F.lit("text between the values"))).alias("_shape"), "_raw")
         norm = _locale_token
     else:
         raise ValueError(f"unknown dump mode {mode!r}")
 
-    values = staged.select("line", "tuple_no", "_shape", F.size("_raw").alias("_count"),
-                           *[norm(F.get(F.col("_raw"), i)).alias(f"_v{i}") for i in range(n)])
-    typed = []
-    failures = []
-    for i, f in enumerate(schema.fields):
-        value = F.col(f"_v{i}")
-        col = _typed(value, f, float_longs)
-        typed.append(col.alias(f.name))
-        if not isinstance(f.dataType, T.StringType):
-            failures.append(F.when(value.isNotNull() & col.isNull(), F.lit(f"bad {f.name}")))
-    count = F.col("_count")
+    values = staged.select("line", "tuple_no", "_shape", F.transform("_raw", norm).alias("_values"))
+    columns = [_typed(F.get("_values", i), f, float_longs).alias(f"_c{i}") for i, f in enumerate(schema.fields)]
+    typed = values.select("line", "tuple_no", "_shape", "_values", *columns)
+    failures = [F.when(F.get("_values", i).isNotNull() & F.col(f"_c{i}").isNull(), F.lit(f"bad {f.name}"))
+                for i, f in enumerate(schema.fields) if not isinstance(f.dataType, T.StringType)]
+    count = F.size("_values")
     reason = F.coalesce(
         F.col("_shape"),
         F.when(count != n, F.format_string(f"expected {n} values, got %d", count)),
         *failures)
-    return values.select("line", "tuple_no", *typed, reason.alias("reject_reason"))
+    return typed.select("line", "tuple_no", *[F.col(f"_c{i}").alias(f.name) for i, f in enumerate(schema.fields)],
+                        reason.alias("reject_reason"))
 
 
 def split_parsed(parsed: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA) -> DumpRead:
