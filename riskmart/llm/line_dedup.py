@@ -164,10 +164,13 @@ def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
                 columns[c].append(np.frombuffer(words, dtype=_WORD[c], count=k, offset=at))
                 at += k * _WORD[c].itemsize
         key, h, bits, n, pos = (np.concatenate(columns[c]) for c in _COLUMNS)
-        order = np.lexsort((h, n, key))
+        order = np.argsort(h)
+        order = order[np.argsort(((key.astype(np.uint64) << _U(32)) | n)[order], kind="stable")]
         key, h, bits, n, pos = (x[order] for x in (key, h, bits, n, pos))
         new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))       # equal sets of other tasks
-        row = _Rows(h[new].view(np.int64), bits[new], n[new].astype(np.int64), pos[new].astype(np.int64), num, den)
+        # half as wide where the sizes allow it: the filters go over many more pairs than rows
+        kind = np.int32 if int(n.max(initial=0)) * 2 * max(num, den) < 1 << 31 else np.int64
+        row = _Rows(h[new].view(np.int64), bits[new], n[new].astype(kind), pos[new].astype(kind), num, den)
         key = key[new]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first, len(key)))
