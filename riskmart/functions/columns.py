@@ -30,7 +30,7 @@ def parse_locale_double(c: ColumnLike) -> Column:
     runs with ANSI casts, where a plain cast would throw).
     """
     text = F.trim(_col(c).cast("string"))
-    return F.regexp_replace(text, ",", ".").try_cast("double")
+    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
 
 
 def typed_null(data_type: str | T.DataType) -> Column:

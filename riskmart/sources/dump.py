@@ -50,6 +50,12 @@ LOCALE_TOKEN = (rf"{_QUOTED}|-?[0-9]++(?:\.[0-9]++(?:{_EXPONENT})?|,[0-9]++{_EXP
 _TUPLE = LOCALE_TUPLE.removeprefix("(?s)")
 LOCALE_BODY = rf"(?s)^\s*+{_TUPLE}(?:\s*+,\s*+{_TUPLE})*+\s*+;\s*+$"
 LOCALE_WHOLE = rf"(?s)^\(\s*+(?:{LOCALE_TOKEN})(?:\s*+,\s*+(?:{LOCALE_TOKEN}))*+\s*+\)$"
+# The common line: one tuple, ", " between values, quoted text without quotes, backslashes or commas,
+# nulls written NULL. Its values are cut at the separators; _CUT occurs in no such line.
+_CUT = "\u0001"
+_PLAIN = (rf"(?:'(?!NULL')[^'\\,{_CUT}\n\r]*+'|-?[0-9]++(?:\.[0-9]++(?:{_EXPONENT})?|,[0-9]++{_EXPONENT}|{_EXPONENT})?"
+          r"|-?\.[0-9]++|NULL|-?(?!(?i:null)[,)])[A-Za-z_]++)")
+LOCALE_PLAIN = rf"^(?i:INSERT INTO) (?!(?i:VALUES) )[A-Za-z0-9_]++ (?i:VALUES) \(({_PLAIN}(?:, {_PLAIN})*+)\);\z"
 
 # The 18 columns of the economics dump, in file order. Floats are
 # read as double (the reference's 32-bit floats lose digits: 19.9 → 19.8999996)
@@ -112,6 +118,14 @@ def _locale_token(t: Column) -> Column:
             .otherwise(F.replace(t, F.lit(","), F.lit("."))))
 
 
+def _plain_values(body: Column) -> Column:
+    """The values of a plain line's tuple, as ``_locale_token`` gives them; a comma left in one is a decimal comma."""
+    def replaced(text: Column, old: str, new: str) -> Column:
+        return F.replace(text, F.lit(old), F.lit(new))
+    cut = F.split(replaced(replaced(replaced(body, ", ", _CUT), ",", "."), "'", ""), _CUT)
+    return F.when(body.contains("NULL"), F.transform(cut, lambda t: F.nullif(t, F.lit("NULL")))).otherwise(cut)
+
+
 def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SCHEMA,
                       mode: str = "locale", line_col: str = "value",
                       float_longs: tuple[str, ...] = FLOAT_LONGS) -> DataFrame:
@@ -124,18 +138,22 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
     a generated method so long that the JVM does not compile it.
     """
     n = len(schema.fields)
-    ins = lines.select(F.col(line_col).alias("line")).filter(F.col("line").rlike(INSERT_LINE))
+    line = F.col("line")
+    ins = lines.select(F.col(line_col).alias("line")).filter(line.startswith("INSERT INTO") | line.rlike(INSERT_LINE))
     if mode == "strict":
         body = ins.select("line", F.regexp_extract("line", STRICT_VALUES, 1).alias("_body"))
         staged = body.select(
             "line", F.lit(0).alias("tuple_no"),
             F.regexp_extract_all("_body", F.lit(STRICT_TOKEN), 0).alias("_raw"),
-            F.when(F.col("_body") == "", F.lit("no VALUES (...); clause")).alias("_shape"))
-        norm = _strip_quotes
+            F.when(F.col("_body") == "", F.lit("no VALUES (...); clause")).alias("_shape")).select(
+            "line", "tuple_no", "_shape", F.transform("_raw", _strip_quotes).alias("_values"))
     elif mode == "locale":
-        after = ins.select("line", F.regexp_extract("line", LOCALE_VALUES, 1).alias("_after"),
-                           (F.col("line").endswith(");") | F.col("line").rlike(LOCALE_END)).alias("_ends"))
-        tuples = after.select("line", "_after", "_ends",
+        known = ins.select("line", F.nullif(F.regexp_extract("line", LOCALE_PLAIN, 1), F.lit("")).alias("_plain"))
+        # null for a plain line, so nothing below looks at its text
+        other = F.when(F.col("_plain").isNull(), F.col("line"))
+        after = known.select("line", "_plain", F.regexp_extract(other, LOCALE_VALUES, 1).alias("_after"),
+                             (other.endswith(");") | other.rlike(LOCALE_END)).alias("_ends"))
+        tuples = after.select("line", "_plain", "_after", "_ends",
                               F.regexp_extract_all("_after", F.lit(LOCALE_TUPLE), 0).alias("_tuples"))
         # Tuples and values that make up the text as it is commonly written need no second pattern.
         plain_body = F.col("_after") == F.concat(F.lit(" "), F.array_join("_tuples", ", "), F.lit(";"))
@@ -144,19 +162,20 @@ def parse_insert_dump(lines: DataFrame, schema: T.StructType = ECONOMICS_DUMP_SC
                  .when(~F.col("_ends"), F.lit("statement does not end with ');'"))
                  .when(F.size("_tuples") == 0, F.lit("no value tuple"))
                  .when(~(plain_body | F.col("_after").rlike(LOCALE_BODY)), F.lit("text outside the value tuples")))
-        exploded = tuples.select("line", "_tuples", shape.alias("_line")).select(
-            "line", "_line", F.posexplode_outer(F.when(F.col("_line").isNull(), F.col("_tuples")))
-            .alias("tuple_no", "_tuple"))
-        whole = plain_tuple | F.col("_tuple").rlike(LOCALE_WHOLE)
+        is_plain = F.col("_plain").isNotNull()
+        found = F.when(is_plain, F.array("_plain")).when(F.col("_line").isNull(), F.col("_tuples"))
+        exploded = tuples.select("line", "_plain", "_tuples", F.when(~is_plain, shape).alias("_line")).select(
+            "line", is_plain.alias("_plain"), "_line", F.posexplode_outer(found).alias("tuple_no", "_tuple"))
+        whole = F.col("_plain") | plain_tuple | F.col("_tuple").rlike(LOCALE_WHOLE)
         staged = exploded.select(
-            "line", "tuple_no", "_line", "_tuple",
-            F.regexp_extract_all("_tuple", F.lit(LOCALE_TOKEN), 0).alias("_raw")).select(
-            "line", "tuple_no", F.coalesce("_line", F.when(~whole, F.lit("text between the values"))).alias("_shape"), "_raw")
-        norm = _locale_token
+            "line", "tuple_no", "_plain", "_line", "_tuple",
+            F.regexp_extract_all(F.when(~F.col("_plain"), F.col("_tuple")), F.lit(LOCALE_TOKEN), 0).alias("_raw")).select(
+            "line", "tuple_no", F.coalesce("_line", F.when(~whole, F.lit("text between the values"))).alias("_shape"),
+            F.when(F.col("_plain"), _plain_values(F.col("_tuple"))).otherwise(F.transform("_raw", _locale_token)).alias("_values"))
     else:
         raise ValueError(f"unknown dump mode {mode!r}")
 
-    values = staged.select("line", "tuple_no", "_shape", F.transform("_raw", norm).alias("_values"))
+    values = staged.select("line", "tuple_no", "_shape", "_values")
     columns = [_typed(F.get("_values", i), f, float_longs).alias(f"_c{i}") for i, f in enumerate(schema.fields)]
     typed = values.select("line", "tuple_no", "_shape", "_values", *columns)
     failures = [F.when(F.get("_values", i).isNotNull() & F.col(f"_c{i}").isNull(), F.lit(f"bad {f.name}"))

@@ -33,3 +33,26 @@ def test_plain_and_odd_spacing_give_the_same(spark):
         lines = spark.createDataFrame([(f"INSERT INTO t VALUES {text}",)], "value string")
         found = parse_insert_dump(lines, schema, float_longs=()).orderBy("tuple_no").collect()
         assert [(r.a, r.b, r.reject_reason) for r in found] == rows, text
+
+
+def test_a_plain_line_is_cut_at_its_separators(spark):
+    lines = spark.createDataFrame([("INSERT INTO t VALUES (1, 'x', 2,5E0, NULL);",)], "value string")
+    plan = parse_insert_dump(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan
+
+
+def test_plain_lines_read_as_the_general_pattern_reads_them(spark):
+    """A line with one more blank before its end is read by the general pattern; both must agree."""
+    schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.StringType()), T.StructField("c", T.IntegerType())])
+    tuples = ["1, 'x', 2", "-1.5, 'a b', NULL", "1,5E3, 'y', -7", "NULL, NULL, NULL", "1, 'NULL', 2", "1, null, 2", "1, Null, 2",
+              "1, nullx, 2", "1, NULLx, 2", "NULLx, 'x', 1", "-NULL, -Yes, 1", "1, Yes, 2", "1, '', 2", "'', '', ''", "1, 'NULLs', 2",
+              "1, 'a, b', 2", "1, 'it''s', 2", r"1, 'c:\d', 2", r"1, 'it\'s', 2", "1, 'a\x01b', 2", "'7', 'x', '8'", "1, 2,5, 3",
+              ".5, 'x', -.5", "1e3, 'x', 1E3", "1,5, 'x'", "1, 'x'", "1, 'x', 2, 3", "x, 'x', 99999999999", "1, 'é\u00a0ü, ', 2",
+              "1, '(x);', 2", "1,'x',2", "1 'x' 2", "NaN, 'x', 1", "1, 'x\ty', 2", "1, 'x', NULL", "NULL"]
+    for head in ("INSERT INTO t VALUES (", "insert into t values (", "INSERT INTO VALUES VALUES (", "INSERT INTO a_values VALUES ("):
+        pairs = [(i, f"{head}{t});", f"{head}{t}) ;") for i, t in enumerate(tuples)]
+        def read(column):
+            lines = spark.createDataFrame(pairs, "i int, plain string, other string")
+            rows = parse_insert_dump(lines, schema, line_col=column, float_longs=()).collect()
+            return {" ".join(r.line.rsplit(")", 1)[0].split()): (r.tuple_no, str(r.a), r.b, r.c, r.reject_reason) for r in rows}
+        assert read("plain") == read("other")
