@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,11 +105,13 @@ def _lines_and_prefixes(num: int, den: int, counts, ranges: int):
 
     def emit(parts: list[np.ndarray]) -> pa.RecordBatch:
         rows = np.concatenate(parts) if parts else np.zeros(0, _WORD)
-        rows = rows[np.argsort(rows["range"], kind="stable")]
-        begin = np.flatnonzero(np.append(True, rows["range"][1:] != rows["range"][:-1])) if len(rows) else rows["n"]
-        pieces = [rows[i:j] for i, j in zip(begin, np.append(begin[1:], len(rows)))]
-        packed = [pa.array([int(p["range"][0]) for p in pieces], pa.int32()),
-                  pa.array([b"".join(p[c].tobytes() for c in _COLUMNS) for p in pieces], pa.binary())]
+        # 16-bit numbers sort in linear time
+        order = np.argsort(rows["range"].astype(np.uint16 if 2 * ranges <= 1 << 16 else np.uint32), kind="stable")
+        to, columns = rows["range"][order], [rows[c][order] for c in _COLUMNS]
+        begin = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
+        pieces = list(zip(begin, np.append(begin[1:], len(to))))
+        packed = [pa.array(to[begin].astype(np.int32)),
+                  pa.array([b"".join(c[i:j].tobytes() for c in columns) for i, j in pieces], pa.binary())]
         return pa.RecordBatch.from_arrays([*[pa.nulls(len(pieces), t) for t in types[:5]], *packed], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,21 +178,27 @@ def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first, len(key)))
         pairs, members = [], []
+
+        def take(passed: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+            """Keep the pairs of whole lists; a list of more than ``crowd`` pairs a row is a crowd."""
+            of = np.searchsorted(first, passed[0], side="right") - 1
+            listed, many = np.unique(of, return_counts=True)
+            crowded = np.isin(of, listed[many > crowd * count[listed]])
+            members.append(np.unique(np.concatenate([p[crowded] for p in passed[:2]])))
+            pairs.append(tuple(p[~crowded] for p in passed))
+
         if table["range"][0].as_py() >= ranges:          # frequent words
             members = [np.arange(len(key))]
         else:
-            few = 2 * crowd                              # no such list has more than crowd * its length pairs
-            for c in np.unique(count[(count > 1) & (count <= few)]):
-                i, j = np.triu_indices(c, 1)
-                some = first[count == c]
-                for part in np.array_split(some, 1 + len(some) * len(i) // _PAIRS):
-                    pairs.append(row.possible((part[:, None] + i).ravel(), (part[:, None] + j).ravel()))
-            for at, c in zip(first[count > few], count[count > few]):
-                found = row.possible_in_list(int(at), int(c))
-                if len(found[0]) <= crowd * c:
-                    pairs.append(found)
-                else:
-                    members.append(np.unique(np.concatenate(found[:2])))
+            spread = row.within_length(np.repeat(np.arange(len(first)), count))
+            found = np.add.reduceat(spread, first) if len(first) else first
+            # lists of few pairs together, the others by themselves
+            few = found <= _PAIRS
+            for some in np.split(np.flatnonzero(few), np.flatnonzero(np.diff((np.cumsum(found[few]) - 1) // _PAIRS)) + 1):
+                at = np.concatenate([np.arange(first[k], first[k] + count[k]) for k in some[found[some] > 0]] or [some[:0]])
+                take(row.possible(*_ahead(at, spread[at])))
+            for k in np.flatnonzero(~few):
+                take(row.possible_in_list(int(first[k]), spread[first[k]:first[k] + count[k]]))
         x, y, least = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 3
         often = np.concatenate(members) if members else np.zeros(0, np.int64)
         a, b = np.minimum(row.h[x], row.h[y]), np.maximum(row.h[x], row.h[y])
@@ -208,10 +217,8 @@ class _Rows:
         self.h, self.bits, self.n, self.pos, self.num, self.den = h, bits, n, pos, num, den
 
     def possible(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of pairs of rows with one word, those that pass the filters, and the common words they need."""
+        """Of pairs of rows with one word and fitting lengths, those that pass the filters, and the common words they need."""
         num, den, n, pos, bits = self.num, self.den, self.n, self.pos, self.bits
-        ok = n[x] * den >= n[y] * num                    # n[x] <= n[y]
-        x, y = x[ok], y[ok]
         n_x, n_y, i, j = n[x], n[y], pos[x], pos[y]
         need = -(-num * (n_x + n_y) // (num + den))
         ok = (i + need <= n_x + 1) & (j + need <= n_y + 1)
@@ -225,18 +232,24 @@ class _Rows:
         longer = (need > -(-num * n_x // den)) & (need > -(-num * n_y // den)) & (need > 1)
         return x, y, 1 + longer.astype(np.int64)
 
-    def possible_in_list(self, at: int, c: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same for all pairs of one long list, by slices, up to the sizes that the length filter allows."""
-        n, out, lo = self.n[at:at + c], [], 0
-        while lo < c:
-            hi = min(c, lo + max(1, _PAIRS // c))
-            end = int(np.searchsorted(n, n[hi - 1] * self.den // self.num, side="right"))
-            x, y = np.meshgrid(np.arange(lo, hi), np.arange(lo, max(end, hi)), indexing="ij")
-            ahead = x < y
-            out.append(self.possible(at + x[ahead], at + y[ahead]))
-            lo = hi
-        x, y, least = (np.concatenate(p) for p in zip(*out))
-        return x, y, least
+    def within_length(self, of: np.ndarray) -> np.ndarray:
+        """For each row the rows after it in its list (``of``: the list's number) that the length filter allows."""
+        size = (of << 40) + self.n
+        return np.searchsorted(size, (of << 40) + self.n.astype(np.int64) * self.den // self.num, side="right") - np.arange(len(of)) - 1
+
+    def possible_in_list(self, at: int, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``possible`` for all pairs of one long list that the length filter allows, by slices."""
+        part = np.cumsum(spread) // _PAIRS
+        slices = np.split(np.arange(len(spread)), np.flatnonzero(np.diff(part)) + 1)
+        x, y, least = zip(*[self.possible(*_ahead(at + rows, spread[rows])) for rows in slices])
+        return np.concatenate(x), np.concatenate(y), np.concatenate(least)
+
+
+def _ahead(rows: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row with each of the ``spread`` rows after it."""
+    end = np.cumsum(spread)
+    x = np.repeat(rows, spread)
+    return x, x + 1 + np.arange(len(x)) - np.repeat(end - spread, spread)
 
 
 def _fetch(counts, texts, sets):
@@ -340,18 +353,18 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
 def _rebuild(text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone, n_lines = [], batch.column(batch.num_columns - 1).to_pylist(), []
-            for value, out in zip(batch.column(text_at).to_pylist(), gone):
-                parts = (value or "").split("\n")
-                n_lines.append(len(parts))
-                if out:
-                    drop = set(out)
-                    value = "\n".join(p for i, p in enumerate(parts) if i not in drop)
-                texts.append(value)
+            column, gone = batch.column(text_at), batch.column(batch.num_columns - 1).to_pylist()
+            n_lines = pc.add(pc.fill_null(pc.count_substring(column, "\n"), 0), 1).cast(pa.int32())
+            cut = np.array([bool(out) for out in gone], dtype=bool)
+            texts = []
+            for value, out in zip(column.filter(pa.array(cut)).to_pylist(), [out for out in gone if out]):
+                drop = set(out)
+                texts.append("\n".join(p for i, p in enumerate((value or "").split("\n")) if i not in drop))
             columns = batch.columns[:-1]
-            columns[text_at] = pa.array(texts, pa.string())
+            if texts:
+                columns[text_at] = pc.replace_with_mask(column, pa.array(cut), pa.array(texts, column.type))
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(n_lines, pa.int32()), pa.array([sorted(x or []) for x in gone], pa.list_(pa.int32()))],
+                [*columns, n_lines, pa.array([sorted(x or []) for x in gone], pa.list_(pa.int32()))],
                 names=[*batch.schema.names[:-1], "n_lines", "removed_lines"])
     return run
 

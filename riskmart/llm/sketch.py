@@ -38,7 +38,7 @@ def _emit(hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
             for hashes in hashes_of(batch):
                 held.append(cell(hashes, bits))
                 size += len(hashes)
-                if size >= 1 << 19:
+                if size >= 1 << 21:
                     count()
         count()
         slices = total.reshape(min(SLICES, 1 << bits), -1)
