@@ -174,7 +174,7 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     order them for ``position``, an optional unique place from 1 on. ``buckets``
     defaults to one for every ``BUCKET_ROWS`` rows, up to the session's number of shuffle
     partitions. ``stored`` says that ``df`` is a projection of stored files: it is read
-    three times instead of being stored here.
+    three times instead of being stored here. With ``position`` each partition is in its order.
     """
     if strategy not in ("plain", "buckets"):
         raise ValueError(f"unknown rank strategy {strategy!r}")
@@ -202,6 +202,8 @@ def global_rank(df: DataFrame, order: OrderSpec, name: str = "rank", strategy: s
     if position:
         rows = rows.withColumn("_p", F.row_number().over(by_row))
     rows = rows.withColumn("_r", F.rank().over(by_key))
+    if position:                         # by bucket, then in its order: what the windows leave, so no sort of its own
+        rows = rows.sortWithinPartitions("_b", *_sort_cols(order), *_sort_cols(asc(*ties)), "_tie")
     before, first = (F.get(_listed(values), F.col("_b")) for values in cut.offsets())
     rank = F.when(F.col("_r") == 1, first).otherwise(before + F.col("_r")).cast("long")
     more = [(before + F.col("_p")).cast("long").alias(position)] if position else []

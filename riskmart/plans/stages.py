@@ -193,9 +193,9 @@ def build_marts(spark: SparkSession, paths: Paths, metrics: StageMetrics,
     base = spark.read.schema(base.schema).parquet(paths.ongoing_base(run))
 
     def job(mart, build):
-        # Each file sorted by position (a per-task sort, no shuffle): a page read opens
-        # one file and skips its row groups of other positions.
-        df = build(base, rank_strategy, position=POSITION, stored=True).sortWithinPartitions(POSITION)
+        # Each file sorted by position, as the ranked rows are: a page read opens one file
+        # and skips its row groups of other positions.
+        df = build(base, rank_strategy, position=POSITION, stored=True)
         path = paths.mart(run, mart)
         metrics.observe(df, "gold", f"gold_output_{mart}").write.parquet(path)
         write_manifest(spark, path)
