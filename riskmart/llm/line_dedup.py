@@ -15,7 +15,12 @@ copies, its sets are a crowd, compared block against block without emitting pair
 
 Prefix words travel packed, one binary value for each task and range of words; a
 range's task sorts them and emits pairs. Words that occur more than ``FREQUENT``
-times in the corpus do not: their sets form a crowd at once, by rows.
+times in the corpus are stored apart and their prefix rows counted: mostly few lines
+have no rarer words, and those rows are dealt by word as well. The sets of a word of
+more than ``FREQUENT`` rows form a crowd at once, by rows.
+
+Stored tables and shuffle files of the search are removed before the texts are read
+for the result, which may shuffle them.
 
 A line is removed when an earlier line matches it, itself removed or not: the
 order is document id, text hash, line number. Equal sets are one node from the
@@ -38,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import Scratch
+from ..session import Scratch, shuffles_removed
 from . import textvec
 from .blocks import gathered, linked, placed, similar_enough
 from .ngram_join import set_hash
@@ -46,11 +51,13 @@ from .sketch import cell, hash_counts, hash_flags
 
 BITS = 21
 FILTER_BITS = 22
+HELD_BITS = 18                           # cells of frequent words: their prefix rows are few
 CROWD = 16
 FREQUENT = 1 << 15                       # bounds a word's rows in a range
 RANGE_BYTES = 8 << 20                    # text of the corpus for each range of words
 SENT_BYTES = 32 << 20                    # removed lines (24 bytes each) that may be broadcast
 _PAIRS = 1 << 17                         # pairs of rows looked at together
+_REBUILT = 1 << 10                       # texts rebuilt together
 _PACKED = 1 << 18                        # prefix words that a task holds before it emits them
 _U = np.uint64
 _WORD = np.dtype([("range", "u4"), ("key", "u4"), ("h", "u8"), ("bits", "u8"), ("n", "u4"), ("pos", "u4")])
@@ -91,6 +98,15 @@ def _sets_of(rows: np.ndarray, values: np.ndarray, lines: int):
     return n, some, end, (set_hash(values, end - n[some]) if len(some) else np.zeros(0, np.uint64))
 
 
+def _columns(words: bytes) -> list[np.ndarray]:
+    """The columns of packed prefix words, as in ``_COLUMNS``."""
+    k, at, out = len(words) // _ROW, 0, []
+    for c in _COLUMNS:
+        out.append(np.frombuffer(words, dtype=_WORD[c], count=k, offset=at))
+        at += k * _WORD[c].itemsize
+    return out
+
+
 _LINE_ROW = "id long, text_hash long, line int, n int, h long, range int, words binary"
 
 
@@ -157,16 +173,34 @@ def _lines_and_prefixes(num: int, den: int, counts, ranges: int):
     return run
 
 
+def _keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for words in batch.column(0).to_pylist():
+        yield textvec.mix(_columns(words)[0].astype(np.uint64))
+
+
+def _dealt(held, ranges: int):
+    """Packed frequent words that ``FREQUENT`` prefixes at most hold (``held``: rows by cell) go to ``ranges`` ranges below 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = held.value
+        bits = len(cells).bit_length() - 1
+        for batch in batches:
+            to, packed = [], []
+            for own, words in zip(*(c.to_pylist() for c in batch.columns)):
+                columns = _columns(words)
+                word = textvec.mix(columns[0].astype(np.uint64))
+                at = np.where(cells[cell(word, bits)] > FREQUENT, own, -1 - (word % _U(ranges)).astype(np.int64))
+                order = np.argsort(at, kind="stable")
+                for rows in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                    to.append(int(at[rows[0]]))
+                    packed.append(b"".join(c[rows].tobytes() for c in columns))
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(packed, pa.binary())], names=["range", "words"])
+    return run
+
+
 def _pairs_of_range(num: int, den: int, crowd: int, ranges: int):
     """For applyInArrow over a range: (kind, a, b, least) - pairs and the common words they need, or crowds."""
     def run(table: pa.Table) -> pa.Table:
-        columns = {c: [] for c in _COLUMNS}
-        for words in table["words"].to_pylist():
-            k, at = len(words) // _ROW, 0
-            for c in _COLUMNS:
-                columns[c].append(np.frombuffer(words, dtype=_WORD[c], count=k, offset=at))
-                at += k * _WORD[c].itemsize
-        key, h, bits, n, pos = (np.concatenate(columns[c]) for c in _COLUMNS)
+        key, h, bits, n, pos = (np.concatenate(c) for c in zip(*map(_columns, table["words"].to_pylist())))
         order = np.argsort(h)
         order = order[np.argsort(((key.astype(np.uint64) << _U(32)) | n)[order], kind="stable")]
         key, h, bits, n, pos = (x[order] for x in (key, h, bits, n, pos))
@@ -301,11 +335,17 @@ def _earliest(num: int, den: int):
 
 def _candidates(words: DataFrame, num: int, den: int, crowd: int, ranges: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of set hashes to verify, and crowds (token, h)."""
-    rows = (words.groupBy("range")
+    often = words.where(F.col("range") >= ranges)
+    held = hash_counts(often.select("words"), _keys, HELD_BITS)
+    few = int(held[held <= FREQUENT].sum(dtype=np.int64))
+    held = words.sparkSession.sparkContext.broadcast(held)
+    often = often.mapInArrow(_dealt(held, few // _PACKED + 1), "range int, words binary")
+    rows = (words.where(F.col("range") < ranges).unionByName(often).groupBy("range")
             .applyInArrow(_pairs_of_range(num, den, crowd, ranges), "kind int, a long, b long, least int"))
     # common words of a pair add up over the ranges; a crowd's member counts by itself
     found = scratch.store(rows.groupBy("kind", "a", "b").agg(F.count("*").alias("common"), F.max("least").alias("least"))
                           .where("common >= least").select("kind", "a", "b"), "found")
+    held.destroy()
     crowds = found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("h"))
     shared = crowds.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select("token")
     return found.where("kind = 0").select("a", "b"), crowds.join(shared, "token")
@@ -316,26 +356,32 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     """The lines to remove: id, text_hash, line (from 0), one row each (a stored table)."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "lines", until_exit=True)
-    broadcast = spark.sparkContext.broadcast
     narrow = docs.select(F.col(id_col).cast("long").alias("id"),
                          F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
+    with Scratch(spark, "lines-work") as work, shuffles_removed(spark):
+        return _later_matches(narrow, num, den, crowd, bits, work, scratch)
+
+
+def _later_matches(narrow: DataFrame, num: int, den: int, crowd: int, bits: int, work: Scratch, out: Scratch) -> DataFrame:
+    """``later_matches`` of (id, text_hash, text); only the result is stored in ``out``."""
+    broadcast = narrow.sparkSession.sparkContext.broadcast
     counts = broadcast(hash_counts(narrow.select("text"), _occurrences, bits))       # 2**bits cells
     ranges = int((narrow.agg(F.sum(F.octet_length("text"))).head()[0] or 0) // RANGE_BYTES) + 1
-    stored = scratch.store(narrow.mapInArrow(_lines_and_prefixes(num, den, counts, ranges), _LINE_ROW), "lines")
+    stored = work.store(narrow.mapInArrow(_lines_and_prefixes(num, den, counts, ranges), _LINE_ROW), "lines")
     lines = stored.where("range is null").select("id", "text_hash", "line", "n", "h")
-    pairs, crowds = _candidates(stored.where("range is not null").select("range", "words"), num, den, crowd, ranges, scratch)
+    pairs, crowds = _candidates(stored.where("range is not null").select("range", "words"), num, den, crowd, ranges, work)
     hub = crowds.groupBy("token").agg(F.min("h").alias("b"))
     hints = pairs.unionByName(crowds.join(hub, "token").where("h <> b").select(F.col("h").alias("a"), "b").distinct())
     place = F.struct("id", "text_hash", "line")
-    first = scratch.store(lines.groupBy("h").agg(F.min(place).alias("first"), F.max("n").cast("long").alias("n")), "first")
+    first = work.store(lines.groupBy("h").agg(F.min(place).alias("first"), F.max("n").cast("long").alias("n")), "first")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("h")).unionByName(crowds.select("h")).distinct()
-    nodes = scratch.store(nodes.join(first, "h").select("h", "n", "first.*"), "nodes")
-    blocks = scratch.store(placed(nodes.select("h", "n"), hints), "blocks")
+    nodes = work.store(nodes.join(first, "h").select("h", "n", "first.*"), "nodes")
+    blocks = work.store(placed(nodes.select("h", "n"), hints), "blocks")
     texts = broadcast(hash_flags(nodes.select("text_hash"), _hashes, FILTER_BITS))
     wanted = broadcast(hash_flags(nodes.select("h", "text_hash"), _places, FILTER_BITS))
     tokens = narrow.select("text_hash", "text").mapInArrow(_fetch(counts, texts, wanted), "h long, tokens array<long>")
     # every copy of a first place's text sends its lines: one row for each set, or a block pair would hold all of them
-    tokens = scratch.store(tokens.groupBy("h").agg(F.any_value("tokens").alias("tokens")), "tokens")
+    tokens = work.store(tokens.groupBy("h").agg(F.any_value("tokens").alias("tokens")), "tokens")
     sets = nodes.select("h", "id", "text_hash", "line").join(tokens, "h")
     earlier = (gathered(pairs, crowds, blocks).join(sets, "h").groupBy("x", "y")
                .applyInArrow(_earliest(num, den), "h long, id long, text_hash long, line int"))
@@ -344,7 +390,7 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
              .select(F.col("h").alias("_h"), F.coalesce(F.least("first", "match"), "first").alias("least")))
     removed = (lines.select("id", "text_hash", "line", "h").join(least, F.col("h") == F.col("_h"))
                .where(place > F.col("least")).select("id", "text_hash", "line").distinct())
-    removed = scratch.store(removed, "removed")
+    removed = out.store(removed, "removed")
     for shared in (counts, texts, wanted):
         shared.destroy()
     return removed
@@ -352,7 +398,7 @@ def later_matches(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
 
 def _rebuild(text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(lo, _REBUILT) for whole in batches for lo in range(0, whole.num_rows, _REBUILT)):
             column, gone = batch.column(text_at), batch.column(batch.num_columns - 1).to_pylist()
             n_lines = pc.add(pc.fill_null(pc.count_substring(column, "\n"), 0), 1).cast(pa.int32())
             cut = np.array([bool(out) for out in gone], dtype=bool)
